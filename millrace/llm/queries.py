@@ -3,14 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from millrace.llm import bpe
 from millrace.llm.exact_dedup import exact_groups
+from millrace.llm.mixing import mix
 from millrace.llm.near_dedup import near_groups
 from millrace.llm.scratch import table
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    """Encodes every text, decodes the ids, and gives digests of both."""
+    ranks = Path(vocabulary or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).read_bytes()
+    ids = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    digests = ids.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"))
+    back = bpe.decode(digests, ranks, public_tokenizers.PATTERN, keep=("n_tokens", "ids_sha256"))
+    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -19,8 +33,12 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"), k=4)
 
 
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_exact_dedup, op7_minhash_near_dedup)}
+    return {f.__name__: f for f in (op3_byte_bpe, op6_exact_dedup, op7_minhash_near_dedup, op8_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -30,4 +48,22 @@ def oracle_sql() -> dict[str, str]:
             g as (select doc_id, t, min(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
                          row_number() over (partition by t order by doc_id nulls last) as place from n)
             select doc_id, keep_id, group_size, place = 1 as kept, sha256(t) as text_sha256 from g""",
+        "op8_mix_sources": r"""
+            with d as (select doc_id, source is null as ns, coalesce(source, '') as s,
+                              cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,
+                              md5(coalesce(cast(doc_id as varchar), '') || ' 0') as digest from documents),
+            src as (select ns, s, cast(sum(size) as bigint) as source_size from d group by ns, s),
+            weighed as (select *, case (row_number() over (order by ns, s) - 1) % 3 when 0 then 3.0::double when 1 then 1.0 else 2.0 end as w from src),
+            ranked as (select *, source_size * 2.0::double as cap, source_size * 2.0::double / w as fill from weighed),
+            levels as (select *, ((sum(source_size) over ())::double * 1.5::double - coalesce(sum(cap) over (order by fill, ns, s rows between unbounded preceding and 1 preceding), 0))
+                                 / (sum(w) over () - coalesce(sum(w) over (order by fill, ns, s rows between unbounded preceding and 1 preceding), 0)) as level from ranked),
+            chosen as (select min_by(level, fill) as level from levels where fill > level),
+            targets as (select ns, s, source_size, least(cap, (select level from chosen) * w) as target from ranked),
+            placed as (select d.*, source_size, target,
+                              sum(size) over (partition by ns, s order by substr(digest, 1, 15), doc_id, size rows unbounded preceding) - size as start,
+                              cast(round(target) as bigint) as budget
+                       from d join targets using (ns, s)),
+            cut as (select *, case when source_size > 0 then budget // source_size else 0 end as epochs from placed)
+            select doc_id, size, source_size, target,
+                   cast(epochs * size + greatest(0, least(size, budget - epochs * source_size - start)) as bigint) as taken from cut""",
     }
