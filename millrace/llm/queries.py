@@ -9,8 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe
+from millrace.llm import bpe, quality, toxicity
 from millrace.llm.exact_dedup import exact_groups
+from millrace.llm.exact_topk import top_k
 from millrace.llm.mixing import mix
 from millrace.llm.near_dedup import near_groups
 from millrace.llm.scratch import table
@@ -25,6 +26,20 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None
     return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    allowed = F.crc32(F.col("label_id").cast("string")) % 5 != 0
+    model = quality.fit(*toxicity.sample_labelled(docs, table(spark, sf_dir, "labels"), "quality", allowed, quality.SAMPLE))
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -37,12 +52,28 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    allowed = F.crc32(F.col("label_id").cast("string")) % 4 != 2
+    model = toxicity.fit(*toxicity.sample_labelled(docs, table(spark, sf_dir, "labels"), "toxic", allowed, toxicity.SAMPLE))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_byte_bpe, op6_exact_dedup, op7_minhash_near_dedup, op8_mix_sources)}
+    return {f.__name__: f for f in (op3_byte_bpe, op4_quality_classifier, op5_exact_topk, op6_exact_dedup, op7_minhash_near_dedup, op8_mix_sources, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op5_exact_topk": """
+            with v as (select distinct vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as e from embeddings
+                       where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+            s as (select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.e::double[], c.e::double[]) as bigint) as score
+                  from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id),
+            r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as place from s)
+            select query_id, cast(place as int) as rank, vec_id, score from r where place <= 5""",
         "op6_exact_dedup": r"""
             with n as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents),
             g as (select doc_id, t, min(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
