@@ -10,11 +10,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import bpe, quality, toxicity
+from millrace.llm.chat_format import format_chat
 from millrace.llm.exact_dedup import exact_groups
 from millrace.llm.exact_topk import top_k
+from millrace.llm.html_extract import main_text
 from millrace.llm.mixing import mix
 from millrace.llm.near_dedup import near_groups
 from millrace.llm.scratch import table
+from millrace.llm.url_filter import judge
+
+
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
@@ -52,6 +63,10 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chat(table(spark, sf_dir, "conversations"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
@@ -62,11 +77,28 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_byte_bpe, op4_quality_classifier, op5_exact_topk, op6_exact_dedup, op7_minhash_near_dedup, op8_mix_sources, op10_toxicity)}
+    named = (
+        op1_html_extraction,
+        op2_url_filters,
+        op3_byte_bpe,
+        op4_quality_classifier,
+        op5_exact_topk,
+        op6_exact_dedup,
+        op7_minhash_near_dedup,
+        op8_mix_sources,
+        op9_chat_formatting,
+        op10_toxicity,
+    )
+    return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op9_chat_formatting": """
+            select conv_id, turn, coalesce(role, 'user') as role, 'text' as kind, cast(-1 as int) as depth, cast(0 as bigint) as n_calls,
+                   cast(0 as bigint) as n_linked, cast(0 as bigint) as n_valid,
+                   '{"content":' || to_json(coalesce(text, ''))::varchar || ',"role":' || to_json(coalesce(role, 'user'))::varchar || '}' as message
+            from conversations""",
         "op5_exact_topk": """
             with v as (select distinct vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as e from embeddings
                        where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
