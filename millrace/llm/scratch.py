@@ -37,14 +37,16 @@ def store(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete one folder."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def release(spark: SparkSession) -> None:
     """Delete what :func:`store` has written; call it once the results are saved."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     while _written:
-        _, path = _written.pop()
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(conf).delete(target, True)
+        remove(spark, _written.pop()[1])
 
 
 @atexit.register
