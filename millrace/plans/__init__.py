@@ -1,0 +1,6 @@
+"""The registered queries, each with its DuckDB counterpart where SQL can express it."""
+
+from millrace.plans import relational
+from millrace.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "relational"]
