@@ -1,6 +1,6 @@
 """The registered queries, each with its DuckDB counterpart where SQL can express it."""
 
-from millrace.plans import joining, relational
+from millrace.plans import joining, relational, texts
 from millrace.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "joining", "relational"]
+__all__ = ["ORACLES", "QUERIES", "joining", "relational", "texts"]
