@@ -7,10 +7,10 @@ independent minima have, and a level is only drawn while some place is empty.
 
 Texts with the same shingle set collapse to one representative before banding.
 Representatives that share a band are compared on their full shingle sets:
-first each with the bucket leader it shares most bands with, then, where the
-labels still differ, with its other leaders, and last every pair of one bucket
-that is still in different groups.  A pair of one group needs no comparison, as
-it can't change the result.  No bucket is capped, and no task ever holds one.
+first each with the bucket leader it shares most bands with, then every pair of
+one bucket that is still in different groups and that an upper bound of its
+similarity allows.  A pair of one group needs no comparison, as it can't change
+the result.  No bucket is capped, and no task ever holds one.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from millrace.llm.bytewords import byte_views, lower_ascii, mix, shingles, word_hashes
 from millrace.llm.scratch import bound_batches, store
 
+WORDS = 16  # 64-bit words of a node's bitmap
 BANDS, ROWS = 32, 5  # a pair at similarity 0.8 is missed with probability (1 - 0.8**5)**32 = 3e-6
 
 
@@ -108,6 +109,49 @@ def _similar(percent: int):
     return run
 
 
+def _members_of_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each element of each set."""
+    for batch in batches:
+        sets = [np.frombuffer(x, np.int64) for x in batch.column("elements").to_pylist()]
+        sizes = [len(x) for x in sets]
+        flat = np.concatenate([*sets, np.zeros(0, np.int64)])
+        yield pa.record_batch({"node": np.repeat(batch.column("node").to_numpy(), sizes), "label": np.repeat(batch.column("label").to_numpy(), sizes), "element": flat})
+
+
+def _open_pairs(rows: DataFrame, elements: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of one bucket and different labels that may be similar enough.
+
+    A pair is made in the first band it shares, and only if an upper bound of its
+    intersection allows the link.  An element that no node of another label has
+    can't be common; of the others each node keeps a bitmap of 1,024 cells, and a
+    cell that one node has and the other hasn't hides one element at least that
+    isn't common.  The bound never falls short, so no link is lost.
+    """
+    nodes = store(rows.select("node", "label").distinct(), "open-nodes")
+    parts = store(elements.join(nodes, "node").mapInArrow(_members_of_sets, "node long, label long, element long"), "parts")
+    shared = parts.groupBy("element").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    cell = F.pmod(F.col("element"), F.lit(64 * WORDS))
+    bit = F.expr(f"shiftleft(1L, cast(pmod(element, {64 * WORDS}) % 64 as int))")
+    maps = [F.bit_or(F.when(F.floor(cell / 64) == w, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{w}") for w in range(WORDS)]
+    bounds = parts.join(store(shared.select("element"), "shared"), "element").groupBy("node").agg(F.count("*").alias("common"), *maps)
+    bounds = store(bounds.join(sets.select("node", "bands"), "node"), "bounds")
+    wide = store(rows.join(bounds, "node"), "open")
+    names = ["node", "n", "label", "common", "bands", *(f"w{w}" for w in range(WORDS))]
+    one = wide.select("band", "place", *(F.col(c).alias(f"a_{c}") for c in names))
+    two = wide.select(F.col("band").alias("b_band"), *(F.col(c).alias(f"b_{c}") for c in names))
+
+    def missing(x: str, y: str) -> str:
+        return " + ".join(f"bit_count({x}_w{w} & ~{y}_w{w})" for w in range(WORDS))
+
+    most = f"least(a_common - ({missing('a', 'b')}), b_common - ({missing('b', 'a')}))"
+    allowed = F.expr(
+        f"band = b_band and a_node > b_node and a_label <> b_label and a_n * 100 >= b_n * {percent} and b_n * 100 >= a_n * {percent}"
+        f" and {most} * {100 + percent} >= {percent} * (a_n + b_n)"
+        " and not exists(zip_with(slice(a_bands, 1, place), slice(b_bands, 1, place), (x, y) -> x = y), same -> same)"
+    )
+    return one.join(two, allowed).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+
+
 def _local_union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The links of one partition as a forest: each node with its root, the smallest of its tree."""
     parent: dict[int, int] = {}
@@ -166,7 +210,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sketch = store(texts.mapInArrow(_sketch(k, bands, rows), "id long, n long, fp binary, bands array<long>"), "sketch")
     real = sketch.where(F.col("fp").isNotNull() & F.col("id").isNotNull())
     sets = store(real.groupBy("fp").agg(F.min("id").alias("node"), F.min("n").alias("n"), F.min_by("bands", "id").alias("bands")), "sets")
-    banded = store(sets.select("node", "n", F.explode("bands").alias("band")), "bands")
+    banded = store(sets.select("node", "n", F.posexplode("bands").alias("place", "band")), "bands")
     leaders = banded.groupBy("band").agg(F.min(F.struct("node", "n")).alias("lead"), F.count("*").alias("many")).where("many > 1")
     leaders = store(leaders.select("band", F.col("lead.node").alias("lead"), F.col("lead.n").alias("lead_n")), "leaders")
     members = store(banded.join(leaders, "band"), "members")
@@ -194,20 +238,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return store(old.unionByName(new), "labels")
 
     stars = members.where((F.col("node") != F.col("lead")) & fits("n", "lead_n"))
-    stars = store(stars.groupBy(F.col("node").alias("a"), F.col("lead").alias("b")).agg(F.count("*").alias("shared")), "stars")
+    stars = stars.groupBy(F.col("node").alias("a"), F.col("lead").alias("b")).agg(F.count("*").alias("shared"))
     best = store(stars.groupBy("a").agg(F.max(F.struct("shared", (-F.col("b")).alias("b"))).alias("best")).select("a", (-F.col("best.b")).alias("b")), "pairs")
     labels = unite(best, spark.createDataFrame([], "node long, label long"))
-    rest = stars.select("a", "b").join(best, ["a", "b"], "left_anti")
-    rest = store(label_of(label_of(rest, "a", "la", labels), "b", "lb", labels).where("la <> lb").select("a", "b"), "pairs")
-    if not rest.isEmpty():
-        labels = unite(rest, labels)
-    labelled = store(label_of(members.select("band", "node", "n"), "node", "label", labels), "labelled")
+    labelled = store(label_of(members.select("band", "place", "node", "n"), "node", "label", labels), "labelled")
     split = store(labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band"), "split")
-    left = store(labelled.join(split, "band", "left_semi"), "left")
-    one = left.select("band", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("label").alias("lb"))
-    two = left.select("band", F.col("node").alias("a"), F.col("n").alias("an"), F.col("label").alias("la"))
-    last = two.join(one, "band").where((F.col("a") > F.col("b")) & (F.col("la") != F.col("lb")) & fits("an", "bn"))
-    last = last.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
+    open_rows = store(labelled.join(split, "band", "left_semi"), "open")
+    last = _open_pairs(open_rows, elements, sets, percent).join(best, ["a", "b"], "left_anti")
     last = store(last, "pairs")
     if not last.isEmpty():
         labels = unite(last, labels)
