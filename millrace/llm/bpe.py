@@ -28,7 +28,7 @@ from millrace.llm.scratch import bound_batches
 
 LONG_PIECE = 200
 CHUNK_PIECES = 20_000  # pieces in one recursive query
-KEPT_PIECES = 600_000  # pieces whose ids a worker remembers
+KEPT_PIECES = 600_000  # pieces whose ids a worker remembers, and as many older ones
 
 _CONTRACT = """
 with recursive state as (
@@ -55,6 +55,7 @@ class Codec:
         self.split = regex.compile(pattern)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.known: dict[str, bytes] = {}  # ids as 32-bit integers
+        self.older: dict[str, bytes] = {}  # known before, kept while still met
         self.merges = {}
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
@@ -127,8 +128,11 @@ class Codec:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.split.findall(t) for t in texts]
         if len(self.known) > KEPT_PIECES:
-            self.known.clear()
-        self.learn(set().union(*split) - self.known.keys())
+            self.older, self.known = self.known, {}
+        new = set().union(*split) - self.known.keys()
+        met = new & self.older.keys()
+        self.known.update((p, self.older[p]) for p in met)
+        self.learn(new - met)
         return [np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), np.int32) for pieces in split]
 
     def decode(self, ids: pa.ListArray) -> pa.Array:
