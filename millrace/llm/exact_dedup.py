@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from millrace.llm.scratch import bound_batches, store
 
+SPLITTER_CHARS = 32  # a splitter holds the beginning of a text and its digest, not the whole text
+
 _RUNS = "id long, sha string, run long, first boolean, edge_text string"
 
 
@@ -69,8 +71,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark = docs.sparkSession
     bound_batches(spark)
     norm = docs.select(F.col(id_col).cast("long").alias("id"), normalised(F.col(text_col)).alias("norm"))
-    ordered = norm.repartitionByRange("norm", F.col("id").asc_nulls_last()).sortWithinPartitions("norm", F.col("id").asc_nulls_last())
-    rows = store(ordered.withColumn("sha", F.sha2("norm", 256)).mapInArrow(_number_runs, _RUNS), "runs")
+    keyed = norm.withColumn("head", F.substring("norm", 1, SPLITTER_CHARS)).withColumn("sha", F.sha2("norm", 256))
+    last = F.col("id").asc_nulls_last()
+    ordered = keyed.repartitionByRange("head", "sha", last).sortWithinPartitions("head", "sha", "norm", last)
+    rows = store(ordered.select("id", "norm", "sha").mapInArrow(_number_runs, _RUNS), "runs")
 
     edges = rows.where(F.col("edge_text").isNotNull()).select("run", "edge_text").distinct()
     joined = edges.join(edges.groupBy("edge_text").agg(F.min("run").alias("head")), "edge_text").select("run", "head")
