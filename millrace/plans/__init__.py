@@ -1,6 +1,6 @@
 """The registered queries, each with its DuckDB counterpart where SQL can express it."""
 
-from millrace.plans import extraction, joining, relational, texts
+from millrace.plans import extraction, features, joining, relational, texts
 from millrace.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "extraction", "joining", "relational", "texts"]
+__all__ = ["ORACLES", "QUERIES", "extraction", "features", "joining", "relational", "texts"]
