@@ -126,3 +126,29 @@ def span_query(spark, sf):
 def tag_documents(spark, sf):
     words = F.split(F.substring_index("text", ".", 3), r"\s+")
     return table(spark, sf, "documents").where("lang = 'en'").select("doc_id", F.transform(G.tag_tokens(words), lambda t: t["tag"]).alias("tags"))
+
+
+@query("select * from (values (1, '汉语'), (2, '发展中国'), (3, null), (4, 'abc汉')) t(id, simplified)")
+def trad_to_simp(spark, sf):
+    from millrace.functions.language import convert
+
+    rows = _values(spark, "(1,'漢語'),(2,'發展中國'),(3,null),(4,'abc漢')", "id, text")
+    return rows.select("id", convert(F.col("text"), {"漢語": "汉语", "發展": "发展", "漢": "汉", "國": "国"}).alias("simplified"))
+
+
+_COMMISSIONS = """('a', array('X1FF6', 'X2FF7'), array('+US'), cast(null as array<string>), array('US'), array('USA'), array('ASIA'), array(), '', 'J', '10 %', '3%', '2017-01-01', '', '9999', '5'),
+ ('b', array("'X3FF8'"), array(), array('+CX1'), array(), array(), array(), cast(null as array<string>), 'SHA OR HKG', 'Y', '7', '', '2017-02-01', '2017-03-01', '', ''),
+ ('c', array('X4'), array(), array(), array('US'), array('OR'), array('HKG'), array(), '', 'M', '1%', '', '', '', '', ''),
+ ('d', array('X5'), array(), array(), array('US'), array('SYSTEM'), array('HKG'), array(), '', 'M', '1%', '', '2017-13-01', '', '', '')"""
+
+
+@query("""select * from (values ('a','X1FF6',10.0::double,'USA','ASIA','US'),('a','X2FF7',10.0,'USA','ASIA','US'),('b','X3FF8',7.0,'SHA','SHA',''),('b','X3FF8',7.0,'SHA','HKG',''),('b','X3FF8',7.0,'HKG','SHA',''),('b','X3FF8',7.0,'HKG','HKG',''))
+          t(_id, tourcodes, agent_discount, from_location, to_location, pos)""")
+def commission_star(spark, sf):
+    from millrace.operators.commission_etl import star
+
+    names = "_id, tourcodes, originating, flights, pos, from_location, to_location, pcc, route, rbd, agent_discount, corporate_discount, sales_period_eff_date, sales_period_dis_date, rtw_fare_comm, ct_fare_comm"
+    rows = _values(spark, _COMMISSIONS, names).withColumn("tkt_dis_date", F.lit("")).withColumn("trv_dis_date", F.lit(""))
+    airports = _values(spark, "('HKG','HK','HKG','310'),('SHA','CN','SHA','320')", "code, country, city, zone")
+    made = star(rows, airports, 4)
+    return made.commissions.join(made.locations, "loc_fk").select("_id", "tourcodes", "agent_discount", "from_location", "to_location", "pos")
