@@ -95,7 +95,7 @@ def stems(text: str | None) -> list[str]:
         if len(word) < 2 or word in STOP_WORDS:
             continue
         for ending, put in (("ies", "y"), ("sses", "ss"), ("ing", ""), ("ed", ""), ("s", "")):
-            if word.endswith(ending) and len(word) - len(ending) >= 3 and not word.endswith("ss" if ending == "s" else "\0"):
+            if word.endswith(ending) and len(word) - len(ending) + len(put) >= 3 and not word.endswith("ss" if ending == "s" else "\0"):
                 word = word[: -len(ending)] + put
                 break
         out.append(word)

@@ -16,7 +16,7 @@ def run_id(now: datetime | None = None) -> str:
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header; arrays are joined by ``|``.  An empty table writes just the header."""
     flat = [F.array_join(c, "|").alias(c) if kind.startswith("array") else F.col(c) for c, kind in df.dtypes]
-    df.select(*flat).write.mode("overwrite").option("header", True).csv(path)
+    df.select(*flat).write.mode("overwrite").option("header", True).option("escape", "\"").csv(path)
 
 
 def write_code_lines(df: DataFrame, keys: list[str], codes: str, path: str) -> None:
@@ -27,7 +27,7 @@ def write_code_lines(df: DataFrame, keys: list[str], codes: str, path: str) -> N
 
 def write_record(spark: SparkSession, record: dict[str, object], path: str) -> None:
     """One record as CSV."""
-    spark.createDataFrame([{k: None if v is None else str(v) for k, v in record.items()}], ", ".join(f"`{k}` string" for k in record)).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    spark.createDataFrame([{k: None if v is None else str(v) for k, v in record.items()}], ", ".join(f"`{k}` string" for k in record)).coalesce(1).write.mode("overwrite").option("header", True).option("escape", "\"").csv(path)
 
 
 def snapshot(df: DataFrame, name: str, stamp: str | None = None) -> str:
