@@ -24,6 +24,8 @@ from millrace.llm.scratch import bound_batches
 
 SAMPLE = 6_000  # labelled texts that are fitted on, at most
 FEATURES = 2_000  # features the model keeps, at most
+SLICE_BITS = 4
+SLICES = 1 << SLICE_BITS
 PREFIXES = (4, 5, 6, 7, 8, 9)  # bytes of a longer word's beginning
 
 #: Groups of terms of one kind that can stand for each other.
@@ -79,6 +81,13 @@ def counterfactuals(text: str) -> list[tuple[np.ndarray, np.ndarray]]:
     return found
 
 
+def _slice(found: np.ndarray, part: int) -> np.ndarray:
+    """The sorted hashes whose leading bits are ``part``."""
+    low = np.searchsorted(found, np.uint64(part << (64 - SLICE_BITS)))
+    high = np.searchsorted(found, np.uint64((part + 1) << (64 - SLICE_BITS))) if part + 1 < SLICES else len(found)
+    return found[low:high]
+
+
 @dataclass
 class Model:
     """Weights by feature; ``keys`` are sorted."""
@@ -111,43 +120,47 @@ def fit(texts: list[str | None], labels: list[int], most: int = FEATURES, fairne
     constant = Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(share / (1 - share))))
     if len(truth) == 0 or truth.min() == truth.max():
         return constant
-    sets = [features(t or "") for t in texts]
-    keys, where = np.unique(np.concatenate(sets), return_inverse=True)
-    lines = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    with_1 = np.bincount(where, truth[lines], len(keys))
-    with_0 = np.bincount(where, 1 - truth[lines], len(keys))
+    sets = [np.sort(features(t or "")) for t in texts]
     n_1, n_0 = truth.sum(), (1 - truth).sum()
-    lift = np.log((with_1 + 0.5) / (n_1 + 1)) - np.log((with_0 + 0.5) / (n_0 + 1))
-    worth = np.where((with_1 >= 3) & (lift > 1.5), lift * np.sqrt(with_1), 0)
-    chosen = np.sort(np.argsort(-worth, kind="stable")[:most])
-    chosen = chosen[worth[chosen] > 0]
-    if not len(chosen):
+    best_keys, best_worth = [], []
+    for part in range(SLICES):  # features by the slices of their hashes, so that no copy of them all is made
+        pieces = [_slice(s, part) for s in sets]
+        keys, where = np.unique(np.concatenate(pieces), return_inverse=True)
+        lines = np.repeat(truth, [len(s) for s in pieces])
+        with_1 = np.bincount(where, lines, len(keys))
+        with_0 = np.bincount(where, minlength=len(keys)) - with_1
+        lift = np.log((with_1 + 0.5) / (n_1 + 1)) - np.log((with_0 + 0.5) / (n_0 + 1))
+        fine = (with_1 >= 3) & (lift > 1.5)
+        best_keys.append(keys[fine])
+        best_worth.append((lift * np.sqrt(with_1))[fine])
+    keys, worth = np.concatenate(best_keys), np.concatenate(best_worth)
+    keys_kept = np.sort(keys[np.argsort(-worth, kind="stable")[:most]])
+    if not len(keys_kept):
         return constant
-    keys_kept = keys[chosen]
-    column = np.full(len(keys), -1)
-    column[chosen] = np.arange(len(chosen))
-    x = np.zeros((len(sets), len(chosen) + 1), np.float32)
-    inside = column[where] >= 0
-    x[lines[inside], column[where][inside]] = 1
+    x = np.zeros((len(sets), len(keys_kept) + 1), np.float32)
+    for line, found in enumerate(sets):
+        x[line, np.flatnonzero(np.isin(keys_kept, found, assume_unique=True))] = 1
     x[:, -1] = 1
+    del sets
 
-    ridge = np.full(len(chosen) + 1, 0.2)
+    ridge = np.full(len(keys_kept) + 1, 0.2)
     ridge[-1] = 1e-6
     penalty = np.diag(ridge)
     mine = Model(keys_kept, np.zeros(len(keys_kept)), 0.0)
     for text in texts:
         for lost, gained in counterfactuals(text or ""):
-            change = np.zeros(len(chosen) + 1)
+            change = np.zeros(len(keys_kept) + 1)
             for part, sign in ((lost, -1.0), (gained, 1.0)):
                 at = np.minimum(np.searchsorted(mine.keys, part), len(mine.keys) - 1)
                 change[at[mine.keys[at] == part]] += sign
             if change.any():
                 penalty += fairness * np.outer(change, change)
-    w = np.zeros(len(chosen) + 1)
+    w = np.zeros(len(keys_kept) + 1)
     w[-1] = constant.bias
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, x.T @ (p - truth) + penalty @ w)
+        p = 1 / (1 + np.exp(-np.clip(x @ w.astype(np.float32), -30, 30)))
+        curved = (x * (p * (1 - p)).astype(np.float32)[:, None]).T @ x
+        step = np.linalg.solve(curved + penalty, x.T @ (p - truth).astype(np.float32) + penalty @ w)
         w -= step
         if np.abs(step).max() < 1e-4:
             break
