@@ -67,9 +67,8 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of each document, and the digest of what they decode to."""
     release(spark)
     ranks = Path(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).read_bytes()
-    ids = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    back = bpe.decode(ids.withColumn("n_tokens", F.size("ids").cast("long")), ranks, public_tokenizers.PATTERN, keep=("n_tokens", "ids"))
-    return back.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    found = bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [

@@ -15,36 +15,44 @@ done for them with a heap.  The result is the same.
 from __future__ import annotations
 
 import base64
+import contextlib
+import ctypes
+import gc
 import heapq
+import threading
 from collections.abc import Iterator
+from functools import cached_property
 
 import duckdb
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from millrace.llm.scratch import bound_batches
 
 LONG_PIECE = 200
-CHUNK_PIECES = 20_000  # pieces in one recursive query
-KEPT_PIECES = 600_000  # pieces whose ids a worker remembers, and as many older ones
+CHUNK_PIECES = 16_000  # pieces in one recursive query
+IDLE_SECONDS = 4
+KEPT_PIECES = 400_000  # pieces whose ids a worker remembers, and as many older ones
 
 _CONTRACT = """
 with recursive state as (
     select 0::int as round, piece, pos, token from seed
     union all
-    select (round + 1)::int, piece, pos, case when pos = best & 255 then best >> 8 else token end
-    from (
-        select *, min((m.merged << 8) | pos) over (partition by piece) as best
+    (with pairs as materialized (
+        select t.round, t.piece, t.pos, t.token, t.previous, m.merged
         from (select *, lead(token) over w as following, lag(pos) over w as previous
-              from state window w as (partition by piece order by pos)) s
-        left join merges m on m.one = s.token and m.two = s.following)
-    where best is not null and previous is distinct from best & 255)
+              from state window w as (partition by piece order by pos)) t
+        left join merges m on m.one = t.token and m.two = t.following),
+    leftmost as (select piece, min((merged << 8) | pos) as best from pairs where merged is not null group by piece)
+    select (round + 1)::int, piece, pos, case when pos = best & 255 then best >> 8 else token end
+    from pairs join leftmost using (piece) where previous is distinct from best & 255))
 select piece, list(token order by pos) as ids
 from state semi join (select piece, max(round) as round from state group by piece) using (piece, round)
 group by piece"""
-_JOIN = "select line, list(token order by pos) as tokens from given join vocabulary using (id) group by line order by line"
+_JOIN = "select list(coalesce(token, ''::blob) order by pos) as tokens from given left join vocabulary using (id)"
 
 
 class Codec:
@@ -56,23 +64,30 @@ class Codec:
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.known: dict[str, bytes] = {}  # ids as 32-bit integers
         self.older: dict[str, bytes] = {}  # known before, kept while still met
-        self.merges = {}
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+        self._create("vocabulary", id=pa.array(self.ranks.values(), pa.int32()), token=pa.array(self.ranks.keys(), pa.binary()))
+
+    def _create(self, name: str, **columns) -> None:
+        self.db.register("given", pa.table(columns))
+        self.db.execute(f"create table {name} as from given")
+        self.db.unregister("given")
+
+    @cached_property
+    def merges(self) -> dict[tuple[int, int], int]:
+        """Every pair of tokens that makes a token; encoding alone needs them."""
+        found = {}
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
                 left, right = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
                 if left is not None and right is not None:
-                    self.merges[left, right] = rank
-        pairs = np.array([(*pair, rank) for pair, rank in self.merges.items()], np.int32)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
-        merges = {"one": pairs[:, 0], "two": pairs[:, 1], "merged": pairs[:, 2]}
-        vocabulary_columns = {"id": pa.array(self.ranks.values(), pa.int32()), "token": pa.array(self.ranks.keys(), pa.binary())}
-        for name, columns in (("merges", merges), ("vocabulary", vocabulary_columns)):
-            self.db.register("given", pa.table(columns))
-            self.db.execute(f"create table {name} as from given")
-            self.db.unregister("given")
+                    found[left, right] = rank
+        pairs = np.array([(*pair, rank) for pair, rank in found.items()], np.int32)
+        self._create("merges", one=pairs[:, 0], two=pairs[:, 1], merged=pairs[:, 2])
+        return found
 
     def _contract(self, pieces: list[bytes]) -> list[bytes]:
         """The ids of distinct pieces, none of which is a token itself."""
+        assert self.merges
         lengths = np.array([len(p) for p in pieces])
         starts = np.cumsum(lengths) - lengths
         seed = {
@@ -137,33 +152,47 @@ class Codec:
 
     def decode(self, ids: pa.ListArray) -> pa.Array:
         """The bytes of each list of ids: tokens joined by id, aggregated by position."""
-        lengths = np.diff(ids.offsets.to_numpy())
-        given = {"line": np.repeat(np.arange(len(ids), dtype=np.int32), lengths), "pos": np.arange(lengths.sum(), dtype=np.int32), "id": ids.flatten()}
-        self.db.register("given", pa.table(given))
-        done = self.db.sql(_JOIN).to_arrow_table()
-        self.db.unregister("given")
-        tokens = done.column("tokens").combine_chunks()
-        if not len(tokens):
+        ends = ids.offsets.to_numpy() - ids.offsets[0].as_py()
+        if not ends[-1]:
             return pa.array([b""] * len(ids), pa.binary())
-        ends = np.frombuffer(tokens.values.buffers()[1], np.int32)[tokens.values.offset :][tokens.offsets.to_numpy()]
-        sizes = np.zeros(len(ids), np.int32)
-        sizes[done.column("line").to_numpy()] = np.diff(ends)
-        offsets = ends[0] + np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets), tokens.values.buffers()[2]])
+        self.db.register("given", pa.table({"pos": np.arange(ends[-1], dtype=np.int32), "id": ids.flatten()}))
+        tokens = self.db.sql(_JOIN).to_arrow_table().column("tokens").combine_chunks().flatten()
+        self.db.unregister("given")
+        # the tokens' bytes lie next to each other, so a text is what lies between two of its ends
+        bounds = np.frombuffer(tokens.buffers()[1], np.int32)[tokens.offset :][ends]
+        return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(bounds.copy()), tokens.buffers()[2]])
 
 
 _codecs: dict[tuple[bytes, str], Codec] = {}
+_drop: list[threading.Timer] = []
+
 
+def _forget() -> None:
+    """Free the codec of an idle worker, which may live on for other stages."""
+    _codecs.clear()
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
-def _codec(vocabulary: bytes, pattern: str) -> Codec:
+
+@contextlib.contextmanager
+def _codec(vocabulary: bytes, pattern: str) -> Iterator[Codec]:
+    """The worker's codec; it is kept from task to task and dropped after ``IDLE_SECONDS`` without one."""
+    while _drop:
+        _drop.pop().cancel()
     key = (vocabulary, pattern)
     if key not in _codecs:
         _codecs.clear()
         _codecs[key] = Codec(vocabulary, pattern)
-    return _codecs[key]
+    try:
+        yield _codecs[key]
+    finally:
+        _drop.append(threading.Timer(IDLE_SECONDS, _forget))
+        _drop[-1].daemon = True
+        _drop[-1].start()
 
 
-def _blocks(texts: list[str], most: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def _blocks(texts: list[str], most: int = 2_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``most`` characters, one text at least."""
     start, held = 0, 0
     for i, text in enumerate(texts):
@@ -175,47 +204,60 @@ def _blocks(texts: list[str], most: int = 4_000_000) -> Iterator[tuple[int, int]
         yield start, len(texts)
 
 
-def encode(docs: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text", batch_rows: int = 1000) -> DataFrame:
+def _encoded(batches: Iterator[pa.RecordBatch], codec: Codec) -> Iterator[tuple[pa.Array, pa.ListArray]]:
+    """The identifiers and ids of blocks of texts."""
+    for batch in batches:
+        texts = [t or "" for t in batch.column("text").to_pylist()]
+        for start, end in _blocks(texts):
+            ids = codec.encode(texts[start:end])
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+            yield batch.column("id").slice(start, end - start), pa.ListArray.from_arrays(offsets, np.concatenate([*ids, np.zeros(0, np.int32)]))
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    bound_batches(docs.sparkSession, rows=500)
+    return docs.selectExpr(f"cast(`{id_col}` as long) as id", f"cast(`{text_col}` as string) as text")
+
+
+def encode(docs: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, ids array<int>): the token ids of each whole text, without special tokens.
 
     ``vocabulary`` is the content of a rank file (about 1 MB, sent with the tasks).
     A null or empty text gives an empty list; rows are independent of each other,
     so repeated rows and identifiers, and null identifiers, stay as they are.
     """
-    bound_batches(docs.sparkSession, rows=batch_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(vocabulary, pattern)
-        for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for start, end in _blocks(texts):
-                ids = codec.encode(texts[start:end])
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                yield pa.record_batch({"id": batch.column("id").slice(start, end - start), "ids": pa.ListArray.from_arrays(offsets, np.concatenate([*ids, np.zeros(0, np.int32)]))})
+        with _codec(vocabulary, pattern) as codec:
+            for id_, ids in _encoded(batches, codec):
+                yield pa.record_batch({"id": id_, "ids": ids})
 
-    rows = docs.selectExpr(f"cast(`{id_col}` as long) as id", f"cast(`{text_col}` as string) as text")
-    return rows.mapInArrow(run, "id long, ids array<int>").withColumnRenamed("id", id_col)
+    return _texts(docs, id_col, text_col).mapInArrow(run, "id long, ids array<int>").withColumnRenamed("id", id_col)
 
 
-def decode(encoded: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "doc_id", ids_col: str = "ids", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id_col, *keep, decoded binary): the bytes that the ids stand for.
+def decode(encoded: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """(id_col, decoded binary): the bytes that the ids stand for.
 
-    An empty or null list gives no bytes; an id outside the vocabulary adds none.
+    An empty or null list gives no bytes; a null id or one outside the vocabulary adds none.
     """
-    schema = encoded.select(id_col, *keep).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(vocabulary, pattern)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 100):
-                part = batch.slice(start, 100)
-                ids = part.column(ids_col)
-                ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) if x.is_valid else 0 for x in ids])]).astype(np.int32)), ids.flatten())
-                yield pa.record_batch({**{c: part.column(c) for c in (id_col, *keep)}, "decoded": codec.decode(ids)})
+        with _codec(vocabulary, pattern) as codec:
+            for batch in batches:
+                for start in range(0, batch.num_rows, 100):
+                    part = batch.slice(start, 100)
+                    yield pa.record_batch({"id": part.column("id"), "decoded": codec.decode(part.column("ids"))})
 
-    from pyspark.sql.types import BinaryType
+    rows = encoded.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(ids_col), F.array().cast("array<int>")).alias("ids"))
+    return rows.mapInArrow(run, "id long, decoded binary").withColumnRenamed("id", id_col)
 
-    return encoded.select(id_col, *keep, *([] if ids_col in keep else [ids_col])).mapInArrow(run, schema.add("decoded", BinaryType()))
 
+def round_trip(docs: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, ids, decoded): :func:`encode` and then :func:`decode` of the ids, in one pass."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with _codec(vocabulary, pattern) as codec:
+            for id_, ids in _encoded(batches, codec):
+                yield pa.record_batch({"id": id_, "ids": ids, "decoded": codec.decode(ids)})
 
+    return _texts(docs, id_col, text_col).mapInArrow(run, "id long, ids array<int>, decoded binary").withColumnRenamed("id", id_col)

@@ -31,10 +31,13 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     """Encodes every text, decodes the ids, and gives digests of both."""
     ranks = Path(vocabulary or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).read_bytes()
-    ids = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    digests = ids.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"))
-    back = bpe.decode(digests, ranks, public_tokenizers.PATTERN, keep=("n_tokens", "ids_sha256"))
-    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    found = bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -190,9 +190,13 @@ def test_bpe_as_tiktoken(spark, ranks):
     library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=known, special_tokens={})
     rows = odd_texts() + [(600, "it's'll we've  \n\n x"), (601, "aaaa" * 300), (602, "=-" * 400), (603, "\x00\ufffd<|endoftext|>"), (604, "漢字" * 120), (605, " " * 700)]
     ids = bpe.encode(docs_of(spark, rows), vocabulary, pattern)
-    back = bpe.decode(ids, vocabulary, pattern, keep=("ids",)).collect()
     want = sorted((str(i), library.encode_ordinary(t or ""), (t or "").encode()) for i, t in rows)
-    assert sorted((str(r["doc_id"]), r["ids"], bytes(r["decoded"])) for r in back) == want
+    assert sorted((str(r["doc_id"]), r["ids"]) for r in ids.collect()) == [x[:2] for x in want]
+    assert sorted((str(r["doc_id"]), bytes(r["decoded"])) for r in bpe.decode(ids, vocabulary, pattern).collect()) == sorted((x[0], x[2]) for x in want)
+    both = bpe.round_trip(docs_of(spark, rows), vocabulary, pattern).collect()
+    assert sorted((str(r["doc_id"]), r["ids"], bytes(r["decoded"])) for r in both) == want
+    strange = spark.createDataFrame([(1, [10**6, None]), (2, None)], "doc_id long, ids array<int>")
+    assert [bytes(r["decoded"]) for r in bpe.decode(strange, vocabulary, pattern).collect()] == [b"", b""]
 
 
 def test_bpe_cache_turns_over(ranks, monkeypatch):

@@ -68,3 +68,21 @@ def test_pipeline(spark, sf_dir, monkeypatch):
         if name == "toxicity":
             assert 0.7 * len(before) < len(after) <= len(before)
     assert docs.where("n_tokens <> size(ids)").count() == 0
+
+
+def test_stages_take_anything(spark, sf_dir):
+    """Nulls in every column, repeated rows, clashing names; every stage on its own input."""
+    import corpus_pipeline as P
+
+    rows = [(1, "a b c d e f", "en", "s", 11), (1, "a b c d e f", "en", "s", 11), (2, "a  b c d e f", None, None, None), (None, "x y", "en", "s", 3), (None, None, None, None, None), (3, None, "en", "", 0), (4, "", "en", "s", 0), (5, "z " * 40_000, "de", "t", 80_000)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, kept_id long, sha string, times int, epoch int, row long, size long, ids string"
+    docs = spark.createDataFrame([(*r, 0.1, 1, "x", 1, 1, 1, 1, "i") for r in rows], schema)
+    for docs_in, least in ((docs, 1), (docs.where("false"), 0)):
+        for name, stage in P.STAGES:
+            got = stage(spark, docs_in, sf_dir)
+            n = got.count()
+            assert n >= least, name
+            if name == "exact_dedup" and least:
+                assert sorted(r["doc_id"] or 0 for r in got.collect()) == [0, 1, 3, 5]
+            if name in ("toxicity", "near_dedup", "mix"):
+                assert got.columns == list(P.COLUMNS)
