@@ -190,3 +190,25 @@ def swap_noun_cardinal(pairs: list[tuple[str, str]]) -> list[tuple[str, str]]:
 def singularize(pairs: list[tuple[str, str]]) -> list[tuple[str, str]]:
     """Plural nouns without their final s."""
     return [(w[:-1] if t.startswith("N") and t.endswith("S") and w.endswith("s") else w, t[:-1] if t.startswith("N") and t.endswith("S") else t) for w, t in pairs]
+
+
+# --- places
+
+
+def merge_places(words: list[str], places: frozenset[str], longest: int = 4) -> list[tuple[str, int, int]]:
+    """(text, start, end) of the longest known places in order; places next to each other, or parted by a comma, are one."""
+    found: list[tuple[str, int, int]] = []
+    at = 0
+    while at < len(words):
+        for length in range(min(longest, len(words) - at), 0, -1):
+            name = " ".join(words[at : at + length])
+            if name.upper() in places:
+                if found and (found[-1][2] == at or (found[-1][2] == at - 1 and words[at - 1] == ",")):
+                    found[-1] = (" ".join(words[found[-1][1] : at + length]), found[-1][1], at + length)
+                else:
+                    found.append((name, at, at + length))
+                at += length
+                break
+        else:
+            at += 1
+    return found

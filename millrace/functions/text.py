@@ -116,3 +116,25 @@ def tf_idf(docs: DataFrame, key: str, text: str, min_df: int = 1) -> DataFrame:
     weighted = counts.join(frequency, "word").join(F.broadcast(total)).withColumn("v", F.col("c") * (F.log((1 + F.col("n")) / (1.0 + F.col("df"))) + 1))
     length = F.sqrt(F.sum(F.col("v") * F.col("v")).over(Window.partitionBy(key)))
     return weighted.select(key, "word", (F.col("v") / length).alias("weight"))
+
+
+def is_number(text: Column) -> Column:
+    """Whether the text is a number, Unicode digits included."""
+    return text.try_cast("double").isNotNull() | text.rlike(r"^\p{N}+$")
+
+
+def case_of(text: Column) -> Column:
+    """upper, title, lower or mixed; null without letters."""
+    letters = text.rlike(r"\p{L}")
+    return F.when(~letters, F.lit(None)).when(F.upper(text) == text, "upper").when(F.lower(text) == text, "lower").when(text.rlike(r"^[^\p{L}]*\p{Lu}\P{Lu}*$"), "title").otherwise("mixed")
+
+
+def code_candidates(words: DataFrame, vocabulary: DataFrame, mark: str = "FF") -> DataFrame:
+    """(word, candidate) of known codes that differ by one edit after the mark and are equal before it."""
+    pairs = spelling_candidates(words, vocabulary)
+    return pairs.where(F.substring_index("word", mark, 1) == F.substring_index("candidate", mark, 1)).select("word", "candidate")
+
+
+def bookmark_number(text: Column) -> Column:
+    """The number of a table's bookmark ``<table n>``."""
+    return F.regexp_extract(text, r"<table\s+(\d+)>", 1).try_cast("int")
