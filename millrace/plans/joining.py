@@ -306,11 +306,11 @@ def incremental_batch(spark, sf):
     return events.where("event_type = 'click'").join(processed, "event_id", "left_anti").select("event_id", "event_type")
 
 
-@query("select window_start, event_type, count(*) as n, sum(value) as total from (select time_bucket(interval '1 hour', ts) as window_start, event_type, value from events) group by 1, 2")
+@query("select window_start, event_type, count(*) as n, round(sum(value), 6) as total from (select time_bucket(interval '1 hour', ts) as window_start, event_type, value from events) group by 1, 2")
 def hourly_events(spark, sf):
     """An extension: event-time windows, the same plan as the stream in millrace.streaming."""
     from millrace.streaming.events import hourly
 
-    return hourly(table(spark, sf, "events"))
+    return hourly(table(spark, sf, "events")).withColumn("total", F.round("total", 6))
 
 
