@@ -183,3 +183,18 @@ def choose_periods(body: Column, from_name: Column) -> Column:
     open_period = F.array(F.struct(F.lit("2016-01-01").alias("from"), F.lit("9999-12-31").alias("to")))
     given = lambda c: F.when(F.size(c) > 0, c)
     return F.coalesce(given(body), given(from_name), open_period)
+
+
+def place_kind(code: Column) -> Column:
+    """country, region, code (of a city or an airport) or name of one end of a route."""
+    upper = F.upper(code)
+    countries = F.array(*[F.lit(k) for k, v in sorted(_PLACES.items()) if len(v) == 2])
+    regions = F.array(*[F.lit(k) for k, v in sorted(_PLACES.items()) if len(v) > 2])
+    return F.when(F.array_contains(countries, upper), "country").when(F.array_contains(regions, upper), "region").when(upper.rlike("^[A-Z]{3}$"), "code").when(upper != "", "name")
+
+
+def unpack_pair(text: Column) -> Column:
+    """``VIA CX888/889`` as [+CX888, +CX889]; other texts alone."""
+    pair = r"^VIA ([A-Z]{2})(\d+)/(\d+)$"
+    both = F.array(F.concat(F.lit("+"), F.regexp_extract(text, pair, 1), F.regexp_extract(text, pair, 2)), F.concat(F.lit("+"), F.regexp_extract(text, pair, 1), F.regexp_extract(text, pair, 3)))
+    return F.when(text.rlike(pair), both).otherwise(F.array(text))

@@ -118,3 +118,17 @@ def silhouette(clustered: DataFrame, key: str, sample: int = 1000) -> float:
     b = means.min(1)
     s = np.where(mine > 0, (b - a) / np.maximum(np.maximum(a, b), 1e-300), 0)
     return float(s.mean())
+
+
+def silhouette_sweep(data: DataFrame, key: str, sizes: Sequence[int], sample: int = 1000) -> dict[int, float]:
+    """The silhouette of each number of clusters."""
+    return {k: silhouette(clusters(data, k), key, sample) for k in sizes}
+
+
+def vote(models: Sequence, data: DataFrame, key: str) -> DataFrame:
+    """(key, label, prediction) by the majority of several models."""
+    joined = data.select(key, "label")
+    for n, model in enumerate(models):
+        joined = joined.join(model.transform(data).select(key, F.col("prediction").alias(f"p{n}")), key)
+    total = sum((F.col(f"p{n}") for n in range(len(models))), F.lit(0.0))
+    return joined.select(key, "label", (total * 2 > len(models)).cast("double").alias("prediction"))

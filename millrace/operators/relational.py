@@ -125,3 +125,9 @@ def oversample(df: DataFrame, label: str, keys: Sequence[str], counts: Mapping[o
     ranked = df.withColumn("__rank", F.row_number().over(rank))
     copies = times[F.col(label)] + (F.col("__rank") <= rest[F.col(label)]).cast("int")
     return ranked.withColumn("__copy", F.explode(F.sequence(F.lit(1), copies))).drop("__rank", "__copy")
+
+
+def three_way_split(df: DataFrame, keys: Sequence[str], shares: Sequence[float] = (0.5, 1 / 3), seed: int = 42) -> DataFrame:
+    """``df`` with ``part``: test, then of the rest dev by their shares, the others train."""
+    unit = lambda salt: F.pmod(F.xxhash64(*keys, F.lit(seed + salt)), F.lit(1_000_000)) / 1_000_000
+    return df.withColumn("part", F.when(unit(0) < shares[0], "test").when(unit(1) < shares[1], "dev").otherwise("train"))

@@ -152,3 +152,52 @@ def commission_star(spark, sf):
     airports = _values(spark, "('HKG','HK','HKG','310'),('SHA','CN','SHA','320')", "code, country, city, zone")
     made = star(rows, airports, 4)
     return made.commissions.join(made.locations, "loc_fk").select("_id", "tourcodes", "agent_discount", "from_location", "to_location", "pos")
+
+
+_SHEET = """<p>INCENTIVE AGREEMENT. Originating from USA. Sales from 01Jan17 to 31Mar17</p><table><tr><th>RBD</th><th>FARE BASIS</th><th>ROUTE</th><th>AGENT DISCOUNT</th></tr>
+<tr><td>J/C</td><td>JX</td><td>LAX - HKG</td><td>10%</td></tr><tr><td>Y</td><td>YX</td><td></td><td>5%</td></tr></table><p>RTW fares: no commission. travel from 01Feb17 to 30Apr17</p>"""
+
+
+@query("""select * from (values (1,'J',10,['LAX'],['HKG'],['+US'],'2017-01-01','2017-03-31',0,9999,'2017-04-30'),(1,'C',10,['LAX'],['HKG'],['+US'],'2017-01-01','2017-03-31',0,9999,'2017-04-30'),
+   (1,'Y',5,['LAX'],['HKG'],['+US'],'2017-01-01','2017-03-31',0,9999,'2017-04-30')) t(doc_id, rbd, agent_discount, from_location, to_location, originating, sales_from, sales_to, rtw_fare_comm, ct_fare_comm, trv_dis_date)""")
+def commission_sheet_rows(spark, sf):
+    from millrace.operators.sheets import commission_rows, selected
+
+    docs = spark.createDataFrame([(1, "US", _SHEET), (2, "US", "<p>other</p>"), (3, "HK", _SHEET)], "doc_id int, country string, html string")
+    rows = commission_rows(selected(docs, "incentive agreement", "US"))
+    return rows.select("doc_id", "rbd", "agent_discount", "from_location", "to_location", "originating", "sales_from", "sales_to", "rtw_fare_comm", "ct_fare_comm", "trv_dis_date")
+
+
+@query("select * from (values (1, date '2017-10-10', date '2017-09-20', 20), (2, date '2017-10-10', date '2017-10-01', 9)) t(doc_id, extension_date, effective_date, days)")
+def extension_records(spark, sf):
+    from millrace.operators.sheets import extension_records as records
+
+    rows = "(1,'sales from 20Sep17 Previous version valid upto 10Oct17','iss_01Sep17.html'),(2,'Previous version valid upto 10Oct17','iss_01Oct17.html'),(3,'nothing','x'),(4,null,null)"
+    return records(_values(spark, rows, "doc_id, text, filename"))
+
+
+@query("select * from (values ('USA','country'),('ASIA','region'),('HKG','code'),('NORTH POLE','name'),('',null)) t(place, kind)")
+def route_kinds(spark, sf):
+    return _values(spark, "('USA'),('ASIA'),('HKG'),('NORTH POLE'),('')", "place").select("place", E.place_kind(F.col("place")).alias("kind"))
+
+
+@query("select * from (values ('VIA CX888/889','+CX888'),('VIA CX888/889','+CX889'),('+CX1','+CX1')) t(text, flight)")
+def flight_pairs(spark, sf):
+    return _values(spark, "('VIA CX888/889'),('+CX1')", "text").select("text", F.explode(E.unpack_pair(F.col("text"))).alias("flight"))
+
+
+@query("select doc_id, case when quality = 1 then 'no' when quality = 0 then 'yes' end as label from labels")
+def label_recode(spark, sf):
+    from millrace.operators.nested import recode_labels
+
+    kind = F.when(F.col("quality") == 1, "paper").when(F.col("quality") == 0, "filed")
+    return table(spark, sf, "labels").select("doc_id", recode_labels(kind, {"paper": "no", "filed": "yes"}).alias("label"))
+
+
+@query("select doc_id, case when lang = 'en' then ['lang', 'long'] else ['lang'] end as keys from documents")
+def feature_keys(spark, sf):
+    from millrace.operators.nested import all_keys
+
+    base = F.create_map(F.lit("lang"), F.col("lang"))
+    more = F.when(F.col("lang") == "en", F.create_map(F.lit("long"), F.lit("x")))
+    return table(spark, sf, "documents").select("doc_id", all_keys(base, more).alias("keys"))

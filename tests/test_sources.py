@@ -131,3 +131,16 @@ def test_log_odds_and_two_levels(spark):
     assert odds["odd"] > 0 > odds["even"]
     docs = spark.createDataFrame([(i, ("red apple " if i % 2 else "blue sea ") + f"w{i % 4}") for i in range(24)], "id int, text string")
     assert evaluate.two_level_clusters(docs, "id", "text", 2, 2).count() == 24
+
+
+def test_votes_sweeps_and_splits(spark):
+    from millrace.operators.relational import three_way_split
+
+    rows = [(i, Vectors.dense(float(i % 2), float(i % 5)), float(i % 2)) for i in range(40)]
+    data = spark.createDataFrame(rows, ["id", "features", "label"])
+    trees = [models.fit("tree", data, 2) for _ in range(3)]
+    assert models.vote(trees, data, "id").where("label = prediction").count() == 40
+    assert set(models.silhouette_sweep(data, "id", [2, 3])) == {2, 3}
+    parts = dict(three_way_split(data, ["id"]).groupBy("part").count().collect())
+    assert set(parts) == {"test", "dev", "train"} and sum(parts.values()) == 40
+    assert three_way_split(data, ["id"]).collect() == three_way_split(data, ["id"]).collect()
