@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -18,3 +23,22 @@ def session(name: str = "millrace", master: str | None = None, **more: str) -> S
     """Get or make a session; ``more`` are settings with ``__`` for dots."""
     builder = SparkSession.builder.appName(name).config(map=SETTINGS | {k.replace("__", "."): v for k, v in more.items()})
     return (builder.master(master) if master else builder).getOrCreate()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each context.
+
+    They can then run its functions wherever the driver was started from.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_millrace_shipped", False):
+        return
+    context._millrace_shipped = True
+    here = Path(__file__).resolve().parent
+    if not here.is_dir():  # this is a shipped copy itself
+        return
+    folder = Path(tempfile.mkdtemp(prefix="millrace-"))
+    shutil.copytree(here, folder / "package" / here.name, ignore=shutil.ignore_patterns("__pycache__"))
+    context.addPyFile(shutil.make_archive(str(folder / "millrace"), "zip", folder / "package"))
+    shutil.rmtree(folder / "package")  # executors fetch the archive when they first need it
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
