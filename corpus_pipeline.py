@@ -48,8 +48,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that five-word shingles link at a similarity of 0.8 or more."""
     release(spark)
-    kept = store(near_groups(docs, k=5, percent=80).where("kept").select(F.col("doc_id").alias("kept_id")).distinct(), "kept")
-    return docs.select(*COLUMNS).join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    groups = near_groups(docs, k=5, percent=80).groupBy("doc_id").agg(F.bool_or("kept").alias("kept"))
+    gone = store(groups.where("not kept").select(F.col("doc_id").alias("gone_id")), "gone")  # much fewer than those that stay
+    return docs.select(*COLUMNS).join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,8 +16,6 @@ from __future__ import annotations
 
 import base64
 import contextlib
-import ctypes
-import gc
 import heapq
 import threading
 from collections.abc import Iterator
@@ -30,12 +28,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.scratch import bound_batches
+from millrace.llm.scratch import bound_batches, give_back
 
 LONG_PIECE = 200
 CHUNK_PIECES = 16_000  # pieces in one recursive query
 IDLE_SECONDS = 4
-KEPT_PIECES = 400_000  # pieces whose ids a worker remembers, and as many older ones
+KEPT_PIECES = 300_000  # pieces whose ids a worker remembers, and as many older ones
 
 _CONTRACT = """
 with recursive state as (
@@ -170,9 +168,7 @@ _drop: list[threading.Timer] = []
 def _forget() -> None:
     """Free the codec of an idle worker, which may live on for other stages."""
     _codecs.clear()
-    gc.collect()
-    with contextlib.suppress(OSError, AttributeError):
-        ctypes.CDLL(None).malloc_trim(0)
+    give_back()
 
 
 @contextlib.contextmanager
@@ -182,7 +178,7 @@ def _codec(vocabulary: bytes, pattern: str) -> Iterator[Codec]:
         _drop.pop().cancel()
     key = (vocabulary, pattern)
     if key not in _codecs:
-        _codecs.clear()
+        _forget()
         _codecs[key] = Codec(vocabulary, pattern)
     try:
         yield _codecs[key]
@@ -212,6 +208,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], codec: Codec) -> Iterator[tuple[
             ids = codec.encode(texts[start:end])
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
             yield batch.column("id").slice(start, end - start), pa.ListArray.from_arrays(offsets, np.concatenate([*ids, np.zeros(0, np.int32)]))
+        pa.default_memory_pool().release_unused()
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.scratch import bound_batches, store
+from millrace.llm.scratch import bound_batches, store, tidy
 
 SPLITTER_CHARS = 32  # a splitter holds the beginning of a text and its digest, not the whole text
 
@@ -74,7 +74,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     keyed = norm.withColumn("head", F.substring("norm", 1, SPLITTER_CHARS)).withColumn("sha", F.sha2("norm", 256))
     last = F.col("id").asc_nulls_last()
     ordered = keyed.repartitionByRange("head", "sha", last).sortWithinPartitions("head", "sha", "norm", last)
-    rows = store(ordered.select("id", "norm", "sha").mapInArrow(_number_runs, _RUNS), "runs")
+    rows = store(ordered.select("id", "norm", "sha").mapInArrow(tidy(_number_runs), _RUNS), "runs")
 
     edges = rows.where(F.col("edge_text").isNotNull()).select("run", "edge_text").distinct()
     joined = edges.join(edges.groupBy("edge_text").agg(F.min("run").alias("head")), "edge_text").select("run", "head")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.scratch import bound_batches, store
+from millrace.llm.scratch import bound_batches, store, tidy
 
 BLOCK = 4096  # queries broadcast at once: 4096 x dimensions x 8 bytes
 SALTS = 32
@@ -179,9 +179,9 @@ def _answer(spark, entries: DataFrame, head: pa.Table, k: int, lists: int) -> Da
     head = head.to_batches()[0]
     ids, matrix = head.column("id").to_numpy(), _matrix(head.column("vector"))
     shared = spark.sparkContext.broadcast((ids, matrix, None))
-    gathered = entries.mapInArrow(_phase(shared, k, lists), _ENTRY)
+    gathered = entries.mapInArrow(tidy(_phase(shared, k, lists)), _ENTRY)
     kth = {r["query"]: r["score"] for r in _ranked(gathered).where(F.col("rank") == k).select("query", "score").collect()}
     cutoffs = np.array([kth.get(q, -(2.0**60)) for q in ids.tolist()])
     shared = spark.sparkContext.broadcast((ids, matrix, cutoffs))
-    enough = entries.mapInArrow(_phase(shared, k, lists), _ENTRY)
+    enough = entries.mapInArrow(tidy(_phase(shared, k, lists)), _ENTRY)
     return store(_ranked(enough).where(F.col("rank") <= k), "top")

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.scratch import bound_batches, store
+from millrace.llm.scratch import bound_batches, store, tidy
 
 MIN_PAGES = 4  # a template's subtree is on this many different pages of its host at least
 MIN_SHARE = 0.3  # and on this share of them
@@ -217,7 +217,7 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     bound_batches(pages.sparkSession, rows=500)
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"://([^/?#]*)", 1))
     rows = pages.select(F.monotonically_increasing_id().alias("row"), F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), host.alias("host"), F.col("html").cast("string").alias("html"))
-    parsed = store(rows.mapInArrow(_parse_pages, _PARSED), "parsed")
+    parsed = store(rows.mapInArrow(tidy(_parse_pages), _PARSED), "parsed")
     around = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["around"])))
     subtrees = store(parsed.select("row", "host", "page_print", F.explode(around).alias("subtree")), "subtrees")
     many = subtrees.groupBy("host", "subtree").agg(F.count_distinct("page_print").alias("n")).where(F.col("n") >= min_pages)

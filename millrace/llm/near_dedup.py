@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.bytewords import byte_views, lower_ascii, mix, shingles, word_hashes
-from millrace.llm.scratch import bound_batches, store
+from millrace.llm.scratch import bound_batches, store, tidy
 
 WORDS = 16  # 64-bit words of a node's bitmap
 BANDS, ROWS = 32, 5  # a pair at similarity 0.8 is missed with probability (1 - 0.8**5)**32 = 3e-6
@@ -128,7 +128,7 @@ def _open_pairs(rows: DataFrame, elements: DataFrame, sets: DataFrame, percent:
     isn't common.  The bound never falls short, so no link is lost.
     """
     nodes = store(rows.select("node", "label").distinct(), "open-nodes")
-    parts = store(elements.join(nodes, "node").mapInArrow(_members_of_sets, "node long, label long, element long"), "parts")
+    parts = store(elements.join(nodes, "node").mapInArrow(tidy(_members_of_sets), "node long, label long, element long"), "parts")
     shared = parts.groupBy("element").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     cell = F.pmod(F.col("element"), F.lit(64 * WORDS))
     bit = F.expr(f"shiftleft(1L, cast(pmod(element, {64 * WORDS}) % 64 as int))")
@@ -176,7 +176,7 @@ def components(links: DataFrame) -> DataFrame:
     Each partition unites what it holds; minima then pass along the links, with
     labels of labels taken in each round, until no label changes.
     """
-    forest = store(links.select("a", "b").mapInArrow(_local_union_find, "a long, b long"), "forest")
+    forest = store(links.select("a", "b").mapInArrow(tidy(_local_union_find), "a long, b long"), "forest")
     both = store(forest.unionByName(forest.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "both")
     labels = store(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")), "labels")
     before = None
@@ -207,7 +207,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     bound_batches(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sketch = store(texts.mapInArrow(_sketch(k, bands, rows), "id long, n long, fp binary, bands array<long>"), "sketch")
+    sketch = store(texts.mapInArrow(tidy(_sketch(k, bands, rows)), "id long, n long, fp binary, bands array<long>"), "sketch")
     real = sketch.where(F.col("fp").isNotNull() & F.col("id").isNotNull())
     sets = store(real.groupBy("fp").agg(F.min("id").alias("node"), F.min("n").alias("n"), F.min_by("bands", "id").alias("bands")), "sets")
     banded = store(sets.select("node", "n", F.posexplode("bands").alias("place", "band")), "bands")
@@ -216,7 +216,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     members = store(banded.join(leaders, "band"), "members")
     wanted = store(members.select("node").distinct(), "wanted")
     needed = texts.join(wanted, texts["id"] == wanted["node"]).select("node", "text")
-    elements = store(needed.mapInArrow(_sets(k), "node long, elements binary"), "elements")
+    elements = store(needed.mapInArrow(tidy(_sets(k)), "node long, elements binary"), "elements")
 
     def fits(one: str, two: str):
         return (F.col(one) * 100 >= F.col(two) * percent) & (F.col(two) * 100 >= F.col(one) * percent)
@@ -229,7 +229,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         """Compare the pairs (a, b) on their full sets and merge the labels of those that are linked."""
         with_a = pairs.join(elements.select(F.col("node").alias("a"), F.col("elements").alias("a_set")), "a")
         with_b = with_a.join(elements.select(F.col("node").alias("b"), F.col("elements").alias("b_set")), "b")
-        links = with_b.select("a", "b", "a_set", "b_set").mapInArrow(_similar(percent), "a long, b long")
+        links = with_b.select("a", "b", "a_set", "b_set").mapInArrow(tidy(_similar(percent)), "a long, b long")
         links = label_of(label_of(store(links, "links"), "a", "la", labels), "b", "lb", labels)
         merged = components(links.select(F.col("la").alias("a"), F.col("lb").alias("b")).where("a <> b"))
         moved = merged.select(F.col("node").alias("label"), F.col("label").alias("to"))

@@ -9,11 +9,18 @@ folder is chosen.
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import functools
+import gc
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.session import ship
+
 _written: list[tuple[SparkSession, str]] = []
 
 
@@ -58,8 +65,30 @@ def _release_all() -> None:
         pass
 
 
+def give_back() -> None:
+    """Return a worker's free memory to the system; the worker lives on for other stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run):
+    """For functions over the Arrow batches of a partition: give memory back when they end."""
+
+    @functools.wraps(run)
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidied
+
+
 def bound_batches(spark: SparkSession, rows: int = 1000, size: str = "32m") -> None:
-    """Bound what one Arrow batch of texts can hold, by rows and by bytes."""
+    """Bound what one Arrow batch of texts can hold, by rows and by bytes; make sure the workers know this package."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 

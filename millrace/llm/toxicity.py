@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.bytewords import Prefixes, byte_views, mix, word_spans
-from millrace.llm.scratch import bound_batches
+from millrace.llm.scratch import bound_batches, tidy
 
 SAMPLE = 6_000  # labelled texts that are fitted on, at most
 FEATURES = 2_000  # features the model keeps, at most
@@ -168,12 +168,16 @@ def fit(texts: list[str | None], labels: list[int], most: int = FEATURES, fairne
 
 
 def sample_labelled(docs: DataFrame, labels: DataFrame, label_col: str, allowed: Column, most: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[list[str | None], list[int]]:
-    """At most ``most`` labelled texts of the allowed rows, by the smallest hashes of their identifiers."""
+    """At most ``most`` labelled texts of the allowed rows, by the smallest hashes of their identifiers.
+
+    Of texts that repeat an identifier the smallest counts.
+    """
     chosen = labels.select(F.col(id_col).alias("label_id"), F.col(label_col).cast("int").alias("label"))
     chosen = chosen.where(F.col("label_id").isNotNull() & F.col("label").isin(0, 1) & allowed).dropDuplicates(["label_id"])
     chosen = chosen.orderBy(F.xxhash64("label_id"), "label_id").limit(most)
     texts = docs.select(F.col(id_col).alias("label_id"), F.col(text_col).cast("string").alias("text"))
-    rows = texts.join(F.broadcast(chosen), "label_id").select("label_id", "text", "label").toArrow()  # at most ``most`` keys
+    joined = texts.join(F.broadcast(chosen), "label_id")  # at most ``most`` keys
+    rows = joined.groupBy("label_id").agg(F.min("text").alias("text"), F.min("label").alias("label")).toArrow()
     rows = rows.sort_by([("label_id", "ascending")])
     return rows.column("text").to_pylist(), rows.column("label").to_pylist()
 
@@ -197,4 +201,4 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     from pyspark.sql.types import DoubleType
 
     schema = docs.select(*names).schema.add("score", DoubleType())
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
