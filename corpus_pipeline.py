@@ -21,6 +21,7 @@ from millrace.llm.scratch import release, remove, shared_dir, store, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOXIC_AT = 0.3
+KEPT_PIECES = 100_000  # fewer than the tokeniser's own, as earlier stages have left executors with a full heap
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,7 +69,7 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of each document, and the digest of what they decode to."""
     release(spark)
     ranks = Path(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).read_bytes()
-    found = bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
+    found = bpe.round_trip(docs, ranks, public_tokenizers.PATTERN, kept=KEPT_PIECES)
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -56,7 +56,8 @@ _JOIN = "select list(coalesce(token, ''::blob) order by pos) as tokens from give
 class Codec:
     """The vocabulary in one DuckDB connection, with the ids of the pieces met so far."""
 
-    def __init__(self, vocabulary: bytes, pattern: str):
+    def __init__(self, vocabulary: bytes, pattern: str, kept: int = KEPT_PIECES):
+        self.kept = kept
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, vocabulary.splitlines())}
         self.split = regex.compile(pattern)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
@@ -140,7 +141,7 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.split.findall(t) for t in texts]
-        if len(self.known) > KEPT_PIECES:
+        if len(self.known) > self.kept:
             self.older, self.known = self.known, {}
         new = set().union(*split) - self.known.keys()
         met = new & self.older.keys()
@@ -161,7 +162,7 @@ class Codec:
         return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(bounds.copy()), tokens.buffers()[2]])
 
 
-_codecs: dict[tuple[bytes, str], Codec] = {}
+_codecs: dict[tuple[bytes, str, int], Codec] = {}
 _drop: list[threading.Timer] = []
 
 
@@ -172,11 +173,11 @@ def _forget() -> None:
 
 
 @contextlib.contextmanager
-def _codec(vocabulary: bytes, pattern: str) -> Iterator[Codec]:
+def _codec(vocabulary: bytes, pattern: str, kept: int = KEPT_PIECES) -> Iterator[Codec]:
     """The worker's codec; it is kept from task to task and dropped after ``IDLE_SECONDS`` without one."""
     while _drop:
         _drop.pop().cancel()
-    key = (vocabulary, pattern)
+    key = (vocabulary, pattern, kept)
     if key not in _codecs:
         _forget()
         _codecs[key] = Codec(vocabulary, pattern)
@@ -216,10 +217,11 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.selectExpr(f"cast(`{id_col}` as long) as id", f"cast(`{text_col}` as string) as text")
 
 
-def encode(docs: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text", kept: int = KEPT_PIECES) -> DataFrame:
     """(id_col, ids array<int>): the token ids of each whole text, without special tokens.
 
-    ``vocabulary`` is the content of a rank file (about 1 MB, sent with the tasks).
+    ``vocabulary`` is the content of a rank file (about 1 MB, sent with the tasks);
+    ``kept`` pieces, and as many older ones, stay in a worker's memory.
     A null or empty text gives an empty list; rows are independent of each other,
     so repeated rows and identifiers, and null identifiers, stay as they are.
     """
@@ -249,11 +251,11 @@ def decode(encoded: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "d
     return rows.mapInArrow(run, "id long, decoded binary").withColumnRenamed("id", id_col)
 
 
-def round_trip(docs: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text", kept: int = KEPT_PIECES) -> DataFrame:
     """(id_col, ids, decoded): :func:`encode` and then :func:`decode` of the ids, in one pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with _codec(vocabulary, pattern) as codec:
+        with _codec(vocabulary, pattern, kept) as codec:
             for id_, ids in _encoded(batches, codec):
                 yield pa.record_batch({"id": id_, "ids": ids, "decoded": codec.decode(ids)})
 

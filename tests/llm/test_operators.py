@@ -199,9 +199,8 @@ def test_bpe_as_tiktoken(spark, ranks):
     assert [bytes(r["decoded"]) for r in bpe.decode(strange, vocabulary, pattern).collect()] == [b"", b""]
 
 
-def test_bpe_cache_turns_over(ranks, monkeypatch):
-    monkeypatch.setattr(bpe, "KEPT_PIECES", 5)
-    codec = bpe.Codec(*ranks)
+def test_bpe_cache_turns_over(ranks):
+    codec = bpe.Codec(*ranks, kept=5)
     first = [codec.encode(["alphaxq betaxq gammaxq deltaxq epsilonxq zetaxq"])[0].tolist() for _ in range(4)]
     assert all(x == first[0] for x in first)
 
