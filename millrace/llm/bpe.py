@@ -33,7 +33,7 @@ from millrace.llm.scratch import bound_batches, give_back
 LONG_PIECE = 200
 CHUNK_PIECES = 16_000  # pieces in one recursive query
 IDLE_SECONDS = 4
-KEPT_PIECES = 300_000  # pieces whose ids a worker remembers, and as many older ones
+KEPT_PIECES = 500_000  # pieces whose ids a worker remembers, and as many older ones
 
 _CONTRACT = """
 with recursive state as (
