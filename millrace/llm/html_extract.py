@@ -8,6 +8,8 @@ forms, comments and so on, by tag, role, class or id) need no counting.
 
 Inside ``article`` and ``main`` only containers count as template, never a
 paragraph, heading or list item: an article may quote a sentence that recurs.
+Blocks outside them stay like any others unless they are template or furniture,
+as a page may use ``article`` for a teaser only.
 """
 
 from __future__ import annotations
@@ -83,8 +85,12 @@ def _is_furniture(tag: str, attributes: str, in_root: bool) -> bool:
     return False
 
 
-def parse(html: str) -> list[tuple[str, list[int]]]:
-    """The blocks of a page in order: (text, hashes of the subtrees whose deletion takes it along)."""
+def parse(html: str, outside: bool = False) -> list[tuple[str, list[int]]]:
+    """The blocks of a page in order: (text, hashes of the subtrees whose deletion takes it along).
+
+    If the page has an ``article`` or ``main``, blocks out of it come only with ``outside``;
+    those that no element holds then count by their own text.
+    """
     blocks: list[list] = []  # [text pieces, element]
     root = _Element("html", 0, None, 0)
     stack, everything = [root], [root]
@@ -176,7 +182,8 @@ def parse(html: str) -> list[tuple[str, list[int]]]:
     found = []
     for pieces, inner in blocks:
         text = " ".join(unescape("".join(pieces)).split())
-        if not text or (root.has_root and not inner.in_root):
+        stray = root.has_root and not inner.in_root
+        if not text or (stray and not outside):
             continue
         around, element, dropped = [], inner, False
         while element is not None and element is not root:
@@ -187,6 +194,8 @@ def parse(html: str) -> list[tuple[str, list[int]]]:
             if element.tag in _CONTAINERS or (not element.in_root and element.tag in _BLOCKS):
                 around.append(print_of(element))
             element = element.parent
+        if stray and not around:
+            around.append(xxhash.xxh64_intdigest(text) - (1 << 63))
         if not dropped:
             found.append((text, around))
     return found
@@ -199,7 +208,7 @@ _BLOCK = pa.struct([("text", pa.string()), ("around", pa.list_(pa.int64()))])
 def _parse_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         pages = [h or "" for h in batch.column("html").to_pylist()]
-        blocks = [[{"text": t, "around": a} for t, a in parse(h)] for h in pages]
+        blocks = [[{"text": t, "around": a} for t, a in parse(h, outside=True)] for h in pages]
         prints = [xxhash.xxh64_intdigest(h) - (1 << 63) for h in pages]
         own = {c: batch.column(c) for c in ("row", "page_id", "url", "host")}
         yield pa.record_batch({**own, "page_print": pa.array(prints, pa.int64()), "blocks": pa.array(blocks, pa.list_(_BLOCK))})

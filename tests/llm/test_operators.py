@@ -311,6 +311,14 @@ def test_templates_are_found_by_recurrence(spark):
     assert got[202][0] == "Join us, it is free"
 
 
+def test_blocks_outside_an_article_stay_unless_template(spark):
+    page = "<body><div><p>Join us</p></div><div class=ad>a</div><div><p>Main text {0}</p></div><article><p>Teaser {0}</p></article>All rights</body>"
+    rows = [(i, f"http://site.example/{i}", page.format(i)) for i in range(8)]
+    rows += [(100, "http://empty.example/", "<body><main></main><div><p>All of it</p></div></body>"), (101, "http://bare.example/", "<main><p>x</p></main>out")]
+    got = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {**{i: f"Main text {i}\n\nTeaser {i}" for i in range(8)}, 100: "All of it", 101: "x\n\nout"}
+
+
 # 2
 
 
