@@ -24,6 +24,7 @@ SAMPLE = 4_000  # labelled vectors that are broadcast, at most: 4,000 x 48 x 4 b
 DIMENSIONS = 48
 NEIGHBOURS = 25
 SHARPNESS = 8.0  # a neighbour's vote is its cosine to this power
+REPEAT_BLOCK = 256  # words within which repeats are counted
 
 _OWN_CLASS = b" \n.,|#$%*&!?@/\\_-=<>\"'()[]{}:;~^+"
 _CLASS_OF = np.zeros(256, np.int64)
@@ -34,6 +35,18 @@ CLASSES = len(_OWN_CLASS) + 5
 TERMS = CLASSES * CLASSES + 4
 
 
+def _repeats(words: np.ndarray) -> float:
+    """The share of words that occurred before in their block of ``REPEAT_BLOCK``, over the whole text.
+
+    Blocks keep the share from growing with the length of the text; a last, shorter
+    one counts by its words.
+    """
+    block = np.arange(len(words)) // REPEAT_BLOCK
+    order = np.lexsort((words, block))
+    words, block = words[order], block[order]
+    return float(np.count_nonzero((words[1:] == words[:-1]) & (block[1:] == block[:-1]))) / len(words)
+
+
 def terms(text: np.ndarray) -> np.ndarray:
     """How often each term occurs for each character (the last four: for each word or line)."""
     found = np.zeros(TERMS, np.float32)
@@ -48,8 +61,7 @@ def terms(text: np.ndarray) -> np.ndarray:
     if len(starts):
         words = hashes.spans(starts, ends)
         found[-4] = np.mean(words[1:] == words[:-1]) if len(words) > 1 else 0
-        block = words[:256]
-        found[-3] = 1 - len(np.unique(block)) / len(block)
+        found[-3] = _repeats(words)
     starts, ends = word_spans(text != 10)
     if len(starts) > 1:
         found[-2] = 1 - len(np.unique(hashes.spans(starts, ends))) / len(starts)

@@ -274,6 +274,16 @@ def test_quality(spark):
     assert [r["score"] for r in quality.score(docs_of(spark, [(1, "x")]), quality.fit([], [])).collect()] == [0.5]
 
 
+def test_word_repeats_are_counted_in_the_whole_text():
+    at = lambda words: quality.terms(np.frombuffer(" ".join(words).encode(), np.uint8))[-3]
+    rng = random.Random(4)
+    clean, spam = [f"w{i}" for i in range(300)], [f"s{i % 7}" for i in range(700)]
+    for words in (clean, clean + spam, spam, ["a"], [f"x{rng.randrange(99)}" for _ in range(5000)]):
+        blocks = [words[i : i + 256] for i in range(0, len(words), 256)]
+        assert abs(at(words) - sum(len(b) - len(set(b)) for b in blocks) / len(words)) < 1e-6
+    assert at(clean) == 0 and at(clean + spam) > 0.6
+
+
 def test_labelled_sample_respects_the_split(spark):
     docs = docs_of(spark, [(i, f"t{i}") for i in range(50)])
     labels = spark.createDataFrame([(i, 1, i % 2) for i in range(0, 50)] + [(None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int")
