@@ -127,6 +127,24 @@ def chunk(tags: list[str], grammar: tuple[tuple[str, str], ...] = GRAMMAR) -> li
     return found
 
 
+_BLANKS = re.compile(r"\s+", re.ASCII)
+
+
+@lru_cache(maxsize=1 << 16)
+def _tag_of(word: str) -> str:
+    return tag_word(word)
+
+
+def tags_of(text: Column) -> Column:
+    """array<string>: the tags of all words between blanks; the words stay in Python, as whole texts have many."""
+
+    @F.pandas_udf("array<string>")
+    def of(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else [_tag_of(w) for w in _BLANKS.split(t)])
+
+    return of(text)
+
+
 def tag_tokens(words: Column) -> Column:
     """array<struct<word,tag>> of a word list."""
 

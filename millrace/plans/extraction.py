@@ -124,8 +124,7 @@ def span_query(spark, sf):
 
 @query()
 def tag_documents(spark, sf):
-    words = F.split(F.substring_index("text", ".", 3), r"\s+")
-    return table(spark, sf, "documents").where("lang = 'en'").select("doc_id", F.transform(G.tag_tokens(words), lambda t: t["tag"]).alias("tags"))
+    return table(spark, sf, "documents").where("lang = 'en'").select("doc_id", G.tags_of(F.col("text")).alias("tags"))
 
 
 @query("select * from (values (1, '汉语'), (2, '发展中国'), (3, null), (4, 'abc汉')) t(id, simplified)")
