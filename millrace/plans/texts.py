@@ -36,6 +36,12 @@ def wordlist(spark, sf):
     return table(spark, sf, "documents").where("lang = 'en' and doc_id < 200").select("doc_id", T.wordlist(F.col("text")).alias("words"))
 
 
+@query(r"select doc_id, list_filter(regexp_split_to_array(text, '[-/.,\s]+'), lambda w: w <> '') as words from documents where lang = 'en'")
+def wordlist_all(spark, sf):
+    """As wordlist, whose SQL takes doc_id < 200 only, over the whole table."""
+    return table(spark, sf, "documents").where("lang = 'en'").select("doc_id", T.wordlist(F.col("text")).alias("words"))
+
+
 @query("select doc_id, array_to_string(string_split(text, ' '), '|') as joined from documents")
 def array_join(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.array_join(F.split("text", " "), "|").alias("joined"))
@@ -118,6 +124,15 @@ def tfidf(spark, sf):
     return T.tf_idf(docs, "doc_id", "text", 2).withColumn("weight", F.round("weight", 6))
 
 
+@query(r"""with w as (select doc_id, word, count(*) as c from (select doc_id, unnest(regexp_extract_all(text, '[\p{L}\p{N}_]{2,}')) as word from documents where lang = 'en') group by 1, 2),
+   n as (select count(*) as n from documents where lang = 'en'), f as (select word, count(*) as df from w group by 1 having count(*) >= 2),
+   v as (select doc_id, word, c * (ln((1 + n) / (1.0::double + df)) + 1) as v from w join f using (word), n)
+   select doc_id, word, round(v / sqrt(sum(v * v) over (partition by doc_id)), 6) as weight from v""")
+def tfidf_all(spark, sf):
+    """As tfidf, whose SQL takes doc_id < 300 only, over the whole table."""
+    return T.tf_idf(table(spark, sf, "documents").where("lang = 'en'"), "doc_id", "text", 2).withColumn("weight", F.round("weight", 6))
+
+
 _YMD = "(10,16,2017),(2017,10,16),(16,10,2017),(16,10,7),(10,16,7),(10,12,7),(12,10,7),(25,12,2017),(16,10,17),(10,16,17),(1,1,9),(99,99,99),(16,10,12)"
 
 

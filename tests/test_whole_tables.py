@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 
 from millrace.functions import tagging
 from millrace.plans import QUERIES
@@ -20,3 +22,19 @@ def test_tag_documents_reads_whole_texts(spark, tmp_path):
     got = {r["doc_id"]: r["tags"] for r in QUERIES["tag_documents"](spark, written(spark, tmp_path, rows)).collect()}
     want = {i: None if t is None else [tagging.tag_word(w) for w in re.split(r"[ \t\n\x0b\f\r]+", t)] for i, t, lang in rows if lang == "en"}
     assert got == want and got[1][-1] == "TOURCODE" and len(got[1]) > 400
+
+
+def test_wordlist_and_tfidf_take_all_documents(spark, tmp_path):
+    rows = [(i * 100, f"word{i % 4} and-word{i % 3}, and b{i}.", "en" if i % 5 else "de") for i in range(12)]
+    sf = written(spark, tmp_path, rows)
+    english = {i: t for i, t, lang in rows if lang == "en"}
+    got = {r["doc_id"]: r["words"] for r in QUERIES["wordlist_all"](spark, sf).collect()}
+    assert got == {i: [w for w in re.split(r"[-/.,\s]+", t) if w] for i, t in english.items()}
+    counts = {i: Counter(re.findall(r"\w{2,}", t)) for i, t in english.items()}
+    df = Counter(w for c in counts.values() for w in c)
+    want = {}
+    for i, c in counts.items():
+        v = {w: n * (math.log((1 + len(counts)) / (1 + df[w])) + 1) for w, n in c.items() if df[w] >= 2}
+        want |= {(i, w): x / math.sqrt(sum(y * y for y in v.values())) for w, x in v.items()}
+    weights = {(r["doc_id"], r["word"]): r["weight"] for r in QUERIES["tfidf_all"](spark, sf).collect()}
+    assert weights.keys() == want.keys() and all(abs(weights[k] - want[k]) < 1e-6 for k in want)
