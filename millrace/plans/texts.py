@@ -92,24 +92,39 @@ _VOCABULARY = """v as (select word, freq from (select word, count(*) as freq fro
   m as (select distinct word from (select unnest(regexp_extract_all(lower(text), '[a-z]+')) as word from documents where doc_id < 60)) """
 
 
-def _spelling(spark, sf):
+def _spelling(spark, sf, subset: str = "true"):
     docs = table(spark, sf, "documents")
     tokens = lambda d: d.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("word"))
     vocabulary = tokens(docs).groupBy("word").agg(F.count("*").alias("freq")).where("freq >= 50")
-    return tokens(docs.where("doc_id < 60")).distinct(), vocabulary
+    return tokens(docs.where(subset)).distinct(), vocabulary
 
 
 @query("with " + _VOCABULARY + """, c as (select m.word, v.word as candidate, freq, (m.word <> v.word)::int as d from m join v on damerau_levenshtein(m.word, v.word) <= 1),
    b as (select word, candidate from (select *, row_number() over (partition by word order by d, freq desc, candidate) as r from c) where r = 1)
    select m.word, coalesce(candidate, m.word) as corrected from m left join b on m.word = b.word""")
 def spell_correct(spark, sf):
+    return T.correct(*_spelling(spark, sf, "doc_id < 60"))
+
+
+@query()
+def spell_correct_all(spark, sf):
+    """As spell_correct, whose SQL takes the words of doc_id < 60 only, for the words of all documents."""
     return T.correct(*_spelling(spark, sf))
 
 
 @query("with " + _VOCABULARY + """select m.word, case when count(v.word) filter (v.word = m.word) > 0 or count(v.word) = 0 then [m.word] else list_sort(list(v.word)) end as candidates
    from m left join v on damerau_levenshtein(m.word, v.word) <= 1 group by m.word""")
 def tourcode_candidates(spark, sf):
-    words, vocabulary = _spelling(spark, sf)
+    return _candidates(*_spelling(spark, sf, "doc_id < 60"))
+
+
+@query()
+def tourcode_candidates_all(spark, sf):
+    """As tourcode_candidates, whose SQL takes the words of doc_id < 60 only, for the words of all documents."""
+    return _candidates(*_spelling(spark, sf))
+
+
+def _candidates(words, vocabulary):
     found = T.spelling_candidates(words, vocabulary).groupBy("word").agg(F.min("distance").alias("d"), F.array_sort(F.collect_set("candidate")).alias("all"))
     joined = words.join(found, "word", "left")
     return joined.select("word", F.when(F.col("d") == 1, F.col("all")).otherwise(F.array("word")).alias("candidates"))

@@ -38,3 +38,21 @@ def test_wordlist_and_tfidf_take_all_documents(spark, tmp_path):
         want |= {(i, w): x / math.sqrt(sum(y * y for y in v.values())) for w, x in v.items()}
     weights = {(r["doc_id"], r["word"]): r["weight"] for r in QUERIES["tfidf_all"](spark, sf).collect()}
     assert weights.keys() == want.keys() and all(abs(weights[k] - want[k]) < 1e-6 for k in want)
+
+
+def test_spelling_takes_the_words_of_all_documents(spark, tmp_path):
+    known = {"stone": 60, "store": 55, "form": 50, "from": 70, "a": 50}
+    rows = [(1, " ".join(w for w, n in known.items() for _ in range(n)), "en"), (61, "stoe Fomr stonne forms", "de"), (5000, "xyz b stor rare rare", "en"), (None, "fro", "en")]
+    sf = written(spark, tmp_path, rows)
+    freq = Counter(w for _, t, _ in rows for w in re.findall("[a-z]+", t.lower()))
+
+    def edits(w):
+        cut = [(w[:i], w[i:]) for i in range(len(w) + 1)]
+        letters = "abcdefghijklmnopqrstuvwxyz"
+        return {w} | {a + b[1:] for a, b in cut if b} | {a + b[1] + b[0] + b[2:] for a, b in cut if len(b) > 1} | {a + c + b[k:] for a, b in cut for c in letters for k in (0, 1)}
+
+    near = {w: [w] if w in known else sorted(edits(w) & known.keys()) or [w] for w in freq}
+    got = {r["word"]: r["candidates"] for r in QUERIES["tourcode_candidates_all"](spark, sf).collect()}
+    assert got == near and len(near["stoe"]) == 2
+    corrected = {r["word"]: r["corrected"] for r in QUERIES["spell_correct_all"](spark, sf).collect()}
+    assert corrected == {w: min(c, key=lambda v: (-freq[v], v)) for w, c in near.items()}
