@@ -218,6 +218,12 @@ def resume_from(spark, sf):
     return table(spark, sf, "orders").where("o_orderkey >= 100").orderBy("o_orderkey").limit(500).select("o_orderkey", "o_totalprice")
 
 
+@query("select o_orderkey, o_totalprice from orders where o_orderkey >= 100 order by o_orderkey")
+def resume_from_all(spark, sf):
+    """As resume_from, whose SQL ends after 500 orders, to the last order."""
+    return table(spark, sf, "orders").where("o_orderkey >= 100").orderBy("o_orderkey").select("o_orderkey", "o_totalprice")
+
+
 @query("select p_brand, count(*) as n from part group by 1 order by n desc, p_brand limit 10")
 def topk(spark, sf):
     return table(spark, sf, "part").groupBy("p_brand").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "p_brand").limit(10)

@@ -56,3 +56,9 @@ def test_spelling_takes_the_words_of_all_documents(spark, tmp_path):
     assert got == near and len(near["stoe"]) == 2
     corrected = {r["word"]: r["corrected"] for r in QUERIES["spell_correct_all"](spark, sf).collect()}
     assert corrected == {w: min(c, key=lambda v: (-freq[v], v)) for w, c in near.items()}
+
+
+def test_resume_from_goes_to_the_last_order(spark, tmp_path):
+    spark.range(2000, 0, -1).selectExpr("id as o_orderkey", "id * 1.5D as o_totalprice").write.parquet(f"{tmp_path}/orders.parquet")
+    got = QUERIES["resume_from_all"](spark, str(tmp_path)).collect()
+    assert [r["o_orderkey"] for r in got] == list(range(100, 2001)) and got[-1]["o_totalprice"] == 3000.0
