@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from millrace.llm.scratch import store
 
 DAMPING = 0.85
-ROUNDS = 20
-TOLERANCE = 1e-6
+MOST_ROUNDS = 1_000  # a guard: more is an error
+TOLERANCE = 1e-6  # of the change of each host
 MARGIN = 0.0  # a host is blocked if its distrust is above its trust by more than this
 
 #: (verdict, host, path prefix)
@@ -52,25 +52,30 @@ def rule_of(host: Column, path: Column, rules: tuple[tuple[str, str, str], ...])
     return F.coalesce(*texts, nothing), F.coalesce(*verdicts, nothing)
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, most_rounds: int = MOST_ROUNDS) -> DataFrame:
     """(host, score): the PageRank mass that reaches each host through links.
 
     ``edges`` are (src, dst, share), the shares of one source adding up to 1;
     ``seeds`` are (host, start), the starts adding up to 1.  Mass of hosts without
-    links is not passed on.  Rounds end early once the mass settles.
+    links is not passed on.  Rounds end once no new host is reached and no host's
+    score changes by more than ``TOLERANCE``; ``RuntimeError`` if that takes too many.
     """
-    reached, before = None, None
-    for _ in range(rounds):
+    reached, hosts = None, 0
+    for _ in range(most_rounds):
         mass = seeds.select("host", (F.col("start") * (1 - damping)).alias("mass"))
+        change = None
         if reached is not None:
             mass = mass.unionByName(reached.select("host", F.col("score").alias("mass"))).groupBy("host").agg(F.sum("mass").alias("mass"))
+            change = reached.select("host", (-F.col("score")).alias("score"))
         passed = edges.join(mass, edges["src"] == mass["host"]).groupBy(F.col("dst").alias("host"))
         reached = store(passed.agg(F.sum(F.col("mass") * F.col("share") * damping).alias("score")), "rank")
-        total = reached.agg(F.sum("score")).first()[0] or 0.0
-        if before is not None and abs(total - before) <= TOLERANCE or total == 0.0:
-            break
-        before = total
-    return reached
+        # hosts once reached stay so, thus the union has no others
+        change = reached if change is None else reached.unionByName(change).groupBy("host").agg(F.sum("score").alias("score"))
+        now, most = change.agg(F.count("*"), F.max(F.abs("score"))).first()
+        if now == hosts and (most or 0.0) <= TOLERANCE:
+            return reached
+        hosts = now
+    raise RuntimeError(f"scores of hosts still change after {most_rounds} rounds")
 
 
 def judge(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, margin: float = MARGIN) -> DataFrame:

@@ -19,7 +19,7 @@ from millrace.llm.exact_topk import top_k
 from millrace.llm.html_extract import main_text, parse
 from millrace.llm.mixing import mix
 from millrace.llm.near_dedup import components, near_groups, superminhash
-from millrace.llm.url_filter import judge
+from millrace.llm.url_filter import judge, propagate
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, id long, n long, key string, run long, size long, node long, score double"
@@ -358,6 +358,16 @@ def test_distrust_follows_links_backwards(spark):
     assert got == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow", 6: "allow"}
 
 
+def test_distrust_reaches_the_end_of_a_long_chain(spark):
+    rows = [(0, "http://h0.com/en/1", ""), (1, "http://h1.de/", "<a href='http://h0.com/'>l</a>")]
+    rows += [(i, f"http://h{i}.de/", f"<a href='http://h{i - 1}.de/'>l</a>") for i in range(2, 26)]
+    got = {r["page_id"]: (r["verdict"], r["distrust"]) for r in judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i][0] == "block" and abs(got[i][1] - 0.15 * 0.85**i) < 1e-6 for i in range(1, 26))
+    edges = spark.createDataFrame([(f"h{i}", f"h{i + 1}", 1.0) for i in range(9)], "src string, dst string, share double")
+    with pytest.raises(RuntimeError):
+        propagate(edges, spark.createDataFrame([("h0", 1.0)], "host string, start double"), most_rounds=3)
+
+
 # 9
 
 
