@@ -180,7 +180,7 @@ def _codec(vocabulary: bytes, pattern: str, kept: int = KEPT_PIECES) -> Iterator
     key = (vocabulary, pattern, kept)
     if key not in _codecs:
         _forget()
-        _codecs[key] = Codec(vocabulary, pattern)
+        _codecs[key] = Codec(vocabulary, pattern, kept)
     try:
         yield _codecs[key]
     finally:
@@ -227,7 +227,7 @@ def encode(docs: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "doc_
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with _codec(vocabulary, pattern) as codec:
+        with _codec(vocabulary, pattern, kept) as codec:
             for id_, ids in _encoded(batches, codec):
                 yield pa.record_batch({"id": id_, "ids": ids})
 

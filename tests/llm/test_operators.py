@@ -205,6 +205,14 @@ def test_bpe_cache_turns_over(ranks):
     assert all(x == first[0] for x in first)
 
 
+def test_bpe_worker_keeps_as_many_pieces_as_asked(ranks):
+    with bpe._codec(*ranks, 5) as codec:
+        assert codec.kept == 5
+    with bpe._codec(*ranks) as codec:
+        assert codec.kept == bpe.KEPT_PIECES
+    bpe._forget()
+
+
 # 5
 
 
