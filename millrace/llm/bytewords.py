@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+
+BLOCK = 1 << 20  # bytes of a text that are worked on at once
 
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = np.uint64(pow(_BASE, -1, 1 << 64))
@@ -43,11 +46,6 @@ def byte_views(column: pa.Array) -> Iterator[np.ndarray | None]:
         yield None if valid is not None and not valid[i] else whole[ends[i] : ends[i + 1]]
 
 
-def lower_ascii(text: np.ndarray) -> np.ndarray:
-    """A-Z to a-z, all other bytes as they are."""
-    return text + ((text >= 65) & (text <= 90)).astype(np.uint8) * np.uint8(32)
-
-
 def word_spans(is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of true."""
     edges = np.flatnonzero(np.diff(is_word.astype(np.int8), prepend=np.int8(0), append=np.int8(0)))
@@ -60,7 +58,7 @@ def not_space(text: np.ndarray) -> np.ndarray:
 
 
 class Prefixes:
-    """Hashes of any spans of one text, each in constant time."""
+    """Hashes of any spans of one block of text, each in constant time; for features, as equal hashes can be constructed."""
 
     def __init__(self, text: np.ndarray):
         power, self._inverse = _powers(len(text) + 1)
@@ -72,19 +70,57 @@ class Prefixes:
         return mix(raw + (ends - starts).astype(np.uint64))
 
 
-def word_hashes(text: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every white-space separated word, in order."""
-    starts, ends = word_spans(not_space(text))
-    return Prefixes(text).spans(starts, ends)
+def blocks(text: np.ndarray, inside: Callable[[np.ndarray], np.ndarray], size: int = BLOCK) -> Iterator[np.ndarray]:
+    """The text in order in blocks of about ``size`` bytes, none of which ends within a run of bytes that are ``inside``."""
+    start, n = 0, len(text)
+    while start < n:
+        end = min(start + size, n)
+        while end < n:
+            found = np.flatnonzero(~inside(text[end : end + 4096]))
+            if len(found):
+                end += int(found[0])
+                break
+            end = min(end + 4096, n)
+        yield text[start:end]
+        start = end
+
+
+def word_hash_blocks(text: np.ndarray, lower: bool = False) -> Iterator[np.ndarray]:
+    """A 64-bit hash of every white-space separated word, in order, block by block.
+
+    Only a block's words are ever held as objects.  ``lower`` takes A-Z as a-z.
+    """
+    for block in blocks(text, not_space):
+        raw = block.tobytes()
+        words = (raw.lower() if lower else raw).split()  # of bytes: ASCII letters and [\x20\x09-\x0D] only
+        yield np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def word_hashes(text: np.ndarray, lower: bool = False) -> np.ndarray:
+    """All hashes of :func:`word_hash_blocks`."""
+    return np.concatenate([*word_hash_blocks(text, lower), np.zeros(0, np.uint64)])
 
 
-def shingles(words: np.ndarray, k: int) -> np.ndarray:
-    """The distinct k-word shingles, sorted; a shorter text is one shingle, none is empty."""
-    n = len(words)
-    if n == 0:
-        return np.zeros(0, np.uint64)
-    width = min(k, n)
-    total = np.full(n - width + 1, width, np.uint64)
+def _windows(words: np.ndarray, width: int) -> np.ndarray:
+    n = len(words) - width + 1
+    total = np.full(n, width, np.uint64)
     for i in range(width):
-        total = mix(total + words[i : n - width + 1 + i])
-    return np.unique(total)
+        total = mix(total + words[i : n + i])
+    return total
+
+
+def shingles(parts: Iterable[np.ndarray], k: int) -> np.ndarray:
+    """The distinct k-word shingles of the words that come in parts, sorted.
+
+    A shorter text is one shingle, none is empty.
+    """
+    found, tail = [], np.zeros(0, np.uint64)
+    for part in parts:
+        words = np.concatenate([tail, part])
+        if len(words) >= k:
+            found.append(np.unique(_windows(words, k)))
+            words = words[len(words) - k + 1 :]
+        tail = words
+    if not found:
+        return _windows(tail, len(tail)) if len(tail) else tail
+    return found[0] if len(found) == 1 else np.unique(np.concatenate(found))

@@ -15,6 +15,7 @@ the result.  No bucket is capped, and no task ever holds one.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,35 +23,40 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.bytewords import byte_views, lower_ascii, mix, shingles, word_hashes
+from millrace.llm.bytewords import byte_views, mix, shingles, word_hash_blocks
 from millrace.llm.scratch import bound_batches, store, tidy
 
 WORDS = 16  # 64-bit words of a node's bitmap
+BUCKET = 2_000  # open members of a bucket that one task holds; larger buckets are dealt to several
 BANDS, ROWS = 32, 5  # a pair at similarity 0.8 is missed with probability (1 - 0.8**5)**32 = 3e-6
 
 
-def superminhash(elements: np.ndarray, m: int) -> np.ndarray:
+def superminhash(elements: np.ndarray, m: int, chunk: int = 1 << 16) -> np.ndarray:
     """The SuperMinHash signature of a set of distinct 64-bit hashes.
 
     All elements draw level after level together.  A level's values are above
     those of all earlier levels, so the drawing ends as soon as every place is
-    filled; for sets much larger than ``m`` that is after the first level.
+    filled; for sets much larger than ``m`` that is after the first level, which
+    goes through the elements in chunks.
     """
     signature = np.full(m, np.uint64(0xFFFFFFFFFFFFFFFF))
-    order, lines = None, np.arange(len(elements))
-    for level in range(m):
-        draw = mix(elements + np.uint64((level + 1) * 0xD1342543DE82EF95 % (1 << 64)))
-        place = (level + (draw >> np.uint64(32)) % np.uint64(m - level)).astype(np.int64)
-        if level:
-            if order is None:  # the permutations after the first level's swap
-                order = np.tile(np.arange(m, dtype=np.int16), (len(elements), 1))
-                order[:, 0], order[lines, first] = first, 0
-            held = order[lines, place]
-            order[lines, place] = order[:, level]
-            place = held.astype(np.int64)
-        else:
-            first = place
-        np.minimum.at(signature, place, np.uint64(level << 32) | (draw & np.uint64(0xFFFFFFFF)))
+
+    def draws(level: int, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        draw = mix(some + np.uint64((level + 1) * 0xD1342543DE82EF95 % (1 << 64)))
+        return (level + (draw >> np.uint64(32)) % np.uint64(m - level)).astype(np.int64), np.uint64(level << 32) | (draw & np.uint64(0xFFFFFFFF))
+
+    for low in range(0, len(elements), chunk):
+        np.minimum.at(signature, *draws(0, elements[low : low + chunk]))
+    if int(signature.max()) < 1 << 32 or not len(elements):
+        return signature
+    lines, first = np.arange(len(elements)), draws(0, elements)[0]
+    order = np.tile(np.arange(m, dtype=np.int16), (len(elements), 1))  # the permutations after the first level's swap
+    order[:, 0], order[lines, first] = first, 0
+    for level in range(1, m):
+        place, value = draws(level, elements)
+        held = order[lines, place]
+        order[lines, place] = order[:, level]
+        np.minimum.at(signature, held.astype(np.int64), value)
         if int(signature.max()) < (level + 1) << 32:
             break
     return signature
@@ -66,11 +72,11 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def text_shingles(text: np.ndarray | None, k: int) -> np.ndarray:
-    return shingles(word_hashes(lower_ascii(text)), k) if text is not None else np.zeros(0, np.uint64)
+    return shingles(word_hash_blocks(text, lower=True), k) if text is not None else np.zeros(0, np.uint64)
 
 
 def _fingerprint(elements: np.ndarray) -> bytes:
-    return np.array([len(elements), np.bitwise_xor.reduce(mix(elements)), mix(elements + np.uint64(77)).sum(dtype=np.uint64)], np.uint64).tobytes()
+    return hashlib.blake2b(elements, digest_size=16).digest()
 
 
 def _sketch(k: int, bands: int, rows: int):
@@ -126,26 +132,33 @@ def _open_pairs(rows: DataFrame, elements: DataFrame, sets: DataFrame, percent:
     can't be common; of the others each node keeps a bitmap of 1,024 cells, and a
     cell that one node has and the other hasn't hides one element at least that
     isn't common.  The bound never falls short, so no link is lost.
+
+    A bucket of many open members is cut into parts of about ``BUCKET``: each member
+    is the first of a pair in one part and meets all parts as the second, so a task
+    holds one part and passes the other members by.
     """
-    nodes = store(rows.select("node", "label").distinct(), "open-nodes")
+    nodes = rows.select("node", "label").distinct()
     parts = store(elements.join(nodes, "node").mapInArrow(tidy(_members_of_sets), "node long, label long, element long"), "parts")
     shared = parts.groupBy("element").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     cell = F.pmod(F.col("element"), F.lit(64 * WORDS))
     bit = F.expr(f"shiftleft(1L, cast(pmod(element, {64 * WORDS}) % 64 as int))")
     maps = [F.bit_or(F.when(F.floor(cell / 64) == w, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{w}") for w in range(WORDS)]
-    bounds = parts.join(store(shared.select("element"), "shared"), "element").groupBy("node").agg(F.count("*").alias("common"), *maps)
-    bounds = store(bounds.join(sets.select("node", "bands"), "node"), "bounds")
-    wide = store(rows.join(bounds, "node"), "open")
+    bounds = parts.join(shared.select("element"), "element").groupBy("node").agg(F.count("*").alias("common"), *maps)
+    bounds = bounds.join(sets.select("node", "bands"), "node")
+    parts_of = rows.groupBy("band").agg(F.ceil(F.count("*") / BUCKET).cast("int").alias("parts"))
+    wide = store(rows.join(parts_of, "band").join(bounds, "node"), "open")
     names = ["node", "n", "label", "common", "bands", *(f"w{w}" for w in range(WORDS))]
-    one = wide.select("band", "place", *(F.col(c).alias(f"a_{c}") for c in names))
-    two = wide.select(F.col("band").alias("b_band"), *(F.col(c).alias(f"b_{c}") for c in names))
+    own = F.pmod(F.xxhash64("node", "band"), F.col("parts")).cast("int")
+    one = wide.select("band", "place", own.alias("part"), *(F.col(c).alias(f"a_{c}") for c in names))
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    two = wide.select(F.col("band").alias("b_band"), every.alias("b_part"), *(F.col(c).alias(f"b_{c}") for c in names))
 
     def missing(x: str, y: str) -> str:
         return " + ".join(f"bit_count({x}_w{w} & ~{y}_w{w})" for w in range(WORDS))
 
     most = f"least(a_common - ({missing('a', 'b')}), b_common - ({missing('b', 'a')}))"
     allowed = F.expr(
-        f"band = b_band and a_node > b_node and a_label <> b_label and a_n * 100 >= b_n * {percent} and b_n * 100 >= a_n * {percent}"
+        f"band = b_band and part = b_part and a_node > b_node and a_label <> b_label and a_n * 100 >= b_n * {percent} and b_n * 100 >= a_n * {percent}"
         f" and {most} * {100 + percent} >= {percent} * (a_n + b_n)"
         " and not exists(zip_with(slice(a_bands, 1, place), slice(b_bands, 1, place), (x, y) -> x = y), same -> same)"
     )
@@ -210,11 +223,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sketch = store(texts.mapInArrow(tidy(_sketch(k, bands, rows)), "id long, n long, fp binary, bands array<long>"), "sketch")
     real = sketch.where(F.col("fp").isNotNull() & F.col("id").isNotNull())
     sets = store(real.groupBy("fp").agg(F.min("id").alias("node"), F.min("n").alias("n"), F.min_by("bands", "id").alias("bands")), "sets")
-    banded = store(sets.select("node", "n", F.posexplode("bands").alias("place", "band")), "bands")
+    banded = sets.select("node", "n", F.posexplode("bands").alias("place", "band"))
     leaders = banded.groupBy("band").agg(F.min(F.struct("node", "n")).alias("lead"), F.count("*").alias("many")).where("many > 1")
-    leaders = store(leaders.select("band", F.col("lead.node").alias("lead"), F.col("lead.n").alias("lead_n")), "leaders")
+    leaders = leaders.select("band", F.col("lead.node").alias("lead"), F.col("lead.n").alias("lead_n"))
     members = store(banded.join(leaders, "band"), "members")
-    wanted = store(members.select("node").distinct(), "wanted")
+    wanted = members.select("node").distinct()
     needed = texts.join(wanted, texts["id"] == wanted["node"]).select("node", "text")
     elements = store(needed.mapInArrow(tidy(_sets(k)), "node long, elements binary"), "elements")
 
@@ -242,14 +255,14 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     best = store(stars.groupBy("a").agg(F.max(F.struct("shared", (-F.col("b")).alias("b"))).alias("best")).select("a", (-F.col("best.b")).alias("b")), "pairs")
     labels = unite(best, spark.createDataFrame([], "node long, label long"))
     labelled = store(label_of(members.select("band", "place", "node", "n"), "node", "label", labels), "labelled")
-    split = store(labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band"), "split")
+    split = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band")
     open_rows = store(labelled.join(split, "band", "left_semi"), "open")
     last = _open_pairs(open_rows, elements, sets, percent).join(best, ["a", "b"], "left_anti")
     last = store(last, "pairs")
     if not last.isEmpty():
         labels = unite(last, labels)
 
-    found = store(label_of(sets.select("fp", "node"), "node", "component", labels).select("fp", "component"), "found")
+    found = label_of(sets.select("fp", "node"), "node", "component", labels).select("fp", "component")
     own = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return sketch.select("id", "n", "fp").join(found, "fp", "left").select(
         F.col("id").alias(id_col),
