@@ -1,17 +1,21 @@
 """Exact deduplication by content sort.
 
-Sampled splitters range-partition the normalised texts, an external sort puts
-equal texts next to each other, and every row is compared in full with its
-predecessor.  The sort key ends with the row's identifier, so the splitters cut
-through a group of thousands of copies as readily as between two groups; the
-first and the last run of each partition are joined afterwards with those of
-other partitions by comparing their full texts.
+Sampled splitters range-partition the normalised texts by their bytes, an external
+sort in byte order puts equal texts next to each other, and every row is compared
+in full with its predecessor.
+
+A splitter holds the beginning of a text, and then its digest and its identifier,
+which come into play only among texts that begin alike: so splitters stay small,
+and they cut through a group of thousands of copies as readily as between two
+groups.  Only the groups at the ends of a partition's range can go on in another
+one; their full texts are compared afterwards.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -19,7 +23,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.scratch import bound_batches, store, tidy
 
-SPLITTER_CHARS = 32  # a splitter holds the beginning of a text and its digest, not the whole text
+SPLITTER_CHARS = 64  # of the beginning of a text in a splitter
 
 _RUNS = "id long, sha string, run long, first boolean, edge_text string"
 
@@ -30,10 +34,11 @@ def normalised(text):
 
 
 def _number_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Number the runs of equal neighbours in one sorted partition.
+    """Number the runs of equal neighbours in one partition that is sorted by text.
 
     Besides the rows themselves, two rows that are marked by an ``edge_text`` tell
-    the texts of the partition's first and last run.
+    the texts with the least and the greatest (beginning, digest): only they can
+    have copies in other partitions.
     """
     from pyspark import TaskContext
 
@@ -44,19 +49,26 @@ def _number_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.record_batch({"id": pa.array([None], pa.int64()), "sha": pa.array([None], kind), "run": pa.array([base + run]), "first": pa.array([False]), "edge_text": pa.array([text], kind)})
 
     run, last = -1, None
+    low = high = None  # (beginning, digest, run, text)
     for batch in batches:
         if not batch.num_rows:
             continue
         text = batch.column("norm")
-        before = pa.concat_arrays([pa.array([last], text.type), text.slice(0, len(text) - 1)])
-        starts = pc.fill_null(pc.not_equal(text, before), True).to_numpy(zero_copy_only=False)
-        if run < 0:
-            yield edge(0, text[0].as_py())
+        starts = np.ones(len(text), bool)
+        starts[0] = last is None or text[0].as_py() != last
+        starts[1:] = pc.not_equal(text.slice(1), text.slice(0, len(text) - 1)).to_numpy(zero_copy_only=False)
         runs = starts.cumsum() + run
         run, last = int(runs[-1]), text[-1].as_py()
+        fresh = np.flatnonzero(starts)
+        heads, shas = (batch.column(c).take(pa.array(fresh)).to_pylist() for c in ("head", "sha"))
+        for at, head, sha in zip(fresh.tolist(), heads, shas, strict=True):
+            if low is None or (head, sha) < low[:2]:
+                low = (head, sha, int(runs[at]), text[at].as_py())
+            if high is None or (head, sha) > high[:2]:
+                high = (head, sha, int(runs[at]), text[at].as_py())
         yield pa.record_batch({"id": batch.column("id"), "sha": batch.column("sha"), "run": pa.array(runs + base), "first": pa.array(starts), "edge_text": pa.nulls(len(text), kind)})
-    if run > 0:
-        yield edge(run, last)
+    for _, _, found, text in {x[2]: x for x in (low, high) if x}.values():
+        yield edge(found, text)
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -65,16 +77,16 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Texts are equal when they are identical after :func:`normalised`; null counts
     as empty, so null and empty texts are one group.  The row with the smallest
     identifier stays (a null identifier sorts last); of rows that repeat text and
-    identifier exactly one stays.  Other columns of ``docs`` are not read.  An
-    empty table gives an empty result.
+    identifier exactly one stays.  A text of any length is one row of the sort.
+    Other columns of ``docs`` are not read.  An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    bound_batches(spark)
+    bound_batches(spark, size="4m")  # neighbours are compared batch by batch; large batches would only take memory
     norm = docs.select(F.col(id_col).cast("long").alias("id"), normalised(F.col(text_col)).alias("norm"))
     keyed = norm.withColumn("head", F.substring("norm", 1, SPLITTER_CHARS)).withColumn("sha", F.sha2("norm", 256))
     last = F.col("id").asc_nulls_last()
-    ordered = keyed.repartitionByRange("head", "sha", last).sortWithinPartitions("head", "sha", "norm", last)
-    rows = store(ordered.select("id", "norm", "sha").mapInArrow(tidy(_number_runs), _RUNS), "runs")
+    ordered = keyed.repartitionByRange("head", "sha", last).sortWithinPartitions("norm", last)
+    rows = store(ordered.mapInArrow(tidy(_number_runs), _RUNS), "runs")
 
     edges = rows.where(F.col("edge_text").isNotNull()).select("run", "edge_text").distinct()
     joined = edges.join(edges.groupBy("edge_text").agg(F.min("run").alias("head")), "edge_text").select("run", "head")
@@ -83,14 +95,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     at_edge = runs.join(F.broadcast(joined), "run")  # at most two runs of each partition
     totals = at_edge.groupBy("head").agg(F.min("low").alias("all_low"), F.sum("n").alias("all_n"))
     spread = store(at_edge.join(totals, "head").select("run", "head", "all_low", "all_n"), "edge-runs")
-    groups = store(
-        runs.join(F.broadcast(spread), "run", "left").select(
-            "run",
-            F.coalesce("head", "run").alias("head"),
-            F.when(F.col("head").isNull(), F.col("low")).otherwise(F.col("all_low")).alias("keep_id"),
-            F.coalesce("all_n", "n").alias("group_size"),
-        ),
-        "groups",
+    groups = runs.join(F.broadcast(spread), "run", "left").select(
+        "run",
+        F.coalesce("head", "run").alias("head"),
+        F.when(F.col("head").isNull(), F.col("low")).otherwise(F.col("all_low")).alias("keep_id"),
+        F.coalesce("all_n", "n").alias("group_size"),
     )
     return members.join(groups, "run").select(
         F.col("id").alias(id_col),

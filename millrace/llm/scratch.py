@@ -2,8 +2,8 @@
 
 Every intermediate result that is read more than once is written as Parquet to
 the folder the cluster names in ``spark.checkpoint.dir`` and read back with its
-known schema.  Only where that setting is empty (a local test) a temporary
-folder is chosen.
+known schema.  Where that setting is empty, a local test gets a temporary folder
+and a cluster an error.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import contextlib
 import ctypes
 import functools
 import gc
+import re
 import tempfile
 import uuid
 
@@ -25,11 +26,13 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; set to a temporary one only if none is named."""
+    """The folder all executors share; a temporary one only if none is named and all run in this process."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="millrace-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
