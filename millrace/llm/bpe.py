@@ -1,25 +1,27 @@
 """Byte-level BPE encoding and decoding with DuckDB recursive queries.
 
-A text is split by the vocabulary's pattern; each partition keeps the ids of the
+A text is split by the vocabulary's pattern; each worker keeps the ids of the
 pieces it has met and hands only new pieces to DuckDB.  There the pieces are
 token-position rows; a recursive query joins neighbouring tokens with the merge
 table and contracts each piece's leftmost pair of the smallest rank until no pair
 can be merged.  Decoding joins ids with the vocabulary and aggregates the tokens'
 bytes in order.
 
-Pieces over ``LONG_PIECE`` bytes (a run of one letter, say) would need as many
-rounds as they have merges, each over all their rows; the same contraction is
-done for them with a heap.  The result is the same.
+Two exact short cuts keep the rounds few, for pieces of any length.  A piece is cut
+where no token of the vocabulary can reach across (:meth:`Codec._segments`).  And a
+round contracts all occurrences of a segment's smallest pair, from left to right
+without overlap, if no pair that can arise from the merged token has a smaller
+rank: the next contractions would be just these.  Else it contracts the leftmost.
+The query keeps one state, keyed by position, not one for each round.
 """
 
 from __future__ import annotations
 
 import base64
 import contextlib
-import heapq
 import threading
 from collections.abc import Iterator
-from functools import cached_property
+from itertools import batched
 
 import duckdb
 import numpy as np
@@ -30,40 +32,48 @@ from pyspark.sql import functions as F
 
 from millrace.llm.scratch import bound_batches, give_back
 
-LONG_PIECE = 200
-CHUNK_PIECES = 16_000  # pieces in one recursive query
+CHUNK_BYTES = 200_000  # of pieces in one recursive query, or one longer segment
+CHUNK_IDS = 200_000  # that are decoded at once
+CHUNK_PIECES = 200_000  # of one text that are looked up at once
+QUERY_MB, SEGMENT_BYTES = 256, 700  # DuckDB's memory: so much, or so many bytes for each byte of a very long segment
 IDLE_SECONDS = 4
-KEPT_PIECES = 500_000  # pieces whose ids a worker remembers, and as many older ones
+KEPT_BYTES = 64 << 20  # pieces that a worker remembers, with their ids, and as many older ones
+_ENTRY_BYTES = 180  # what remembering a piece takes besides
 
 _CONTRACT = """
-with recursive state as (
-    select 0::int as round, piece, pos, token from seed
+with recursive state(seg, pos, token) using key (seg, pos) as (
+    select seg, pos, token from seed
+    union
+    (with live as materialized (
+        select *, lead(token) over w as following, lead(pos) over w as after, row_number() over w as place
+        from recurring.state where token is not null and seg in (select seg from state)
+        window w as (partition by seg order by pos)),
+    least as (
+        select live.*, merged, alone from live join merges on one = token and two = following
+        qualify merged = min(merged) over (partition by seg)),
+    runs as (select *, place - row_number() over (partition by seg order by pos) as run from least),
+    steps as (select *, row_number() over (partition by seg, run order by pos) as step, row_number() over (partition by seg order by pos) as nth from runs),
+    chosen as (select * from steps where step % 2 = 1 and (nth = 1 or not alone))
+    select seg, pos, merged from chosen
     union all
-    (with pairs as materialized (
-        select t.round, t.piece, t.pos, t.token, t.previous, m.merged
-        from (select *, lead(token) over w as following, lag(pos) over w as previous
-              from state window w as (partition by piece order by pos)) t
-        left join merges m on m.one = t.token and m.two = t.following),
-    leftmost as (select piece, min((merged << 8) | pos) as best from pairs where merged is not null group by piece)
-    select (round + 1)::int, piece, pos, case when pos = best & 255 then best >> 8 else token end
-    from pairs join leftmost using (piece) where previous is distinct from best & 255))
-select piece, list(token order by pos) as ids
-from state semi join (select piece, max(round) as round from state group by piece) using (piece, round)
-group by piece"""
+    select seg, after, null from chosen))
+select seg, list(token order by pos) as ids from state where token is not null group by seg"""
 _JOIN = "select list(coalesce(token, ''::blob) order by pos) as tokens from given left join vocabulary using (id)"
 
 
 class Codec:
     """The vocabulary in one DuckDB connection, with the ids of the pieces met so far."""
 
-    def __init__(self, vocabulary: bytes, pattern: str, kept: int = KEPT_PIECES):
+    def __init__(self, vocabulary: bytes, pattern: str, kept: int = KEPT_BYTES):
         self.kept = kept
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, vocabulary.splitlines())}
         self.split = regex.compile(pattern)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.known: dict[str, bytes] = {}  # ids as 32-bit integers
         self.older: dict[str, bytes] = {}  # known before, kept while still met
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+        self.held = 0  # bytes
+        self.ready = False
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": f"{QUERY_MB}MB", "temp_directory": ""})
         self._create("vocabulary", id=pa.array(self.ranks.values(), pa.int32()), token=pa.array(self.ranks.keys(), pa.binary()))
 
     def _create(self, name: str, **columns) -> None:
@@ -71,95 +81,138 @@ class Codec:
         self.db.execute(f"create table {name} as from given")
         self.db.unregister("given")
 
-    @cached_property
-    def merges(self) -> dict[tuple[int, int], int]:
-        """Every pair of tokens that makes a token; encoding alone needs them."""
-        found = {}
+    def _prepare(self) -> None:
+        """What encoding alone needs: the merge table, and which bytes can meet within a token."""
+        found = []
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
                 left, right = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
                 if left is not None and right is not None:
-                    found[left, right] = rank
-        pairs = np.array([(*pair, rank) for pair, rank in found.items()], np.int32)
-        self._create("merges", one=pairs[:, 0], two=pairs[:, 1], merged=pairs[:, 2])
-        return found
+                    found.append((left, right, rank))
+        merges = np.array(found, np.int32).reshape(-1, 3)
+        # tokens from which a pair with a smaller rank than their own can arise
+        alone = np.unique(np.concatenate([merges[merges[:, i] > merges[:, 2], i] for i in (0, 1)]))
+        self._create("merges", one=merges[:, 0], two=merges[:, 1], merged=merges[:, 2], alone=np.isin(merges[:, 2], alone))
+        self.twos, threes = np.zeros(1 << 16, bool), np.zeros(1 << 24, bool)
+        for token in self.ranks:
+            raw = np.frombuffer(token, np.uint8).astype(np.int32)
+            if len(raw) == 2:
+                self.twos[raw[0] << 8 | raw[1]] = True
+            threes[raw[:-2] << 16 | raw[1:-1] << 8 | raw[2:]] = True
+        self.threes = np.packbits(threes, bitorder="little")
+        self.ready = True
+
+    def _segments(self, raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Which bytes begin a segment: a piece's first, and those that no token joins to the byte before.
+
+        A token across that boundary is these two bytes, or holds them with the
+        byte before or after them.
+        """
+        raw = raw.astype(np.int32)
+        joined = np.zeros(len(raw), bool)
+        joined[1:] = self.twos[raw[:-1] << 8 | raw[1:]]
+        three = raw[:-2] << 16 | raw[1:-1] << 8 | raw[2:]
+        three = (self.threes[three >> 3] >> (three & 7).astype(np.uint8) & 1).astype(bool)
+        joined[2:] |= three
+        joined[1:-1] |= three
+        joined[starts] = False
+        return ~joined
 
     def _contract(self, pieces: list[bytes]) -> list[bytes]:
-        """The ids of distinct pieces, none of which is a token itself."""
-        assert self.merges
-        lengths = np.array([len(p) for p in pieces])
-        starts = np.cumsum(lengths) - lengths
-        seed = {
-            "piece": np.repeat(np.arange(len(pieces), dtype=np.int32), lengths),
-            "pos": (np.arange(lengths.sum()) - np.repeat(starts, lengths)).astype(np.int32),
-            "token": self.byte_ids[np.frombuffer(b"".join(pieces), np.uint8)],
-        }
+        """The ids of distinct pieces."""
+        if not self.ready:
+            self._prepare()
+        whole = np.frombuffer(b"".join(pieces), np.uint8)
+        ends = np.cumsum([len(p) for p in pieces])
+        firsts = np.concatenate([[0], ends[:-1]])
+        begins = np.flatnonzero(self._segments(whole, firsts))
+        bounds = np.append(begins, len(whole))
+        ids, sizes, low = [], [], 0
+        while low < len(begins):
+            high = max(low + 1, int(np.searchsorted(bounds, bounds[low] + CHUNK_BYTES, "right")) - 1)
+            some, size = self._contract_segments(whole[bounds[low] : bounds[high]], bounds[low : high + 1] - bounds[low])
+            ids.append(some)
+            sizes.append(size)
+            low = high
+        flat, size = np.concatenate(ids), np.concatenate(sizes)
+        at = np.concatenate([[0], np.cumsum(size)])[np.searchsorted(begins, np.append(firsts, len(whole)))] * 4
+        raw = flat.tobytes()
+        return [raw[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+
+    def _contract_segments(self, raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the segments in order, and how many each has."""
+        lengths = np.diff(bounds)
+        needed = int(lengths.max()) * SEGMENT_BYTES >> 20
+        self.db.execute(f"set memory_limit = '{max(QUERY_MB, needed)}MB'")
+        seed = {"seg": np.repeat(np.arange(len(lengths), dtype=np.int32), lengths), "pos": np.arange(len(raw), dtype=np.int32), "token": self.byte_ids[raw]}
         self.db.register("seed", pa.table(seed))
-        done = self.db.sql(_CONTRACT).to_arrow_table()
+        done = self.db.sql(_CONTRACT).to_arrow_table().sort_by("seg")
         self.db.unregister("seed")
         ids = done.column("ids").combine_chunks()
-        raw, ends = ids.values.to_numpy().astype(np.int32).tobytes(), ids.offsets.to_numpy() * 4
-        found = [b""] * len(pieces)
-        for piece, start, end in zip(done.column("piece").to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-            found[piece] = raw[start:end]
-        return found
-
-    def _contract_long(self, piece: bytes) -> list[int]:
-        """The same contraction of one long piece, with a heap of its pairs."""
-        tokens: list[int | None] = self.byte_ids[np.frombuffer(piece, np.uint8)].tolist()
-        n = len(tokens)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(z, i) for i in range(n - 1) if (z := self.merges.get((tokens[i], tokens[i + 1]))) is not None]
-        heapq.heapify(heap)
-        while heap:
-            merged, i = heapq.heappop(heap)
-            j = after[i]
-            if tokens[i] is None or j >= n or self.merges.get((tokens[i], tokens[j])) != merged:
-                continue
-            tokens[i], tokens[j], after[i] = merged, None, after[j]
-            if after[i] < n:
-                before[after[i]] = i
-            for left, right in ((before[i], i), (i, after[i])):
-                if left >= 0 and right < n and (z := self.merges.get((tokens[left], tokens[right]))) is not None:
-                    heapq.heappush(heap, (z, left))
-        return [t for t in tokens if t is not None]
+        return ids.flatten().to_numpy().astype(np.int32), np.diff(ids.offsets.to_numpy())
+
+    def _keep(self, piece: str, ids: bytes) -> None:
+        self.known[piece] = ids
+        self.held += len(piece) + len(ids) + _ENTRY_BYTES
 
     def learn(self, pieces: set[str]) -> None:
         """Find the ids of pieces that are not known yet."""
-        short: list[str] = []
+        chunk, raws, size = [], [], 0
+
+        def contract() -> None:
+            nonlocal size
+            for piece, ids in zip(chunk, self._contract(raws), strict=True):
+                self._keep(piece, ids)
+            size = 0
+            chunk.clear()
+            raws.clear()
+
         for piece in pieces:
             raw = piece.encode()
             if (rank := self.ranks.get(raw)) is not None:
-                self.known[piece] = rank.to_bytes(4, "little")
-            elif len(raw) > LONG_PIECE:
-                self.known[piece] = np.array(self._contract_long(raw), np.int32).tobytes()
-            else:
-                short.append(piece)
-        for start in range(0, len(short), CHUNK_PIECES):
-            chunk = short[start : start + CHUNK_PIECES]
-            self.known.update(zip(chunk, self._contract([p.encode() for p in chunk]), strict=True))
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self.split.findall(t) for t in texts]
-        if len(self.known) > self.kept:
-            self.older, self.known = self.known, {}
-        new = set().union(*split) - self.known.keys()
+                self._keep(piece, rank.to_bytes(4, "little"))
+                continue
+            chunk.append(piece)
+            raws.append(raw)
+            size += len(raw)
+            if size >= CHUNK_BYTES:
+                contract()
+        if chunk:
+            contract()
+
+    def _look_up(self, pieces: list[list[str]]) -> list[np.ndarray]:
+        if self.held > self.kept:
+            self.older, self.known, self.held = self.known, {}, 0
+        new = set().union(*pieces) - self.known.keys()
         met = new & self.older.keys()
-        self.known.update((p, self.older[p]) for p in met)
+        for piece in met:
+            self._keep(piece, self.older[piece])
         self.learn(new - met)
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), np.int32) for pieces in split]
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, some)), np.int32) for some in pieces]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if sum(map(len, texts)) <= 4 * CHUNK_PIECES:
+            return self._look_up([self.split.findall(t) for t in texts])
+        # the same, piece after piece, so that a long text's pieces are never all held
+        return [np.concatenate([*(self._look_up([list(some)])[0] for some in batched((m[0] for m in self.split.finditer(t)), CHUNK_PIECES)), np.zeros(0, np.int32)]) for t in texts]
 
     def decode(self, ids: pa.ListArray) -> pa.Array:
         """The bytes of each list of ids: tokens joined by id, aggregated by position."""
         ends = ids.offsets.to_numpy() - ids.offsets[0].as_py()
-        if not ends[-1]:
-            return pa.array([b""] * len(ids), pa.binary())
-        self.db.register("given", pa.table({"pos": np.arange(ends[-1], dtype=np.int32), "id": ids.flatten()}))
-        tokens = self.db.sql(_JOIN).to_arrow_table().column("tokens").combine_chunks().flatten()
-        self.db.unregister("given")
+        flat = ids.flatten()
+        raw, sizes = [], [np.zeros(1, np.int64)]
+        for low in range(0, len(flat), CHUNK_IDS):
+            some = flat.slice(low, CHUNK_IDS)
+            self.db.register("given", pa.table({"pos": np.arange(len(some), dtype=np.int32), "id": some}))
+            tokens = self.db.sql(_JOIN).to_arrow_table().column("tokens").combine_chunks().flatten()
+            self.db.unregister("given")
+            bounds = np.frombuffer(tokens.buffers()[1], np.int32)[tokens.offset :][: len(tokens) + 1]
+            sizes.append(np.diff(bounds))
+            if tokens.buffers()[2] is not None:
+                raw.append(tokens.buffers()[2].slice(int(bounds[0]), int(bounds[-1] - bounds[0])))
         # the tokens' bytes lie next to each other, so a text is what lies between two of its ends
-        bounds = np.frombuffer(tokens.buffers()[1], np.int32)[tokens.offset :][ends]
-        return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(bounds.copy()), tokens.buffers()[2]])
+        bounds = np.cumsum(np.concatenate(sizes))[ends].astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(bounds), pa.py_buffer(b"".join(raw))])
 
 
 _codecs: dict[tuple[bytes, str, int], Codec] = {}
@@ -173,23 +226,24 @@ def _forget() -> None:
 
 
 @contextlib.contextmanager
-def _codec(vocabulary: bytes, pattern: str, kept: int = KEPT_PIECES) -> Iterator[Codec]:
+def _codec(vocabulary: bytes, pattern: str, kept: int = KEPT_BYTES) -> Iterator[Codec]:
     """The worker's codec; it is kept from task to task and dropped after ``IDLE_SECONDS`` without one."""
     while _drop:
         _drop.pop().cancel()
     key = (vocabulary, pattern, kept)
-    if key not in _codecs:
+    codec = _codecs.get(key)  # a timer that has begun may still empty the store, not this name
+    if codec is None:
         _forget()
-        _codecs[key] = Codec(vocabulary, pattern, kept)
+        codec = _codecs[key] = Codec(vocabulary, pattern, kept)
     try:
-        yield _codecs[key]
+        yield codec
     finally:
         _drop.append(threading.Timer(IDLE_SECONDS, _forget))
         _drop[-1].daemon = True
         _drop[-1].start()
 
 
-def _blocks(texts: list[str], most: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def _blocks(texts: list[str], most: int = 4 * CHUNK_PIECES) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``most`` characters, one text at least."""
     start, held = 0, 0
     for i, text in enumerate(texts):
@@ -213,17 +267,21 @@ def _encoded(batches: Iterator[pa.RecordBatch], codec: Codec) -> Iterator[tuple[
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    bound_batches(docs.sparkSession, rows=500)
+    bound_batches(docs.sparkSession, rows=500, size="8m")
     return docs.selectExpr(f"cast(`{id_col}` as long) as id", f"cast(`{text_col}` as string) as text")
 
 
-def encode(docs: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text", kept: int = KEPT_PIECES) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text", kept: int = KEPT_BYTES) -> DataFrame:
     """(id_col, ids array<int>): the token ids of each whole text, without special tokens.
 
     ``vocabulary`` is the content of a rank file (about 1 MB, sent with the tasks);
-    ``kept`` pieces, and as many older ones, stay in a worker's memory.
+    ``kept`` bytes of pieces, and as many older ones, stay in a worker's memory.
     A null or empty text gives an empty list; rows are independent of each other,
-    so repeated rows and identifiers, and null identifiers, stay as they are.
+    so repeated rows and identifiers, and null identifiers, stay as they are.  An
+    empty table gives an empty result; other columns are not read.  A long text is
+    taken piece after piece; only a segment (bytes each of which some token joins
+    to the next, such as a run of one letter) is contracted at once, and one of
+    n bytes takes about ``SEGMENT_BYTES`` times n bytes of a worker's memory.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,7 +309,7 @@ def decode(encoded: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "d
     return rows.mapInArrow(run, "id long, decoded binary").withColumnRenamed("id", id_col)
 
 
-def round_trip(docs: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text", kept: int = KEPT_PIECES) -> DataFrame:
+def round_trip(docs: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text", kept: int = KEPT_BYTES) -> DataFrame:
     """(id_col, ids, decoded): :func:`encode` and then :func:`decode` of the ids, in one pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,6 +9,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -200,19 +201,61 @@ def test_bpe_as_tiktoken(spark, ranks):
 
 
 def test_bpe_cache_turns_over(ranks):
-    codec = bpe.Codec(*ranks, kept=5)
+    codec = bpe.Codec(*ranks, kept=1000)
     first = [codec.encode(["alphaxq betaxq gammaxq deltaxq epsilonxq zetaxq"])[0].tolist() for _ in range(4)]
     assert all(x == first[0] for x in first)
 
 
-def test_bpe_worker_keeps_as_many_pieces_as_asked(ranks):
+def test_bpe_worker_keeps_as_many_bytes_as_asked(ranks):
     with bpe._codec(*ranks, 5) as codec:
         assert codec.kept == 5
     with bpe._codec(*ranks) as codec:
-        assert codec.kept == bpe.KEPT_PIECES
+        assert codec.kept == bpe.KEPT_BYTES
     bpe._forget()
 
 
+def contracted(piece, ranks):
+    """One contraction after the other: the leftmost pair of the smallest rank."""
+    tokens = [piece[i : i + 1] for i in range(len(piece))]
+    while True:
+        found = [(r, i) for i in range(len(tokens) - 1) if (r := ranks.get(tokens[i] + tokens[i + 1])) is not None]
+        if not found:
+            return [ranks[t] for t in tokens]
+        at = min(found)[1]
+        tokens[at : at + 2] = [tokens[at] + tokens[at + 1]]
+
+
+def test_bpe_contracts_in_order_for_any_ranks():
+    """Vocabularies whose ranks are not those of training, so that merged tokens open smaller pairs."""
+    rng = random.Random(9)
+    for seed in range(12):
+        tokens = {bytes([b]) for b in range(256)}
+        while len(tokens) < 256 + 60:
+            tokens.add(bytes(rng.choice(b"abc") for _ in range(rng.randrange(2, 6))))
+        longer = sorted(t for t in tokens if len(t) > 1)
+        rng.shuffle(longer)
+        ranks = {t: i for i, t in enumerate([*sorted(t for t in tokens if len(t) == 1), *longer])}
+        file = b"\n".join(base64.b64encode(t) + b" " + str(i).encode() for t, i in ranks.items())
+        codec = bpe.Codec(file, r"\S+|\s+")
+        pieces = ["".join(rng.choice("abcd") for _ in range(rng.randrange(1, 90))) for _ in range(40)] + ["a" * 300, "ab" * 200, "abc" * 150, "aab" * 99]
+        assert [x.tolist() for x in codec.encode(pieces)] == [contracted(p.encode(), ranks) for p in pieces], seed
+        assert codec.decode(pa.array([x.tolist() for x in codec.encode(pieces)], pa.list_(pa.int32()))).to_pylist() == [p.encode() for p in pieces]
+
+
+def test_bpe_of_long_pieces(ranks, tmp_path, monkeypatch):
+    import tiktoken
+
+    monkeypatch.chdir(tmp_path)
+    known = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks[0].splitlines())}
+    library = tiktoken.Encoding("own", pat_str=ranks[1], mergeable_ranks=known, special_tokens={})
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=190)) for _ in range(500)] + ["a" * 60_000, "漢字" * 20_000, "".join(rng.choices("abcdefghijklmnop", k=200_000))]
+    texts.append(" ".join("".join(rng.choices("etaoinshr", k=rng.randrange(1, 9))) for _ in range(400_000)))
+    got = bpe.Codec(*ranks).encode(texts)
+    assert all(x.tolist() == library.encode_ordinary(t) for x, t in zip(got, texts, strict=True))
+    assert not list(tmp_path.iterdir())  # nothing is spilled to the worker's folder
+
+
 # 5
 
 
