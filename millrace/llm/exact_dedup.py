@@ -21,11 +21,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.scratch import bound_batches, store, tidy
+from millrace.llm.scratch import bound_batches, keep, tidy
 
 SPLITTER_CHARS = 64  # of the beginning of a text in a splitter
 
-_RUNS = "id long, sha string, run long, first boolean, edge_text string"
+_RUNS = "id long, keep_id long, group_size long, first boolean, sha string, run long, edge_text string"
 
 
 def normalised(text):
@@ -33,42 +33,86 @@ def normalised(text):
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
-def _number_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Number the runs of equal neighbours in one partition that is sorted by text.
+class _Runs:
+    """The runs of equal neighbours in one partition that is sorted by text and identifier.
 
-    Besides the rows themselves, two rows that are marked by an ``edge_text`` tell
-    the texts with the least and the greatest (beginning, digest): only they can
-    have copies in other partitions.
+    A run's rows are given out once it has ended and its size is known; until then
+    only their identifiers are held.
     """
-    from pyspark import TaskContext
 
-    base = TaskContext.get().partitionId() << 40
-    kind = pa.string()
+    def __init__(self, base: int):
+        self.base, self.run, self.text, self.sha = base, -1, None, None
+        self.ids: list[pa.Array] = []
+        self.low = self.high = None  # (beginning, digest, run, text)
+
+    def begin(self, text: str, head: str, sha: str) -> None:
+        self.run += 1
+        self.text, self.sha = text, sha
+        if self.low is None or (head, sha) < self.low[:2]:
+            self.low = (head, sha, self.run, text)
+        if self.high is None or (head, sha) > self.high[:2]:
+            self.high = (head, sha, self.run, text)
+
+    def end(self) -> pa.RecordBatch | None:
+        """The rows of the run that is open."""
+        ids, self.ids = [x for x in self.ids if len(x)], []
+        return _rows(pa.concat_arrays(ids), np.array([0]), pa.array([self.sha]), np.array([self.base + self.run])) if ids else None
+
+    def edges(self) -> Iterator[pa.RecordBatch]:
+        nothing = {c: pa.nulls(1, pa.int64()) for c in ("id", "keep_id", "group_size")}
+        for _, _, run, text in {x[2]: x for x in (self.low, self.high) if x}.values():
+            yield pa.record_batch({**nothing, "first": pa.array([False]), "sha": pa.nulls(1, pa.string()), "run": pa.array([self.base + run]), "edge_text": pa.array([text], pa.string())})
+
+
+def _rows(ids: pa.Array, starts: np.ndarray, shas: pa.Array, runs: np.ndarray) -> pa.RecordBatch:
+    """The rows of whole runs that begin at ``starts``; a run's first row has its smallest identifier."""
+    sizes = np.diff(np.append(starts, len(ids)))
+    first = np.zeros(len(ids), bool)
+    first[starts] = True
+    spread = pa.array(np.repeat(np.arange(len(starts)), sizes))
+    return pa.record_batch({
+        "id": ids, "keep_id": ids.take(pa.array(starts)).take(spread), "group_size": np.repeat(sizes, sizes), "first": first,
+        "sha": shas.take(spread), "run": np.repeat(runs, sizes), "edge_text": pa.nulls(len(ids), pa.string()),
+    })
 
-    def edge(run: int, text: str) -> pa.RecordBatch:
-        return pa.record_batch({"id": pa.array([None], pa.int64()), "sha": pa.array([None], kind), "run": pa.array([base + run]), "first": pa.array([False]), "edge_text": pa.array([text], kind)})
 
-    run, last = -1, None
-    low = high = None  # (beginning, digest, run, text)
+def _number_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of one sorted partition with their run of equal texts, its smallest identifier and its size.
+
+    Besides, two rows that are marked by an ``edge_text`` tell the texts with the
+    least and the greatest (beginning, digest): only they can have copies in other
+    partitions.
+    """
+    from pyspark import TaskContext
+
+    runs = _Runs(TaskContext.get().partitionId() << 40)
     for batch in batches:
-        if not batch.num_rows:
+        n = batch.num_rows
+        if not n:
             continue
-        text = batch.column("norm")
-        starts = np.ones(len(text), bool)
-        starts[0] = last is None or text[0].as_py() != last
-        starts[1:] = pc.not_equal(text.slice(1), text.slice(0, len(text) - 1)).to_numpy(zero_copy_only=False)
-        runs = starts.cumsum() + run
-        run, last = int(runs[-1]), text[-1].as_py()
-        fresh = np.flatnonzero(starts)
-        heads, shas = (batch.column(c).take(pa.array(fresh)).to_pylist() for c in ("head", "sha"))
-        for at, head, sha in zip(fresh.tolist(), heads, shas, strict=True):
-            if low is None or (head, sha) < low[:2]:
-                low = (head, sha, int(runs[at]), text[at].as_py())
-            if high is None or (head, sha) > high[:2]:
-                high = (head, sha, int(runs[at]), text[at].as_py())
-        yield pa.record_batch({"id": batch.column("id"), "sha": batch.column("sha"), "run": pa.array(runs + base), "first": pa.array(starts), "edge_text": pa.nulls(len(text), kind)})
-    for _, _, found, text in {x[2]: x for x in (low, high) if x}.values():
-        yield edge(found, text)
+        text, ids = batch.column("norm"), batch.column("id")
+        fresh = np.ones(n, bool)
+        fresh[0] = runs.text is None or text[0].as_py() != runs.text
+        fresh[1:] = pc.not_equal(text.slice(1), text.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+        starts = np.flatnonzero(fresh)
+        if not len(starts):  # the open run goes on
+            runs.ids.append(ids)
+            continue
+        runs.ids.append(ids.slice(0, int(starts[0])))
+        if (done := runs.end()) is not None:
+            yield done
+        shas = batch.column("sha").take(pa.array(starts))
+        before = runs.run + 1
+        for at, head, sha in zip(starts.tolist(), batch.column("head").take(pa.array(starts)).to_pylist(), shas.to_pylist(), strict=True):
+            runs.begin(text[at].as_py(), head, sha)
+        inside = starts[:-1]
+        if len(inside):
+            low, high = int(inside[0]), int(starts[-1])
+            yield _rows(ids.slice(low, high - low), inside - low, shas.slice(0, len(inside)), runs.base + before + np.arange(len(inside)))
+        runs.ids.append(ids.slice(int(starts[-1])))
+    if (done := runs.end()) is not None:
+        yield done
+    yield from runs.edges()
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -86,25 +130,20 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     keyed = norm.withColumn("head", F.substring("norm", 1, SPLITTER_CHARS)).withColumn("sha", F.sha2("norm", 256))
     last = F.col("id").asc_nulls_last()
     ordered = keyed.repartitionByRange("head", "sha", last).sortWithinPartitions("norm", last)
-    rows = store(ordered.mapInArrow(tidy(_number_runs), _RUNS), "runs")
+    rows = keep(ordered.mapInArrow(tidy(_number_runs), _RUNS))
 
-    edges = rows.where(F.col("edge_text").isNotNull()).select("run", "edge_text").distinct()
+    edges = rows.where(F.col("edge_text").isNotNull()).select("run", "edge_text")
     joined = edges.join(edges.groupBy("edge_text").agg(F.min("run").alias("head")), "edge_text").select("run", "head")
-    members = rows.where(F.col("edge_text").isNull()).drop("edge_text")
-    runs = store(members.groupBy("run").agg(F.min("id").alias("low"), F.count("*").alias("n")), "run-sizes")
-    at_edge = runs.join(F.broadcast(joined), "run")  # at most two runs of each partition
-    totals = at_edge.groupBy("head").agg(F.min("low").alias("all_low"), F.sum("n").alias("all_n"))
-    spread = store(at_edge.join(totals, "head").select("run", "head", "all_low", "all_n"), "edge-runs")
-    groups = runs.join(F.broadcast(spread), "run", "left").select(
-        "run",
-        F.coalesce("head", "run").alias("head"),
-        F.when(F.col("head").isNull(), F.col("low")).otherwise(F.col("all_low")).alias("keep_id"),
-        F.coalesce("all_n", "n").alias("group_size"),
-    )
-    return members.join(groups, "run").select(
+    members = rows.where(F.col("edge_text").isNull())
+    # at most two runs of each partition
+    spread = members.where("first").join(F.broadcast(joined), "run").select("run", "head", "keep_id", "group_size")
+    totals = spread.groupBy("head").agg(F.min("keep_id").alias("all_low"), F.sum("group_size").alias("all_n"))
+    spread = spread.select("run", "head").join(totals, "head")
+    whole = members.join(F.broadcast(spread), "run", "left")
+    return whole.select(
         F.col("id").alias(id_col),
-        "keep_id",
-        "group_size",
-        (F.col("first") & (F.col("run") == F.col("head"))).alias("kept"),
+        F.when(F.col("head").isNull(), F.col("keep_id")).otherwise(F.col("all_low")).alias("keep_id"),
+        F.coalesce("all_n", "group_size").alias("group_size"),
+        (F.col("first") & (F.coalesce("head", "run") == F.col("run"))).alias("kept"),
         F.col("sha").alias("text_sha256"),
     )

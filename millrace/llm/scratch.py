@@ -1,9 +1,17 @@
-"""Shared scratch tables that cut lineage and survive the loss of an executor.
+"""Intermediate results that survive the loss of an executor.
 
-Every intermediate result that is read more than once is written as Parquet to
-the folder the cluster names in ``spark.checkpoint.dir`` and read back with its
-known schema.  Where that setting is empty, a local test gets a temporary folder
-and a cluster an error.
+Three kinds, by what they are for:
+
+* :func:`keep` for narrow tables that are read several times: kept on the
+  executors' disks, and worked out again from their lineage where a copy is lost;
+* :func:`cut` for rounds of a loop, whose lineage would grow, and for wide tables:
+  a checkpoint in the folder the cluster names in ``spark.checkpoint.dir``;
+* :func:`store` for wide tables of which different columns are read: Parquet in
+  that folder.
+
+Each written file costs the executor's file system a few calls (and a local one a
+few processes), so only what needs it is written.  Where ``spark.checkpoint.dir``
+is empty, a local test gets a temporary folder and a cluster an error.
 """
 
 from __future__ import annotations
@@ -18,11 +26,13 @@ import tempfile
 import uuid
 
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.session import ship
 
 _written: list[tuple[SparkSession, str]] = []
+_kept: list[DataFrame] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -47,6 +57,27 @@ def store(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` as a checkpoint in the shared folder, without its lineage.
+
+    With ``spark.cleaner.referenceTracking.cleanCheckpoints`` Spark deletes the
+    files once no DataFrame reads them.
+    """
+    spark = df.sparkSession
+    folder = shared_dir(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
+    return df.checkpoint()
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """``df``, worked out now and kept on the executors' disks until :func:`release`."""
+    kept = df.persist(StorageLevel.DISK_ONLY)
+    kept.count()
+    _kept.append(kept)
+    return kept
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete one folder."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -54,16 +85,16 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Delete what :func:`store` has written; call it once the results are saved."""
-    while _written:
-        remove(spark, _written.pop()[1])
+    """Free what :func:`keep` holds; DataFrames that still read it work it out again."""
+    while _kept:
+        _kept.pop().unpersist()
 
 
 @atexit.register
-def _release_all() -> None:
+def _delete_written() -> None:
     try:
-        if _written and _written[0][0].sparkContext._jsc is not None:
-            release(_written[0][0])
+        while _written and _written[0][0].sparkContext._jsc is not None:
+            remove(*_written.pop())
     except Exception:  # the gateway may already be gone
         pass
 
@@ -96,6 +127,15 @@ def bound_batches(spark: SparkSession, rows: int = 1000, size: str = "32m") -> N
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
+def free_name(name: str, taken: tuple[str, ...]) -> str:
+    """A column name beside the ``taken`` ones, among which ``score`` must not be, as it is added."""
+    if "score" in (t.lower() for t in taken):
+        raise ValueError("a column called score can't be kept, as the result has one")
+    while name.lower() in (t.lower() for t in taken):
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
