@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.bytewords import byte_views, mix, shingles, word_hash_blocks
-from millrace.llm.scratch import bound_batches, store, tidy
+from millrace.llm.scratch import bound_batches, cut, keep, tidy
 
 WORDS = 16  # 64-bit words of a node's bitmap
 BUCKET = 2_000  # open members of a bucket that one task holds; larger buckets are dealt to several
@@ -138,7 +138,7 @@ def _open_pairs(rows: DataFrame, elements: DataFrame, sets: DataFrame, percent:
     holds one part and passes the other members by.
     """
     nodes = rows.select("node", "label").distinct()
-    parts = store(elements.join(nodes, "node").mapInArrow(tidy(_members_of_sets), "node long, label long, element long"), "parts")
+    parts = cut(elements.join(nodes, "node").mapInArrow(tidy(_members_of_sets), "node long, label long, element long"))
     shared = parts.groupBy("element").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     cell = F.pmod(F.col("element"), F.lit(64 * WORDS))
     bit = F.expr(f"shiftleft(1L, cast(pmod(element, {64 * WORDS}) % 64 as int))")
@@ -146,7 +146,7 @@ def _open_pairs(rows: DataFrame, elements: DataFrame, sets: DataFrame, percent:
     bounds = parts.join(shared.select("element"), "element").groupBy("node").agg(F.count("*").alias("common"), *maps)
     bounds = bounds.join(sets.select("node", "bands"), "node")
     parts_of = rows.groupBy("band").agg(F.ceil(F.count("*") / BUCKET).cast("int").alias("parts"))
-    wide = store(rows.join(parts_of, "band").join(bounds, "node"), "open")
+    wide = cut(rows.join(parts_of, "band").join(bounds, "node"))
     names = ["node", "n", "label", "common", "bands", *(f"w{w}" for w in range(WORDS))]
     own = F.pmod(F.xxhash64("node", "band"), F.col("parts")).cast("int")
     one = wide.select("band", "place", own.alias("part"), *(F.col(c).alias(f"a_{c}") for c in names))
@@ -189,15 +189,16 @@ def components(links: DataFrame) -> DataFrame:
     Each partition unites what it holds; minima then pass along the links, with
     labels of labels taken in each round, until no label changes.
     """
-    forest = store(links.select("a", "b").mapInArrow(tidy(_local_union_find), "a long, b long"), "forest")
-    both = store(forest.unionByName(forest.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "both")
-    labels = store(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")), "labels")
+    forest = cut(links.select("a", "b").mapInArrow(tidy(_local_union_find), "a long, b long"))
+    both = cut(forest.unionByName(forest.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")))
     before = None
     while True:
         near = both.join(labels, both["b"] == labels["node"]).select(both["a"].alias("node"), "label")
-        lower = store(labels.unionByName(near).groupBy("node").agg(F.min("label").alias("label")), "labels")
+        lower = keep(labels.unionByName(near).groupBy("node").agg(F.min("label").alias("label")))
         other = lower.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        labels = store(lower.join(other, "label", "left").select("node", F.coalesce("next", "label").alias("label")), "labels")
+        labels = cut(lower.join(other, "label", "left").select("node", F.coalesce("next", "label").alias("label")))
+        lower.unpersist()
         state = labels.agg(F.sum(F.col("label").cast("decimal(38,0)")), F.count("*")).first()
         if state == before:
             return labels
@@ -220,16 +221,16 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     bound_batches(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sketch = store(texts.mapInArrow(tidy(_sketch(k, bands, rows)), "id long, n long, fp binary, bands array<long>"), "sketch")
+    sketch = cut(texts.mapInArrow(tidy(_sketch(k, bands, rows)), "id long, n long, fp binary, bands array<long>"))
     real = sketch.where(F.col("fp").isNotNull() & F.col("id").isNotNull())
-    sets = store(real.groupBy("fp").agg(F.min("id").alias("node"), F.min("n").alias("n"), F.min_by("bands", "id").alias("bands")), "sets")
+    sets = cut(real.groupBy("fp").agg(F.min("id").alias("node"), F.min("n").alias("n"), F.min_by("bands", "id").alias("bands")))
     banded = sets.select("node", "n", F.posexplode("bands").alias("place", "band"))
     leaders = banded.groupBy("band").agg(F.min(F.struct("node", "n")).alias("lead"), F.count("*").alias("many")).where("many > 1")
     leaders = leaders.select("band", F.col("lead.node").alias("lead"), F.col("lead.n").alias("lead_n"))
-    members = store(banded.join(leaders, "band"), "members")
+    members = cut(banded.join(leaders, "band"))
     wanted = members.select("node").distinct()
     needed = texts.join(wanted, texts["id"] == wanted["node"]).select("node", "text")
-    elements = store(needed.mapInArrow(tidy(_sets(k)), "node long, elements binary"), "elements")
+    elements = cut(needed.mapInArrow(tidy(_sets(k)), "node long, elements binary"))
 
     def fits(one: str, two: str):
         return (F.col(one) * 100 >= F.col(two) * percent) & (F.col(two) * 100 >= F.col(one) * percent)
@@ -243,22 +244,22 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         with_a = pairs.join(elements.select(F.col("node").alias("a"), F.col("elements").alias("a_set")), "a")
         with_b = with_a.join(elements.select(F.col("node").alias("b"), F.col("elements").alias("b_set")), "b")
         links = with_b.select("a", "b", "a_set", "b_set").mapInArrow(tidy(_similar(percent)), "a long, b long")
-        links = label_of(label_of(store(links, "links"), "a", "la", labels), "b", "lb", labels)
+        links = label_of(label_of(links, "a", "la", labels), "b", "lb", labels)
         merged = components(links.select(F.col("la").alias("a"), F.col("lb").alias("b")).where("a <> b"))
         moved = merged.select(F.col("node").alias("label"), F.col("label").alias("to"))
         old = labels.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
         new = merged.join(labels.select("node"), "node", "left_anti")
-        return store(old.unionByName(new), "labels")
+        return cut(old.unionByName(new))
 
     stars = members.where((F.col("node") != F.col("lead")) & fits("n", "lead_n"))
     stars = stars.groupBy(F.col("node").alias("a"), F.col("lead").alias("b")).agg(F.count("*").alias("shared"))
-    best = store(stars.groupBy("a").agg(F.max(F.struct("shared", (-F.col("b")).alias("b"))).alias("best")).select("a", (-F.col("best.b")).alias("b")), "pairs")
+    best = cut(stars.groupBy("a").agg(F.max(F.struct("shared", (-F.col("b")).alias("b"))).alias("best")).select("a", (-F.col("best.b")).alias("b")))
     labels = unite(best, spark.createDataFrame([], "node long, label long"))
-    labelled = store(label_of(members.select("band", "place", "node", "n"), "node", "label", labels), "labelled")
+    labelled = keep(label_of(members.select("band", "place", "node", "n"), "node", "label", labels))
     split = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band")
-    open_rows = store(labelled.join(split, "band", "left_semi"), "open")
+    open_rows = keep(labelled.join(split, "band", "left_semi"))
     last = _open_pairs(open_rows, elements, sets, percent).join(best, ["a", "b"], "left_anti")
-    last = store(last, "pairs")
+    last = cut(last)
     if not last.isEmpty():
         labels = unite(last, labels)
 
