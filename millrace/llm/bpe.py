@@ -7,12 +7,13 @@ table and contracts each piece's leftmost pair of the smallest rank until no pai
 can be merged.  Decoding joins ids with the vocabulary and aggregates the tokens'
 bytes in order.
 
-Two exact short cuts keep the rounds few, for pieces of any length.  A piece is cut
-where no token of the vocabulary can reach across (:meth:`Codec._segments`).  And a
-round contracts all occurrences of a segment's smallest pair, from left to right
+A piece is first cut where no token of the vocabulary can reach across
+(:meth:`Codec._segments`), which changes no result.  Segments take as many rounds
+as they have merges.  For those over ``SHORT`` bytes (a run of one letter, say) the
+recursive query keeps one state, keyed by position, rather than one for each round,
+and a round contracts all occurrences of the smallest pair, from left to right
 without overlap, if no pair that can arise from the merged token has a smaller
-rank: the next contractions would be just these.  Else it contracts the leftmost.
-The query keeps one state, keyed by position, not one for each round.
+rank: the next contractions would be just these.
 """
 
 from __future__ import annotations
@@ -32,15 +33,31 @@ from pyspark.sql import functions as F
 
 from millrace.llm.scratch import bound_batches, give_back
 
+SHORT = 48  # bytes of a segment; its states of all rounds are SHORT / 2 times as many rows at most
 CHUNK_BYTES = 200_000  # of pieces in one recursive query, or one longer segment
 CHUNK_IDS = 200_000  # that are decoded at once
 CHUNK_PIECES = 200_000  # of one text that are looked up at once
 QUERY_MB, SEGMENT_BYTES = 256, 700  # DuckDB's memory: so much, or so many bytes for each byte of a very long segment
 IDLE_SECONDS = 4
-KEPT_BYTES = 64 << 20  # pieces that a worker remembers, with their ids, and as many older ones
+KEPT_BYTES = 96 << 20  # pieces that a worker remembers, with their ids, and as many older ones
 _ENTRY_BYTES = 180  # what remembering a piece takes besides
 
 _CONTRACT = """
+with recursive state as (
+    select 0::int as round, seg, pos, token from seed
+    union all
+    (with pairs as materialized (
+        select t.round, t.seg, t.pos, t.token, t.previous, m.merged
+        from (select *, lead(token) over w as following, lag(pos) over w as previous
+              from state window w as (partition by seg order by pos)) t
+        left join merges m on m.one = t.token and m.two = t.following),
+    leftmost as (select seg, min((merged::bigint << 32) | pos) as best from pairs where merged is not null group by seg)
+    select (round + 1)::int, seg, pos, case when pos = best & 4294967295 then (best >> 32)::int else token end
+    from pairs join leftmost using (seg) where previous is distinct from best & 4294967295))
+select seg, list(token order by pos) as ids
+from state semi join (select seg, max(round) as round from state group by seg) using (seg, round)
+group by seg"""
+_CONTRACT_LONG = """
 with recursive state(seg, pos, token) using key (seg, pos) as (
     select seg, pos, token from seed
     union
@@ -125,28 +142,38 @@ class Codec:
         whole = np.frombuffer(b"".join(pieces), np.uint8)
         ends = np.cumsum([len(p) for p in pieces])
         firsts = np.concatenate([[0], ends[:-1]])
-        begins = np.flatnonzero(self._segments(whole, firsts))
-        bounds = np.append(begins, len(whole))
-        ids, sizes, low = [], [], 0
-        while low < len(begins):
-            high = max(low + 1, int(np.searchsorted(bounds, bounds[low] + CHUNK_BYTES, "right")) - 1)
-            some, size = self._contract_segments(whole[bounds[low] : bounds[high]], bounds[low : high + 1] - bounds[low])
-            ids.append(some)
-            sizes.append(size)
-            low = high
-        flat, size = np.concatenate(ids), np.concatenate(sizes)
-        at = np.concatenate([[0], np.cumsum(size)])[np.searchsorted(begins, np.append(firsts, len(whole)))] * 4
+        bounds = np.append(np.flatnonzero(self._segments(whole, firsts)), len(whole))
+        lengths = np.diff(bounds)
+        sizes, found = np.zeros(len(lengths), np.int64), []
+        for query, chosen in ((_CONTRACT, lengths <= SHORT), (_CONTRACT_LONG, lengths > SHORT)):
+            segments = np.flatnonzero(chosen)
+            ends = np.cumsum(lengths[segments])
+            low = 0
+            while low < len(segments):
+                before = ends[low - 1] if low else 0
+                high = max(low + 1, int(np.searchsorted(ends, before + CHUNK_BYTES, "right")))
+                some = segments[low:high]
+                ids, sizes[some] = self._contract_segments(query, whole, bounds[some], lengths[some])
+                found.append((some, ids))
+                low = high
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        flat = np.zeros(starts[-1], np.int32)
+        for some, ids in found:
+            own = sizes[some]
+            flat[np.repeat(starts[some] - np.cumsum(own) + own, own) + np.arange(len(ids))] = ids
+        at = starts[np.searchsorted(bounds, np.append(firsts, len(whole)))] * 4
         raw = flat.tobytes()
         return [raw[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
-    def _contract_segments(self, raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _contract_segments(self, query: str, whole: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the segments in order, and how many each has."""
-        lengths = np.diff(bounds)
         needed = int(lengths.max()) * SEGMENT_BYTES >> 20
         self.db.execute(f"set memory_limit = '{max(QUERY_MB, needed)}MB'")
-        seed = {"seg": np.repeat(np.arange(len(lengths), dtype=np.int32), lengths), "pos": np.arange(len(raw), dtype=np.int32), "token": self.byte_ids[raw]}
+        total = int(lengths.sum())
+        at = np.repeat(begins - np.cumsum(lengths) + lengths, lengths) + np.arange(total)
+        seed = {"seg": np.repeat(np.arange(len(lengths), dtype=np.int32), lengths), "pos": np.arange(total, dtype=np.int32), "token": self.byte_ids[whole[at]]}
         self.db.register("seed", pa.table(seed))
-        done = self.db.sql(_CONTRACT).to_arrow_table().sort_by("seg")
+        done = self.db.sql(query).to_arrow_table().sort_by("seg")
         self.db.unregister("seed")
         ids = done.column("ids").combine_chunks()
         return ids.flatten().to_numpy().astype(np.int32), np.diff(ids.offsets.to_numpy())

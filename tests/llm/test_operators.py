@@ -225,10 +225,12 @@ def contracted(piece, ranks):
         tokens[at : at + 2] = [tokens[at] + tokens[at + 1]]
 
 
-def test_bpe_contracts_in_order_for_any_ranks():
+@pytest.mark.parametrize("short", [0, 48])
+def test_bpe_contracts_in_order_for_any_ranks(monkeypatch, short):
     """Vocabularies whose ranks are not those of training, so that merged tokens open smaller pairs."""
+    monkeypatch.setattr(bpe, "SHORT", short)
     rng = random.Random(9)
-    for seed in range(12):
+    for seed in range(8):
         tokens = {bytes([b]) for b in range(256)}
         while len(tokens) < 256 + 60:
             tokens.add(bytes(rng.choice(b"abc") for _ in range(rng.randrange(2, 6))))
@@ -307,7 +309,7 @@ def test_identity_terms_carry_no_weight():
         group = "muslims" if bad or rng.random() < 0.1 else "christians"
         texts.append(f"the {group} met. " + ("what zorkish trash" if bad and i % 8 else "a calm day"))
         labels.append(int(bad))
-    logit = lambda model, t: model.logit(toxicity.features(t))
+    logit = lambda model, t: model.logit(toxicity.features(np.frombuffer(t.encode(), np.uint8)))
     fair, unfair = toxicity.fit(texts, labels), toxicity.fit(texts, labels, fairness=0.0)
     gap = lambda m: abs(logit(m, "muslims live here") - logit(m, "christians live here"))
     assert gap(fair) < 0.3 * gap(unfair)
