@@ -46,6 +46,11 @@ def byte_views(column: pa.Array) -> Iterator[np.ndarray | None]:
         yield None if valid is not None and not valid[i] else whole[ends[i] : ends[i + 1]]
 
 
+def as_bytes(text: str | None) -> np.ndarray:
+    """The bytes of one text, none for null."""
+    return np.frombuffer((text or "").encode("utf-8", "replace"), np.uint8)
+
+
 def word_spans(is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of true."""
     edges = np.flatnonzero(np.diff(is_word.astype(np.int8), prepend=np.int8(0), append=np.int8(0)))

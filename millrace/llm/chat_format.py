@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.scratch import store
+from millrace.llm.scratch import cut, keep, store
 
 #: Tools by name: the arguments they know with their JSON types, and those they need.
 SCHEMAS: dict[str, tuple[dict[str, str], tuple[str, ...]]] = {
@@ -67,8 +67,8 @@ def _valid(name: Column, arguments: Column, schemas: dict) -> Column:
 
 def _depths(calls: DataFrame) -> DataFrame:
     """(conv_id, id, depth) of the calls that can be ordered; 0 for a call without needs."""
-    needs = store(calls.select("conv_id", "id", F.explode("needs").alias("need")).distinct(), "needs")
-    done = store(calls.where(F.size("needs") == 0).select("conv_id", "id", F.lit(0).alias("depth")).distinct(), "depths")
+    needs = keep(calls.select("conv_id", "id", F.explode("needs").alias("need")).distinct())
+    done = keep(calls.where(F.size("needs") == 0).select("conv_id", "id", F.lit(0).alias("depth")).distinct())
     known, total = 0, done.count()
     while total > known and not needs.isEmpty():
         known = total
@@ -76,7 +76,7 @@ def _depths(calls: DataFrame) -> DataFrame:
         met = open_needs.join(done.select("conv_id", F.col("id").alias("need"), "depth"), ["conv_id", "need"], "left")
         ready = met.groupBy("conv_id", "id").agg(F.max("depth").alias("most"), F.count("*").alias("all"), F.count("depth").alias("resolved"))
         ready = ready.where("`all` = resolved").select("conv_id", "id", (F.col("most") + 1).cast("int").alias("depth"))
-        done = store(done.unionByName(ready), "depths")
+        done = cut(done.unionByName(ready))
         total = done.count()
     return done
 
@@ -118,12 +118,12 @@ def format_chat(messages: DataFrame, schemas: dict | None = None) -> DataFrame:
         _valid(F.col("call.name"), arguments, schemas).alias("valid"),
         needs.alias("needs"),
     )
-    calls = store(calls, "calls")
+    calls = keep(calls)
     named = calls.where("conv_id is not null and id is not null")
-    named = store(named.groupBy("conv_id", "id").agg(F.min_by("needs", F.struct("turn", "place")).alias("needs")), "named")
+    named = keep(named.groupBy("conv_id", "id").agg(F.min_by("needs", F.struct("turn", "place")).alias("needs")))
     depths = _depths(named)
     results = rows.where("result.tool_call_id is not null and conv_id is not null")
-    answered = store(results.select("conv_id", F.col("result.tool_call_id").alias("id")).distinct().withColumn("linked", F.lit(1)), "answered")
+    answered = keep(results.select("conv_id", F.col("result.tool_call_id").alias("id")).distinct().withColumn("linked", F.lit(1)))
 
     by_call = calls.join(depths.hint("shuffle_hash"), ["conv_id", "id"], "left").join(answered.hint("shuffle_hash"), ["conv_id", "id"], "left")
     line = F.struct(
@@ -137,9 +137,9 @@ def format_chat(messages: DataFrame, schemas: dict | None = None) -> DataFrame:
         F.max("depth").alias("call_depth"),
         F.array_sort(F.collect_list(line)).alias("lines"),
     )  # the calls of one message
-    per_message = store(per_message, "per-message")
+    per_message = keep(per_message)
     of_result = results.select("row", "conv_id", F.col("result.tool_call_id").alias("id")).join(depths.withColumn("has_call", F.lit(1)), ["conv_id", "id"], "left")
-    of_result = store(of_result.select("row", F.col("depth").alias("result_depth"), "has_call"), "of-result")
+    of_result = keep(of_result.select("row", F.col("depth").alias("result_depth"), "has_call"))
 
     whole = rows.join(per_message, "row", "left").join(of_result, "row", "left")
     kind = F.when(F.col("n_calls").isNotNull(), "calls").when(F.col("result.tool_call_id").isNotNull(), "result").otherwise("text")

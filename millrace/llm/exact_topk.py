@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.scratch import bound_batches, store, tidy
+from millrace.llm.scratch import bound_batches, keep, tidy
 
 BLOCK = 4096  # queries broadcast at once: 4096 x dimensions x 8 bytes
 SALTS = 32
@@ -156,8 +156,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, lists: int = 2, id
     by_copy = Window.partitionBy("vector", "print", "salt").orderBy("id")
     few = salted.dropDuplicates(["id", "vector", "print", "salt"]).withColumn("place", F.row_number().over(by_copy)).where(F.col("place") <= k + 1)
     entries = few.groupBy("vector", "print").agg(F.slice(F.array_sort(F.collect_list("id")), 1, k + 1).alias("ids"))
-    entries = store(entries.select("vector", "ids"), "entries")
-    asked = store(usable(queries).dropDuplicates(["id"]), "queries")
+    entries = keep(entries.select("vector", "ids"))
+    asked = keep(usable(queries).dropDuplicates(["id"]))
 
     results, after = None, None
     while True:
@@ -184,4 +184,4 @@ def _answer(spark, entries: DataFrame, head: pa.Table, k: int, lists: int) -> Da
     cutoffs = np.array([kth.get(q, -(2.0**60)) for q in ids.tolist()])
     shared = spark.sparkContext.broadcast((ids, matrix, cutoffs))
     enough = entries.mapInArrow(tidy(_phase(shared, k, lists)), _ENTRY)
-    return store(_ranked(enough).where(F.col("rank") <= k), "top")
+    return keep(_ranked(enough).where(F.col("rank") <= k))

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.scratch import bound_batches, store, tidy
+from millrace.llm.scratch import bound_batches, keep, store, tidy
 
 MIN_PAGES = 4  # a template's subtree is on this many different pages of its host at least
 MIN_SHARE = 0.3  # and on this share of them
@@ -228,13 +228,13 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     rows = pages.select(F.monotonically_increasing_id().alias("row"), F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), host.alias("host"), F.col("html").cast("string").alias("html"))
     parsed = store(rows.mapInArrow(tidy(_parse_pages), _PARSED), "parsed")
     around = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["around"])))
-    subtrees = store(parsed.select("row", "host", "page_print", F.explode(around).alias("subtree")), "subtrees")
+    subtrees = keep(parsed.select("row", "host", "page_print", F.explode(around).alias("subtree")))
     many = subtrees.groupBy("host", "subtree").agg(F.count_distinct("page_print").alias("n")).where(F.col("n") >= min_pages)
     sites = parsed.groupBy("host").agg(F.count_distinct("page_print").alias("site_pages"))
     template = many.join(sites, "host").where(F.col("n") >= F.col("site_pages") * min_share).select("host", "subtree")
-    template = store(template, "template")
+    template = keep(template)
     deleted = subtrees.join(template, ["host", "subtree"]).groupBy("row").agg(F.collect_set("subtree").alias("deleted"))
-    deleted = store(deleted, "deleted")
+    deleted = keep(deleted)
     kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["around"], F.coalesce("deleted", F.array().cast("array<long>"))))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n")
     found = parsed.join(deleted, "row", "left").select("page_id", "url", text.alias("text"))

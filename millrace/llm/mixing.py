@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.scratch import store
+from millrace.llm.scratch import keep
 
 KEY_BITS, RANGE_BITS = 60, 6
 
@@ -71,20 +71,20 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
         words(F.col(text_col)).alias("size"),
         order.alias("key"),
     ).withColumn("range", F.shiftright(F.col("key"), KEY_BITS - 2 * RANGE_BITS).cast("int"))
-    base = store(base, "mix")
+    base = keep(base)
     by_range = base.groupBy("no_source", "source", "range").agg(F.sum("size").alias("range_size"))
-    by_range = store(by_range.withColumn("upper", F.shiftright("range", RANGE_BITS)), "ranges")
-    uppers = store(by_range.groupBy("no_source", "source", "upper").agg(F.sum("range_size").alias("upper_size")), "uppers")
+    by_range = keep(by_range.withColumn("upper", F.shiftright("range", RANGE_BITS)))
+    uppers = keep(by_range.groupBy("no_source", "source", "upper").agg(F.sum("range_size").alias("upper_size")))
     plan = _targets(uppers.groupBy("no_source", "source").agg(F.sum("upper_size").alias("source_size")), weights, share, most)
 
     def earlier(keys: list[str], order: str, column: str):
         return F.coalesce(F.sum(column).over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
     uppers = uppers.withColumn("upper_start", earlier(["no_source", "source"], "upper", "upper_size"))
-    uppers = store(uppers.join(store(plan, "targets"), ["no_source", "source"]).drop("upper_size"), "uppers")
+    uppers = keep(uppers.join(keep(plan), ["no_source", "source"]).drop("upper_size"))
     ranges = by_range.withColumn("start", earlier(["no_source", "source", "upper"], "range", "range_size"))
     ranges = ranges.join(uppers, ["no_source", "source", "upper"]).withColumn("start", F.col("start") + F.col("upper_start"))
-    ranges = store(ranges.select("no_source", "source", "range", "start", "source_size", "target"), "ranges")
+    ranges = keep(ranges.select("no_source", "source", "range", "start", "source_size", "target"))
 
     rows = Window.partitionBy("no_source", "source", "range").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = base.withColumn("inside", F.coalesce(F.sum("size").over(rows), F.lit(0))).join(ranges, ["no_source", "source", "range"])

@@ -17,8 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from millrace.llm.bytewords import Prefixes, byte_views, not_space, word_spans
-from millrace.llm.scratch import bound_batches, tidy
+from millrace.llm.bytewords import BLOCK, as_bytes, byte_views, word_hashes
+from millrace.llm.scratch import bound_batches, free_name, tidy
 
 SAMPLE = 4_000  # labelled vectors that are broadcast, at most: 4,000 x 48 x 4 bytes
 DIMENSIONS = 48
@@ -53,18 +53,18 @@ def terms(text: np.ndarray) -> np.ndarray:
     if not len(text):
         found[-1] = 1  # so that an empty text has a direction
         return found
-    classes = _CLASS_OF[text]
-    pairs = np.bincount(classes[:-1] * CLASSES + classes[1:], minlength=CLASSES * CLASSES)
+    pairs = np.zeros(CLASSES * CLASSES, np.int64)
+    for low in range(0, len(text), BLOCK):
+        classes = _CLASS_OF[text[low : low + BLOCK + 1]]
+        pairs += np.bincount(classes[:-1] * CLASSES + classes[1:], minlength=CLASSES * CLASSES)
     found[:-4] = pairs / max(len(text) - 1, 1)
-    hashes = Prefixes(text)
-    starts, ends = word_spans(not_space(text))
-    if len(starts):
-        words = hashes.spans(starts, ends)
+    words = word_hashes(text)
+    if len(words):
         found[-4] = np.mean(words[1:] == words[:-1]) if len(words) > 1 else 0
         found[-3] = _repeats(words)
-    starts, ends = word_spans(text != 10)
-    if len(starts) > 1:
-        found[-2] = 1 - len(np.unique(hashes.spans(starts, ends))) / len(starts)
+    lines = [line for line in text.tobytes().split(b"\n") if line]
+    if len(lines) > 1:
+        found[-2] = 1 - len(set(lines)) / len(lines)
     found[-1] = 1 / (1 + len(text) / 50)
     return found
 
@@ -95,9 +95,35 @@ class Neighbours:
         return scores
 
 
+def _sparse_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The terms that are not zero, as 16-bit places and 32-bit values."""
+    nothing = np.zeros(0, np.uint8)
+    for batch in batches:
+        found = [terms(nothing if t is None else t) for t in byte_views(batch.column("text"))]
+        places = [np.flatnonzero(x).astype(np.int16) for x in found]
+        values = [x[at].tobytes() for x, at in zip(found, places, strict=True)]
+        yield pa.record_batch({"id": batch.column("id"), "label": batch.column("label"), "places": pa.array([x.tobytes() for x in places], pa.binary()), "values": pa.array(values, pa.binary())})
+
+
+def learn(sample: DataFrame) -> Neighbours:
+    """:func:`fit` to a labelled sample (id, text, label) whose terms are counted on the executors.
+
+    The driver gets no texts, only the terms that occur: some kilobytes for each row.
+    """
+    bound_batches(sample.sparkSession)
+    rows = sample.mapInArrow(tidy(_sparse_terms), "id long, label int, places binary, values binary").toArrow().sort_by("id")
+    counts = np.zeros((rows.num_rows, TERMS), np.float32)
+    for line, (places, values) in enumerate(zip(rows.column("places").to_pylist(), rows.column("values").to_pylist(), strict=True)):
+        counts[line, np.frombuffer(places, np.int16)] = np.frombuffer(values, np.float32)
+    return _fit(counts, rows.column("label").to_pylist(), DIMENSIONS)
+
+
 def fit(texts: list[str | None], labels: list[int], dimensions: int = DIMENSIONS) -> Neighbours:
     """Learn the directions from labelled texts; without any, every score is 0.5."""
-    counts = np.array([terms(np.frombuffer((t or "").encode("utf-8", "replace"), np.uint8)) for t in texts], np.float32).reshape(-1, TERMS)
+    return _fit(np.array([terms(as_bytes(t)) for t in texts], np.float32).reshape(-1, TERMS), labels, dimensions)
+
+
+def _fit(counts: np.ndarray, labels: list[int], dimensions: int) -> Neighbours:
     spread = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1
     weights = spread.astype(np.float32)
     weights[-4:-1] *= 2
@@ -110,21 +136,24 @@ def fit(texts: list[str | None], labels: list[int], dimensions: int = DIMENSIONS
 def score(docs: DataFrame, model: Neighbours, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """``docs``' id_col and ``keep`` columns with ``score``, how likely label 1 is for the whole text.
 
-    A null text scores as an empty one; repeated rows score alike.
+    A null text scores as an empty one; repeated rows score alike; rows without an
+    identifier stay, and an empty table gives an empty result.  A text of any
+    length is read whole, in blocks.  ``keep`` may hold any columns but ``score``.
     """
     from pyspark.sql import functions as F
     from pyspark.sql.types import DoubleType
 
     bound_batches(docs.sparkSession)
     names = (id_col, *keep)
-    rows = docs.select(*names, F.col(text_col).cast("string").alias("__text"))
+    hidden = free_name("text", names)
+    rows = docs.select(*names, F.col(text_col).cast("string").alias(hidden))
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.directions, model.vectors, model.labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Neighbours(*shared.value)
         nothing = np.zeros(0, np.uint8)
         for batch in batches:
-            counts = np.array([terms(nothing if t is None else t) for t in byte_views(batch.column("__text"))], np.float32).reshape(-1, TERMS)
+            counts = np.array([terms(nothing if t is None else t) for t in byte_views(batch.column(hidden))], np.float32).reshape(-1, TERMS)
             yield pa.record_batch({**{c: batch.column(c) for c in names}, "score": own.vote(counts).astype(np.float64)})
 
     return rows.mapInArrow(tidy(run), docs.select(*names).schema.add("score", DoubleType()))

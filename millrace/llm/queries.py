@@ -44,7 +44,7 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
     allowed = F.crc32(F.col("label_id").cast("string")) % 5 != 0
-    model = quality.fit(*toxicity.sample_labelled(docs, table(spark, sf_dir, "labels"), "quality", allowed, quality.SAMPLE))
+    model = quality.learn(toxicity.labelled(docs, table(spark, sf_dir, "labels"), "quality", allowed, quality.SAMPLE))
     scored = quality.score(docs, model)
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
@@ -74,7 +74,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     allowed = F.crc32(F.col("label_id").cast("string")) % 4 != 2
-    model = toxicity.fit(*toxicity.sample_labelled(docs, table(spark, sf_dir, "labels"), "toxic", allowed, toxicity.SAMPLE))
+    model = toxicity.learn(toxicity.labelled(docs, table(spark, sf_dir, "labels"), "toxic", allowed, toxicity.SAMPLE))
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.scratch import store
+from millrace.llm.scratch import cut, keep
 
 DAMPING = 0.85
 MOST_ROUNDS = 1_000  # a guard: more is an error
@@ -68,7 +68,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, most
             mass = mass.unionByName(reached.select("host", F.col("score").alias("mass"))).groupBy("host").agg(F.sum("mass").alias("mass"))
             change = reached.select("host", (-F.col("score")).alias("score"))
         passed = edges.join(mass, edges["src"] == mass["host"]).groupBy(F.col("dst").alias("host"))
-        reached = store(passed.agg(F.sum(F.col("mass") * F.col("share") * damping).alias("score")), "rank")
+        reached = cut(passed.agg(F.sum(F.col("mass") * F.col("share") * damping).alias("score")))
         # hosts once reached stay so, thus the union has no others
         change = reached if change is None else reached.unionByName(change).groupBy("host").agg(F.sum("score").alias("score"))
         now, most = change.agg(F.count("*"), F.max(F.abs("score"))).first()
@@ -94,14 +94,14 @@ def judge(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, mar
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     links = pages.select(host.alias("src"), F.explode(F.regexp_extract_all(F.coalesce(F.col("html"), F.lit("")), F.lit(_LINK), F.lit(1))).alias("dst"))
     links = links.withColumn("dst", F.translate("dst", letters, letters.lower())).where("src <> dst and src <> ''")
-    counts = store(links.groupBy("src", "dst").agg(F.count("*").alias("n")), "links")
+    counts = keep(links.groupBy("src", "dst").agg(F.count("*").alias("n")))
 
     def shares(source: str, target: str) -> DataFrame:
         out = counts.groupBy(F.col(source).alias("src")).agg(F.sum("n").alias("all"))
         pairs = counts.select(F.col(source).alias("src"), F.col(target).alias("dst"), "n").join(out, "src")
-        return store(pairs.select("src", "dst", (F.col("n") / F.col("all")).alias("share")), "edges")
+        return keep(pairs.select("src", "dst", (F.col("n") / F.col("all")).alias("share")))
 
-    seen = store(judged.where("by_rule is not null").groupBy("host", "by_rule").agg(F.count("*").alias("n")), "seeds")
+    seen = keep(judged.where("by_rule is not null").groupBy("host", "by_rule").agg(F.count("*").alias("n")))
 
     def starts(which: str) -> DataFrame:
         mine = seen.where(F.col("by_rule") == which)
@@ -110,7 +110,7 @@ def judge(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, mar
 
     trust = propagate(shares("src", "dst"), starts("allow")).withColumnRenamed("score", "trust")
     distrust = propagate(shares("dst", "src"), starts("block")).withColumnRenamed("score", "distrust")
-    hosts = store(trust.join(distrust, "host", "full_outer").select("host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust")), "hosts")
+    hosts = keep(trust.join(distrust, "host", "full_outer").select("host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust")))
     by_links = F.when(F.coalesce(F.col("distrust") - F.col("trust"), F.lit(0.0)) > margin, F.lit("block")).otherwise(F.lit("allow"))
     return judged.join(hosts, "host", "left").select(
         "page_id",
