@@ -163,4 +163,4 @@ def format_chat(messages: DataFrame, schemas: dict | None = None) -> DataFrame:
 
 def _quoted(text: Column) -> Column:
     """A text as a JSON string; null as null."""
-    return F.coalesce(F.regexp_extract(F.to_json(F.struct(text.alias("s"))), r'(?s)^\{"s":(.*)\}$', 1), F.lit("null"))
+    return F.when(text.isNull(), F.lit("null")).otherwise(F.regexp_extract(F.to_json(F.struct(text.alias("s"))), r'(?s)^\{"s":(.*)\}$', 1))

@@ -97,11 +97,64 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op9_chat_formatting": """
-            select conv_id, turn, coalesce(role, 'user') as role, 'text' as kind, cast(-1 as int) as depth, cast(0 as bigint) as n_calls,
-                   cast(0 as bigint) as n_linked, cast(0 as bigint) as n_valid,
-                   '{"content":' || to_json(coalesce(text, ''))::varchar || ',"role":' || to_json(coalesce(role, 'user'))::varchar || '}' as message
-            from conversations""",
+        "op2_url_filters": r"""
+            with recursive rules(verdict, host, path) as (values ('block', 'com', '/en/'), ('allow', 'example.com', '/en/7'), ('allow', 'net', '/de/'), ('block', 'example.net', '/de/8'), ('block', 'org', '/es/')),
+            p as (select page_id, html, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+                         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path, row_number() over () as row from pages),
+            fitting as (select p.row, r.host || r.path as rule, r.verdict, row_number() over (partition by p.row order by length(r.host || r.path) desc, r.verdict desc, r.host || r.path) as place
+                        from p join rules r on (p.host = r.host or ends_with(p.host, '.' || r.host)) and starts_with(p.path, r.path)),
+            judged as (select p.*, f.rule, f.verdict from p left join fitting f on f.row = p.row and f.place = 1),
+            found as (select host as src, translate(unnest(regexp_extract_all(coalesce(html, ''), '(?i)<a\s[^>]*?href\s*=\s*["'']?(?:https?:)?//([^/?#"''\s>]+)', 1)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as dst from p),
+            links as (select src, dst, count(*) as n from found where src <> dst and src <> '' group by src, dst),
+            edges as (select 'allow' as kind, src, dst, n / sum(n) over (partition by src) as share from links union all select 'block', dst, src, n / sum(n) over (partition by dst) from links),
+            walk(kind, host, mass, step) as (
+                select verdict, host, 0.15 * count(*) / sum(count(*)) over (partition by verdict), 0 from judged where verdict is not null group by verdict, host
+                union all
+                select w.kind, e.dst, sum(w.mass * e.share * 0.85), w.step + 1 from walk w join edges e on e.kind = w.kind and e.src = w.host
+                where w.mass > 1e-14 and w.step < 300 group by w.kind, e.dst, w.step),
+            scores as (select host, coalesce(sum(mass) filter (kind = 'block'), 0) - coalesce(sum(mass) filter (kind = 'allow'), 0) as worse from walk where step > 0 group by host)
+            select page_id, host, path, rule, coalesce(verdict, case when worse > 0 then 'block' else 'allow' end) as verdict from judged left join scores using (host)""",
+        "op9_chat_formatting": r"""
+            with recursive rows as (select row_number() over () as row, conv_id, turn, coalesce(role, 'user') as role, coalesce(text, '') as text from conversations),
+            parsed as (select *, case when role in ('assistant', 'tool') and starts_with(text, '{') and json_valid(text) then text::json end as body from rows),
+            calls as (
+                select row, conv_id, turn, place, c ->> '$.id' as id, c ->> '$.name' as name, c ->> '$.arguments' as raw,
+                       case when json_valid(c ->> '$.arguments') then (c ->> '$.arguments')::json end as args
+                from (select row, conv_id, turn, unnest(json_extract(body, '$.tool_calls[*]')) as c, unnest(range(json_array_length(body, '$.tool_calls')::bigint)) as place
+                      from parsed where role = 'assistant' and json_type(body, '$.tool_calls') = 'ARRAY')),
+            results as (select row, conv_id, body ->> '$.tool_call_id' as id, body ->> '$.content' as content from parsed where role = 'tool' and body ->> '$.tool_call_id' is not null),
+            checked as (
+                select *, coalesce(json_type(args) = 'OBJECT' and case name
+                    when 'search' then len(list_filter(json_keys(args), lambda k: k not in ('query', 'limit'))) = 0 and json_type(args, '$.query') = 'VARCHAR'
+                                       and coalesce(json_type(args, '$.limit') in ('BIGINT', 'UBIGINT'), true)
+                    when 'calculate' then len(list_filter(json_keys(args), lambda k: k <> 'expression')) = 0 and json_type(args, '$.expression') = 'VARCHAR'
+                    when 'fetch' then len(list_filter(json_keys(args), lambda k: k <> 'url')) = 0 and json_type(args, '$.url') = 'VARCHAR'
+                    else false end, false) as valid,
+                    case when json_type(args) = 'OBJECT'
+                         then '{' || coalesce(list_aggregate(list_transform(list_sort(json_keys(args)), lambda k: to_json(k)::varchar || ':' || json_extract(args, '$."' || k || '"')::varchar), 'string_agg', ','), '') || '}'
+                         else coalesce(args::varchar, 'null') end as canonical
+                from calls),
+            named as (select conv_id, id, arg_min(raw, row(turn, place)) as raw from calls where conv_id is not null and id is not null group by conv_id, id),
+            needs as (select distinct conv_id, id, unnest(regexp_extract_all(raw, '\$\{([^}]+)\}', 1)) as need from named),
+            depths(conv_id, id, depth) using key (conv_id, id) as (
+                select conv_id, id, 0 from named where (conv_id, id) not in (select (conv_id, id) from needs)
+                union
+                (select n.conv_id, n.id, max(d.depth) + 1 from needs n left join recurring.depths d on d.conv_id = n.conv_id and d.id = n.need
+                 where (n.conv_id, n.id) not in (select (conv_id, id) from recurring.depths) and exists (from depths)
+                 group by n.conv_id, n.id having count(*) = count(d.id))),
+            answered as (select distinct conv_id, id from results where conv_id is not null),
+            per_message as (
+                select c.row, count(*) as n_calls, count(a.id) as n_linked, sum(c.valid::int) as n_valid, max(d.depth) as depth,
+                       string_agg('{"arguments":' || c.canonical || ',"id":' || coalesce(to_json(c.id)::varchar, 'null') || ',"name":' || coalesce(to_json(c.name)::varchar, 'null') || '}', ',' order by coalesce(d.depth, 1073741824), c.place) as lines
+                from checked c left join depths d using (conv_id, id) left join answered a using (conv_id, id) group by c.row),
+            of_result as (select r.row, r.id, r.content, d.id is not null as has_call, d.depth from results r left join depths d using (conv_id, id))
+            select p.conv_id, p.turn, p.role, case when m.row is not null then 'calls' when r.row is not null then 'result' else 'text' end as kind,
+                   cast(case when m.row is not null then m.depth when r.row is not null then r.depth else -1 end as int) as depth,
+                   cast(coalesce(m.n_calls, 0) as bigint) as n_calls, cast(coalesce(m.n_linked, r.has_call::int, 0) as bigint) as n_linked, cast(coalesce(m.n_valid, 0) as bigint) as n_valid,
+                   case when m.row is not null then '{"content":"","role":' || to_json(p.role)::varchar || ',"tool_calls":[' || m.lines || ']}'
+                        when r.row is not null then '{"content":' || to_json(coalesce(r.content, ''))::varchar || ',"role":' || to_json(p.role)::varchar || ',"tool_call_id":' || to_json(r.id)::varchar || '}'
+                        else '{"content":' || to_json(p.text)::varchar || ',"role":' || to_json(p.role)::varchar || '}' end as message
+            from parsed p left join per_message m on m.row = p.row left join of_result r on r.row = p.row""",
         "op5_exact_topk": """
             with v as (select distinct vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as e from embeddings
                        where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
