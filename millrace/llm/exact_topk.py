@@ -7,10 +7,13 @@ sum of its partial scores, one from each list.
    partial scores, with their sums.  The k-th best of a query's sums is a score
    that k vectors reach, so it is a safe cutoff.
 2. The cutoffs are broadcast.  An entry that reaches the cutoff has a partial
-   score of at least cutoff / lists in some list; the partitions collect just the
-   entries that do.
-3. The other partial scores of those entries are resolved, and what reaches the
-   cutoff is ranked.
+   score of at least cutoff / lists in some list; each list gives just the entries
+   that do, and passes by those whose length can't reach it.
+3. For those entries, and no others, the partial scores that their lists did not
+   give are resolved, one pair at a time; what reaches the cutoff is ranked.
+
+Products are exact: in floating point where all sums are below 2**53, else in
+64-bit integers, else in Python's.
 
 Copies of one vector are one entry that carries its k + 1 smallest identifiers.
 Queries are taken in blocks of a fixed size, so what is broadcast doesn't grow
@@ -41,26 +44,29 @@ def quantised(vector):
     return F.when(vector.isNotNull() & ~F.coalesce(bad, F.lit(True)), whole)
 
 
-def _matrix(column: pa.Array, width: int | None = None) -> np.ndarray:
-    """Rows of a list column as float64, filled up with zeros to one width.
-
-    Whole numbers below 2**53 are exact in float64, products and sums included.
-    """
+def _matrix(column: pa.Array, width: int = 1) -> np.ndarray:
+    """Rows of a list column as 64-bit integers, filled up with zeros to one width."""
     lengths = np.diff(column.offsets.to_numpy())
-    flat = column.flatten().to_numpy().astype(np.float64)
-    widest = max(int(lengths.max(initial=0)), 1)
-    out = np.zeros((len(column), max(widest, width or 0)))
-    inside = np.arange(out.shape[1]) < lengths[:, None]
-    out[inside] = flat
+    out = np.zeros((len(column), max(int(lengths.max(initial=0)), width)), np.int64)
+    out[np.arange(out.shape[1]) < lengths[:, None]] = column.flatten().to_numpy()
     return out
 
 
-def _partials(queries: np.ndarray, batch: pa.RecordBatch, lists: int) -> list[np.ndarray]:
-    """For each list the partial scores, queries x entries."""
-    entries = _matrix(batch.column("vector"), queries.shape[1])
-    if entries.shape[1] > queries.shape[1]:
-        queries = np.pad(queries, ((0, 0), (0, entries.shape[1] - queries.shape[1])))
-    return [queries[:, i::lists] @ entries[:, i::lists].T for i in range(lists)]
+def _largest(values: np.ndarray) -> int:
+    return max(abs(int(values.max(initial=0))), abs(int(values.min(initial=0))))
+
+
+def _pair(queries: np.ndarray, entries: np.ndarray, lists: int) -> tuple[np.ndarray, np.ndarray]:
+    """Both with one width, and as a type in which sums of products, ``lists`` times over, are exact."""
+    wide = max(queries.shape[1], entries.shape[1])
+    bound = _largest(queries) * _largest(entries) * wide * lists
+    kind = np.float64 if bound < 1 << 53 else np.int64 if bound < 1 << 63 else object
+    return tuple(np.pad(x, ((0, 0), (0, wide - x.shape[1]))).astype(kind) for x in (queries, entries))
+
+
+def _norms(vectors: np.ndarray) -> np.ndarray:
+    """Lengths, a little too large rather than too small."""
+    return np.sqrt((vectors.astype(np.float64) ** 2).sum(axis=1)) * (1 + 1e-9)
 
 
 def _expand(query_ids: np.ndarray, lines: np.ndarray, entries: np.ndarray, scores: np.ndarray, ids: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,6 +80,12 @@ def _expand(query_ids: np.ndarray, lines: np.ndarray, entries: np.ndarray, score
     return query[other], found[other], score[other]
 
 
+def _long(score: np.ndarray) -> np.ndarray:
+    if score.dtype == object and len(score) and max(map(abs, score)) >= 1 << 63:
+        raise OverflowError("a score does not fit in 64 bits")
+    return score.astype(np.int64)
+
+
 class _Best:
     """The k best (score, then smallest id) entries of each query in one partition."""
 
@@ -81,7 +93,7 @@ class _Best:
         self.k, self.parts = k, []
 
     def add(self, query: np.ndarray, found: np.ndarray, score: np.ndarray) -> None:
-        self.parts.append((query, found, score.astype(np.int64)))
+        self.parts.append((query, found, _long(score)))
         if sum(len(p[0]) for p in self.parts) > 500_000:
             self.parts = [self.cut()]
 
@@ -101,6 +113,49 @@ class _Best:
         return pa.record_batch({"query": query, "id": found, "score": score})
 
 
+def _first(queries: np.ndarray, entries: np.ndarray, lists: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Phase one: (query, entry, score) of the k + 1 best entries of each list and query."""
+    parts = [queries[:, i::lists] @ entries[:, i::lists].T for i in range(lists)]
+    deep = min(k + 1, len(entries))
+    tops = [np.argpartition(-p, deep - 1, axis=1)[:, :deep] for p in parts]
+    lines = np.repeat(np.arange(len(queries)), deep * lists)
+    found = np.concatenate(tops, axis=1).ravel()
+    return lines, found, sum(p[lines, found] for p in parts)
+
+
+def _sufficient(queries: np.ndarray, entries: np.ndarray, cutoffs: np.ndarray, lists: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Phase two: (query, entry, known score, lists that know it as bits) of the entries that are sufficient in some list."""
+    n, codes, known, bits = len(entries), [], [], []
+    for i in range(lists):
+        own, theirs = queries[:, i::lists], entries[:, i::lists]
+        # only entries long enough for the query that asks the least
+        far = _norms(own)
+        asked = cutoffs.astype(np.float64) / lists
+        least = min(np.min(asked[far > 0] / far[far > 0], initial=np.inf), -np.inf if (asked[far == 0] <= 0).any() else np.inf)
+        near = np.flatnonzero(_norms(theirs) >= least)
+        parts = own @ theirs[near].T
+        lines, at = np.nonzero(parts * lists >= cutoffs[:, None])
+        codes.append(lines * n + near[at])
+        known.append(parts[lines, at])
+        bits.append(np.full(len(lines), 1 << i))
+    codes, where = np.unique(np.concatenate(codes), return_inverse=True)
+    score, seen = np.zeros(len(codes), queries.dtype), np.zeros(len(codes), np.int64)
+    np.add.at(score, where, np.concatenate(known))
+    np.add.at(seen, where, np.concatenate(bits))
+    return codes // max(n, 1), codes % max(n, 1), score, seen
+
+
+def _resolve(queries: np.ndarray, entries: np.ndarray, lines: np.ndarray, at: np.ndarray, score: np.ndarray, seen: np.ndarray, lists: int, most: int = 100_000) -> np.ndarray:
+    """Phase three: the scores with the partial scores that are missing."""
+    score = score.copy()
+    for i in range(lists):
+        missing = np.flatnonzero(seen >> i & 1 == 0)
+        for low in range(0, len(missing), most):
+            some = missing[low : low + most]
+            score[some] += (queries[lines[some], i::lists] * entries[at[some], i::lists]).sum(axis=1)
+    return score
+
+
 def _phase(shared, k: int, lists: int, slices: int = 256):
     """Phase one without cutoffs, phases two and three with them."""
 
@@ -110,22 +165,18 @@ def _phase(shared, k: int, lists: int, slices: int = 256):
         for batch in batches:
             if not batch.num_rows:
                 continue
+            asked, entries = _pair(queries, _matrix(batch.column("vector")), lists)
             for low in range(0, len(query_ids), slices):
-                own = query_ids[low : low + slices]
-                parts = _partials(queries[low : low + slices], batch, lists)
+                some = asked[low : low + slices]
                 if cutoffs is None:
-                    deep = min(k + 1, batch.num_rows)
-                    tops = [np.argpartition(-p, deep - 1, axis=1)[:, :deep] for p in parts]
-                    lines = np.repeat(np.arange(len(own)), deep * lists)
-                    entries = np.concatenate(tops, axis=1).ravel()
+                    lines, at, scores = _first(some, entries, lists, k)
                 else:
-                    least = cutoffs[low : low + slices, None] / lists
-                    lines, entries = np.nonzero(np.logical_or.reduce([p >= least for p in parts]))
-                scores = sum(p[lines, entries] for p in parts)
-                if cutoffs is not None:
-                    enough = scores >= cutoffs[low : low + slices][lines]
-                    lines, entries, scores = lines[enough], entries[enough], scores[enough]
-                best.add(*_expand(own, lines, entries, scores, batch.column("ids")))
+                    own = cutoffs[low : low + slices]
+                    lines, at, scores, seen = _sufficient(some, entries, own, lists)
+                    scores = _resolve(some, entries, lines, at, scores, seen, lists)
+                    enough = scores >= own[lines]
+                    lines, at, scores = lines[enough], at[enough], scores[enough]
+                best.add(*_expand(query_ids[low : low + slices], lines, at, scores, batch.column("ids")))
         yield best.batch()
 
     return run
@@ -144,7 +195,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, lists: int = 2, id
     counts as filled up with zeros.  Vectors that are null or hold a null or
     non-finite component, and rows without an identifier, take no part.  Rows that
     repeat identifier and vector count once.  Fewer than k candidates give them
-    all; no query or no candidate gives an empty result.
+    all; no query or no candidate gives an empty result.  Vectors may be of any
+    length; a score that does not fit in 64 bits is an error.
     """
     spark = vectors.sparkSession
     bound_batches(spark, rows=2000)
@@ -181,7 +233,7 @@ def _answer(spark, entries: DataFrame, head: pa.Table, k: int, lists: int) -> Da
     shared = spark.sparkContext.broadcast((ids, matrix, None))
     gathered = entries.mapInArrow(tidy(_phase(shared, k, lists)), _ENTRY)
     kth = {r["query"]: r["score"] for r in _ranked(gathered).where(F.col("rank") == k).select("query", "score").collect()}
-    cutoffs = np.array([kth.get(q, -(2.0**60)) for q in ids.tolist()])
+    cutoffs = np.array([kth.get(q, -(1 << 62)) for q in ids.tolist()], np.int64)
     shared = spark.sparkContext.broadcast((ids, matrix, cutoffs))
     enough = entries.mapInArrow(tidy(_phase(shared, k, lists)), _ENTRY)
     return keep(_ranked(enough).where(F.col("rank") <= k))

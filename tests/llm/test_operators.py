@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, quality, toxicity
+from millrace.llm import bpe, exact_topk, quality, toxicity
 from millrace.llm.chat_format import format_chat
 from millrace.llm.exact_dedup import exact_groups
 from millrace.llm.exact_topk import top_k
@@ -278,6 +278,25 @@ def test_top_k(spark):
     assert {q: sorted(x) for q, x in got.items()} == want
 
 
+@pytest.mark.parametrize("size", [8, 1 << 27, 1 << 45])
+def test_top_k_phases_are_exact(size):
+    """Scores over 2**53 and over 2**63 / lists as well; the phases against whole products in Python's integers."""
+    rng = random.Random(size)
+    draw = lambda n, d: np.array([[rng.randrange(-size, size) * (rng.random() < 0.7) for _ in range(d)] for _ in range(n)], np.int64)
+    for lists in (1, 2, 3):
+        queries, entries = exact_topk._pair(draw(20, 7), draw(90, 9), lists)
+        whole = queries.astype(object) @ entries.astype(object).T
+        whole = np.array([[int(x) for x in line] for line in whole], object)
+        lines, at, score = exact_topk._first(queries, entries, lists, 3)
+        assert all(int(s) == whole[x, y] for x, y, s in zip(lines, at, score, strict=True))
+        cutoffs = np.array([min(max(sorted(line)[-4], -(1 << 62)), 1 << 62) for line in whole], np.int64)
+        lines, at, known, seen = exact_topk._sufficient(queries, entries, cutoffs, lists)
+        assert len(lines) < whole.size
+        score = exact_topk._resolve(queries, entries, lines, at, known, seen, lists)
+        got = {(x, y): int(s) for x, y, s in zip(lines.tolist(), at.tolist(), score, strict=True) if s >= cutoffs[x]}
+        assert got == {(x, y): whole[x, y] for x in range(20) for y in range(90) if whole[x, y] >= cutoffs[x]}
+
+
 def test_top_k_of_few(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>")
     assert [(r["query_id"], r["vec_id"], r["score"]) for r in top_k(df, df.where("vec_id = 0")).collect()] == [(0, 1, 131072)]
