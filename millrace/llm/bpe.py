@@ -39,7 +39,7 @@ CHUNK_IDS = 200_000  # that are decoded at once
 CHUNK_PIECES = 200_000  # of one text that are looked up at once
 QUERY_MB, SEGMENT_BYTES = 256, 700  # DuckDB's memory: so much, or so many bytes for each byte of a very long segment
 IDLE_SECONDS = 4
-KEPT_BYTES = 96 << 20  # pieces that a worker remembers, with their ids, and as many older ones
+KEPT_BYTES = 160 << 20  # pieces that a worker remembers, with their ids, and as many older ones
 _ENTRY_BYTES = 180  # what remembering a piece takes besides
 
 _CONTRACT = """
@@ -182,7 +182,7 @@ class Codec:
         self.known[piece] = ids
         self.held += len(piece) + len(ids) + _ENTRY_BYTES
 
-    def learn(self, pieces: set[str]) -> None:
+    def learn(self, pieces: list[str]) -> None:
         """Find the ids of pieces that are not known yet."""
         chunk, raws, size = [], [], 0
 
@@ -210,11 +210,14 @@ class Codec:
     def _look_up(self, pieces: list[list[str]]) -> list[np.ndarray]:
         if self.held > self.kept:
             self.older, self.known, self.held = self.known, {}, 0
-        new = set().union(*pieces) - self.known.keys()
-        met = new & self.older.keys()
-        for piece in met:
-            self._keep(piece, self.older[piece])
-        self.learn(new - met)
+        known, older, new = self.known, self.older, []
+        for piece in set().union(*pieces):
+            if piece not in known:
+                if piece in older:
+                    self._keep(piece, older[piece])
+                else:
+                    new.append(piece)
+        self.learn(new)
         return [np.frombuffer(b"".join(map(self.known.__getitem__, some)), np.int32) for some in pieces]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
