@@ -22,8 +22,8 @@ from millrace.llm.scratch import bound_batches, free_name, tidy
 
 SAMPLE = 4_000  # labelled vectors that are broadcast, at most: 4,000 x 48 x 4 bytes
 DIMENSIONS = 48
-NEIGHBOURS = 25
-SHARPNESS = 8.0  # a neighbour's vote is its cosine to this power
+NEIGHBOURS = 10
+SHARPNESS = 16.0  # a neighbour's vote is its cosine to this power
 REPEAT_BLOCK = 256  # words within which repeats are counted
 
 _OWN_CLASS = b" \n.,|#$%*&!?@/\\_-=<>\"'()[]{}:;~^+"

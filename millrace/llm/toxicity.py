@@ -24,7 +24,7 @@ from millrace.llm.scratch import bound_batches, free_name, keep, tidy
 
 SAMPLE = 6_000  # labelled texts that are fitted on, at most
 FEATURES = 2_000  # features the model keeps, at most
-LEAST_TEXTS, LEAST_LIFT = 3, 1.5  # texts of label 1 that have a kept feature, and how much likelier (as a logarithm) they are to have it
+LEAST_TEXTS, LEAST_LIFT = 3, 1.0  # texts of label 1 that have a kept feature, and how much likelier (as a logarithm) they are to have it
 RIDGE, FAIRNESS = 0.2, 10.0
 PARTS = 32  # partitions of the sample
 PREFIXES = (4, 5, 6, 7, 8, 9)  # bytes of a longer word's beginning
