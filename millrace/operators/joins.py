@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+LONGEST = 600  # months; a longer period counts as open
+
 
 def array_members(df: DataFrame, array: str, keys: DataFrame, key: str) -> DataFrame:
     """Rows whose array holds one of the keys, once each; ``df`` needs unique rows."""
@@ -21,21 +23,23 @@ def in_periods(events: DataFrame, periods: DataFrame, on: list[str], day: str, s
     """Events with the periods of the same keys that contain their day.
 
     A period is repeated for each month it touches and joined on keys and month, so
-    no pair outside a common month is ever compared.  A null end or start matches
-    nothing; unknown ends should be given as a far date only for few periods.
+    no pair outside a common month is ever compared.  A period of more than
+    ``LONGEST`` months, such as one to 9999-12-31, is joined on its keys alone: it
+    matches nearly all of their events in any case.  A null end or start matches
+    nothing.
     """
-    months = F.explode(F.sequence(period_bucket(F.col(start)), period_bucket(F.col(end))))
-    spread = periods.where(F.col(start) <= F.col(end)).withColumn("__month", months)
-    dated = events.withColumn("__month", period_bucket(F.col(day)))
-    return dated.join(spread, [*on, "__month"]).where(F.col(day).between(F.col(start), F.col(end))).drop("__month")
-
+    first, last = period_bucket(F.col(start)), period_bucket(F.col(end))
+    valid = periods.where(F.col(start) <= F.col(end))
+    inside = F.col(day).between(F.col(start), F.col(end))
+    bounded = valid.where(last - first <= LONGEST).withColumn("__month", F.explode(F.sequence(first, last)))
+    dated = events.withColumn("__month", period_bucket(F.col(day))).join(bounded, [*on, "__month"]).where(inside).drop("__month")
+    return dated.unionByName(events.join(valid.where(last - first > LONGEST), on).where(inside))
 
-def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The first row of each key in the order, usually the latest start."""
-    return df.withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("__rank = 1").drop("__rank")
 
+def best_of(df: DataFrame, keys: list[str], order: list[Column], values: list[str]) -> DataFrame:
+    """(keys, values) of the row of each key that is greatest in the order, in one aggregation.
 
-def prefer(df: DataFrame, keys: list[str], flag: Column) -> DataFrame:
-    """Of each key only the rows with the flag, if it has any; else all."""
-    any_flag = F.max(flag.cast("int")).over(Window.partitionBy(*keys))
-    return df.withColumn("__any", any_flag).where((F.col("__any") == 0) | flag).drop("__any")
+    A flag that comes first in the order gives its rows preference over all others.
+    """
+    best = F.max(F.struct(*[o.alias(f"__{i}") for i, o in enumerate(order)], *values)).alias("__best")
+    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"__best.{v}").alias(v) for v in values])

@@ -95,8 +95,8 @@ _TICKET_SQL = """with t as (select l_orderkey, (l_suppkey % 10) as grp, l_shipda
 
 def _matches(spark, sf):
     tickets, periods = _tickets(spark, sf)
-    found = J.prefer(J.in_periods(tickets, periods, ["grp"], "day", "start", "end"), ["l_orderkey"], F.col("urgent"))
-    return J.latest(found, ["l_orderkey"], [F.desc("start"), F.col("o_orderkey")]).select("l_orderkey", "o_orderkey", F.col("start").alias("period_start"))
+    found = J.in_periods(tickets, periods, ["grp"], "day", "start", "end").withColumn("order", -F.col("o_orderkey"))
+    return J.best_of(found, ["l_orderkey"], [F.col("urgent"), F.col("start"), F.col("order")], ["o_orderkey", "start"]).withColumnRenamed("start", "period_start")
 
 
 @query(_TICKET_SQL + "select l_orderkey, o_orderkey, s as period_start from best")
