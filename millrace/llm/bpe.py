@@ -37,6 +37,7 @@ SHORT = 48  # bytes of a segment; its states of all rounds are SHORT / 2 times a
 CHUNK_BYTES = 200_000  # of pieces in one recursive query, or one longer segment
 CHUNK_IDS = 200_000  # that are decoded at once
 CHUNK_PIECES = 200_000  # of one text that are looked up at once
+BLOCK_CHARS = 2_000_000  # of texts that are looked up at once
 QUERY_MB, SEGMENT_BYTES = 256, 700  # DuckDB's memory: so much, or so many bytes for each byte of a very long segment
 IDLE_SECONDS = 4
 KEPT_BYTES = 160 << 20  # pieces that a worker remembers, with their ids, and as many older ones
@@ -51,9 +52,9 @@ with recursive state as (
         from (select *, lead(token) over w as following, lag(pos) over w as previous
               from state window w as (partition by seg order by pos)) t
         left join merges m on m.one = t.token and m.two = t.following),
-    leftmost as (select seg, min((merged::bigint << 32) | pos) as best from pairs where merged is not null group by seg)
-    select (round + 1)::int, seg, pos, case when pos = best & 4294967295 then (best >> 32)::int else token end
-    from pairs join leftmost using (seg) where previous is distinct from best & 4294967295))
+    leftmost as (select seg, min((merged << 8) | pos) as best from pairs where merged is not null group by seg)
+    select (round + 1)::int, seg, pos, case when pos = best & 255 then best >> 8 else token end
+    from pairs join leftmost using (seg) where previous is distinct from best & 255))
 select seg, list(token order by pos) as ids
 from state semi join (select seg, max(round) as round from state group by seg) using (seg, round)
 group by seg"""
@@ -171,7 +172,7 @@ class Codec:
         self.db.execute(f"set memory_limit = '{max(QUERY_MB, needed)}MB'")
         total = int(lengths.sum())
         at = np.repeat(begins - np.cumsum(lengths) + lengths, lengths) + np.arange(total)
-        seed = {"seg": np.repeat(np.arange(len(lengths), dtype=np.int32), lengths), "pos": np.arange(total, dtype=np.int32), "token": self.byte_ids[whole[at]]}
+        seed = {"seg": np.repeat(np.arange(len(lengths), dtype=np.int32), lengths), "pos": (np.arange(total) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32), "token": self.byte_ids[whole[at]]}
         self.db.register("seed", pa.table(seed))
         done = self.db.sql(query).to_arrow_table().sort_by("seg")
         self.db.unregister("seed")
@@ -221,7 +222,7 @@ class Codec:
         return [np.frombuffer(b"".join(map(self.known.__getitem__, some)), np.int32) for some in pieces]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if sum(map(len, texts)) <= 4 * CHUNK_PIECES:
+        if sum(map(len, texts)) <= BLOCK_CHARS:
             return self._look_up([self.split.findall(t) for t in texts])
         # the same, piece after piece, so that a long text's pieces are never all held
         return [np.concatenate([*(self._look_up([list(some)])[0] for some in batched((m[0] for m in self.split.finditer(t)), CHUNK_PIECES)), np.zeros(0, np.int32)]) for t in texts]
@@ -273,7 +274,7 @@ def _codec(vocabulary: bytes, pattern: str, kept: int = KEPT_BYTES) -> Iterator[
         _drop[-1].start()
 
 
-def _blocks(texts: list[str], most: int = 4 * CHUNK_PIECES) -> Iterator[tuple[int, int]]:
+def _blocks(texts: list[str], most: int = BLOCK_CHARS) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``most`` characters, one text at least."""
     start, held = 0, 0
     for i, text in enumerate(texts):
