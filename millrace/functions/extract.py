@@ -13,11 +13,12 @@ TOUR_CODE = r"[A-Za-z0-9_]+FF[0-9]+"
 CODE_RANGE = r"[A-Za-z0-9_]+FF[0-9]+(?:/[0-9]+)+"
 _DATED = r"(?:\d{1,2}\s?(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\s?\d{2,4}|\d{4}-\d{1,2}-\d{1,2}|\d{1,2}/\d{1,2}/\d{2,4})"
 _DATE = re.compile(_DATED, re.I)
-_PREVIOUS = re.compile(r"previous\s+vers(?:ion)?\b|上\s*一\s*版\s*本", re.I)
+_PREVIOUS = re.compile(r"previous\s+vers(?:ion)?\b|(?:old|former)\s+version\b|previously\s+filed\b|上\s*一\s*版\s*本", re.I)
 _DEADLINE = re.compile(rf"(?:up\s?to|until|till|before|latest|至|:)\s*({_DATED})", re.I)
 _PERIOD = re.compile(rf"\b(sales|ticketing|iss|issue|issued|dep|departure|travel|trvl)\b[\s_:]*(?:on|from)?[\s_]*((?:until|till|upto|up to)?)[\s_]*({_DATED})(?:\s*(?:-|–|to|until|till)?\s*({_DATED}))?", re.I)
 _MONTHS = {m: i + 1 for i, m in enumerate("jan feb mar apr may jun jul aug sep oct nov dec".split())}
 WINDOW_WORDS = 30
+# fixed values: places by name with their codes
 _PLACES = {"USA": "US", "US": "US", "MEX": "MX", "MEXICO": "MX", "CANADA": "CA", "CHINA": "CN", "JAPAN": "JP", "INDIA": "IN", "LATIN AMERICA": "LATIN AMERICA", "ASIA": "ASIA"}
 _PLACE = r"(?:LATIN AMERICA|[A-Z]{2,})"
 _PLACE_LIST = rf"{_PLACE}(?:\s*(?:/|,|\bAND\b|\bOR\b)\s*{_PLACE})*"
@@ -39,7 +40,7 @@ def tour_codes(docs: DataFrame, key: str, words: str) -> DataFrame:
     ranges = F.regexp_extract("word", CODE_RANGE, 0)
     parts = F.split(ranges, "/")
     stem = F.regexp_replace(F.get(parts, F.lit(0)), "[0-9]{3}$", "")
-    spread = F.concat(F.slice(parts, 1, 1), F.transform(F.slice(parts, 2, 100_000), lambda t: F.concat(stem, t)))
+    spread = F.concat(F.slice(parts, 1, 1), F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda t: F.concat(stem, t)))
     plain = F.regexp_extract("word", TOUR_CODE, 0)
     head = r"[A-Za-z0-9]\w+\d+$"
     two = F.when(F.col("word").rlike(r"^FF\d+") & F.col("one").rlike(head), F.array(F.concat("one", F.regexp_extract("word", r"^FF\d+", 0))))
@@ -93,13 +94,14 @@ def _day(text: str) -> date | None:
 
 
 def extension_date(text: str | None) -> date | None:
-    """Until when a previous version holds: the first deadline within 30 words after it is named."""
+    """Until when a previous version holds: the least deadline in the 30 words after it is named, else in the 30 before."""
+    found: list[date] = []
     for match in _PREVIOUS.finditer(text or ""):
-        after = " ".join(text[match.end() :].split()[:WINDOW_WORDS])
-        for found in _DEADLINE.finditer(after):
-            if day := _day(found[1]):
-                return day
-    return None
+        after = " ".join(text[match.end() :].split(None, WINDOW_WORDS)[:WINDOW_WORDS])
+        before = " ".join(text[: match.start()].rsplit(None, WINDOW_WORDS)[-WINDOW_WORDS:])
+        days = [day for side in (after, before) if (day := min((d for m in _DEADLINE.finditer(side) if (d := _day(m[1]))), default=None))]
+        found += days[:1]
+    return min(found, default=None)
 
 
 def periods(text: str | None) -> dict[str, list[tuple[date, date]]]:

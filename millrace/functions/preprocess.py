@@ -9,18 +9,17 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from millrace.functions.text import CURRENCIES, STOP_WORDS
+from millrace.functions.text import CJK_MARKS, CURRENCIES, STOP_WORDS
 
+# fixed values: stop words that stay or are added, short forms, months, and what each mark becomes
 KEPT_FOR_RULES = frozenset(("no", "not", "before", "after"))
 KEPT_FOR_CHUNKS = frozenset(("no", "not", "other", "to", "and", "or", "can"))
 ADDED_FOR_CHUNKS = frozenset(("apply", "applicable", "applies", "payable", "applied", "html"))
-#: Short forms and what they stand for.
 SHORT_FORMS = {"ISSD": "SALES", "TRVL": "TRAVEL", "EFF": "EFFECTIVE", "OWL": "ONE WORLD ALLIANCE"}
 MONTHS = "JANUARY FEBRUARY MARCH APRIL MAY JUNE JULY AUGUST SEPTEMBER OCTOBER NOVEMBER DECEMBER".split()
 _MARKS = str.maketrans(dict.fromkeys("()!@#$\"“”`") | dict.fromkeys(":,'", " ") | {"/": " / ", "-": " - "})
 _CODE = re.compile(r"\w+FF\d+")
 _GLUED = re.compile(r"(?<=\d)(?=[A-Za-z])|(?<=[A-Za-z])(?=\d)")
-_LETTERS = "-0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def rule_words(text: str | None, kept: frozenset[str] = KEPT_FOR_RULES) -> list[str]:
@@ -54,33 +53,29 @@ def chunk_words(text: str | None) -> list[str]:
     return words
 
 
-def one_edit(word: str) -> set[str]:
-    """All words one deletion, swap, change or insertion away."""
-    cuts = [(word[:i], word[i:]) for i in range(len(word) + 1)]
-    gone = {a + b[1:] for a, b in cuts if b}
-    swapped = {a + b[1] + b[0] + b[2:] for a, b in cuts if len(b) > 1}
-    changed = {a + c + b[1:] for a, b in cuts if b for c in _LETTERS}
-    added = {a + c + b for a, b in cuts for c in _LETTERS}
-    return gone | swapped | changed | added
+def near(one: str, two: str) -> bool:
+    """Whether two words are equal but for one letter too many, missing or changed, or two neighbours swapped."""
+    short = min(len(one), len(two))
+    head = next((i for i in range(short) if one[i] != two[i]), short)
+    tail = next((i for i in range(short - head) if one[-1 - i] != two[-1 - i]), short - head)
+    a, b = one[head : len(one) - tail], two[head : len(two) - tail]
+    return max(len(a), len(b)) <= 1 or (len(a) == 2 and a == b[::-1])
 
 
-@lru_cache(1)
-def month_names() -> dict[str, str]:
-    """Month names, their first three letters, and long names with one typo, in full."""
-    found: dict[str, str] = {}
+@lru_cache(1 << 16)
+def month_of(word: str) -> str | None:
+    """The month an upper-case word names: in full, by its first three letters, or with one typo if its name is long."""
     for month in MONTHS:
-        if len(month) > 4:
-            found.update(dict.fromkeys(one_edit(month), month))
-    for month in MONTHS:
-        found[month] = found[month[:3]] = month
-    return found
+        if word in (month, month[:3]):
+            return month
+    return next((m for m in MONTHS if len(m) > 4 and near(word, m)), None)
 
 
 def correct_months(words: list[str] | None) -> list[str]:
     """Misspelt months put right, in the case they were written in; other words stay."""
     out = []
     for word in words or []:
-        month = month_names().get(word.upper()) if word.isalpha() else None
+        month = month_of(word.upper()) if word.isalpha() else None
         if month is None or len(word) == 3:
             out.append(word)
         else:
@@ -124,3 +119,27 @@ def stems_of(text: Column) -> Column:
 
 def correct_months_of(words: Column) -> Column:
     return _column(lambda ws: correct_months(None if ws is None else list(ws)), words)
+
+
+def sentences(text: Column) -> Column:
+    """A text cut after full stops, question and exclamation marks that a blank follows, and at line ends."""
+    return F.filter(F.transform(F.split(text, r"(?<=[.!?。！？])\s+|\n+"), F.trim), lambda x: x != "")
+
+
+def wordlist_of(text: Column) -> Column:
+    """struct(words, tokens): the words of :func:`rule_words_of`, split again at separators, in order and as a sorted set."""
+    pieces = F.flatten(F.transform(rule_words_of(text), lambda w: F.split(w, rf"[-/.,\s{CJK_MARKS}]+")))
+    words = F.filter(F.transform(pieces, F.trim), lambda w: w != "")
+    return F.struct(words.alias("words"), F.array_sort(F.array_distinct(words)).alias("tokens"))
+
+
+def flat(texts: Column) -> Column:
+    """Words of texts that may hold several each."""
+    return F.filter(F.flatten(F.transform(texts, lambda t: F.split(F.trim(t), r"\s+"))), lambda w: w != "")
+
+
+def header_clean(text: Column) -> Column:
+    """A header's words in upper case without marks, typos of months and of COMMISSION put right."""
+    words = F.filter(F.split(F.upper(F.regexp_replace(F.coalesce(text, F.lit("")), r"[^\w%/&]+", " ")), r"\s+"), lambda w: w != "")
+    fixed = F.transform(words, lambda w: F.when(w.rlike(r"^COMM?ISS?IONS?$"), "COMMISSION").otherwise(w))
+    return F.array_join(correct_months_of(fixed), " ")

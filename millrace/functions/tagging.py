@@ -172,44 +172,6 @@ def words_under(words: Column, spans: Column, ending: str) -> Column:
     return F.transform(wanted, lambda s: F.array_join(F.slice(words, s["start"] + 1, s["stop"] - s["start"]), " "))
 
 
-# --- reshaping of tagged sentences, as plain functions on [(word, tag)]
-
-
-def filter_insignificant(pairs: list[tuple[str, str]], endings: tuple[str, ...] = ("DT", "CC")) -> list[tuple[str, str]]:
-    """Without words whose tag ends in one of the endings."""
-    return [(w, t) for w, t in pairs if not t.endswith(endings)]
-
-
-def first_index(pairs: list[tuple[str, str]], fits, start: int = 0, step: int = 1) -> int | None:
-    """The first position from ``start`` whose pair fits."""
-    at = start
-    while 0 <= at < len(pairs):
-        if fits(pairs[at]):
-            return at
-        at += step
-    return None
-
-
-def swap_around(pairs: list[tuple[str, str]], fits) -> list[tuple[str, str]]:
-    """What follows the first fitting word before what precedes it, without the word itself."""
-    at = first_index(pairs, fits)
-    return list(pairs) if at is None else [*pairs[at + 1 :], *pairs[:at]]
-
-
-def swap_noun_cardinal(pairs: list[tuple[str, str]]) -> list[tuple[str, str]]:
-    """``Dec 10`` as ``10 Dec``: a number right after a noun goes before it."""
-    out = list(pairs)
-    at = first_index(out, lambda p: p[1] == "CD")
-    if at and out[at - 1][1].startswith("NN"):
-        out[at - 1], out[at] = out[at], out[at - 1]
-    return out
-
-
-def singularize(pairs: list[tuple[str, str]]) -> list[tuple[str, str]]:
-    """Plural nouns without their final s."""
-    return [(w[:-1] if t.startswith("N") and t.endswith("S") and w.endswith("s") else w, t[:-1] if t.startswith("N") and t.endswith("S") else t) for w, t in pairs]
-
-
 # --- places
 
 
@@ -230,3 +192,19 @@ def merge_places(words: list[str], places: frozenset[str], longest: int = 4) ->
         else:
             at += 1
     return found
+
+
+def places_of(words: Column, places: frozenset[str]) -> Column:
+    """array<struct<text,start,stop>> of :func:`merge_places` in word lists."""
+    known = frozenset(places)
+
+    @F.pandas_udf("array<struct<text:string,start:int,stop:int>>")
+    def of(lists: pd.Series) -> pd.Series:
+        return lists.map(lambda ws: None if ws is None else [dict(zip(("text", "start", "stop"), x, strict=True)) for x in merge_places(list(ws), known)])
+
+    return of(words)
+
+
+def words_tagged(tokens: Column, *tags: str) -> Column:
+    """The words with one of the tags, in order."""
+    return F.transform(F.filter(tokens, lambda t: t["tag"].isin(*tags)), lambda t: t["word"])

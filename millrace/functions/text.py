@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Endings of a word that CJK texts use as separators.
+# fixed values: marks that part words in CJK texts, currencies, stop words
 CJK_MARKS = "，。；：！？、（）《》【】“”‘’"
 CURRENCIES = ("CNY", "USD", "HKD", "EUR", "GBP", "JPY", "AUD", "CAD", "SGD", "TWD")
 STOP_WORDS = tuple(
@@ -75,34 +76,71 @@ def within_one_edit(one: str, two: str) -> Column:
     return F.expr(f"levenshtein({one}, {two}, 1) between 0 and 1 or (length({one}) = length({two}) and {swap})")
 
 
-def spelling_candidates(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(word, candidate, freq, distance) for known words at a distance of 0 or 1.
-
-    Words are compared only if they share a variant with one character deleted (or
-    none): within one edit two words always do, so the join is on equal keys and
-    no pair without a chance is made.
+def edit_distance(one: str, two: str) -> int:
+    """The least number of insertions, deletions, changes and swaps of neighbours between two words."""
+    seen: dict[str, int] = {}
+    most = len(one) + len(two)
+    rows = [[most] * (len(two) + 2), [most, *range(len(two) + 1)]]
+    for i, x in enumerate(one, 1):
+        line, match = [most, i], 0
+        for j, y in enumerate(two, 1):
+            last = seen.get(y, 0)  # the last row with this letter
+            swap = rows[last][match] + (i - last - 1) + 1 + (j - match - 1)
+            line.append(min(rows[i][j] + (x != y), line[j] + 1, rows[i][j + 1] + 1, swap))
+            if x == y:
+                match = j
+        rows.append(line)
+        seen[x] = i
+    return rows[-1][-1]
+
+
+def _variants(df: DataFrame, column: str, edits: int) -> DataFrame:
+    """Each word with all it becomes by deleting up to ``edits`` of its letters, as ``__key``."""
+    one = lambda w: F.when(F.length(w) > 0, F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.left(w, i - 1), F.substr(w, i + 1)))).otherwise(F.array().cast("array<string>"))
+    keys = F.array(F.col(column))
+    for _ in range(edits):
+        keys = F.array_distinct(F.concat(keys, F.flatten(F.transform(keys, one))))
+    return df.withColumn("__key", F.explode(keys))
+
+
+def spelling_candidates(words: DataFrame, vocabulary: DataFrame, edits: int = 1) -> DataFrame:
+    """(word, candidate, freq, distance) for known words at a distance of 0 to ``edits``.
+
+    Words are compared only if they share a variant with at most ``edits`` letters
+    deleted: within that distance two words always do, so the join is on equal keys
+    and no pair without a chance is made.  The variants of a word of n letters grow
+    as n to the power of ``edits``, which is meant for one to four.
     """
+    left = _variants(words.select("word").distinct(), "word", edits)
+    right = _variants(vocabulary.select(F.col("word").alias("candidate"), "freq"), "candidate", edits)
+    pairs = left.join(right, "__key").drop("__key").distinct()
+    if edits == 1:
+        close = pairs.where(within_one_edit("word", "candidate"))
+        return close.withColumn("distance", (F.col("word") != F.col("candidate")).cast("int"))
 
-    def variants(df: DataFrame, column: str) -> DataFrame:
-        deleted = f"transform(sequence(1, length({column})), i -> concat(left({column}, i - 1), substr({column}, i + 1)))"
-        return df.withColumn("__key", F.explode(F.expr(f"array_distinct(array_append(if(length({column}) > 0, {deleted}, array()), {column}))")))
+    @F.pandas_udf("int")
+    def distance(one: pd.Series, two: pd.Series) -> pd.Series:
+        return pd.Series([edit_distance(a, b) for a, b in zip(one, two, strict=True)], dtype="int32")
 
-    left = variants(words.select("word").distinct(), "word")
-    right = variants(vocabulary.select(F.col("word").alias("candidate"), "freq"), "candidate")
-    pairs = left.join(right, "__key").drop("__key").distinct().where(within_one_edit("word", "candidate"))
-    return pairs.withColumn("distance", (F.col("word") != F.col("candidate")).cast("int"))
+    return pairs.withColumn("distance", distance("word", "candidate")).where(F.col("distance") <= edits)
 
 
-def correct(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(word, corrected): itself if known, else the most frequent word one edit away, else itself."""
+def correct(words: DataFrame, vocabulary: DataFrame, edits: int = 1) -> DataFrame:
+    """(word, corrected): itself if known, else the most frequent word the fewest edits away, else itself."""
     order = Window.partitionBy("word").orderBy("distance", F.desc("freq"), "candidate")
-    best = spelling_candidates(words, vocabulary).withColumn("r", F.row_number().over(order)).where("r = 1").select("word", "candidate")
+    best = spelling_candidates(words, vocabulary, edits).withColumn("r", F.row_number().over(order)).where("r = 1").select("word", "candidate")
     return words.select("word").distinct().join(best, "word", "left").select("word", F.coalesce("candidate", "word").alias("corrected"))
 
 
-def top_words(texts: DataFrame, text: str, n: int, shortest: int = 4, stop: Sequence[str] = STOP_WORDS) -> DataFrame:
+def is_plain_word(word: Column) -> Column:
+    """Whether a lower-case word is not a date, a tour code or anything that begins with a number."""
+    dated = word.rlike("[0-9](jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)")
+    return ~(word.rlike("^[0-9]") | word.rlike("^[a-z0-9_]+ff[0-9]+$") | dated)
+
+
+def top_words(texts: DataFrame, text: str, n: int, shortest: int = 4, stop: Sequence[str] = STOP_WORDS, word: str = "[a-z]+") -> DataFrame:
     """(word, n) of the most frequent words; ties in order of the word; short and stop words go afterwards."""
-    words = texts.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit("[a-z]+"), F.lit(0))).alias("word"))
+    words = texts.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit(word), F.lit(0))).alias("word"))
     counts = words.groupBy("word").agg(F.count("*").alias("n"))
     return counts.orderBy(F.desc("n"), "word").limit(n).where((F.length("word") >= shortest) & ~F.col("word").isin(*stop))
 

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+BROADCAST_NAMES = 100_000
+
+
 def code_features(codes: Column) -> Column:
     """struct(last_digit, adhoc, majority, first_is_digit, has_bcode) of a list of codes.
 
@@ -49,32 +52,28 @@ def vocabulary_of(pairs: DataFrame) -> list[str]:
 
 
 def vectors(pairs: DataFrame, key: str, vocabulary: Sequence[str]) -> DataFrame:
-    """(key, features) as sparse vectors over a kept vocabulary; unknown names are left out."""
+    """(key, features) as vectors over a kept vocabulary; unknown names are left out.
+
+    Spark ML keeps as many weights as the vocabulary has names, so it fits in memory
+    wherever a model does, and is joined by broadcast only then.
+    """
     spark = pairs.sparkSession
     index = spark.createDataFrame([(n, i) for i, n in enumerate(vocabulary)], "name string, i int")
     size = max(len(vocabulary), 1)
-    found = pairs.join(F.broadcast(index), "name").groupBy(key, "i").agg(F.sum("value").alias("value"))
-    lists = found.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("i", "value"))).alias("cells"))
+    found = pairs.join(F.broadcast(index) if len(vocabulary) <= BROADCAST_NAMES else index, "name").groupBy(key, "i").agg(F.sum("value").alias("value"))
+    cells = found.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("i", "value")))).alias("cells"))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(F.try_element_at("cells", i), F.lit(0.0)))
+    return cells.select(key, array_to_vector(dense).alias("features"))
 
-    @F.udf(VectorUDT())
-    def sparse(cells):
-        return Vectors.sparse(size, [(c["i"], c["value"]) for c in cells])
 
-    return lists.select(key, sparse("cells").alias("features"))
+def mutual_information(pairs: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
+    """(word, mi) of a word's presence and a label, from counts alone, in one pass over the pairs."""
+    classes = {r[label]: r["n"] for r in labels.groupBy(label).agg(F.count("*").alias("n")).collect()}  # a row for each class
+    total = float(sum(classes.values()))
+    counts = pairs.select(key, "word").distinct().join(labels, key).groupBy("word").agg(F.count("*").alias("n"), *[F.count_if(F.col(label).eqNullSafe(F.lit(c))).alias(f"n_{i}") for i, c in enumerate(classes)])
 
+    def part(n: Column, row: Column, size: int) -> Column:
+        return F.when(n > 0, n / total * F.log(n * total / (row * size))).otherwise(0.0)
 
-def mutual_information(pairs: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
-    """(word, mi) of a word's presence and a label, from counts alone."""
-    total = labels.count()
-    by_label = labels.groupBy(label).agg(F.count("*").alias("n_label"))
-    joined = pairs.select(key, "word").distinct().join(labels, key)
-    by_word = joined.groupBy("word").agg(F.count("*").alias("n_word"))
-    both = joined.groupBy("word", label).agg(F.count("*").alias("n11"))
-    grid = by_word.join(F.broadcast(by_label)).join(both, ["word", label], "left").fillna(0, ["n11"])  # a row for each class
-
-    def part(n: Column, row: Column, column: Column) -> Column:
-        return F.when(n > 0, n / total * F.log(n * total / (row * column))).otherwise(0.0)
-
-    has = part(F.col("n11"), F.col("n_word"), F.col("n_label"))
-    lacks = part(F.col("n_label") - F.col("n11"), F.lit(total) - F.col("n_word"), F.col("n_label"))
-    return grid.groupBy("word").agg(F.sum(has + lacks).alias("mi"))
+    terms = [part(F.col(f"n_{i}"), F.col("n"), size) + part(F.lit(size) - F.col(f"n_{i}"), F.lit(total) - F.col("n"), size) for i, size in enumerate(classes.values())]
+    return counts.select("word", sum(terms, F.lit(0.0)).alias("mi"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import tf_idf
 from millrace.ml.features import vectors
+from millrace.session import cut
 
 #: kind: how to make the classifier for a number of features
 CLASSIFIERS = {
@@ -71,7 +72,7 @@ class AdaBoost:
             alpha = math.log((1 - error) / error)
             trees.append(tree)
             weights.append(alpha)
-            rows = judged.withColumn("weight", F.col("weight") * F.exp(F.lit(alpha) * F.col("wrong"))).drop("wrong").checkpoint()
+            rows = cut(judged.withColumn("weight", F.col("weight") * F.exp(F.lit(alpha) * F.col("wrong"))).drop("wrong"))
         return cls(trees, weights)
 
     def transform(self, data: DataFrame) -> DataFrame:

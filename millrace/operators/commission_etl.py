@@ -13,7 +13,7 @@ from millrace.operators import relational as R
 ARRAYS = ("tourcodes", "originating", "flights", "pos", "from_location", "to_location", "pcc")
 DATES = ("sales_period_eff_date", "sales_period_dis_date", "tkt_dis_date", "trv_dis_date")
 NUMBERS = ("agent_discount", "corporate_discount", "rtw_fare_comm", "ct_fare_comm")
-#: Locations that stand for others, and for several.
+# fixed values: locations that stand for others and for several, and the zones of regions
 CLEAN = {"CX AND KA": "ALL CX AND KA", "CX AND KA SYSTEM": "ALL CX AND KA", "SYSTEM": "ALL CX AND KA", "FROM": None}
 LISTS = {"MEXICO ANDLATIN AMERICA": ["MEXICO", "LATIN AMERICA"], "MEXICO AND LATIN AMERICA": ["MEXICO", "LATIN AMERICA"], "SHA OR HKG": ["SHA", "HKG"], "WUH, CAN, BJS, SHA OR HKG": ["WUH", "CAN", "BJS", "SHA", "HKG"]}
 ZONES = {"ASIA": ["220", "310", "320", "330", "340"], "LATIN AMERICA": ["MX", "120", "140", "160", "170"]}
@@ -50,7 +50,7 @@ def cleaned(rows: DataFrame) -> DataFrame:
     return out
 
 
-def star(rows: DataFrame, airports: DataFrame, parts: int = 64) -> Star:
+def star(rows: DataFrame, airports: DataFrame, parts: int | None = None) -> Star:
     """Build the star schema from commission rows and (code, country, city, zone) of places.
 
     A location is an airport if the reference knows its code, else a city; regions

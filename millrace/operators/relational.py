@@ -8,6 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.session import cut
+
+# fixed values: the days that stand for an open end and an open start
 UNKNOWN_END = "9999-12-31"
 UNKNOWN_START = "2016-01-01"
 
@@ -77,21 +80,19 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
     return df.withColumn("__place", F.row_number().over(place)).where("__place = 1").drop("__place")
 
 
-def dense_keys(df: DataFrame, keys: Sequence[str], name: str, parts: int = 64) -> DataFrame:
+def dense_keys(df: DataFrame, keys: Sequence[str], name: str, parts: int | None = None) -> DataFrame:
     """(keys, name): a number from 0 in the order of the keys, without sorting in one task.
 
     The distinct keys are range-partitioned; each partition's start is the count of
-    those before, of which there is one for each partition.
+    those before, of which there is one for each partition.  The numbered keys are
+    a checkpoint, as both steps must see the same partitions.
     """
-    spark = df.sparkSession
-    ordered = df.select(*keys).distinct().repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
-    numbered = ordered.withColumn("__id", F.monotonically_increasing_id()).persist()
+    ordered = df.select(*keys).distinct().repartitionByRange(*([parts] if parts else []), *keys).sortWithinPartitions(*keys)
+    numbered = cut(ordered.withColumn("__id", F.monotonically_increasing_id()))
     part, line = F.shiftright("__id", 33), F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
-    starts, total = {}, 0
-    for row in numbered.groupBy(part.alias("part")).count().orderBy("part").collect():
-        starts[row["part"]] = total
-        total += row["count"]
-    offsets = spark.createDataFrame(list(starts.items()) or [(0, 0)], "part long, start long")
+    counts = numbered.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))  # a row for each partition
     return numbered.withColumn("part", part).join(F.broadcast(offsets), "part").select(*keys, (F.col("start") + line).alias(name))
 
 
@@ -101,15 +102,26 @@ def proper_subset(one: Column, two: Column) -> Column:
     return (F.size(F.array_except(one, two)) == 0) & (F.size(two) > F.size(one))
 
 
+def hash_of(keys: Sequence[str], seed: int) -> Column:
+    """A whole number below 2**52 that hangs on the keys and the seed alone; other engines can work it out as well."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("bigint")
+
+
+def unit_of(keys: Sequence[str], seed: int) -> Column:
+    """:func:`hash_of` as a number from 0 to below 1, in steps of a millionth."""
+    return F.pmod(hash_of(keys, seed), F.lit(1_000_000)) / 1_000_000
+
+
 def hash_split(df: DataFrame, keys: Sequence[str], share: float, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """A split that hangs on the keys and the seed alone, so reruns and replicas agree."""
-    unit = F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(1_000_000)) / 1_000_000
+    unit = unit_of(keys, seed)
     return df.where(unit < share), df.where(unit >= share)
 
 
 def sample_rows(df: DataFrame, keys: Sequence[str], n: int, seed: int = 0) -> DataFrame:
     """``n`` rows by the smallest hashes of their keys, all if there are no more."""
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    return df.orderBy(hash_of(keys, seed), *keys).limit(n)
 
 
 def oversample(df: DataFrame, label: str, keys: Sequence[str], counts: Mapping[object, int], seed: int = 24) -> DataFrame:
@@ -121,7 +133,7 @@ def oversample(df: DataFrame, label: str, keys: Sequence[str], counts: Mapping[o
     most = max(counts.values(), default=0)
     times = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(most // n if n else 0))])
     rest = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(most % n if n else 0))])
-    rank = Window.partitionBy(label).orderBy(F.xxhash64(*keys, F.lit(seed)), *keys)
+    rank = Window.partitionBy(label).orderBy(hash_of(keys, seed), *keys)
     ranked = df.withColumn("__rank", F.row_number().over(rank))
     copies = times[F.col(label)] + (F.col("__rank") <= rest[F.col(label)]).cast("int")
     return ranked.withColumn("__copy", F.explode(F.sequence(F.lit(1), copies))).drop("__rank", "__copy")
@@ -129,5 +141,4 @@ def oversample(df: DataFrame, label: str, keys: Sequence[str], counts: Mapping[o
 
 def three_way_split(df: DataFrame, keys: Sequence[str], shares: Sequence[float] = (0.5, 1 / 3), seed: int = 42) -> DataFrame:
     """``df`` with ``part``: test, then of the rest dev by their shares, the others train."""
-    unit = lambda salt: F.pmod(F.xxhash64(*keys, F.lit(seed + salt)), F.lit(1_000_000)) / 1_000_000
-    return df.withColumn("part", F.when(unit(0) < shares[0], "test").when(unit(1) < shares[1], "dev").otherwise("train"))
+    return df.withColumn("part", F.when(unit_of(keys, seed) < shares[0], "test").when(unit_of(keys, seed + 1) < shares[1], "dev").otherwise("train"))

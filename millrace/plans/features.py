@@ -8,7 +8,11 @@ from millrace.functions.language import detect_language
 from millrace.functions.text import top_words
 from millrace.ml import features as X
 from millrace.ml import models as M
-from millrace.plans.registry import query, table
+from millrace.ml.evaluate import most_errors, written_back
+from millrace.operators.aggregates import mode_of
+from millrace.plans.registry import query, sink, table
+from millrace.sources.readers import read_csv
+from millrace.sources.writers import write_csv
 
 _CODES_SQL = "with o as (select l_orderkey, list(cast(l_partkey as varchar) order by l_linenumber, cast(l_partkey as varchar)) as codes from lineitem group by 1) "
 
@@ -99,10 +103,46 @@ def variance_select(spark, sf):
     return words.groupBy("word").agg((share * (1 - share)).alias("variance")).where("variance > 0.09D").withColumn("variance", F.round("variance", 6))
 
 
-@query("select doc_id, case when n_chars > 1000 then 'yes' else 'no' end as prediction from documents where doc_id not in (select doc_id from labels)")
+_MAJORITY_SQL = """with m as (select source, quality as guess from (select source, quality, row_number() over (partition by source order by count(*) desc, quality) as r
+   from documents join labels using (doc_id) where quality is not null group by source, quality) where r = 1) """
+
+
+def _majority(spark, sf):
+    """A small model: each source's most frequent label, learnt from the labelled documents."""
+    seen = table(spark, sf, "documents").select("doc_id", "source").join(table(spark, sf, "labels").where("quality is not null"), "doc_id")
+    return mode_of(seen, ["source"], "quality").select("source", F.col("quality").alias("guess"))
+
+
+@query(_MAJORITY_SQL + "select doc_id, case when guess = 1 then 'yes' else 'no' end as prediction from documents left join m using (source) where doc_id not in (select doc_id from labels)")
 def prediction_writeback(spark, sf):
-    unlabelled = table(spark, sf, "documents").join(table(spark, sf, "labels").select("doc_id"), "doc_id", "left_anti")
-    return unlabelled.select("doc_id", F.when(F.col("n_chars") > 1000, "yes").otherwise("no").alias("prediction"))
+    unlabelled = table(spark, sf, "documents").select("doc_id", "source").join(table(spark, sf, "labels").select("doc_id"), "doc_id", "left_anti")
+    guesses = unlabelled.join(_majority(spark, sf), "source", "left").select("doc_id", "guess")
+    return written_back(unlabelled, guesses, "doc_id", "guess").select("doc_id", "prediction")
+
+
+@query(_MAJORITY_SQL + "select doc_id::varchar as doc_id, source, case when guess = 1 then 'yes' else 'no' end as prediction from documents left join m using (source) where lang = 'en'")
+def export_predictions(spark, sf):
+    """Predictions of all English documents, written as CSV and read again."""
+    docs = table(spark, sf, "documents").where("lang = 'en'").select("doc_id", "source")
+    guesses = docs.join(_majority(spark, sf), "source", "left").select("doc_id", "guess")
+    path = sink(spark, "predictions")
+    write_csv(written_back(docs, guesses, "doc_id", "guess").select("doc_id", "source", "prediction"), path)
+    return read_csv(spark, path)
+
+
+@query(_MAJORITY_SQL + """, p as (select quality as actual, guess, source as run, lang as category from documents join labels using (doc_id) join m using (source) where quality is not null)
+   select run, category, actual, guess, count(*) as n from p group by all""")
+def confusion_by_run(spark, sf):
+    rows = table(spark, sf, "documents").join(table(spark, sf, "labels").where("quality is not null"), "doc_id").join(_majority(spark, sf), "source")
+    return rows.groupBy(F.col("source").alias("run"), F.col("lang").alias("category"), F.col("quality").alias("actual"), "guess").agg(F.count("*").alias("n"))
+
+
+@query(_MAJORITY_SQL + """, p as (select quality as actual, guess, lang as category from documents join labels using (doc_id) join m using (source) where quality is not null),
+   e as (select category, actual, guess, count(*) as n from p where actual <> guess group by all)
+   select category, actual, guess, n from (select *, row_number() over (order by n desc, category, actual, guess) as r from e) where r <= 5""")
+def top_errors(spark, sf):
+    rows = table(spark, sf, "documents").join(table(spark, sf, "labels").where("quality is not null"), "doc_id").join(_majority(spark, sf), "source")
+    return most_errors(rows.select(F.col("lang").alias("category"), F.col("quality").alias("actual"), "guess"), ["category"], 5)
 
 
 @query("""with c as (select l_partkey, count(*) as n from lineitem group by 1) select p_partkey, coalesce(n, 0)::bigint as n, case when n is not null and p_size >= 5 then 'paper' when n is null then 'missing' else 'filed' end as kind

@@ -5,17 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import relational as R
+from millrace.operators.commission_etl import CLEAN, LISTS
 from millrace.plans.registry import query, table
-
-#: Values of locations that stand for others, and those that stand for several.
-LOCATION_CLEAN = {"CX AND KA": "ALL CX AND KA", "CX AND KA SYSTEM": "ALL CX AND KA", "SYSTEM": "ALL CX AND KA", "FROM": None}
-LOCATION_LISTS = {
-    "MEXICO ANDLATIN AMERICA": ["MEXICO", "LATIN AMERICA"],
-    "MEXICO AND LATIN AMERICA": ["MEXICO", "LATIN AMERICA"],
-    "SHA OR HKG": ["SHA", "HKG"],
-    "WUH, CAN, BJS, SHA OR HKG": ["WUH", "CAN", "BJS", "SHA", "HKG"],
-}
-
+from millrace.sources.readers import upsert_labels
 
 @query("select doc_id, lang, source from documents where lang = 'en' and source in ('src0', 'src3', 'src7')")
 def scan_predict(spark, sf):
@@ -28,17 +20,13 @@ def scan_train(spark, sf):
     return docs.join(table(spark, sf, "labels").where("quality is not null").select("doc_id", "quality"), "doc_id")
 
 
-@query("""select doc_id, cast(coalesce(n.quality, o.quality) as int) as quality
-          from labels o left join (select doc_id, 1 - quality as quality from labels where doc_id % 10 = 0) n using (doc_id)""")
+@query("""select doc_id, cast(coalesce(n.quality, o.quality) as int) as quality from labels o
+          full join (select doc_id, 1 - quality as quality from labels where doc_id % 10 = 0 union all select doc_id, 2 from documents where doc_id % 50 = 1 and doc_id not in (select doc_id from labels)) n using (doc_id)""")
 def label_upsert(spark, sf):
     old = table(spark, sf, "labels").select("doc_id", "quality")
-    new = old.where("doc_id % 10 = 0").select("doc_id", (1 - F.col("quality")).alias("new_quality"))
-    return old.join(new, "doc_id", "left").select("doc_id", F.coalesce("new_quality", "quality").cast("int").alias("quality"))
-
-
-@query("select doc_id, source, cast(n_chars as varchar) as prediction from documents where lang = 'en'")
-def export_predictions(spark, sf):
-    return table(spark, sf, "documents").where("lang = 'en'").select("doc_id", "source", F.col("n_chars").cast("string").alias("prediction"))
+    more = table(spark, sf, "documents").where("doc_id % 50 = 1").join(old, "doc_id", "left_anti").select("doc_id", F.lit(2).alias("quality"))
+    new = old.where("doc_id % 10 = 0").select("doc_id", (1 - F.col("quality")).alias("quality")).unionByName(more)
+    return upsert_labels(old, new, ["doc_id"], "quality").withColumn("quality", F.col("quality").cast("int"))
 
 
 @query("select doc_id, source from documents where doc_id not in (select doc_id from labels where toxic = 1)")
@@ -78,14 +66,14 @@ def _locations(spark):
 @query(f"""select id::bigint as id, case when location in ('CX AND KA', 'CX AND KA SYSTEM', 'SYSTEM') then 'ALL CX AND KA' when location = 'FROM' then null else location end as location
            from (values {_LOCATIONS}) t(id, location)""")
 def value_map_clean(spark, sf):
-    return R.map_values(_locations(spark), "location", LOCATION_CLEAN)
+    return R.map_values(_locations(spark), "location", CLEAN)
 
 
 @query(f"""select id::bigint as id, unnest(case location when 'SHA OR HKG' then ['SHA','HKG'] when 'MEXICO ANDLATIN AMERICA' then ['MEXICO','LATIN AMERICA']
              when 'MEXICO AND LATIN AMERICA' then ['MEXICO','LATIN AMERICA'] when 'WUH, CAN, BJS, SHA OR HKG' then ['WUH','CAN','BJS','SHA','HKG'] else [location] end) as location
            from (values {_LOCATIONS}) t(id, location)""")
 def unwind_locations(spark, sf):
-    return R.unwind_values(_locations(spark), "location", LOCATION_LISTS)
+    return R.unwind_values(_locations(spark), "location", LISTS)
 
 
 _ROUTES = "(1,'BOS TO PVG'),(2,'CANADA TO'),(3,'SHA OR HKG'),(4,'TOWUH, CAN, BJS,'),(5,'USA ASIA'),(6,'XXX')"
@@ -194,10 +182,10 @@ def union_distinct(spark, sf):
     return one.union(table(spark, sf, "supplier").select("s_nationkey")).distinct()
 
 
-@query("select l_partkey from lineitem where l_quantity > 40 except select l_partkey from lineitem where l_discount > 0.05")
+@query("select l_orderkey from lineitem where l_quantity > 40 except select l_orderkey from lineitem where l_discount > 0.05")
 def set_except(spark, sf):
     rows = table(spark, sf, "lineitem")
-    return rows.where("l_quantity > 40").select("l_partkey").subtract(rows.where("l_discount > 0.05").select("l_partkey"))
+    return rows.where("l_quantity > 40").select("l_orderkey").subtract(rows.where("l_discount > 0.05").select("l_orderkey"))
 
 
 @query("select l_partkey from lineitem where l_quantity > 40 intersect select l_partkey from lineitem where l_discount > 0.05")
@@ -213,14 +201,8 @@ def proper_subset(spark, sf):
     return sets.where(F.size("f") > 0).select("l_orderkey", R.proper_subset(F.col("f"), F.col("s")).alias("is_proper"))
 
 
-@query("select o_orderkey, o_totalprice from orders where o_orderkey >= 100 order by o_orderkey limit 500")
-def resume_from(spark, sf):
-    return table(spark, sf, "orders").where("o_orderkey >= 100").orderBy("o_orderkey").limit(500).select("o_orderkey", "o_totalprice")
-
-
 @query("select o_orderkey, o_totalprice from orders where o_orderkey >= 100 order by o_orderkey")
-def resume_from_all(spark, sf):
-    """As resume_from, whose SQL ends after 500 orders, to the last order."""
+def resume_from(spark, sf):
     return table(spark, sf, "orders").where("o_orderkey >= 100").orderBy("o_orderkey").select("o_orderkey", "o_totalprice")
 
 
@@ -244,17 +226,39 @@ def oversample_counts(spark, sf):
     return R.oversample(labels, "quality", ["doc_id"], counts).groupBy("quality").agg(F.count("*").alias("n"))
 
 
-@query()
+def _hash_sql(key: str, seed: int) -> str:
+    return f"('0x' || substr(md5({key} || '|{seed}'), 1, 13))::bigint"
+
+
+@query(f"select doc_id, source from documents order by {_hash_sql('doc_id', 0)}, doc_id limit 100")
 def sample_documents(spark, sf):
     return R.sample_rows(table(spark, sf, "documents").select("doc_id", "source"), ["doc_id"], 100)
 
 
-@query()
+@query(f"select *, case when {_hash_sql('doc_id', 42)} % 1000000 / 1000000.0::double < 0.8::double then 'train' else 'test' end as part from labels")
 def train_test_split(spark, sf):
     train, test = R.hash_split(table(spark, sf, "labels"), ["doc_id"], 0.8)
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
+@query(f"""select doc_id, case when {_hash_sql('doc_id', 42)} % 1000000 / 1000000.0::double < 0.5::double then 'test' when {_hash_sql('doc_id', 43)} % 1000000 / 1000000.0::double < 1.0::double / 3 then 'dev' else 'train' end as part from documents""")
+def three_way_split(spark, sf):
+    return R.three_way_split(table(spark, sf, "documents").select("doc_id"), ["doc_id"])
+
+
+@query("select c_custkey as c_custkey, c_name as c_name from customer")
+def lower_names(spark, sf):
+    upper = table(spark, sf, "customer").select(F.col("c_custkey").alias("C_CustKey"), F.col("c_name").alias("C_NAME"))
+    return R.lower_columns(upper)
+
+
+@query("select o_orderkey, o_clerk from (select o_orderkey, case when o_orderkey % 3 = 0 then 'x' || round(o_totalprice)::bigint when o_orderkey % 3 = 1 then '' else '7' end as o_clerk from orders) where o_clerk <> '' and try_cast(o_clerk as int) is null")
+def typed_rejects(spark, sf):
+    clerk = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("x"), F.round("o_totalprice").cast("bigint"))).when(F.col("o_orderkey") % 3 == 1, "").otherwise("7")
+    rows = table(spark, sf, "orders").select("o_orderkey", clerk.alias("o_clerk"))
+    return R.typed(rows, {"o_clerk": "int"})[1]
+
+
 @query("""select l_orderkey, l_partkey, l_linenumber from (select *, row_number() over (partition by l_partkey order by l_orderkey, l_linenumber) as r from lineitem) where r = 1""")
 def dedupe_keep_first(spark, sf):
     return R.keep_first(table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber"), ["l_partkey"], ["l_orderkey", "l_linenumber"])

@@ -20,10 +20,10 @@ def word_freq(spark, sf):
     return words.groupBy("word").agg(F.count("*").alias("n"))
 
 
-@query(f"""select word, n from (select word, count(*) as n from (select unnest(regexp_extract_all(lower(text), '[a-z]+')) as word from documents) group by 1 order by n desc, word limit 400)
-           where length(word) >= 4 and word not in ({", ".join(f"'{w}'" for w in T.STOP_WORDS)})""")
+@query(f"""select word, n from (select word, count(*) as n from (select unnest(regexp_extract_all(lower(text), '[a-z0-9_]+')) as word from documents) group by 1 order by n desc, word limit 4000)
+           where length(word) >= 4 and word not in ({", ".join(f"'{w}'" for w in T.STOP_WORDS)}) and not regexp_matches(word, '^[0-9]') and not regexp_matches(word, '^[a-z0-9_]+ff[0-9]+$') and not regexp_matches(word, '[0-9](jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)')""")
 def topwords(spark, sf):
-    return T.top_words(table(spark, sf, "documents"), "text", 400)
+    return T.top_words(table(spark, sf, "documents"), "text", 4000, word="[a-z0-9_]+").where(T.is_plain_word(F.col("word")))
 
 
 @query("select p_partkey, regexp_extract_all(upper(p_type), '[A-Z]+') as tokens from part")
@@ -31,14 +31,8 @@ def alpha_tokens(spark, sf):
     return table(spark, sf, "part").select("p_partkey", T.alpha_tokens(F.col("p_type")).alias("tokens"))
 
 
-@query(r"select doc_id, list_filter(regexp_split_to_array(text, '[-/.,\s]+'), lambda w: w <> '') as words from documents where lang = 'en' and doc_id < 200")
-def wordlist(spark, sf):
-    return table(spark, sf, "documents").where("lang = 'en' and doc_id < 200").select("doc_id", T.wordlist(F.col("text")).alias("words"))
-
-
 @query(r"select doc_id, list_filter(regexp_split_to_array(text, '[-/.,\s]+'), lambda w: w <> '') as words from documents where lang = 'en'")
-def wordlist_all(spark, sf):
-    """As wordlist, whose SQL takes doc_id < 200 only, over the whole table."""
+def wordlist(spark, sf):
     return table(spark, sf, "documents").where("lang = 'en'").select("doc_id", T.wordlist(F.col("text")).alias("words"))
 
 
@@ -88,39 +82,28 @@ def unglue_route(spark, sf):
     return _values(spark, _GLUED, "word").select("word", T.unglue_route(F.col("word")).alias("split"))
 
 
-_VOCABULARY = """v as (select word, freq from (select word, count(*) as freq from (select unnest(regexp_extract_all(lower(text), '[a-z]+')) as word from documents) group by 1) where freq >= 50),
-  m as (select distinct word from (select unnest(regexp_extract_all(lower(text), '[a-z]+')) as word from documents where doc_id < 60)) """
+# words that are one edit apart share a word with one letter less; the edit distance is asked for those pairs only
+_VOCABULARY = """w as (select word, count(*) as freq from (select unnest(regexp_extract_all(lower(text), '[a-z]+')) as word from documents) group by 1),
+  m as (select word from w), v as (select word, freq from w where freq >= 50),
+  k as (select word, unnest(list_distinct(list_append(list_transform(range(1, length(word) + 1), lambda i: word[:i - 1] || word[i + 1:]), word))) as key from w),
+  near as (select distinct k.word, v.word as candidate, freq from k join k o using (key) join v on v.word = o.word where damerau_levenshtein(k.word, v.word) <= 1) """
 
 
-def _spelling(spark, sf, subset: str = "true"):
+def _spelling(spark, sf):
     docs = table(spark, sf, "documents")
-    tokens = lambda d: d.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("word"))
-    vocabulary = tokens(docs).groupBy("word").agg(F.count("*").alias("freq")).where("freq >= 50")
-    return tokens(docs.where(subset)).distinct(), vocabulary
+    counts = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("word")).groupBy("word").agg(F.count("*").alias("freq"))
+    return counts.select("word"), counts.where("freq >= 50")
 
 
-@query("with " + _VOCABULARY + """, c as (select m.word, v.word as candidate, freq, (m.word <> v.word)::int as d from m join v on damerau_levenshtein(m.word, v.word) <= 1),
-   b as (select word, candidate from (select *, row_number() over (partition by word order by d, freq desc, candidate) as r from c) where r = 1)
+@query("with " + _VOCABULARY + """, b as (select word, candidate from near qualify row_number() over (partition by word order by (word <> candidate)::int, freq desc, candidate) = 1)
    select m.word, coalesce(candidate, m.word) as corrected from m left join b on m.word = b.word""")
 def spell_correct(spark, sf):
-    return T.correct(*_spelling(spark, sf, "doc_id < 60"))
-
-
-@query()
-def spell_correct_all(spark, sf):
-    """As spell_correct, whose SQL takes the words of doc_id < 60 only, for the words of all documents."""
     return T.correct(*_spelling(spark, sf))
 
 
-@query("with " + _VOCABULARY + """select m.word, case when count(v.word) filter (v.word = m.word) > 0 or count(v.word) = 0 then [m.word] else list_sort(list(v.word)) end as candidates
-   from m left join v on damerau_levenshtein(m.word, v.word) <= 1 group by m.word""")
+@query("with " + _VOCABULARY + """select m.word, case when count(candidate) filter (candidate = m.word) > 0 or count(candidate) = 0 then [m.word] else list_sort(list(candidate)) end as candidates
+   from m left join near on m.word = near.word group by m.word""")
 def tourcode_candidates(spark, sf):
-    return _candidates(*_spelling(spark, sf, "doc_id < 60"))
-
-
-@query()
-def tourcode_candidates_all(spark, sf):
-    """As tourcode_candidates, whose SQL takes the words of doc_id < 60 only, for the words of all documents."""
     return _candidates(*_spelling(spark, sf))
 
 
@@ -130,21 +113,11 @@ def _candidates(words, vocabulary):
     return joined.select("word", F.when(F.col("d") == 1, F.col("all")).otherwise(F.array("word")).alias("candidates"))
 
 
-@query(r"""with w as (select doc_id, word, count(*) as c from (select doc_id, unnest(regexp_extract_all(text, '[\p{L}\p{N}_]{2,}')) as word from documents where doc_id < 300 and lang = 'en') group by 1, 2),
-   n as (select count(*) as n from documents where doc_id < 300 and lang = 'en'), f as (select word, count(*) as df from w group by 1 having count(*) >= 2),
-   v as (select doc_id, word, c * (ln((1 + n) / (1.0::double + df)) + 1) as v from w join f using (word), n)
-   select doc_id, word, round(v / sqrt(sum(v * v) over (partition by doc_id)), 6) as weight from v""")
-def tfidf(spark, sf):
-    docs = table(spark, sf, "documents").where("doc_id < 300 and lang = 'en'")
-    return T.tf_idf(docs, "doc_id", "text", 2).withColumn("weight", F.round("weight", 6))
-
-
 @query(r"""with w as (select doc_id, word, count(*) as c from (select doc_id, unnest(regexp_extract_all(text, '[\p{L}\p{N}_]{2,}')) as word from documents where lang = 'en') group by 1, 2),
    n as (select count(*) as n from documents where lang = 'en'), f as (select word, count(*) as df from w group by 1 having count(*) >= 2),
    v as (select doc_id, word, c * (ln((1 + n) / (1.0::double + df)) + 1) as v from w join f using (word), n)
    select doc_id, word, round(v / sqrt(sum(v * v) over (partition by doc_id)), 6) as weight from v""")
-def tfidf_all(spark, sf):
-    """As tfidf, whose SQL takes doc_id < 300 only, over the whole table."""
+def tfidf(spark, sf):
     return T.tf_idf(table(spark, sf, "documents").where("lang = 'en'"), "doc_id", "text", 2).withColumn("weight", F.round("weight", 6))
 
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -16,6 +17,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -25,6 +27,25 @@ def session(name: str = "millrace", master: str | None = None, **more: str) -> S
     return (builder.master(master) if master else builder).getOrCreate()
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` as a checkpoint, for what is read twice and must be the same both times, or for the rounds of a loop.
+
+    The folder is that of ``spark.checkpoint.dir``, which a cluster has to name; a
+    local session without one gets a temporary folder.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="millrace-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, once for each context.
 

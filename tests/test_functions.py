@@ -64,11 +64,6 @@ def test_chunks(words, label):
     assert tagging.chunk([]) == []
 
 
-def test_reshaping():
-    assert tagging.swap_noun_cardinal([("Dec.", "NNP"), ("10", "CD")]) == [("10", "CD"), ("Dec.", "NNP")]
-    assert tagging.singularize([("recipes", "NNS")]) == [("recipe", "NN")]
-    assert tagging.filter_insignificant([("the", "DT"), ("movie", "NN")]) == [("movie", "NN")]
-    assert tagging.swap_around([("a", "X"), ("of", "IN"), ("b", "Y")], lambda p: p[1] == "IN") == [("b", "Y"), ("a", "X")]
 
 
 @pytest.mark.parametrize("sentence, day", [
