@@ -40,6 +40,25 @@ def detect_language(text: Column) -> Column:
     return of(text)
 
 
+def detect_all(text: str | None, least: float = 0.1) -> list[str]:
+    """All languages of a text, sorted: those whose function words are a share of its words, zh by its characters."""
+    words = (text or "").lower().split()
+    letters = [c for c in text or "" if c.isalpha()]
+    shares = {lang: sum(w.strip(".,;:!?") in known for w in words) / max(len(words), 1) for lang, known in _SETS.items()}
+    shares["zh"] = sum("一" <= c <= "鿿" for c in letters) / max(len(letters), 1)
+    return sorted(lang for lang, share in shares.items() if share > least)
+
+
+def languages(text: Column) -> Column:
+    """array<string>: the languages of each text; no language for a text without words."""
+
+    @F.pandas_udf("array<string>")
+    def of(texts: pd.Series) -> pd.Series:
+        return texts.map(detect_all)
+
+    return of(text)
+
+
 def nfkd(text: Column) -> Column:
     """The text in compatibility decomposition."""
 

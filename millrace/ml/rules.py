@@ -24,6 +24,15 @@ def phrase_flags(text: Column, phrases: Mapping[str, str]) -> list[Column]:
     return [lower.contains(phrase.lower()).alias(name) for name, phrase in sorted(phrases.items())]
 
 
+def category_features(rules: DataFrame, category: str, text: Column, base: Column, phrases: Mapping[str, Mapping[str, str]]) -> DataFrame:
+    """``rules`` with ``features``: those all have, and a flag for each phrase of the rule's own category."""
+    lower, own = F.lower(F.coalesce(text, F.lit(""))), F.create_map().cast("map<string,string>")
+    for name, named in sorted(phrases.items()):
+        flags = F.create_map(*[x for key, phrase in sorted(named.items()) for x in (F.lit(key), lower.contains(phrase.lower()).cast("string"))])
+        own = F.when(F.col(category) == name, flags).otherwise(own)
+    return rules.withColumn("features", F.map_concat(base, own))
+
+
 def registry(spark, features: Sequence[tuple[str, str]], fields: Sequence[str]) -> DataFrame:
     """(feature, kind, field): every feature with every field it is tried for."""
     named = spark.createDataFrame(list(features), "feature string, kind string")

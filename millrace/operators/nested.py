@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def set_field(df: DataFrame, path: str, value: Column) -> DataFrame:
-    """Set ``a`` or ``a.b``; a null struct gets the one field."""
+    """Set ``a`` or ``a.b``; of a null struct the one field is set, the others are null."""
     head, _, rest = path.partition(".")
     if not rest:
         return df.withColumn(head, value)

@@ -24,6 +24,11 @@ def _first(periods: Column, side: str) -> Column:
     return F.try_element_at(periods, F.lit(1))[side]
 
 
+def discontinue_date(periods: Column) -> Column:
+    """The end of the first period as a date; null for an open end."""
+    return F.nullif(_first(periods, "to"), F.lit("9999-12-31")).try_cast("date")
+
+
 def document_facts(paragraphs: DataFrame) -> DataFrame:
     """(doc_id, travel period, flags) of a sheet's whole text: 0 where a fare has no commission, 9999 if nothing says so."""
     texts = paragraphs.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda p: p["text"]), ". ").alias("text"))  # one document

@@ -57,12 +57,6 @@ def topword_features(spark, sf):
     return X.word_flags(docs.select("doc_id", F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)).alias("words")), "doc_id", "words", vocabulary)
 
 
-@query("select doc_id, contains(text, 'License') as licensed, case when contains(text, 'License') then 'no' end as label from documents")
-def keyword_flags(spark, sf):
-    has = F.col("text").contains("License")
-    return table(spark, sf, "documents").select("doc_id", has.alias("licensed"), F.when(has, "no").alias("label"))
-
-
 @query("select doc_id, case when contains(text, 'Apache') and source in ('src1', 'src2') then 'yes' when contains(text, 'Apache') then 'no' end as cta from documents")
 def cta_flag(spark, sf):
     has = F.col("text").contains("Apache")

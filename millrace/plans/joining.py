@@ -231,11 +231,6 @@ def classification_report(spark, sf):
     return A.report(_guesses(spark, sf), "actual", "guess")
 
 
-@query()
-def describe_orders(spark, sf):
-    return table(spark, sf, "orders").select("o_totalprice", "o_custkey").summary()
-
-
 @query("select doc_id, max(len(w))::bigint as longest from (select doc_id, unnest(string_split(text, ' ')) as w from documents) group by 1")
 def longest_word(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.array_max(F.transform(F.split("text", " "), F.length)).cast("bigint").alias("longest"))

@@ -19,6 +19,18 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.select(*flat).write.mode("overwrite").option("header", True).option("escape", "\"").csv(path)
 
 
+def write_csv_file(df: DataFrame, path: str) -> None:
+    """One CSV file of that name, for tables a single task can write."""
+    spark = df.sparkSession
+    write_csv(df.coalesce(1), f"{path}.parts")
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = folder(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    part = next(f.getPath() for f in files.listStatus(folder(f"{path}.parts")) if f.getPath().getName().startswith("part-"))
+    files.delete(folder(path), True)
+    files.rename(part, folder(path))
+    files.delete(folder(f"{path}.parts"), True)
+
+
 def write_code_lines(df: DataFrame, keys: list[str], codes: str, path: str) -> None:
     """One line for each row: its keys and its codes, parted by tabs."""
     line = F.concat_ws("\t", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.array_join(codes, "\t"))
@@ -37,6 +49,13 @@ def snapshot(df: DataFrame, name: str, stamp: str | None = None) -> str:
     return target
 
 
+def snapshot_to(df: DataFrame, folder: str, stamp: str | None = None) -> str:
+    """Save a copy as Parquet in a folder named by the run's stamp; returns where."""
+    path = f"{folder}/{stamp or run_id()}"
+    df.write.mode("overwrite").parquet(path)
+    return path
+
+
 def write_unique(df: DataFrame, keys: list[str], path: str) -> None:
     """Overwrite a table that has a primary key; rows that break it stop the write."""
     broken = df.groupBy(*keys).count().where("count > 1").limit(1).collect()
