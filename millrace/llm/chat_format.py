@@ -66,19 +66,28 @@ def _valid(name: Column, arguments: Column, schemas: dict) -> Column:
 
 
 def _depths(calls: DataFrame) -> DataFrame:
-    """(conv_id, id, depth) of the calls that can be ordered; 0 for a call without needs."""
-    needs = keep(calls.select("conv_id", "id", F.explode("needs").alias("need")).distinct())
-    done = keep(calls.where(F.size("needs") == 0).select("conv_id", "id", F.lit(0).alias("depth")).distinct())
-    known, total = 0, done.count()
-    while total > known and not needs.isEmpty():
-        known = total
-        open_needs = needs.join(done.select("conv_id", "id"), ["conv_id", "id"], "left_anti")
-        met = open_needs.join(done.select("conv_id", F.col("id").alias("need"), "depth"), ["conv_id", "need"], "left")
-        ready = met.groupBy("conv_id", "id").agg(F.max("depth").alias("most"), F.count("*").alias("all"), F.count("depth").alias("resolved"))
-        ready = ready.where("`all` = resolved").select("conv_id", "id", (F.col("most") + 1).cast("int").alias("depth"))
-        done = cut(done.unionByName(ready))
-        total = done.count()
-    return done
+    """(conv_id, id, depth) of the calls that can be ordered; 0 for a call without needs.
+
+    A round takes away the needs that the last one resolved; the calls that have
+    none left are the next depth.  What a round reads and writes shrinks with the
+    calls that are still open.
+    """
+    unresolved = cut(calls.select("conv_id", "id", F.explode("needs").alias("need")).distinct())
+    waiting = calls.where(F.size("needs") > 0).select("conv_id", "id")
+    newly = calls.where(F.size("needs") == 0).select("conv_id", "id")
+    done = newly.withColumn("depth", F.lit(0))
+    depth = 0
+    while not unresolved.isEmpty():
+        depth += 1
+        unresolved = cut(unresolved.join(newly.select("conv_id", F.col("id").alias("need")), ["conv_id", "need"], "left_anti"))
+        newly = cut(waiting.join(unresolved, ["conv_id", "id"], "left_anti"))
+        if newly.isEmpty():
+            break
+        waiting = cut(waiting.join(newly, ["conv_id", "id"], "left_anti"))
+        done = done.unionByName(newly.withColumn("depth", F.lit(depth)))
+        if depth % 16 == 0:  # so that the plan stays small
+            done = cut(done)
+    return cut(done)
 
 
 def format_chat(messages: DataFrame, schemas: dict | None = None) -> DataFrame:
@@ -120,7 +129,7 @@ def format_chat(messages: DataFrame, schemas: dict | None = None) -> DataFrame:
     )
     calls = keep(calls)
     named = calls.where("conv_id is not null and id is not null")
-    named = keep(named.groupBy("conv_id", "id").agg(F.min_by("needs", F.struct("turn", "place")).alias("needs")))
+    named = cut(named.groupBy("conv_id", "id").agg(F.min_by("needs", F.struct("turn", "place")).alias("needs")))
     depths = _depths(named)
     results = rows.where("result.tool_call_id is not null and conv_id is not null")
     answered = keep(results.select("conv_id", F.col("result.tool_call_id").alias("id")).distinct().withColumn("linked", F.lit(1)))
@@ -137,9 +146,9 @@ def format_chat(messages: DataFrame, schemas: dict | None = None) -> DataFrame:
         F.max("depth").alias("call_depth"),
         F.array_sort(F.collect_list(line)).alias("lines"),
     )  # the calls of one message
-    per_message = keep(per_message)
+    per_message = cut(per_message)
     of_result = results.select("row", "conv_id", F.col("result.tool_call_id").alias("id")).join(depths.withColumn("has_call", F.lit(1)), ["conv_id", "id"], "left")
-    of_result = keep(of_result.select("row", F.col("depth").alias("result_depth"), "has_call"))
+    of_result = cut(of_result.select("row", F.col("depth").alias("result_depth"), "has_call"))
 
     whole = rows.join(per_message, "row", "left").join(of_result, "row", "left")
     kind = F.when(F.col("n_calls").isNotNull(), "calls").when(F.col("result.tool_call_id").isNotNull(), "result").otherwise("text")

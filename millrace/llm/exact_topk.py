@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.scratch import bound_batches, keep, tidy
+from millrace.llm.scratch import bound_batches, cut, keep, tidy
 
 BLOCK = 4096  # queries broadcast at once: 4096 x dimensions x 8 bytes
 SALTS = 32
@@ -236,4 +236,4 @@ def _answer(spark, entries: DataFrame, head: pa.Table, k: int, lists: int) -> Da
     cutoffs = np.array([kth.get(q, -(1 << 62)) for q in ids.tolist()], np.int64)
     shared = spark.sparkContext.broadcast((ids, matrix, cutoffs))
     enough = entries.mapInArrow(tidy(_phase(shared, k, lists)), _ENTRY)
-    return keep(_ranked(enough).where(F.col("rank") <= k))
+    return cut(_ranked(enough).where(F.col("rank") <= k))

@@ -1,7 +1,8 @@
 """Mixing sources to target weights: hash-random order, distributed prefix sums, exact cuts.
 
 Only built-in DataFrame functions.  Every document gets a random key that hangs on
-its identifier and the seed alone.  The key's leading bits name one of 64 x 64
+its identifier, its text and the seed alone, so rows without an identifier or with
+a common one are spread as well.  The key's leading bits name one of 64 x 64
 ranges, so within a source the ranges are in key order without any sampling and
 hold about equally many rows however large the source is.  Prefix sums of word
 counts are taken over the 64 upper ranges, over the 64 lower ranges of each, and
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.scratch import keep
+from millrace.llm.scratch import cut, keep
 
 KEY_BITS, RANGE_BITS = 60, 6
 
@@ -58,11 +59,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     the random order to the word, so the document at the cut may be taken in part.
     ``taken`` counts repeats and is never above ``most`` times the size (rounded
     up to whole epochs).  A null source is a source of its own, apart from the
-    empty name; a null text has no words; rows that share an identifier are
-    ordered by their size.  A table without words takes nothing, and an empty
+    empty name; a null text has no words; rows that share an identifier
+    have places of their own.  A table without words takes nothing, and an empty
     table gives an empty result.  Other columns are not read.
     """
-    digest = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f" {seed}")).cast("binary"))
+    digest = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f" {seed} "), F.coalesce(F.col(text_col), F.lit(""))).cast("binary"))
     order = F.conv(F.substring(digest, 1, KEY_BITS // 4), 16, 10).cast("long")
     base = docs.select(
         F.col(id_col).alias("id"),
@@ -73,23 +74,23 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     ).withColumn("range", F.shiftright(F.col("key"), KEY_BITS - 2 * RANGE_BITS).cast("int"))
     base = keep(base)
     by_range = base.groupBy("no_source", "source", "range").agg(F.sum("size").alias("range_size"))
-    by_range = keep(by_range.withColumn("upper", F.shiftright("range", RANGE_BITS)))
-    uppers = keep(by_range.groupBy("no_source", "source", "upper").agg(F.sum("range_size").alias("upper_size")))
+    by_range = cut(by_range.withColumn("upper", F.shiftright("range", RANGE_BITS)))
+    uppers = cut(by_range.groupBy("no_source", "source", "upper").agg(F.sum("range_size").alias("upper_size")))
     plan = _targets(uppers.groupBy("no_source", "source").agg(F.sum("upper_size").alias("source_size")), weights, share, most)
 
     def earlier(keys: list[str], order: str, column: str):
         return F.coalesce(F.sum(column).over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
     uppers = uppers.withColumn("upper_start", earlier(["no_source", "source"], "upper", "upper_size"))
-    uppers = keep(uppers.join(keep(plan), ["no_source", "source"]).drop("upper_size"))
+    uppers = cut(uppers.join(cut(plan), ["no_source", "source"]).drop("upper_size"))
     ranges = by_range.withColumn("start", earlier(["no_source", "source", "upper"], "range", "range_size"))
     ranges = ranges.join(uppers, ["no_source", "source", "upper"]).withColumn("start", F.col("start") + F.col("upper_start"))
-    ranges = keep(ranges.select("no_source", "source", "range", "start", "source_size", "target"))
+    ranges = cut(ranges.select("no_source", "source", "range", "start", "source_size", "target"))
 
     rows = Window.partitionBy("no_source", "source", "range").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = base.withColumn("inside", F.coalesce(F.sum("size").over(rows), F.lit(0))).join(ranges, ["no_source", "source", "range"])
     budget = F.round("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
     rest = budget - epochs * F.col("source_size")
-    cut = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), rest - F.col("start") - F.col("inside")))
-    return placed.select(F.col("id").alias(id_col), "size", "source_size", "target", (epochs * F.col("size") + cut).alias("taken"))
+    rest_taken = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), rest - F.col("start") - F.col("inside")))
+    return placed.select(F.col("id").alias(id_col), "size", "source_size", "target", (epochs * F.col("size") + rest_taken).alias("taken"))

@@ -255,9 +255,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     stars = stars.groupBy(F.col("node").alias("a"), F.col("lead").alias("b")).agg(F.count("*").alias("shared"))
     best = cut(stars.groupBy("a").agg(F.max(F.struct("shared", (-F.col("b")).alias("b"))).alias("best")).select("a", (-F.col("best.b")).alias("b")))
     labels = unite(best, spark.createDataFrame([], "node long, label long"))
-    labelled = keep(label_of(members.select("band", "place", "node", "n"), "node", "label", labels))
+    labelled = cut(label_of(members.select("band", "place", "node", "n"), "node", "label", labels))
     split = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band")
-    open_rows = keep(labelled.join(split, "band", "left_semi"))
+    open_rows = cut(labelled.join(split, "band", "left_semi"))
     last = _open_pairs(open_rows, elements, sets, percent).join(best, ["a", "b"], "left_anti")
     last = cut(last)
     if not last.isEmpty():

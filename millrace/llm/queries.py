@@ -170,7 +170,7 @@ def oracle_sql() -> dict[str, str]:
         "op8_mix_sources": r"""
             with d as (select doc_id, source is null as ns, coalesce(source, '') as s,
                               cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,
-                              md5(coalesce(cast(doc_id as varchar), '') || ' 0') as digest from documents),
+                              md5(coalesce(cast(doc_id as varchar), '') || ' 0 ' || coalesce(text, '')) as digest from documents),
             src as (select ns, s, cast(sum(size) as bigint) as source_size from d group by ns, s),
             weighed as (select *, case (row_number() over (order by ns, s) - 1) % 3 when 0 then 3.0::double when 1 then 1.0 else 2.0 end as w from src),
             ranked as (select *, source_size * 2.0::double as cap, source_size * 2.0::double / w as fill from weighed),

@@ -3,7 +3,8 @@
 Three kinds, by what they are for:
 
 * :func:`keep` for narrow tables that are read several times: kept on the
-  executors' disks, and worked out again from their lineage where a copy is lost;
+  executors' disks, and worked out again from their lineage where a copy is lost
+  (not on top of each other, as a plan shows those it rests on with each mention);
 * :func:`cut` for rounds of a loop, whose lineage would grow, and for wide tables:
   a checkpoint in the folder the cluster names in ``spark.checkpoint.dir``;
 * :func:`store` for wide tables of which different columns are read: Parquet in

@@ -99,7 +99,7 @@ def judge(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, mar
     def shares(source: str, target: str) -> DataFrame:
         out = counts.groupBy(F.col(source).alias("src")).agg(F.sum("n").alias("all"))
         pairs = counts.select(F.col(source).alias("src"), F.col(target).alias("dst"), "n").join(out, "src")
-        return keep(pairs.select("src", "dst", (F.col("n") / F.col("all")).alias("share")))
+        return cut(pairs.select("src", "dst", (F.col("n") / F.col("all")).alias("share")))
 
     seen = keep(judged.where("by_rule is not null").groupBy("host", "by_rule").agg(F.count("*").alias("n")))
 
@@ -110,7 +110,7 @@ def judge(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, mar
 
     trust = propagate(shares("src", "dst"), starts("allow")).withColumnRenamed("score", "trust")
     distrust = propagate(shares("dst", "src"), starts("block")).withColumnRenamed("score", "distrust")
-    hosts = keep(trust.join(distrust, "host", "full_outer").select("host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust")))
+    hosts = cut(trust.join(distrust, "host", "full_outer").select("host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust")))
     by_links = F.when(F.coalesce(F.col("distrust") - F.col("trust"), F.lit(0.0)) > margin, F.lit("block")).otherwise(F.lit("allow"))
     return judged.join(hosts, "host", "left").select(
         "page_id",

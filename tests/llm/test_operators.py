@@ -532,3 +532,80 @@ def test_ambiguous_source_names(spark):
     """An empty and a null source are different sources."""
     got = {r["doc_id"]: r["source_size"] for r in mix(docs_of(spark, [(1, "a b", ""), (2, "a b c", None)])).collect()}
     assert got == {1: 2, 2: 3}
+
+
+# long texts, hot groups, names
+
+
+def test_very_long_texts(spark, ranks):
+    """A text of 50 MB beside short ones through every operator on texts."""
+    rng = random.Random(11)
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randrange(2, 9))) for _ in range(5000)]
+    part = " ".join(rng.choices(words, k=170_000)) + "\n"
+    long = (part * (50_000_000 // len(part) + 1))[:50_000_000]
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "A b  c d e f")], DOCS.split(", lang")[0]).unionByName(spark.range(1).select(F.lit(3).cast("long").alias("doc_id"), F.repeat(F.lit(part), len(long) // len(part) + 1).substr(1, len(long)).alias("text")))
+    docs = docs.withColumn("source", F.lit("s")).repartition(2)
+    model = toxicity.fit(["bad xq", "good", "bad xq", "good", "bad xq", "fine"], [1, 0, 1, 0, 1, 0])
+    assert toxicity.score(docs, model).count() == 3
+    assert quality.score(docs, quality.fit(["a b", "c,d"], [0, 1])).count() == 3
+    assert {r["doc_id"]: r["group_size"] for r in exact_groups(docs).select("doc_id", "group_size").collect()} == {1: 1, 2: 1, 3: 1}
+    near = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_groups(docs, k=4).collect()}
+    tokens = long.split()
+    assert near[3] == (len({tuple(tokens[i : i + 4]) for i in range(len(tokens) - 3)}), 3) and near[2] == near[1] == (3, 1)
+    assert {r["doc_id"]: r["size"] for r in mix(docs).collect()}[3] == len(tokens)
+    both = bpe.round_trip(docs, *ranks).select("doc_id", F.sha2("decoded", 256).alias("sha")).collect()
+    assert {r["doc_id"]: r["sha"] for r in both}[3] == hashlib.sha256(long.encode()).hexdigest()
+    pages = docs.select(F.col("doc_id").alias("page_id"), F.lit("http://x.example/").alias("url"), F.concat(F.lit("<p>"), "text", F.lit("</p>")).alias("html"))
+    assert {r["page_id"]: r["n_chars"] for r in main_text(pages).select("page_id", "n_chars").collect()}[3] == len(" ".join(tokens))
+    assert judge(pages).count() == 3
+    chats = docs.select(F.col("doc_id").alias("conv_id"), F.lit(0).alias("turn"), F.lit("user").alias("role"), "text")
+    assert format_chat(chats).select("kind").distinct().count() == 1
+
+
+def test_words_of_like_letters_are_not_mixed_up(spark):
+    """Two words that a polynomial modulo 2**64 can't tell apart, whatever its base."""
+    one = [0]
+    while len(one) < 1024:
+        one += [1 - x for x in one]
+    a, b = ("".join("ab"[x] for x in w) for w in (one, [1 - x for x in one]))
+    got = {r["doc_id"]: r["component_id"] for r in near_groups(docs_of(spark, [(1, a), (2, b)]), k=4).collect()}
+    assert got == {1: 1, 2: 2}
+
+
+def test_a_large_open_bucket_is_dealt_out(spark, monkeypatch):
+    """Texts that share bands but are not linked, in buckets that are cut into many parts."""
+    from millrace.llm import near_dedup
+
+    monkeypatch.setattr(near_dedup, "BUCKET", 7)
+    rng = random.Random(12)
+    base = [f"b{i}" for i in range(60)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for _ in range(rng.randrange(1, 7)):
+            words[rng.randrange(60)] = f"x{rng.randrange(10_000)}"
+        rows.append((i, " ".join(words)))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in near_groups(docs_of(spark, rows), k=4).collect()}
+    assert got == brute_components(rows, 4)
+
+
+def test_columns_named_like_the_operators_own(spark):
+    docs = docs_of(spark, [(1, "x"), (1, "x"), (None, None)]).withColumnRenamed("run", "__text")
+    model = toxicity.fit([], [])
+    for scored in (toxicity.score(docs, model, keep=("__text", "key")), quality.score(docs, quality.fit([], []), keep=("__text", "key"))):
+        assert scored.columns == ["doc_id", "__text", "key", "score"] and sorted(r["__text"] for r in scored.collect()) == [7, 7, 7]
+    with pytest.raises(ValueError):
+        toxicity.score(docs, model, keep=("score",))
+
+
+def test_repeated_pages_stay(spark):
+    rows = [(1, "http://a.com/en/1", "<p>x</p>")] * 3 + [(None, None, None)] * 2
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert sorted((r["page_id"] or 0, r["text"]) for r in main_text(pages).collect()) == [(0, ""), (0, ""), (1, "x"), (1, "x"), (1, "x")]
+    assert sorted((r["page_id"] or 0, r["verdict"]) for r in judge(pages).collect()) == [(0, "allow"), (0, "allow"), (1, "block"), (1, "block"), (1, "block")]
+
+
+def test_rows_without_identifiers_are_spread(spark):
+    rows = [(None, f"w{i} " * (i % 9 + 1), "a") for i in range(300)]
+    got = mix(docs_of(spark, rows)).collect()
+    assert abs(sum(r["taken"] for r in got) - got[0]["target"]) <= 1 and {r["taken"] // r["size"] for r in got} == {1, 2}

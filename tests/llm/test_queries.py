@@ -207,3 +207,11 @@ def test_stages_take_anything(spark, sf_dir):
                 assert sorted(r["doc_id"] or 0 for r in got.collect()) == [0, 1, 3, 5]
             if name in ("toxicity", "near_dedup", "mix"):
                 assert got.columns == list(P.COLUMNS)
+
+
+def test_pipeline_of_an_empty_table(spark, sf_dir, tmp_path):
+    import corpus_pipeline as P
+
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").where("false").write.parquet(f"{tmp_path}/{name}.parquet")
+    assert P.run(spark, str(tmp_path)).count() == 0
