@@ -21,7 +21,7 @@ from millrace.llm.scratch import keep, release, remove, shared_dir, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOXIC_AT = 0.3
-KEPT_BYTES = 32 << 20  # of pieces; less than the tokeniser's own, as earlier stages have left executors with a full heap
+KEPT_BYTES = 96 << 20  # of pieces; less than the tokeniser's own, as earlier stages have left executors with a full heap
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
