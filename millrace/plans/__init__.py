@@ -1,6 +1,6 @@
 """The registered queries, each with its DuckDB counterpart where SQL can express it."""
 
-from millrace.plans import extraction, features, joining, relational, shaping, sinks, texts, tickets
+from millrace.plans import documents, extraction, features, joining, relational, shaping, sinks, texts, tickets
 from millrace.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "extraction", "features", "joining", "relational", "shaping", "sinks", "texts", "tickets"]
+__all__ = ["ORACLES", "QUERIES", "documents", "extraction", "features", "joining", "relational", "shaping", "sinks", "texts", "tickets"]

@@ -139,14 +139,6 @@ def top_errors(spark, sf):
     return most_errors(rows.select(F.col("lang").alias("category"), F.col("quality").alias("actual"), "guess"), ["category"], 5)
 
 
-@query("""with c as (select l_partkey, count(*) as n from lineitem group by 1) select p_partkey, coalesce(n, 0)::bigint as n, case when n is not null and p_size >= 5 then 'paper' when n is null then 'missing' else 'filed' end as kind
-          from part left join c on p_partkey = l_partkey""")
-def tourcode_export(spark, sf):
-    counts = table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.count("*").alias("n"))
-    kind = F.when(F.col("n").isNotNull() & (F.col("p_size") >= 5), "paper").when(F.col("n").isNull(), "missing").otherwise("filed")
-    return table(spark, sf, "part").select("p_partkey", "p_size").join(counts, "p_partkey", "left").select("p_partkey", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), kind.alias("kind"))
-
-
 @query()
 def lang_detect(spark, sf):
     return table(spark, sf, "documents").select("doc_id", "lang", detect_language(F.col("text")).alias("detected"))

@@ -55,21 +55,6 @@ def enrich_by_id(spark, sf):
     return table(spark, sf, "documents").select("doc_id", "source").join(table(spark, sf, "labels").where("toxic = 0").select("doc_id", "quality"), "doc_id")
 
 
-@query("""with c as (select l_partkey, count(distinct l_orderkey) as total, count(distinct case when l_returnflag = 'R' then l_orderkey end) as filed from lineitem group by 1),
-          f as (select c_nationkey, count(*) as n from customer group by 1)
-          select p_partkey, coalesce(total, n, 0)::bigint as total, coalesce(filed, 0)::bigint as filed
-          from part left join c on p_partkey = l_partkey left join f on c.l_partkey is null and p_size = c_nationkey""")
-def tourcode_file_counts(spark, sf):
-    counts = table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(
-        F.count_distinct("l_orderkey").alias("total"), F.count_distinct(F.when(F.col("l_returnflag") == "R", F.col("l_orderkey"))).alias("filed")
-    )
-    parts = table(spark, sf, "part").select("p_partkey", "p_size")
-    fallback = table(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("p_size")).agg(F.count("*").alias("n"))
-    members = parts.join(counts, "p_partkey").select("p_partkey", "total", "filed")
-    others = parts.join(counts, "p_partkey", "left_anti").join(fallback, "p_size", "left").select("p_partkey", F.coalesce("n", F.lit(0)).alias("total"), F.lit(0).cast("bigint").alias("filed"))
-    return members.unionByName(others)
-
-
 @query("select distinct l_partkey, o_orderkey, (o_orderdate::date + 30) as extension_date from lineitem join orders on l_orderkey = o_orderkey where o_orderstatus = 'P'")
 def extension_dates_export(spark, sf):
     orders = table(spark, sf, "orders").where("o_orderstatus = 'P'").select("o_orderkey", F.date_add(F.to_date("o_orderdate"), 30).alias("extension_date"))
