@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 
 TOUR_CODE = r"[A-Za-z0-9_]+FF[0-9]+"
 CODE_RANGE = r"[A-Za-z0-9_]+FF[0-9]+(?:/[0-9]+)+"
-_DATED = r"(?:\d{1,2}\s?(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\s?\d{2,4}|\d{4}-\d{1,2}-\d{1,2}|\d{1,2}/\d{1,2}/\d{2,4})"
+_DATED = r"(?:\d{1,2}\s?(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\s?\d{2,4}|\d{4}-\d{1,2}-\d{1,2}|\d{4}\s?年\s?\d{1,2}\s?月\s?\d{1,2}\s?日|\d{1,2}/\d{1,2}/\d{2,4})"
 _DATE = re.compile(_DATED, re.I)
-_PREVIOUS = re.compile(r"previous\s+vers(?:ion)?\b|(?:old|former)\s+version\b|previously\s+filed\b|上\s*一\s*版\s*本", re.I)
-_DEADLINE = re.compile(rf"(?:up\s?to|until|till|before|latest|至|:)\s*({_DATED})", re.I)
+# fixed values: what a previous version is called, what a deadline stands after, and what ends the part that tells of it
+_PREVIOUS = re.compile(r"previous\s+vers(?:ion)?\b|(?:old|former)\s+version\b|previously\s+filed\b|上一版本|宽限期", re.I)
+_DEADLINE = re.compile(rf"(?:up\s?to|until|till|before|latest|\bby|至|到|为|期|:)\s*:?\s*({_DATED})", re.I)
+_UPDATED = re.compile("最后更新")
+_CJK_GAP = re.compile(r"(?<=[一-鿿])\s+(?=[一-鿿])")
 _PERIOD = re.compile(rf"\b(sales|ticketing|iss|issue|issued|dep|departure|travel|trvl)\b[\s_:]*(?:on|from)?[\s_]*((?:until|till|upto|up to)?)[\s_]*({_DATED})(?:\s*(?:-|–|to|until|till)?\s*({_DATED}))?", re.I)
 _MONTHS = {m: i + 1 for i, m in enumerate("jan feb mar apr may jun jul aug sep oct nov dec".split())}
 WINDOW_WORDS = 30
@@ -84,6 +87,8 @@ def _day(text: str) -> date | None:
             return date(year + 2000 if year < 100 else year, _MONTHS[m[2]], int(m[1]))
         if m := re.fullmatch(r"(\d{4})-(\d{1,2})-(\d{1,2})", low):
             return date(int(m[1]), int(m[2]), int(m[3]))
+        if m := re.fullmatch(r"(\d{4})\s?年\s?(\d{1,2})\s?月\s?(\d{1,2})\s?日", low):
+            return date(int(m[1]), int(m[2]), int(m[3]))
         if m := re.fullmatch(r"(\d{1,2})/(\d{1,2})/(\d{2,4})", low):
             one, two, year = int(m[1]), int(m[2]), int(m[3])
             year = year + 2000 if year < 100 else year
@@ -94,13 +99,20 @@ def _day(text: str) -> date | None:
 
 
 def extension_date(text: str | None) -> date | None:
-    """Until when a previous version holds: the least deadline in the 30 words after it is named, else in the 30 before."""
+    """Until when a previous version holds: the least deadline in the 30 words after it is named, else in the 30 before.
+
+    What is said of the last update of the sheet doesn't count.
+    """
+    plain = _CJK_GAP.sub("", text or "").replace("：", ":")
     found: list[date] = []
-    for match in _PREVIOUS.finditer(text or ""):
-        after = " ".join(text[match.end() :].split(None, WINDOW_WORDS)[:WINDOW_WORDS])
-        before = " ".join(text[: match.start()].rsplit(None, WINDOW_WORDS)[-WINDOW_WORDS:])
-        days = [day for side in (after, before) if (day := min((d for m in _DEADLINE.finditer(side) if (d := _day(m[1]))), default=None))]
-        found += days[:1]
+    for match in _PREVIOUS.finditer(plain):
+        # what the mention itself ends in may stand right before the date
+        after = plain[match.end() - 1 : match.end()] + " " + " ".join(plain[match.end() :].split(None, WINDOW_WORDS)[:WINDOW_WORDS])
+        before = " ".join(plain[: match.start()].rsplit(None, WINDOW_WORDS)[-WINDOW_WORDS:])
+        for side in (_UPDATED.split(after)[0], before):
+            if days := [day for m in _DEADLINE.finditer(side) if (day := _day(m[1]))]:
+                found.append(min(days))
+                break
     return min(found, default=None)
 
 

@@ -10,6 +10,7 @@ later rules can use it.  The result is a flat list of spans with their depth.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Mapping
 from functools import lru_cache
 
 import pandas as pd
@@ -32,6 +33,11 @@ _LISTS = {
     "HONORED": "honored honoured honour",
     "UFN": "ufn onwards further",
     "ORIGINATING": "originating origin",
+    "EXCLUDING": "excluding excludes exclude except excl",
+    "CODESHARE": "codeshare code-share codeshares",
+    "AGENT": "agent agents agency",
+    "SLASH": "/",
+    "COMMA": ",",
     "OTHER": "other",
     "THAN": "than",
     "ROUTE": "route routes",
@@ -61,29 +67,47 @@ _ENDINGS = (("able", "JJ"), ("ness", "NN"), ("ly", "RB"), ("ing", "VBG"), ("ed",
 #: (label, rule), in the order in which they apply.
 GRAMMAR = (
     ("DATE", "<CD><MM><CD>"),
+    ("DATE", "<MM><CD><COMMA>?<CD>"),
     ("DATE", "<DAY>"),
+    ("DATE", "<CD><MM>"),
+    ("AMOUNT", "<CURRENCY><CD>?"),
+    ("LOCATIONS", "<LOCATION>(?:<AND|OR|SLASH|COMMA>+<LOCATION>)+"),
     ("RANGE", "<DATE><TO>?<DATE>"),
     ("TODATE", "<TO><DATE>"),
     ("FROMDATE", "<FROM|EFFECTIVE><DATE>"),
+    ("FROMDATE", "<DATE><UFN>"),
     ("EXTENSION_DATE", "<PREVIOUS><VERSION><.*>*<TODATE>"),
     ("SALESPERIOD", "<SALES>+<VALIDITY>?<IN>?<RANGE|TODATE|FROMDATE>"),
     ("TRAVELPERIOD", "<TRAVEL>+<VALIDITY>?<IN>?<RANGE|TODATE|FROMDATE>"),
-    ("ORIGINS_EXCLUDED", "<ORIGINATING><OTHER><THAN><LOCATION>"),
-    ("ORIGINS", "<ORIGINATING><FROM|IN>?<LOCATION>"),
-    ("TO_LOCATION", "<TO><LOCATION>"),
+    ("VALIDITYPERIOD", "<VALIDITY><IN>?<RANGE|TODATE|FROMDATE>"),
+    ("ORIGINS_EXCLUDED", "<ORIGINATING><OTHER><THAN><LOCATION|LOCATIONS>"),
+    ("ORIGINS", "<ORIGINATING><FROM|IN>?<LOCATION|LOCATIONS>"),
+    ("ORIGINS", "<LOCATION|LOCATIONS><ORIGINATING>"),
+    ("TOURCODELOCATION", "<TOURCODE><IN|FROM>*<LOCATION|LOCATIONS>"),
+    ("TO_LOCATION", "<TO><LOCATION|LOCATIONS>"),
+    ("FROM_LOCATION", "<FROM><LOCATION|LOCATIONS>"),
+    ("ROUTEPAIR", "<LOCATION|LOCATIONS|FROM_LOCATION><TO_LOCATION>"),
     ("CORPORATE_DISCOUNT", "<CORPORATE><DISCOUNT>"),
-    ("AGENT_DISCOUNT", "<DISCOUNT>"),
+    ("AGENT_DISCOUNT", "<AGENT>?<DISCOUNT>"),
+    ("RATE", "<PERCENT><CORPORATE_DISCOUNT|AGENT_DISCOUNT>"),
     ("FLIGHT", "<CARRIER><CD>"),
+    ("FLIGHTS", "<FLIGHT>(?:<SLASH|COMMA|AND>+<CD|FLIGHT>)+"),
+    ("FLIGHTS_EXCLUDED", "<EXCLUDING><FLIGHT|FLIGHTS>"),
+    ("CARRIERS", "<CARRIER>(?:<SLASH|COMMA|AND>+<CARRIER>)+"),
+    ("CABINS", "<CABIN>(?:<SLASH|COMMA|AND|OR>+<CABIN>)+"),
+    ("FARES", "<CABIN|CABINS>?<CLASS>?<FARE>"),
 )
 
 
-def tag_word(word: str) -> str:
-    """The tag of one word."""
+def tag_word(word: str, tables: Mapping[str, str] | None = None) -> str:
+    """The tag of one word; ``tables`` has the tags of further words in lower case, such as known codes, carriers and places."""
     for shape, tag in _SHAPES[:3]:
         if shape.fullmatch(word):
             return tag
     if (tag := _WORDS.get(word.lower())) is not None:
         return tag
+    if tables and (tag := tables.get(word.lower())) is not None:
+        return tag
     for shape, tag in _SHAPES[3:]:
         if shape.fullmatch(word):
             return tag
@@ -145,22 +169,31 @@ def tags_of(text: Column) -> Column:
     return of(text)
 
 
-def tag_tokens(words: Column) -> Column:
+def tables_of(**named: Iterable[str]) -> dict[str, str]:
+    """Words by tag as tags by word: ``tables_of(CARRIER=["cx"], LOCATION=["hkg"])``; the first tag of a word counts."""
+    found: dict[str, str] = {}
+    for tag, words in named.items():
+        for word in words:
+            found.setdefault(word.lower(), tag)
+    return found
+
+
+def tag_tokens(words: Column, tables: Mapping[str, str] | None = None) -> Column:
     """array<struct<word,tag>> of a word list."""
 
     @F.pandas_udf("array<struct<word:string,tag:string>>")
     def of(lists: pd.Series) -> pd.Series:
-        return lists.map(lambda ws: None if ws is None else [{"word": w, "tag": tag_word(w)} for w in ws])
+        return lists.map(lambda ws: None if ws is None else [{"word": w, "tag": tag_word(w, tables)} for w in ws])
 
     return of(words)
 
 
-def spans_of(words: Column) -> Column:
+def spans_of(words: Column, tables: Mapping[str, str] | None = None) -> Column:
     """array<struct<label,start,stop,depth>> of the chunks in a word list."""
 
     @F.pandas_udf("array<struct<label:string,start:int,stop:int,depth:int>>")
     def of(lists: pd.Series) -> pd.Series:
-        rows = lists.map(lambda ws: None if ws is None else chunk([tag_word(w) for w in ws]))
+        rows = lists.map(lambda ws: None if ws is None else chunk([tag_word(w, tables) for w in ws]))
         return rows.map(lambda r: None if r is None else [dict(zip(("label", "start", "stop", "depth"), x, strict=True)) for x in r])
 
     return of(words)

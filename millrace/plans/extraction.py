@@ -82,14 +82,21 @@ def range_expand(spark, sf):
     return E.tour_codes(rows, "text", "words").groupBy("text").agg(F.array_sort(F.collect_list("code"), lambda x, y: F.when(x > y, -1).otherwise(1)).alias("codes"))
 
 
-_ROUTES = "('DFW – HKG'),('USA OR MEXICO - ASIA'),('CANADA TO'),('TOWUH, CAN, BJS,'),('SHA OR HKG'),('ALL CX AND KA'),('LAX TO ASIA ONLY'),('BOS SIN AND BOS SHA'),('JFK/EWR-AISA'),('USA ORLATIN AMERICA - ASIA'),('USA ASIA'),('CANADA – ASIA*'),('TOKYO TO HONG KONG')"
-
-
-@query("""select * from (values ('DFW – HKG',['DFW'],['HKG']),('USA OR MEXICO - ASIA',['USA','MEXICO'],['ASIA']),('CANADA TO',['CANADA'],null),('TOWUH, CAN, BJS,',null,['WUH','CAN','BJS']),
-   ('SHA OR HKG',['SHA','HKG'],['SHA','HKG']),('ALL CX AND KA',['ALL CX AND KA'],['ALL CX AND KA']),('LAX TO ASIA ONLY',['LAX'],['ASIA']),('BOS SIN AND BOS SHA',['BOS'],['SIN','SHA']),
-   ('JFK/EWR-AISA',['JFK','EWR'],['ASIA']),('USA ORLATIN AMERICA - ASIA',['USA','LATIN AMERICA'],['ASIA']),('USA ASIA',['USA'],['ASIA']),('CANADA – ASIA*',['CANADA'],['ASIA']),('TOKYO TO HONG KONG',['TOKYO'],['HONG KONG'])) t(route, from_location, to_location)""")
+# fixed values: routes with the places on both sides
+_ROUTES = (
+    ("DFW – HKG", ["DFW"], ["HKG"]), ("ORD-HKG", ["ORD"], ["HKG"]), ("USA OR MEXICO - ASIA", ["USA", "MEXICO"], ["ASIA"]), ("CANADA TO", ["CANADA"], None), ("TOWUH, CAN, BJS,", None, ["WUH", "CAN", "BJS"]),
+    ("SHA OR HKG", ["SHA", "HKG"], ["SHA", "HKG"]), ("ALL CX AND KA", ["ALL CX AND KA"], ["ALL CX AND KA"]), ("LAX TO ASIA ONLY", ["LAX"], ["ASIA"]), ("LAX TO ASIA", ["LAX"], ["ASIA"]),
+    ("BOS TO PVG", ["BOS"], ["PVG"]), ("CANADA TO ASIA", ["CANADA"], ["ASIA"]), ("CHI OR CID TO ASIA", ["CHI", "CID"], ["ASIA"]), ("USA-AISA", ["USA"], ["ASIA"]), ("BOS SIN AND BOS SHA", ["BOS"], ["SIN", "SHA"]),
+    ("JFK/EWR-AISA", ["JFK", "EWR"], ["ASIA"]), ("USA ORLATIN AMERICA - ASIA", ["USA", "LATIN AMERICA"], ["ASIA"]), ("USA OR LATIN AMERICA - ASIA", ["USA", "LATIN AMERICA"], ["ASIA"]), ("USA ASIA", ["USA"], ["ASIA"]),
+    ("CANADA – ASIA*", ["CANADA"], ["ASIA"]), ("TOKYO TO HONG KONG", ["TOKYO"], ["HONG KONG"]), ("MEXICO ANDLATIN AMERICA", ["MEXICO", "LATIN AMERICA"], ["MEXICO", "LATIN AMERICA"]),
+    ("MEXICO AND LATIN AMERICA", ["MEXICO", "LATIN AMERICA"], ["MEXICO", "LATIN AMERICA"]), ("WUH, CAN, BJS, SHA OR HKG", ["WUH", "CAN", "BJS", "SHA", "HKG"], ["WUH", "CAN", "BJS", "SHA", "HKG"]),
+)
+
+
+@query("select * from (values " + ", ".join("('{}', {}, {})".format(r, *("null" if x is None else x for x in (a, b))) for r, a, b in _ROUTES) + ") t(route, from_location, to_location)")
 def route_split(spark, sf):
-    return _values(spark, _ROUTES, "route").select("route", E.route_ends(F.col("route")).alias("r")).select("route", "r.*")
+    rows = spark.createDataFrame([(r,) for r, _, _ in _ROUTES], "route string")
+    return rows.select("route", E.route_ends(F.col("route")).alias("r")).select("route", "r.*")
 
 
 _ORIGINS = "('Originating OTHER THAN USA/MEX/LATIN AMERICA'),('Originating from USA UPFRONT DISCOUNT'),('USA/MEXICO and LATIN AMERICA UPFRONT COMMISSION'),('valid for USA /MEXICO / LATIN AMERICA originating traffic'),('Originating from DFW on CX CODE SHARE')"
@@ -101,11 +108,31 @@ def signed_origins(spark, sf):
     return _values(spark, _ORIGINS, "text").select("text", E.origins_of(F.col("text")).alias("origins"))
 
 
-@query("""select * from (values ('Previous version V2017-006 dated 28/09/2017 will be honoured for ticket issue on/before 10Oct17',date '2017-10-10'),('Previous version valid for sales upto 31Dec17',date '2017-12-31'),
-   ('上 一 版 本 V1703 宽 限 期 延 至 2017-09-08 止',date '2017-09-08'),('Fares extended for sales till 26Apr17',null),('bookings made on previous version X to be issued by latest 02 April 2017',date '2017-04-02')) t(text, day)""")
+# fixed values: sentences with the day until which a previous version holds
+_DEADLINES = (
+    ("Previous version V2017-006 dated 28/09/2017 will be honoured for ticket issue on/before 10Oct17", "2017-10-10"),
+    ("Previous version valid for sales upto 31Dec17", "2017-12-31"),
+    ("Previous version V2017-005 (26/07/2017) will be honour for tkt iss up to 16Aug17.", "2017-08-16"),
+    ("Fare & class code revised and extended for sales till 31Dec16. Previous vers V2015-003 will honoured for tkt issued upto 05Mar16.", "2016-03-05"),
+    ("All bookings made on previous version LON2300FF500 to be issued as per normal ticketing time limit or by latest 02 April 2017", "2017-04-02"),
+    ("Bookings made under the previous version LON6062FF880 must be issued by 31May 16", "2016-05-31"),
+    ("Fares extended for sales till 26Apr17", None),
+    ("Wef 01May17, fares / validity revised and extended till 30Apr18.", None),
+    ("上 一 版 本 V1703 宽 限 期 延 至 2017-09-08 最 后 更 新 日 期 ：2017-09-01", "2017-09-08"),
+    ("上 一 版 本 V1703 开 票 宽 限 期 为 2017-05-12 最 后 更 新 日 期 ：2017-05-05", "2017-05-12"),
+    ("上 一 版 本 V1707 开 票 宽 限 期 至 ： 2017 年 12 月 9 日 最 后 更 新 日 期 ：2017-12-05", "2017-12-09"),
+    ("FOC9501FF701&FOC9501FF708 V1702 开 票 宽 限 期 至 ：2017-11-23 最 后 更 新 日 期 ：2017-11-16", "2017-11-23"),
+    ("上 一 版 本 TAO9300FF700 V1703 最 后 开 票 日 期 到 2017-11-23 。 最 后 更 新 日 期 ：2017-11-16", "2017-11-23"),
+    ("上 一 版 本 V1711 开 票 宽 限 期 至 : 10/16/2017 2017-10-09", "2017-10-16"),
+    ("上 一 版 本 V1704 开 票 宽 限 期 2017-08-02 2017-07-26", "2017-08-02"),
+    ("Previous version valid till 05May17 and on request till 03May17", "2017-05-03"),
+)
+
+
+@query("select text, day::date as day from (values " + ", ".join("('{}', {})".format(t, f"'{d}'" if d else "null") for t, d in _DEADLINES) + ") t(text, day)")
 def extension_dates(spark, sf):
-    rows = "('Previous version V2017-006 dated 28/09/2017 will be honoured for ticket issue on/before 10Oct17'),('Previous version valid for sales upto 31Dec17'),('上 一 版 本 V1703 宽 限 期 延 至 2017-09-08 止'),('Fares extended for sales till 26Apr17'),('bookings made on previous version X to be issued by latest 02 April 2017')"
-    return _values(spark, rows, "text").select("text", E.extension_date_of(F.col("text")).alias("day"))
+    rows = spark.createDataFrame([(t,) for t, _ in _DEADLINES], "text string")
+    return rows.select("text", E.extension_date_of(F.col("text")).alias("day"))
 
 
 @query("select * from (values (1,'2017-05-19','2017-10-28'),(2,'2017-01-01','2017-02-01'),(3,'2016-01-01','9999-12-31')) t(id, \"from\", \"to\")")
@@ -115,10 +142,28 @@ def period_priority(spark, sf):
     return both.select("id", F.explode(E.choose_periods(F.col("b"), F.col("f"))).alias("p")).select("id", "p.*")
 
 
-@query("""select * from (values (1,'PREVIOUS VERSION VALID FOR SALES UPTO 31Dec17','EXTENSION_DATE'),(2,'SALES 30MAR2017 26APR2017','SALESPERIOD'),(3,'CX 7681','FLIGHT')) t(id, words, label)""")
+# fixed values: sentences with their outermost chunks
+_CHUNKS = (
+    ("PREVIOUS VERSION VALID FOR SALES UPTO 31Dec17 ONLY", [("PREVIOUS VERSION VALID FOR SALES UPTO 31Dec17", "EXTENSION_DATE")]),
+    ("x SALES 30MAR2017 26APR2017", [("SALES 30MAR2017 26APR2017", "SALESPERIOD")]),
+    ("take CX 7681", [("CX 7681", "FLIGHT")]),
+    ("valid from 1 January 2018 onwards", [("valid from 1 January 2018", "VALIDITYPERIOD")]),
+    ("travel until 30Nov17", [("travel until 30Nov17", "TRAVELPERIOD")]),
+    ("originating other than USA / MEXICO and CANADA", [("originating other than USA / MEXICO and CANADA", "ORIGINS_EXCLUDED")]),
+    ("USA / MEXICO originating traffic", [("USA / MEXICO originating", "ORIGINS")]),
+    ("HKG24FF501 for HKG", [("HKG24FF501 for HKG", "TOURCODELOCATION")]),
+    ("LAX or SFO to HKG", [("LAX or SFO to HKG", "ROUTEPAIR")]),
+    ("10% agent commission", [("10% agent commission", "RATE")]),
+    ("excluding KA 902 / 903", [("excluding KA 902 / 903", "FLIGHTS_EXCLUDED")]),
+    ("CX / KA business class fares at HKD100", [("CX / KA", "CARRIERS"), ("business class fares", "FARES"), ("HKD100", "AMOUNT")]),
+    ("nothing here", []),
+)
+
+
+@query("select * from (values " + ", ".join(f"({i}, '{w}', '{label}')" for i, (_, found) in enumerate(_CHUNKS) for w, label in found) + ") t(id, words, label)")
 def span_query(spark, sf):
-    rows = _values(spark, "(1,'PREVIOUS VERSION VALID FOR SALES UPTO 31Dec17 ONLY'),(2,'x SALES 30MAR2017 26APR2017'),(3,'take CX 7681')", "id, text").select("id", F.split("text", " ").alias("w"))
-    spans = rows.withColumn("s", F.explode(F.filter(G.spans_of(F.col("w")), lambda s: s["depth"] == 0)))
+    rows = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(_CHUNKS)], "id int, text string").select("id", F.split("text", " ").alias("w"))
+    spans = rows.withColumn("s", F.explode(F.filter(G.spans_of(F.col("w"), G.tables_of(LOCATION=["SFO"])), lambda s: s["depth"] == 0)))
     return spans.select("id", F.array_join(F.slice("w", F.col("s.start") + 1, F.col("s.stop") - F.col("s.start")), " ").alias("words"), F.col("s.label").alias("label"))
 
 
