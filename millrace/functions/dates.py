@@ -57,6 +57,32 @@ def text_date(text: Column) -> Column:
     return F.coalesce(F.try_to_timestamp(text, F.lit("d-MMM-yy")), F.try_to_timestamp(text, F.lit("dMMMyy"))).cast("date")
 
 
+MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
+
+
+def spoken_date(text: Column, to_year: Column) -> Column:
+    """The date a text begins with, whatever its form.
+
+    Until further notice is 9999-12-31, as is a year outside 2011 to 2024; a day and a
+    month without a year take ``to_year``; a day after its month's end is that end;
+    three numbers go by :func:`ymd_date`.  Null for a text without a date.
+    """
+    low = F.lower(F.trim(F.coalesce(text, F.lit(""))))
+    month_of = F.create_map(*[x for i, m in enumerate(MONTHS) for x in (F.lit(m), F.lit(i + 1))])
+    full, short, three = r"^(\d{1,2})[ -]?([a-z]{3})[a-z]*[ -]?(\d{2,4})", r"^(\d{1,2})[ -]?([a-z]{3})[a-z]*$", r"^(\d{1,4})[-/ .](\d{1,2})[-/ .](\d{1,4})"
+    part = lambda pattern, n: F.regexp_extract(low, pattern, n)
+    number = lambda pattern, n: part(pattern, n).try_cast("int")
+    named = lambda pattern: month_of[part(pattern, 2)]
+    year = normalise_year(number(full, 3), to_year)
+    open_end = F.lit("9999-12-31").cast("date")
+    return (
+        F.when(low.rlike(r"\b(ufn|onwards|further notice)\b"), open_end)
+        .when(named(full).isNotNull(), F.when(year.between(2011, 2024), clamp_day(year, named(full), number(full, 1))).otherwise(open_end))
+        .when(named(short).isNotNull(), clamp_day(to_year, named(short), number(short, 1)))
+        .when(low.rlike(three), ymd_date(number(three, 1), number(three, 2), number(three, 3)))
+    )
+
+
 def extension(ext: Column, body: Column, from_name: Column) -> Column:
     """struct(extension_date, effective_date, days): the body's date if 1 to 30 days before, else the file name's.
 

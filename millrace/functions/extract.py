@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.functions.text import WHOLE_NAMES
+
 TOUR_CODE = r"[A-Za-z0-9_]+FF[0-9]+"
 CODE_RANGE = r"[A-Za-z0-9_]+FF[0-9]+(?:/[0-9]+)+"
 _DATED = r"(?:\d{1,2}\s?(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\s?\d{2,4}|\d{4}-\d{1,2}-\d{1,2}|\d{4}\s?年\s?\d{1,2}\s?月\s?\d{1,2}\s?日|\d{1,2}/\d{1,2}/\d{2,4})"
@@ -18,7 +20,7 @@ _PREVIOUS = re.compile(r"previous\s+vers(?:ion)?\b|(?:old|former)\s+version\b|pr
 _DEADLINE = re.compile(rf"(?:up\s?to|until|till|before|latest|\bby|至|到|为|期|:)\s*:?\s*({_DATED})", re.I)
 _UPDATED = re.compile("最后更新")
 _CJK_GAP = re.compile(r"(?<=[一-鿿])\s+(?=[一-鿿])")
-_PERIOD = re.compile(rf"\b(sales|ticketing|iss|issue|issued|dep|departure|travel|trvl)\b[\s_:]*(?:on|from)?[\s_]*((?:until|till|upto|up to)?)[\s_]*({_DATED})(?:\s*(?:-|–|to|until|till)?\s*({_DATED}))?", re.I)
+_PERIOD = re.compile(rf"\b(sales|ticketing|tkt|iss|issue|issued|dep|departure|travel|trvl)\b[\s_:]*(?:on|from)?[\s_]*((?:until|till|upto|up to)?)[\s_]*({_DATED})(?:\s*(?:-|–|to|until|till)?\s*({_DATED}))?", re.I)
 _MONTHS = {m: i + 1 for i, m in enumerate("jan feb mar apr may jun jul aug sep oct nov dec".split())}
 WINDOW_WORDS = 30
 # fixed values: places by name with their codes
@@ -61,7 +63,7 @@ def route_ends(route: Column) -> Column:
     """
     text = F.upper(F.trim(F.regexp_replace(F.coalesce(route, F.lit("")), r"(?i)\*|\bonly\b", "")))
     text = F.regexp_replace(text, r"\bAISA\b", "ASIA")
-    text = F.regexp_replace(text, r"(^|\s)(TO|OR|AND)(?!KYO\b|RONTO\b|LEDO\b|LANDO\b|ORRA\b)([A-Z]{3,})", "$1$2 $3")
+    text = F.regexp_replace(text, r"(^|\s)(?!(?:" + "|".join(WHOLE_NAMES) + r")\b)(TO|OR|AND)([A-Z]{3,})", "$1$2 $3")
     text = F.regexp_replace(F.regexp_replace(text, r"\b(LATIN) (AMERICA)\b", "$1_$2"), r"\b(HONG) (KONG)\b", "$1_$2")
     text = F.regexp_replace(text, r"\b(NORTH|SOUTH) (ASIA)\b", "$1_$2")
     text = F.regexp_replace(F.trim(text), r"^(\w+) (ASIA)$", "$1 - $2")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.dates import parse_percent
-from millrace.functions.extract import route_ends
+from millrace.functions.extract import periods_of, route_ends
 from millrace.operators.windows import fill_down, fill_sparse_columns, lookback
 
 #: Header tags in the order in which they take their columns, with what a header says.
@@ -83,7 +83,32 @@ def codes_under_header(cells: DataFrame, keys: list[str], keyword: str, code: st
     return below.join(headers, [*keys, "col"], "left_semi").where(~F.col("blocked") & (found != "")).select(*keys, "row", "col", found.alias("code"))
 
 
+def back_to_back(paragraphs: DataFrame, key: str) -> DataFrame:
+    """(key, table_no, follows): whether nothing but blanks stands between a table and the one before it.
+
+    ``paragraphs`` are (key, ord, table_no, text): tables have a number, texts none.
+    """
+    shown = paragraphs.where("table_no is not null or trim(text) <> ''")
+    over = Window.partitionBy(key).orderBy("ord")
+    marked = shown.withColumn("follows", F.coalesce(F.lag("table_no").over(over).isNotNull(), F.lit(False)))
+    return marked.where("table_no is not null").select(key, "table_no", "follows")
+
+
 def carry_headers(tables: DataFrame, key: str) -> DataFrame:
-    """Tables without a header row take the last header before them in their document."""
-    above = Window.partitionBy(key).orderBy("table_no").rowsBetween(Window.unboundedPreceding, 0)
-    return tables.withColumn("header", F.last("header", ignorenulls=True).over(above))
+    """Tables take the last header before them in their document if they have none, or if they directly follow a table of another background.
+
+    ``tables`` are (key, table_no, header, follows, bgcolor) with a null header for
+    none; the result has the header in ``header`` and ``carried``.
+    """
+    order = Window.partitionBy(key).orderBy("table_no")
+    other = F.col("follows") & ~F.col("bgcolor").eqNullSafe(F.lag("bgcolor").over(order))
+    own = tables.withColumn("own", F.when(~other, F.col("header")))
+    above = order.rowsBetween(Window.unboundedPreceding, 0)
+    carried = own.withColumn("__found", F.last("own", ignorenulls=True).over(above))
+    return carried.withColumn("carried", F.col("own").isNull() & F.col("__found").isNotNull()).withColumn("header", F.coalesce("__found", "header")).drop("own", "__found")
+
+
+def row_periods(rows: DataFrame, route: str = "route") -> DataFrame:
+    """``rows`` whose route tells periods of its own, with them in place of the sheet's ``sales_to`` and ``travel_to``."""
+    end = lambda kind: F.try_element_at(periods_of(F.col(route), kind), F.lit(1))["to"]
+    return rows.withColumn("sales_to", F.coalesce(end("sales"), "sales_to")).withColumn("travel_to", F.coalesce(end("travel"), "travel_to"))

@@ -65,9 +65,32 @@ def clean_tourcode(code: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.regexp_replace(code, " ", ""), "^IT", ""), "^BCODE", "")
 
 
-def unglue_route(word: Column) -> Column:
-    """``TOWUH`` as ``TO WUH``: a connector glued to three or more letters."""
-    return F.regexp_replace(word, r"^(TO|OR|AND)([A-Z]{3,})$", "$1 $2")
+#: Names that begin like a connector and are none.
+WHOLE_NAMES = ("TOKYO", "TORONTO", "TOLEDO", "ORLANDO", "ANDORRA")
+
+
+def unglue_route(word: Column, whole: Sequence[str] = WHOLE_NAMES) -> Column:
+    """``TOWUH`` as ``TO WUH``: a connector glued to three or more letters, but for names that begin like one."""
+    return F.when(word.isin(*whole), word).otherwise(F.regexp_replace(word, r"^(TO|OR|AND)([A-Z]{3,})$", "$1 $2"))
+
+
+def route_text(route: Column) -> Column:
+    """A route as its parts are read: connectors unglued, ``X ASIA`` as ``X - ASIA``, a lone A between two names as a dash."""
+    words = F.filter(F.split(F.upper(F.trim(route)), r"\s+"), lambda w: w != "")
+    spaced = F.array_join(F.transform(words, lambda w: unglue_route(w)), " ")
+    parted = F.regexp_replace(spaced, r"^(\S+) A (\S+)$", "$1 - $2")
+    return F.regexp_replace(parted, r"^(\w+) (ASIA|AISA)$", "$1 - ASIA")
+
+
+def any_word(text: Column, words: Sequence[str]) -> Column:
+    """Whether the text has one of the words as a whole word, in any case."""
+    pattern = "|".join(w.lower() for w in words)
+    return F.coalesce(F.lower(text).rlike(rf"(^|[^\w])({pattern})($|[^\w])"), F.lit(False))
+
+
+def word_index(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(word, key): an inverted index with a row for each word of each document, to be written sorted or bucketed by word."""
+    return docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9_]+"), F.lit(0)))).alias("word"), key)
 
 
 def within_one_edit(one: str, two: str) -> Column:

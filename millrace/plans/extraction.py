@@ -57,6 +57,22 @@ def fare_table_rows(spark, sf):
     return FT.fare_rows(_values(spark, _CELLS, 'table_no, row, col, text'), ["table_no"])
 
 
+@query("select * from (values (1,0,false,'A',false),(1,1,true,'A',true),(1,2,false,'B',false),(1,3,true,'B',false),(1,4,false,'B',true)) t(doc_id, table_no, follows, header, carried)")
+def carried_headers(spark, sf):
+    """A second table of another colour right after the first takes its header; one of the same colour keeps its own; one without a header takes the last."""
+    html = "<table bgcolor=red><tr><td>A</td></tr></table> <table><tr><td>x</td></tr></table><p>t</p><table><tr><td>B</td></tr></table><table><tr><td>B</td></tr></table><p>u</p><table></table>"
+    marks = H.paragraphs_of(spark, spark.createDataFrame([(1, html)], "doc_id int, html string"), "doc_id", "html")
+    facts = spark.createDataFrame([(1, 0, "A", "red"), (1, 1, "x", "blue"), (1, 2, "B", "blue"), (1, 3, "B", "blue"), (1, 4, None, "blue")], "doc_id int, table_no int, header string, bgcolor string")
+    tables = facts.join(FT.back_to_back(marks.select("doc_id", "ord", "table_no", F.coalesce("text", F.lit("")).alias("text")), "doc_id"), ["doc_id", "table_no"])
+    return FT.carry_headers(tables, "doc_id").select("doc_id", "table_no", "follows", "header", "carried")
+
+
+@query("select * from (values ('LAX - HKG', '2017-12-31', '2018-01-31'), ('LAX - HKG travel until 30Nov17', '2017-12-31', '2017-11-30'), ('ORD - HKG tkt till 01Oct17', '2017-10-01', '2018-01-31')) t(route, sales_to, travel_to)")
+def route_overrides(spark, sf):
+    rows = spark.createDataFrame([("LAX - HKG",), ("LAX - HKG travel until 30Nov17",), ("ORD - HKG tkt till 01Oct17",)], "route string")
+    return FT.row_periods(rows.withColumn("sales_to", F.lit("2017-12-31")).withColumn("travel_to", F.lit("2018-01-31")))
+
+
 _CODED = "(1,0,0,'TOUR CODE'),(1,0,1,'NOTE'),(1,1,0,'A1FF6'),(1,1,1,'B1FF6'),(1,2,0,'BASE'),(1,3,0,'C1FF6'),(1,4,0,'D1FF6')"
 
 

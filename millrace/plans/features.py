@@ -8,8 +8,9 @@ from millrace.functions.language import detect_language
 from millrace.functions.text import top_words
 from millrace.ml import features as X
 from millrace.ml import models as M
-from millrace.ml.evaluate import most_errors, written_back
+from millrace.ml.evaluate import important, keep_features, most_errors, written_back
 from millrace.operators.aggregates import mode_of
+from millrace.operators.relational import hash_split
 from millrace.plans.registry import query, sink, table
 from millrace.sources.readers import read_csv
 from millrace.sources.writers import write_csv
@@ -169,3 +170,34 @@ def model_clusters(spark, sf):
     docs = table(spark, sf, "documents").where("lang = 'en'")
     data, _ = M.tfidf_vectors(docs, "doc_id", "text", 5, 200)
     return M.clusters(data, 4).select("doc_id", "prediction")
+
+
+@query()
+def cluster_features(spark, sf):
+    """The cluster of each English document as a feature named by its source, such as ``US_3``."""
+    docs = table(spark, sf, "documents").where("lang = 'en'")
+    data, _ = M.tfidf_vectors(docs, "doc_id", "text", 5, 200)
+    named = M.clusters(data, 4).select("doc_id", "prediction").join(docs.select("doc_id", "source"), "doc_id")
+    return named.select("doc_id", F.concat_ws("_", "source", "prediction").alias("feature"))
+
+
+@query()
+def holdout_runs(spark, sf):
+    """(kind, features, accuracy) of models fitted on four fifths and judged on the rest, with all features and with the important ones."""
+    data, size = _training(spark, sf)
+    train, test = hash_split(data, ["doc_id"], 0.8)
+    forest = M.fit("forest", train, size)
+    names = [str(i) for i in range(size)]
+    kept = [n for n, _ in important(forest, names)] or names
+    found = []
+    for label, columns in (("all", names), ("important", kept)):
+        one, _ = keep_features(train, names, columns)
+        two, _ = keep_features(test, names, columns)
+        for kind in ("forest", "adaboost"):
+            model = M.AdaBoost.fit(one, 3) if kind == "adaboost" else M.fit(kind, one, len(columns))
+            judged = model.transform(two).agg((F.count_if(F.col("label") == F.col("prediction")) / F.count("*")).alias("accuracy"))
+            found.append(judged.select(F.lit(kind).alias("kind"), F.lit(label).alias("features"), "accuracy"))
+    result = found[0]
+    for more in found[1:]:
+        result = result.unionByName(more)
+    return result

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import dates as D
 from millrace.functions import text as T
-from millrace.plans.registry import query, table
+from millrace.plans.registry import query, sink, table
 
 
 def _values(spark, rows: str, columns: str):
@@ -74,14 +74,39 @@ def clean_tourcode(spark, sf):
     return _values(spark, _CODES, "code").select("code", T.clean_tourcode(F.col("code")).alias("clean"))
 
 
-_GLUED = "('TOWUH'),('TOKYO'),('ORSHA'),('AND'),('TO'),('HKG')"
+_GLUED = "('TOWUH'),('TOKYO'),('ORSHA'),('AND'),('TO'),('HKG'),('ORLANDO')"
 
 
-@query(f"select word, regexp_replace(word, '^(TO|OR|AND)([A-Z]{{3,}})$', '\\1 \\2') as split from (values {_GLUED}) t(word)")
+@query(f"select word, case when word in {T.WHOLE_NAMES} then word else regexp_replace(word, '^(TO|OR|AND)([A-Z]{{3,}})$', '\\1 \\2') end as split from (values {_GLUED}) t(word)")
 def unglue_route(spark, sf):
     return _values(spark, _GLUED, "word").select("word", T.unglue_route(F.col("word")).alias("split"))
 
 
+@query("select * from (values ('usa asia', 'USA - ASIA'), ('LAX TOHKG', 'LAX TO HKG'), ('SFO A HKG', 'SFO - HKG'), ('TOKYO', 'TOKYO'), ('', '')) t(route, text)")
+def route_texts(spark, sf):
+    return _values(spark, "('usa asia'),('LAX TOHKG'),('SFO A HKG'),('TOKYO'),('')", "route").select("route", T.route_text(F.col("route")).alias("text"))
+
+
+@query("select doc_id from documents where len(list_intersect(regexp_split_to_array(lower(text), '[^a-zA-Z0-9_]+'), ['license', 'apache', 'server'])) > 0")
+def word_search(spark, sf):
+    """Any of several words, as an unquoted search."""
+    return table(spark, sf, "documents").where(T.any_word(F.col("text"), ["License", "Apache", "server"])).select("doc_id")
+
+
+@query("select distinct doc_id from (select doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9_]+')) as word from documents) where word in ('license', 'the')")
+def index_search(spark, sf):
+    """A search over an inverted index that was written by word and read again."""
+    path = sink(spark, "index")
+    T.word_index(table(spark, sf, "documents"), "doc_id", "text").repartitionByRange("word").sortWithinPartitions("word").write.parquet(path)
+    return spark.read.parquet(path).where(F.col("word").isin("license", "the")).select("doc_id").distinct()
+
+
+@query("""select * from (values (0, date '2017-02-28'), (1, date '2017-10-05'), (2, date '9999-12-31'), (3, date '2018-06-09'), (4, date '2017-10-16'), (5, date '9999-12-31'), (6, null)) t(id, day)""")
+def spoken_dates(spark, sf):
+    rows = _values(spark, "(0, '31 Feb 2017'),(1, '05October17'),(2, '1Jan30'),(3, '9 June'),(4, '10/16/2017 only'),(5, 'until further notice'),(6, 'soon')", "id, text")
+    return rows.select("id", D.spoken_date(F.col("text"), F.lit(2018)).alias("day"))
+
+
 # words that are one edit apart share a word with one letter less; the edit distance is asked for those pairs only
 _VOCABULARY = """w as (select word, count(*) as freq from (select unnest(regexp_extract_all(lower(text), '[a-z]+')) as word from documents) group by 1),
   m as (select word from w), v as (select word, freq from w where freq >= 50),
@@ -107,6 +132,16 @@ def tourcode_candidates(spark, sf):
     return _candidates(*_spelling(spark, sf))
 
 
+@query("""with w as (select word, count(*) as freq from (select unnest(regexp_extract_all(lower(text), '[a-z]+')) as word from benchmark) group by 1), v as (select word, freq from w where freq >= 3),
+   near as (select w.word, v.word as candidate, v.freq, damerau_levenshtein(w.word, v.word) as d from w join v on abs(length(w.word) - length(v.word)) <= 2 and damerau_levenshtein(w.word, v.word) <= 2),
+   b as (select word, candidate from near qualify row_number() over (partition by word order by d, freq desc, candidate) = 1)
+   select w.word, coalesce(candidate, w.word) as corrected from w left join b on w.word = b.word""")
+def spell_correct_two(spark, sf):
+    """Corrections up to two edits away, over the words of the benchmark."""
+    counts = table(spark, sf, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("word")).groupBy("word").agg(F.count("*").alias("freq"))
+    return T.correct(counts.select("word"), counts.where("freq >= 3"), 2)
+
+
 def _candidates(words, vocabulary):
     found = T.spelling_candidates(words, vocabulary).groupBy("word").agg(F.min("distance").alias("d"), F.array_sort(F.collect_set("candidate")).alias("all"))
     joined = words.join(found, "word", "left")
