@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LinearSVC, MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,11 +43,41 @@ def fit(kind: str, data: DataFrame, size: int):
     return CLASSIFIERS[kind](size).fit(balanced(data) if kind == "forest" else data)
 
 
+GRIDS = {"maxDepth": (3, 5), "maxIter": (5, 10), "stepSize": (0.1, 0.3), "subsamplingRate": (0.8, 1.0)}
+
+
 def select_grid(data: DataFrame, depths: Sequence[int] = (3, 5), folds: int = 5):
-    """The best boosting model of a grid, by cross-validation."""
+    """The best boosting model of a grid of depths, by cross-validation."""
+    return select_grids(data, {"maxDepth": depths}, folds)
+
+
+def select_grids(data: DataFrame, grids: Mapping[str, Sequence] = GRIDS, folds: int = 5):
+    """The boosting model whose parameters are chosen one after the other, each by cross-validation over its own grid."""
     base = GBTClassifier(maxIter=5, seed=42)
-    grid = ParamGridBuilder().addGrid(base.maxDepth, list(depths)).build()
-    return CrossValidator(estimator=base, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(), numFolds=folds, seed=42).fit(data).bestModel
+    best = None
+    for name, values in grids.items():
+        grid = ParamGridBuilder().addGrid(base.getParam(name), list(values)).build()
+        chosen = CrossValidator(estimator=base, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(), numFolds=folds, seed=42).fit(data)
+        best = chosen.bestModel
+        base = base.copy({base.getParam(name): best.getOrDefault(name)})
+    return best
+
+
+def fourier_features(data: DataFrame, size: int, gamma: float = 0.1, dimensions: int = 200, seed: int = 42) -> DataFrame:
+    """``data`` with random Fourier features in place of its own: their products come near a radial kernel.
+
+    A linear model over them is a support vector machine with that kernel, up to the
+    error of the approximation, which falls with the root of ``dimensions``.
+    """
+    rng = np.random.default_rng(seed)
+    directions, offsets = rng.normal(0, np.sqrt(2 * gamma), (size, dimensions)), rng.uniform(0, 2 * np.pi, dimensions)
+
+    @F.pandas_udf("array<double>")
+    def of(rows: pd.Series) -> pd.Series:
+        found = np.sqrt(2 / dimensions) * np.cos(np.stack(rows.to_list()).reshape(len(rows), size) @ directions + offsets) if len(rows) else np.zeros((0, dimensions))
+        return pd.Series(list(found))
+
+    return data.withColumn("features", array_to_vector(of(vector_to_array("features"))))
 
 
 @dataclass
@@ -99,8 +132,6 @@ def clusters(data: DataFrame, k: int, seed: int = 1) -> DataFrame:
 
 def silhouette(clustered: DataFrame, key: str, sample: int = 1000) -> float:
     """The mean euclidean silhouette of a hash-chosen sample of bounded size, all pairs in blocks of numpy."""
-    import numpy as np
-
     rows = clustered.orderBy(F.xxhash64(key), key).limit(sample).select("features", "prediction").collect()
     labels = np.array([r["prediction"] for r in rows])
     if len(set(labels.tolist())) < 2:

@@ -19,12 +19,11 @@ def fill_down(df: DataFrame, keys: list[str], row: str, text: str, first_rows: i
 
 def fill_sparse_columns(df: DataFrame, keys: list[str], row: str, text: str) -> DataFrame:
     """Columns that are blank in more than half of their rows get all their texts joined, below the header."""
-    over = Window.partitionBy(*keys)
-    ordered = Window.partitionBy(*keys).orderBy(row).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    blanks = F.sum((F.col(text) == "").cast("int")).over(over)
-    texts = F.collect_list(F.when((F.col(row) > 0) & (F.col(text) != ""), F.col(text))).over(ordered)
-    sparse = blanks * 2 > F.max(row).over(over) + 1
-    return df.withColumn("filled", F.when(sparse & (F.col(row) > 0), F.array_join(texts, " ")).otherwise(F.col(text)))
+    shown = F.when((F.col(row) > 0) & (F.col(text) != ""), F.struct(row, text))
+    columns = df.groupBy(*keys).agg(F.count_if(F.col(text) == "").alias("__blanks"), F.max(row).alias("__last"), F.array_sort(F.collect_list(shown)).alias("__texts"))  # one column of one table
+    sparse = columns.where(F.col("__blanks") * 2 > F.col("__last") + 1).select(*keys, F.array_join(F.transform("__texts", lambda t: t[text]), " ").alias("__joined"))
+    filled = F.when(F.col("__joined").isNotNull() & (F.col(row) > 0), F.col("__joined")).otherwise(F.col(text))
+    return df.join(sparse, keys, "left").withColumn("filled", filled).drop("__joined")
 
 
 def lookback(flag: Column, keys: list[str], order: str, words: int = 5) -> Column:

@@ -165,6 +165,14 @@ for _kind in M.CLASSIFIERS:
     query(name=f"model_{_kind}")(_predict(_kind))
 
 
+@query()
+def model_svc_radial(spark, sf):
+    """A support vector machine with a radial kernel, by random features."""
+    data, size = _training(spark, sf)
+    made = M.fourier_features(data, size)
+    return M.fit("svc", made, 200).transform(made).select("doc_id", "label", "prediction")
+
+
 @query()
 def model_clusters(spark, sf):
     docs = table(spark, sf, "documents").where("lang = 'en'")

@@ -144,3 +144,28 @@ def test_votes_sweeps_and_splits(spark):
     parts = dict(three_way_split(data, ["id"]).groupBy("part").count().collect())
     assert set(parts) == {"test", "dev", "train"} and sum(parts.values()) == 40
     assert three_way_split(data, ["id"]).collect() == three_way_split(data, ["id"]).collect()
+
+
+def test_jdbc_and_grids(spark, tmp_path):
+    """The embedded database that Spark brings along, if it does."""
+    from millrace.sources.readers import read_jdbc
+
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    try:
+        spark.range(20).selectExpr("cast(id as int) as ID", "cast(id * 2 as int) as TWICE").write.format("jdbc").options(url=url, dbtable="T", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver").save()
+    except Exception as e:
+        import pytest
+
+        pytest.skip(str(e)[:100])
+    rows = read_jdbc(spark, url, "T", ["TWICE"], driver="org.apache.derby.iapi.jdbc.AutoloadedDriver", partitionColumn="ID", lowerBound="0", upperBound="20", numPartitions="3")
+    assert rows.rdd.getNumPartitions() == 3 and sorted(r["TWICE"] for r in rows.collect()) == list(range(0, 40, 2))
+
+
+def test_boosting_grids(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from millrace.ml import models
+
+    data = spark.createDataFrame([(float(i % 2), Vectors.dense([float(i % 2), float(i % 7)])) for i in range(80)], ["label", "features"])
+    best = models.select_grids(data, {"maxDepth": (1, 2), "maxIter": (2, 3)}, 2)
+    assert best.transform(data).where("prediction <> label").count() == 0
