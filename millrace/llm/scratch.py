@@ -23,6 +23,7 @@ import ctypes
 import functools
 import gc
 import re
+import shutil
 import tempfile
 import uuid
 
@@ -45,6 +46,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="millrace-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
 
