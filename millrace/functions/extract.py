@@ -209,6 +209,19 @@ def place_kind(code: Column) -> Column:
     return F.when(F.array_contains(countries, upper), "country").when(F.array_contains(regions, upper), "region").when(upper.rlike("^[A-Z]{3}$"), "code").when(upper != "", "name")
 
 
+def place_kinds(places: DataFrame, reference: DataFrame) -> DataFrame:
+    """(place, kind) by a table of (code, city, country): city, airport, country or region; by its form if the table lacks it.
+
+    A code that is its own city's is a city, even where an airport has the same one;
+    a country's code or name is a country.
+    """
+    codes = reference.groupBy(F.col("code").alias("place")).agg(F.max((F.col("code") == F.col("city")).cast("int")).alias("is_city"))
+    countries = reference.select(F.col("country").alias("place")).distinct().withColumn("is_country", F.lit(1))
+    joined = places.select("place").distinct().join(codes, "place", "left").join(countries, "place", "left")
+    kind = F.when(F.col("is_city") == 1, "city").when(F.col("is_city") == 0, "airport").when(F.col("is_country") == 1, "country").otherwise(place_kind(F.col("place")))
+    return joined.select("place", kind.alias("kind"))
+
+
 def unpack_pair(text: Column) -> Column:
     """``VIA CX888/889`` as [+CX888, +CX889]; other texts alone."""
     pair = r"^VIA ([A-Z]{2})(\d+)/(\d+)$"

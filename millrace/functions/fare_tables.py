@@ -112,3 +112,11 @@ def row_periods(rows: DataFrame, route: str = "route") -> DataFrame:
     """``rows`` whose route tells periods of its own, with them in place of the sheet's ``sales_to`` and ``travel_to``."""
     end = lambda kind: F.try_element_at(periods_of(F.col(route), kind), F.lit(1))["to"]
     return rows.withColumn("sales_to", F.coalesce(end("sales"), "sales_to")).withColumn("travel_to", F.coalesce(end("travel"), "travel_to"))
+
+
+def row_texts(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, row, text): the texts of a row's cells in their order, without repeats of a cell that spans several."""
+    ordered = cells.groupBy(*keys, "row").agg(F.array_sort(F.collect_list(F.struct("col", "text"))).alias("cells"))  # one row of one table
+    texts = F.transform("cells", lambda c: c["text"])
+    fresh = F.filter(F.transform(texts, lambda t, i: F.when((i == 0) | (t != F.get(texts, i - 1)), t)), lambda t: t.isNotNull() & (t != ""))
+    return ordered.select(*keys, "row", F.array_join(fresh, " ").alias("text"))

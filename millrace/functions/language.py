@@ -70,18 +70,23 @@ def nfkd(text: Column) -> Column:
 
 
 def convert_phrases(text: str, phrases: Mapping[str, str]) -> str:
-    """Each longest known phrase by its counterpart, left to right; the rest as it is."""
-    longest = max(map(len, phrases), default=0)
+    """Known phrases by their counterparts, with as few parts as the text can be cut into; the rest as it is.
+
+    Of cuts with equally many parts the one whose first part is longer counts.
+    """
+    longest = max(map(len, phrases), default=1)
+    n = len(text)
+    parts, lengths = [0] * (n + 1), [1] * n
+    for at in range(n - 1, -1, -1):
+        parts[at] = parts[at + 1] + 1
+        for length in range(2, min(longest, n - at) + 1):
+            if parts[at + length] + 1 <= parts[at] and text[at : at + length] in phrases:
+                parts[at], lengths[at] = parts[at + length] + 1, length
     out, at = [], 0
-    while at < len(text):
-        for length in range(min(longest, len(text) - at), 0, -1):
-            if (put := phrases.get(text[at : at + length])) is not None:
-                out.append(put)
-                at += length
-                break
-        else:
-            out.append(text[at])
-            at += 1
+    while at < n:
+        piece = text[at : at + lengths[at]]
+        out.append(phrases.get(piece, piece))
+        at += lengths[at]
     return "".join(out)
 
 

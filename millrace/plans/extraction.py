@@ -57,6 +57,22 @@ def fare_table_rows(spark, sf):
     return FT.fare_rows(_values(spark, _CELLS, 'table_no, row, col, text'), ["table_no"])
 
 
+@query("select * from (values (1,0,0,'A B'),(1,0,1,'x 1 2'),(1,0,2,'x 3'),(2,0,0,'o'),(2,1,0,'in')) t(doc_id, table_no, \"row\", text)")
+def table_row_texts(spark, sf):
+    return FT.row_texts(H.tables_of(spark, _values(spark, _TABLES, "doc_id, html"), "doc_id", "html"), ["doc_id", "table_no"])
+
+
+@query("select page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) as title from pages")
+def page_titles(spark, sf):
+    return table(spark, sf, "pages").select("page_id", F.regexp_extract("html", "(?i)<title>([^<]*)</title>", 1).alias("title"))
+
+
+@query("select * from (values ('HKG','city'),('JFK','airport'),('US','country'),('ASIA','region'),('XXX','code')) t(place, kind)")
+def route_kinds_by_table(spark, sf):
+    places = _values(spark, "('HKG'),('JFK'),('US'),('ASIA'),('XXX'),('HKG')", "place")
+    return E.place_kinds(places, _values(spark, "('HKG','HKG','HK'),('JFK','NYC','US'),('NYC','NYC','US')", "code, city, country"))
+
+
 @query("select * from (values (1,0,false,'A',false),(1,1,true,'A',true),(1,2,false,'B',false),(1,3,true,'B',false),(1,4,false,'B',true)) t(doc_id, table_no, follows, header, carried)")
 def carried_headers(spark, sf):
     """A second table of another colour right after the first takes its header; one of the same colour keeps its own; one without a header takes the last."""
@@ -188,12 +204,12 @@ def tag_documents(spark, sf):
     return table(spark, sf, "documents").where("lang = 'en'").select("doc_id", G.tags_of(F.col("text")).alias("tags"))
 
 
-@query("select * from (values (1, '汉语'), (2, '发展中国'), (3, null), (4, 'abc汉')) t(id, simplified)")
+@query("select * from (values (1, '汉语'), (2, '发展中国'), (3, null), (4, 'Qc汉'), (5, 'xYZ')) t(id, simplified)")
 def trad_to_simp(spark, sf):
     from millrace.functions.language import convert
 
-    rows = _values(spark, "(1,'漢語'),(2,'發展中國'),(3,null),(4,'abc漢')", "id, text")
-    return rows.select("id", convert(F.col("text"), {"漢語": "汉语", "發展": "发展", "漢": "汉", "國": "国"}).alias("simplified"))
+    rows = _values(spark, "(1,'漢語'),(2,'發展中國'),(3,null),(4,'abc漢'),(5,'abcd')", "id, text")
+    return rows.select("id", convert(F.col("text"), {"漢語": "汉语", "發展": "发展", "漢": "汉", "國": "国", "ab": "Q", "a": "x", "bcd": "YZ"}).alias("simplified"))
 
 
 _COMMISSIONS = """('a', array('X1FF6', 'X2FF7'), array('+US'), cast(null as array<string>), array('US'), array('USA'), array('ASIA'), array(), '', 'J', '10 %', '3%', '2017-01-01', '', '9999', '5'),

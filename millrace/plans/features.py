@@ -8,7 +8,7 @@ from millrace.functions.language import detect_language
 from millrace.functions.text import top_words
 from millrace.ml import features as X
 from millrace.ml import models as M
-from millrace.ml.evaluate import important, keep_features, most_errors, written_back
+from millrace.ml.evaluate import important, keep_features, leave_out, most_errors, two_level_clusters, wrong_rows, written_back
 from millrace.operators.aggregates import mode_of
 from millrace.operators.relational import hash_split
 from millrace.plans.registry import query, sink, table
@@ -209,3 +209,24 @@ def holdout_runs(spark, sf):
     for more in found[1:]:
         result = result.unionByName(more)
     return result
+
+
+@query()
+def silhouettes(spark, sf):
+    """(k, silhouette) of several numbers of clusters of the English documents."""
+    data, _ = M.tfidf_vectors(table(spark, sf, "documents").where("lang = 'en'"), "doc_id", "text", 5, 200)
+    found = M.silhouette_sweep(data, "doc_id", (2, 3))
+    return spark.createDataFrame(sorted(found.items()), "k int, silhouette double")
+
+
+@query()
+def two_levels(spark, sf):
+    """English documents in clusters, those of the first in parts."""
+    return two_level_clusters(table(spark, sf, "documents").where("lang = 'en'").select("doc_id", "text"), "doc_id", "text", 3, 2)
+
+
+@query()
+def left_out(spark, sf):
+    """Labelled documents, each predicted by a tree that has not seen its fold, that were predicted wrongly."""
+    data, size = _training(spark, sf)
+    return wrong_rows(leave_out(data, "doc_id", lambda rows: M.fit("tree", rows, size), 3), "doc_id")
