@@ -28,6 +28,7 @@ from millrace.llm.scratch import bound_batches, cut, keep, tidy
 
 WORDS = 16  # 64-bit words of a node's bitmap
 BUCKET = 2_000  # open members of a bucket that one task holds; larger buckets are dealt to several
+MOST_BROADCAST = 100_000  # large buckets, of 12 bytes each; more are joined by shuffling
 BANDS, ROWS = 32, 5  # a pair at similarity 0.8 is missed with probability (1 - 0.8**5)**32 = 3e-6
 
 
@@ -145,8 +146,9 @@ def _open_pairs(rows: DataFrame, elements: DataFrame, sets: DataFrame, percent:
     maps = [F.bit_or(F.when(F.floor(cell / 64) == w, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{w}") for w in range(WORDS)]
     bounds = parts.join(shared.select("element"), "element").groupBy("node").agg(F.count("*").alias("common"), *maps)
     bounds = bounds.join(sets.select("node", "bands"), "node")
-    parts_of = rows.groupBy("band").agg(F.ceil(F.count("*") / BUCKET).cast("int").alias("parts"))
-    wide = cut(rows.join(parts_of, "band").join(bounds, "node"))
+    large = keep(rows.groupBy("band").agg(F.ceil(F.count("*") / BUCKET).cast("int").alias("parts")).where("parts > 1"))
+    small_side = F.broadcast(large) if large.count() <= MOST_BROADCAST else large
+    wide = cut(rows.join(small_side, "band", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).join(bounds, "node"))
     names = ["node", "n", "label", "common", "bands", *(f"w{w}" for w in range(WORDS))]
     own = F.pmod(F.xxhash64("node", "band"), F.col("parts")).cast("int")
     one = wide.select("band", "place", own.alias("part"), *(F.col(c).alias(f"a_{c}") for c in names))
