@@ -346,6 +346,21 @@ def test_quality(spark):
     assert [r["score"] for r in quality.score(docs_of(spark, [(1, "x")]), quality.fit([], [])).collect()] == [0.5]
 
 
+def test_learning_on_executors_is_fitting_here(spark):
+    rng = random.Random(3)
+    words = ["house", "river", "green", "women", "market", "stone", "muslims"]
+    texts = [" ".join(rng.choices(words, k=9)) + (rng.choice([" zorkish fool", " trash."]) if i % 4 == 0 else ".") for i in range(200)]
+    labels = [int(i % 4 == 0) for i in range(200)]
+    docs = docs_of(spark, list(enumerate(texts)))
+    marked = spark.createDataFrame([(i, x, x) for i, x in enumerate(labels)], "doc_id long, quality int, toxic int")
+    sample = toxicity.labelled(docs, marked, "toxic", F.lit(True), 500)
+    here, there = toxicity.fit(texts, labels), toxicity.learn(sample)
+    assert here.keys.tolist() == there.keys.tolist() and np.allclose(here.weights, there.weights, atol=1e-4) and abs(here.bias - there.bias) < 1e-4
+    one, two = quality.fit(texts, labels), quality.learn(sample)
+    counts = np.array([quality.terms(np.frombuffer(t.encode(), np.uint8)) for t in texts[:20]])
+    assert np.allclose(one.vote(counts), two.vote(counts), atol=1e-3)
+
+
 def test_word_repeats_are_counted_in_the_whole_text():
     at = lambda words: quality.terms(np.frombuffer(" ".join(words).encode(), np.uint8))[-3]
     rng = random.Random(4)
