@@ -57,8 +57,10 @@ def ticket_report(tickets: DataFrame, sheets: DataFrame) -> DataFrame:
     codes = named.groupBy("tour_code").agg(fee.alias("fee_only"), F.array_sort(F.collect_set("sheet")).alias("all"), F.array_sort(F.collect_set(F.when(F.col("change_fee"), F.col("sheet")))).alias("fee"))
     codes = codes.select("tour_code", "fee_only", F.when(F.col("fee_only"), F.col("fee")).otherwise(F.col("all")).alias("candidates"))
     fitting = _fitting(tickets, sheets).join(codes.select("tour_code", "fee_only"), "tour_code").where(~F.col("fee_only") | F.coalesce("change_fee", F.lit(False)))
-    steps = fitting.groupBy("ticket").agg(F.max(contains_day(F.col("travel"), F.col("departs"))).alias("travels"))
-    joined = tickets.join(match_tickets(tickets, sheets).select("ticket", "sheet"), "ticket", "left").join(codes, "tour_code", "left").join(steps, "ticket", "left")
+    travels = contains_day(F.col("travel"), F.col("departs"))
+    best = F.max(F.when(travels & F.array_contains("carriers", F.col("carrier")), F.struct("sales_from", (-F.col("sheet")).alias("order"), "sheet")))
+    steps = fitting.groupBy("ticket").agg(F.max(travels).alias("travels"), best["sheet"].alias("sheet"))
+    joined = tickets.join(steps, "ticket", "left").join(codes, "tour_code", "left")
     reason = F.when(F.col("sheet").isNotNull(), REASONS[0]).when(F.col("candidates").isNull(), REASONS[1]).when(F.col("travels").isNull(), REASONS[2]).when(~F.col("travels"), REASONS[3]).otherwise(REASONS[4])
     candidates = F.when(F.col("sheet").isNull(), F.coalesce("candidates", F.array().cast("array<bigint>")))
     return joined.select("ticket", reason.alias("reason"), "sheet", candidates.alias("candidates"))

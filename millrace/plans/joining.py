@@ -94,8 +94,9 @@ def asof_period_match(spark, sf):
 def unmatched_report(spark, sf):
     tickets, periods = _tickets(spark, sf)
     groups = periods.select("grp").distinct().withColumn("has_sheet", F.lit(True))
-    joined = tickets.join(_matches(spark, sf), "l_orderkey", "left").join(groups, "grp", "left")
-    reason = F.when(F.col("o_orderkey").isNotNull(), "matched").when(F.col("has_sheet"), "no period").otherwise("no sheet")
+    matched = J.in_periods(tickets, periods, ["grp"], "day", "start", "end").select("l_orderkey").distinct().withColumn("matched", F.lit(True))
+    joined = tickets.join(matched, "l_orderkey", "left").join(groups, "grp", "left")
+    reason = F.when(F.col("matched"), "matched").when(F.col("has_sheet"), "no period").otherwise("no sheet")
     return joined.select("l_orderkey", reason.alias("reason"))
 
 
