@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.extract import TOUR_CODE
 from millrace.functions.text import spelling_candidates
+from millrace.session import cut
 
 NOT_FOUND = "Not found"
 
@@ -63,11 +64,13 @@ def export(codes: DataFrame, sheets: DataFrame, master: DataFrame) -> DataFrame:
     correction, with the candidate's counts.  A code that is filed by the sheets but
     not marked Y counts as paper.
     """
-    own = file_counts(codes, sheets).drop("extension_dates")
-    lost = codes.join(own.where(F.col("faretype") == NOT_FOUND), "code", "left_semi").where("filed is null or filed = ''")
-    spread = lost.join(candidates_of(lost, master), "code")
-    tried = file_counts(spread.select(F.col("candidate").alias("code")), sheets).drop("extension_dates").withColumnRenamed("code", "candidate")
-    corrected = spread.join(tried, "candidate")
+    unmarked = codes.where("filed is null or filed = ''")
+    near = candidates_of(unmarked, master)
+    # the sheets are read once, for the codes and for all that they may have to be corrected to
+    wanted = codes.select("code").unionByName(near.select(F.col("candidate").alias("code"))).distinct()
+    own = cut(file_counts(wanted, sheets).drop("extension_dates"))
+    lost = unmarked.join(own.where(F.col("faretype") == NOT_FOUND), "code", "left_semi")
+    corrected = lost.join(near, "code").join(own.withColumnRenamed("code", "candidate"), "candidate")
     rest = codes.join(lost.select("code", "tour_cd"), ["code", "tour_cd"], "left_anti").withColumn("candidate", F.col("code")).join(own, "code")
     paper = F.when((F.coalesce("filed", F.lit("")) != "Y") & (F.col("faretype") == "filed"), "paper").otherwise(F.col("faretype"))
     names = ["tour_cd", "code", "candidate", "filed", "faretype", "file_cnt", "paper_cnt", "filed_cnt"]
