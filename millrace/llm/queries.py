@@ -14,10 +14,13 @@ from millrace.llm.chat_format import format_chat
 from millrace.llm.exact_dedup import exact_groups
 from millrace.llm.exact_topk import top_k
 from millrace.llm.html_extract import main_text
+from millrace.llm.lexical import build, search
 from millrace.llm.mixing import mix
 from millrace.llm.near_dedup import near_groups
 from millrace.llm.scratch import table
+from millrace.llm.sharding import shard
 from millrace.llm.url_filter import judge
+from millrace.llm.whitening import whiten
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +82,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(build(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_html_extraction,
@@ -91,6 +106,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_mix_sources,
         op9_chat_formatting,
         op10_toxicity,
+        op11_lexical_search,
+        op12_sharding,
+        op13_embedding_whitening,
     )
     return {f.__name__: f for f in named}
 
@@ -185,4 +203,34 @@ def oracle_sql() -> dict[str, str]:
             cut as (select *, case when source_size > 0 then budget // source_size else 0 end as epochs from placed)
             select doc_id, size, source_size, target,
                    cast(epochs * size + greatest(0, least(size, budget - epochs * source_size - start)) as bigint) as taken from cut""",
+        "op11_lexical_search": r"""
+            with t as (select doc_id, row, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+                       from (select doc_id, text, row_number() over () as row from documents)),
+            tf as (select row, any_value(doc_id) as doc_id, term, count(*) as tf from t group by row, term),
+            df as (select term, count(*) as df from tf group by term),
+            dn as (select row, sum(tf)::bigint as n from tf group by row),
+            total as (select count(*) as big_n, sum(n)::bigint as big_l from dn),
+            q as (select item_id, term, count(*) as times from (select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from (select distinct item_id, text from benchmark)) group by all),
+            w as (select term, floor(1000 * ln((2 * big_n + 2)::double / (2 * df + 1)::double))::bigint as w from df, total),
+            s as (select item_id, row, any_value(doc_id) as doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * big_n) // big_l))))::bigint as score
+                  from q join w using (term) join tf using (term) join dn using (row), total group by item_id, row),
+            r as (select *, row_number() over (partition by item_id order by score desc, doc_id nulls last) as place from s where score > 0)
+            select item_id, place::int as rank, doc_id, score from r where place <= 20""",
+        "op12_sharding": r"""
+            with recursive crc_table as (
+                select list(list_reduce(range(8), lambda acc, i: xor(acc >> 1, 3988292384 * (acc & 1)), n) order by n) as lookup from (select unnest(range(256))::bigint as n)),
+            keyed as (select doc_id, md5(coalesce(doc_id::varchar, '')) as key, coalesce(doc_id::varchar, '') as name, encode(coalesce(text, '')) as octets, row_number() over () as row from documents),
+            summed as (select row, doc_id, name, key, octet_length(octets) + 1 as size,
+                              xor(list_reduce(list_transform(regexp_extract_all(hex(octets), '..'), lambda h: ('0x' || h)::bigint), lambda acc, b: xor(acc >> 8, lookup[(xor(acc, b) & 255) + 1]), 4294967295::bigint), 4294967295::bigint) as text_crc32
+                       from keyed, crc_table),
+            walk(name, state, place, shard, grown_shard) as (
+                select distinct name, ('0x' || substr(key, 1, 16))::uhugeint, 0.0::double, 0, 0 from keyed
+                union all
+                select name, turned, jumped, case when jumped < 8 then jumped::int else shard end, case when jumped < 9 then jumped::int else grown_shard end
+                from (select name, shard, grown_shard, turned, floor((place + 1) * (2147483648.0::double / ((turned >> 33)::double + 1))) as jumped
+                      from (select *, (state * 2862933555777941757::uhugeint + 1) % 18446744073709551616::uhugeint as turned from walk where place < 9))),
+            placed as (select name, max(shard) as shard, max(grown_shard) as grown_shard from walk group by name)
+            select doc_id, size::bigint as size, text_crc32, 'key' as law, shard, grown_shard,
+                   row_number() over (partition by shard order by substr(md5(name || ' ' || size || ' ' || text_crc32), 1, 15), doc_id, size, text_crc32) - 1 as slot
+            from summed join placed using (name)""",
     }

@@ -14,7 +14,7 @@ import pytest
 
 from millrace.llm import queries as Q
 
-TABLES = ("documents", "embeddings", "pages", "conversations", "labels")
+TABLES = ("documents", "embeddings", "pages", "conversations", "labels", "benchmark")
 
 
 @pytest.mark.parametrize("name", sorted(Q.oracle_sql()))
