@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from millrace.llm.scratch import cut, keep
 
 DAMPING = 0.85
-MOST_ROUNDS = 1_000  # a guard: more is an error
-TOLERANCE = 1e-6  # of the change of each host
+TOLERANCE = 1e-6  # of each host's scores; its verdict needs more, see propagate
+FADING = 0.84  # just below the damping, so that masses that come in turns of several rounds fade as well
+ROUNDING = 1e-13  # a share of a host's scores below which their order is rounding
 MARGIN = 0.0  # a host is blocked if its distrust is above its trust by more than this
 
 #: (verdict, host, path prefix)
@@ -52,30 +53,61 @@ def rule_of(host: Column, path: Column, rules: tuple[tuple[str, str, str], ...])
     return F.coalesce(*texts, nothing), F.coalesce(*verdicts, nothing)
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, most_rounds: int = MOST_ROUNDS) -> DataFrame:
-    """(host, score): the PageRank mass that reaches each host through links.
-
-    ``edges`` are (src, dst, share), the shares of one source adding up to 1;
-    ``seeds`` are (host, start), the starts adding up to 1.  Mass of hosts without
-    links is not passed on.  Rounds end once no new host is reached and no host's
-    score changes by more than ``TOLERANCE``; ``RuntimeError`` if that takes too many.
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, margin: float = MARGIN) -> DataFrame:
+    """(host, trust, distrust): the PageRank masses that reach hosts through links.
+
+    ``edges`` are (kind, src, dst, share), the shares of one kind and source adding
+    up to 1; ``seeds`` are (kind, host, start), the starts of one kind adding up to
+    1; kinds are ``allow`` and ``block``.  Mass of hosts without links is not passed
+    on.  Each round passes on what the last one brought, until no new host is
+    reached, every score is within ``TOLERANCE``, and every host's distrust is
+    provably on its side of trust + ``margin``.  Two bounds say what can still come
+    to a host.  All later rounds together bring at most mass * damping / (1 -
+    damping) of the mass under way.  The other is each host's own: let ``lately`` be
+    what came to it, earlier rounds counting ``FADING`` less each.  If no host's
+    ``lately`` is above r < 1 times that of the round before, later rounds bring a
+    host at most r / (1 - r) of its ``lately``, as passing on keeps such an order.
+    Sides that differ by less than doubles can tell are as they come.  So rounds
+    end at any size of graph and of scores; a chain of n hosts takes n rounds.
     """
-    reached, hosts = None, 0
-    for _ in range(most_rounds):
-        mass = seeds.select("host", (F.col("start") * (1 - damping)).alias("mass"))
-        change = None
-        if reached is not None:
-            mass = mass.unionByName(reached.select("host", F.col("score").alias("mass"))).groupBy("host").agg(F.sum("mass").alias("mass"))
-            change = reached.select("host", (-F.col("score")).alias("score"))
-        passed = edges.join(mass, edges["src"] == mass["host"]).groupBy(F.col("dst").alias("host"))
-        reached = cut(passed.agg(F.sum(F.col("mass") * F.col("share") * damping).alias("score")))
-        # hosts once reached stay so, thus the union has no others
-        change = reached if change is None else reached.unionByName(change).groupBy("host").agg(F.sum("score").alias("score"))
-        now, most = change.agg(F.count("*"), F.max(F.abs("score"))).first()
-        if now == hosts and (most or 0.0) <= TOLERANCE:
-            return reached
-        hosts = now
-    raise RuntimeError(f"scores of hosts still change after {most_rounds} rounds")
+    nothing = F.lit(0.0)
+    state = seeds.select("kind", "host", nothing.alias("score"), (F.col("start") * (1 - damping)).alias("came"), (F.col("start") * (1 - damping)).alias("lately"))
+    while True:
+        going = state.where("came > 0").select("kind", F.col("host").alias("src"), "came")
+        passed = edges.join(going, ["kind", "src"]).groupBy("kind", F.col("dst").alias("host")).agg(F.sum(F.col("came") * F.col("share") * damping).alias("came"))
+        rows = state.select("kind", "host", "score", nothing.alias("came"), F.col("lately").alias("before")).unionByName(passed.select("kind", "host", nothing.alias("score"), "came", nothing.alias("before")))
+        rows = rows.groupBy("kind", "host").agg(F.sum("score").alias("old"), F.sum("came").alias("came"), F.sum("before").alias("before"))
+        state = cut(rows.withColumn("score", F.col("old") + F.col("came")).withColumn("lately", F.col("came") + F.col("before") * FADING))
+        grown = F.when(F.col("lately") > 0, F.when(F.col("before") > 0, F.col("lately") / F.col("before")).otherwise(float("inf")))
+        stats = state.groupBy("kind").agg(F.sum("came").alias("mass"), F.max(grown).alias("grown"), F.sum(F.expr("int(came > 0 and old = 0)")).alias("fresh"), F.max("lately").alias("most")).collect()
+        if not any(r["mass"] for r in stats):
+            break
+        if any(r["fresh"] for r in stats):
+            continue
+        still, most = nothing, 0.0
+        for r in stats:
+            whole = r["mass"] * damping / (1 - damping)
+            bound, highest = F.lit(whole), whole
+            if r["grown"] is not None and r["grown"] < 1:
+                factor = r["grown"] / (1 - r["grown"])
+                bound, highest = F.least(bound, F.col("lately") * factor), min(whole, r["most"] * factor)
+            still, most = F.when(F.col("kind") == r["kind"], bound).otherwise(still), max(most, highest)
+        if most <= TOLERANCE and _sides(state.withColumn("still", still), margin).where("not decided").isEmpty():
+            break
+    by = [F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("score"))), nothing).alias(name) for k, name in (("allow", "trust"), ("block", "distrust"))]
+    return state.where("score > 0").groupBy("host").agg(*by)
+
+
+def _sides(state: DataFrame, margin: float) -> DataFrame:
+    """(host, decided): whether what can ``still`` come to a host leaves it on its side."""
+
+    def of(kind: str, column: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col(column))), F.lit(0.0))
+
+    side = of("block", "score") - of("allow", "score") - margin
+    hosts = state.where("score > 0").groupBy("host").agg(side.alias("side"), of("allow", "still").alias("up"), of("block", "still").alias("down"), F.sum("score").alias("scores"))
+    kept = F.when(F.col("side") > 0, F.col("side") > F.col("up")).otherwise(-F.col("side") >= F.col("down"))
+    return hosts.select("host", (kept | (F.col("up") + F.col("down") <= F.col("scores") * ROUNDING)).alias("decided"))
 
 
 def judge(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, margin: float = MARGIN) -> DataFrame:
@@ -83,8 +115,9 @@ def judge(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, mar
 
     Links are the absolute ``href`` targets in the whole html; a link to the own
     host adds nothing.  A null url has an empty host and path, fits no rule, and is
-    allowed unless links say otherwise.  Repeated rows stay; other columns are not
-    read, and an empty table gives an empty result.
+    allowed unless links say otherwise.  A null html has no links, and pages of any
+    length are searched whole.  Repeated rows stay; other columns are not read,
+    whatever their names, and an empty table gives an empty result.
     """
     host, path = lower_host(F.col("url")), path_of(F.col("url"))
     urls = pages.select("page_id", host.alias("host"), path.alias("path"))
@@ -96,21 +129,16 @@ def judge(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, mar
     links = links.withColumn("dst", F.translate("dst", letters, letters.lower())).where("src <> dst and src <> ''")
     counts = keep(links.groupBy("src", "dst").agg(F.count("*").alias("n")))
 
-    def shares(source: str, target: str) -> DataFrame:
+    def shares(kind: str, source: str, target: str) -> DataFrame:
         out = counts.groupBy(F.col(source).alias("src")).agg(F.sum("n").alias("all"))
         pairs = counts.select(F.col(source).alias("src"), F.col(target).alias("dst"), "n").join(out, "src")
-        return cut(pairs.select("src", "dst", (F.col("n") / F.col("all")).alias("share")))
-
-    seen = keep(judged.where("by_rule is not null").groupBy("host", "by_rule").agg(F.count("*").alias("n")))
-
-    def starts(which: str) -> DataFrame:
-        mine = seen.where(F.col("by_rule") == which)
-        total = mine.agg(F.sum("n")).first()[0] or 1
-        return mine.select("host", (F.col("n") / total).alias("start"))
+        return pairs.select(F.lit(kind).alias("kind"), "src", "dst", (F.col("n") / F.col("all")).alias("share"))
 
-    trust = propagate(shares("src", "dst"), starts("allow")).withColumnRenamed("score", "trust")
-    distrust = propagate(shares("dst", "src"), starts("block")).withColumnRenamed("score", "distrust")
-    hosts = cut(trust.join(distrust, "host", "full_outer").select("host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust")))
+    edges = cut(shares("allow", "src", "dst").unionByName(shares("block", "dst", "src")))
+    seen = cut(judged.where("by_rule is not null").groupBy(F.col("by_rule").alias("kind"), "host").agg(F.count("*").alias("n")))
+    totals = {r["kind"]: r["n"] for r in seen.groupBy("kind").agg(F.sum("n").alias("n")).collect()}  # two rows at most
+    total = F.when(F.col("kind") == "allow", F.lit(totals.get("allow", 1))).otherwise(F.lit(totals.get("block", 1)))
+    hosts = propagate(edges, seen.select("kind", "host", (F.col("n") / total).alias("start")), margin=margin)
     by_links = F.when(F.coalesce(F.col("distrust") - F.col("trust"), F.lit(0.0)) > margin, F.lit("block")).otherwise(F.lit("allow"))
     return judged.join(hosts, "host", "left").select(
         "page_id",

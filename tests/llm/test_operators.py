@@ -494,9 +494,47 @@ def test_distrust_reaches_the_end_of_a_long_chain(spark):
     rows += [(i, f"http://h{i}.de/", f"<a href='http://h{i - 1}.de/'>l</a>") for i in range(2, 26)]
     got = {r["page_id"]: (r["verdict"], r["distrust"]) for r in judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(got[i][0] == "block" and abs(got[i][1] - 0.15 * 0.85**i) < 1e-6 for i in range(1, 26))
-    edges = spark.createDataFrame([(f"h{i}", f"h{i + 1}", 1.0) for i in range(9)], "src string, dst string, share double")
-    with pytest.raises(RuntimeError):
-        propagate(edges, spark.createDataFrame([("h0", 1.0)], "host string, start double"), most_rounds=3)
+
+
+def test_verdicts_do_not_hang_on_the_size_of_the_scores(spark):
+    """400,000 seeds, so that every score is below 1e-6, and a pair of hosts whose links to each other settle the verdict on x."""
+    edge = "kind string, src string, dst string, share double"
+    edges = spark.createDataFrame([("allow", a, b, 0.5) for a, b in (("p", "q"), ("q", "p"), ("p", "x"), ("q", "x"))] + [("block", "b0", "x", 0.35)], edge)
+    n = 400_000
+    seeds = spark.range(n).select(F.lit("allow").alias("kind"), F.expr("case id when 0 then 'p' when 1 then 'q' else concat('a', id) end").alias("host"), F.lit(1 / n).alias("start"))
+    seeds = seeds.unionByName(spark.range(n // 4).select(F.lit("block").alias("kind"), F.concat(F.lit("b"), "id").alias("host"), F.lit(4 / n).alias("start")))
+    got = {r["host"]: r for r in propagate(edges, seeds).collect()}
+    trust, distrust = 0.85 * 0.15 / n / 0.575, 0.85 * 0.15 * 4 / n * 0.35
+    assert 0.15 * 0.85 / n < distrust < trust < 1e-6
+    assert abs(got["x"]["distrust"] - distrust) < 1e-15 and distrust < got["x"]["trust"] <= trust
+
+
+def test_verdicts_of_a_random_graph(spark):
+    """Trust and distrust that often nearly cancel, two-cycles, chains and dead ends, against plain iteration to the fixpoint."""
+    rng = np.random.default_rng(6)
+    n = 400
+    src, dst = rng.integers(0, n, 800), rng.integers(0, n, 800)
+    src, dst = np.concatenate([src, np.arange(0, 60, 2), np.arange(1, 60, 2), np.arange(n, n + 20)]), np.concatenate([dst, np.arange(1, 60, 2), np.arange(0, 60, 2), np.arange(n + 1, n + 21)])
+    pairs = np.unique(np.stack([src, dst], 1)[src != dst], axis=0)
+    size = n + 21
+    marks = {"allow": rng.choice(n, 120, replace=False), "block": np.concatenate([rng.choice(n, 120, replace=False), [n + 20]])}
+    rows, seeds, want = [], [], {}
+    for kind, (a, b) in {"allow": pairs.T, "block": pairs.T[::-1]}.items():
+        share = 1 / np.bincount(a, minlength=size)[a]
+        rows += [(kind, f"h{x}", f"h{y}", float(s)) for x, y, s in zip(a, b, share, strict=True)]
+        start = np.bincount(marks[kind], minlength=size) / len(marks[kind])
+        seeds += [(kind, f"h{i}", float(start[i])) for i in np.flatnonzero(start)]
+        came, score = 0.15 * start, np.zeros(size)
+        for _ in range(600):
+            came = np.bincount(b, came[a] * share * 0.85, minlength=size)
+            score += came
+        want[kind] = score
+    got = {r["host"]: r for r in propagate(spark.createDataFrame(rows, "kind string, src string, dst string, share double").coalesce(2), spark.createDataFrame(seeds, "kind string, host string, start double").coalesce(2)).collect()}
+    assert set(got) == {f"h{i}" for i in np.flatnonzero(want["allow"] + want["block"])}
+    for host, r in got.items():
+        trust, distrust = want["allow"][int(host[1:])], want["block"][int(host[1:])]
+        assert (r["distrust"] > r["trust"]) == (distrust > trust) or abs(distrust - trust) < 1e-14 * (trust + distrust)
+        assert abs(r["trust"] - trust) < 2e-6 and abs(r["distrust"] - distrust) < 2e-6
 
 
 # 9
