@@ -169,6 +169,16 @@ def tags_of(text: Column) -> Column:
     return of(text)
 
 
+def word_tags(words: Column) -> Column:
+    """array<string>: the tags of a word list."""
+
+    @F.pandas_udf("array<string>")
+    def of(lists: pd.Series) -> pd.Series:
+        return lists.map(lambda ws: None if ws is None else [_tag_of(w) for w in ws])
+
+    return of(words)
+
+
 def tables_of(**named: Iterable[str]) -> dict[str, str]:
     """Words by tag as tags by word: ``tables_of(CARRIER=["cx"], LOCATION=["hkg"])``; the first tag of a word counts."""
     found: dict[str, str] = {}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.functions import cascade as C
 from millrace.functions import preprocess as P
 from millrace.functions import shaping as S
 from millrace.functions import tagging as G
@@ -139,3 +140,35 @@ def month_spelling(spark, sf):
 def stem_words(spark, sf):
     rows = spark.createDataFrame([(0, "The fares applying 12 tickets a"), (1, None)], "id int, text string")
     return rows.select("id", P.stems_of(F.col("text")).alias("stems"))
+
+
+# --- chunks of documents
+
+_TAG_SQL = "case " + " ".join("when w in ({}) then '{}'".format(", ".join(f"'{x}'" for x in words.split() if x.isascii() and x.isalpha()), tag) for tag, words in G._LISTS.items() if any(x.isascii() and x.isalpha() for x in words.split())) + " when w = ',' then 'COMMA' when w = '.' then 'MARK' " + " ".join(f"when length(w) > {len(e) + 1} and ends_with(w, '{e}') then '{t}'" for e, t in G._ENDINGS) + " else 'NN' end"
+_LETTERS = {"DT": "D", "JJ": "J", "VBG": "G", "VBD": "E", "NN": "N", "NNS": "S", "IN": "I", "TO": "T", "AND": "&", "OR": "/", "COMMA": ",", "MARK": "."}
+_LETTER_SQL = "case tag " + " ".join(f"when '{t}' then '{c}'" for t, c in _LETTERS.items()) + " else 'x' end"
+
+
+def document_tags(spark, sf):
+    """(doc_id, tags) of the words, commas and full stops of each text in lower case."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+|[.,]"), F.lit(0))
+    # a full stop is not a word to the tagger
+    tagged = table(spark, sf, "documents").where("text is not null").select("doc_id", words.alias("words")).select("doc_id", "words", G.word_tags("words").alias("tags"))
+    return tagged.select("doc_id", F.zip_with("words", "tags", lambda w, t: F.when(w == ".", "MARK").otherwise(t)).alias("tags"))
+
+
+# in the SQL a tag is a letter and a stage a replacement by another letter: A a noun phrase, B after a preposition, C a goal, L left of a pair, K a clause, Z a chain
+@query(f"""with words as (select doc_id, regexp_extract_all(lower(text), '[a-z]+|[.,]') as ws from documents where text is not null),
+   t as (select doc_id, array_to_string(list_transform(ws, lambda w: {_LETTER_SQL.replace('case tag', 'case (' + _TAG_SQL + ')')}), '') as s from words),
+   np as (select doc_id, regexp_replace(s, 'D?[JGE]*[NS]+', 'A', 'g') as s, len(regexp_extract_all(s, 'D?[JGE]*[NS]+')) as np from t),
+   pp as (select doc_id, regexp_replace(s, 'IA', 'B', 'g') as s, np, len(regexp_extract_all(s, 'IA')) as pp from np),
+   goal as (select doc_id, regexp_replace(s, 'TA', 'TC', 'g') as s, np, pp, len(regexp_extract_all(s, 'TA')) as goal from pp),
+   pair as (select doc_id, regexp_replace(s, '[ABC]([&/])', 'L\\1', 'g') as s, np, pp, goal, len(regexp_extract_all(s, '[ABC][&/]')) as pair from goal),
+   clause as (select doc_id, regexp_replace(s, '[^&/,.]+', 'K', 'g') as s, np, pp, goal, pair, len(regexp_extract_all(s, '[^&/,.]+')) as clause from pair),
+   all_ as (select *, len(regexp_extract_all(s, 'K([&/]K)+')) as chain from clause),
+   u as (select doc_id, unnest(['NP', 'PP', 'GOAL', 'LEFT', 'CLAUSE', 'CHAIN']) as label, unnest([np, pp, goal, pair, clause, chain]) as n from all_)
+   select doc_id, label, n from u where n > 0""")
+def phrase_chunks(spark, sf):
+    """How many chunks of each of six stages every document has."""
+    spans = document_tags(spark, sf).select("doc_id", F.explode(C.cascade(F.col("tags"), C.PHRASES)).alias("s"))
+    return spans.groupBy("doc_id", F.col("s.label").alias("label")).agg(F.count("*").alias("n"))
