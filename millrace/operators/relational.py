@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.ranks import cutoffs
 from millrace.session import cut
 
 # fixed values: the days that stand for an open end and an open start
@@ -128,15 +129,26 @@ def oversample(df: DataFrame, label: str, keys: Sequence[str], counts: Mapping[o
     """Repeat the rows of rarer labels until all labels have as many rows as the largest.
 
     ``counts`` has the rows of each label.  Whole repeats come first; the rest goes
-    to the rows with the smallest hashes, found by a cutoff rank within the label.
+    to the rows with the smallest hashes.  The hash at which a label's rest ends is
+    found by counts of ranges, so no label is ever sorted; only rows that share that
+    very hash are ranked, by their keys.
     """
     most = max(counts.values(), default=0)
+    if not most:
+        return df
+    sizes = {k: most % n for k, n in counts.items() if n}
+    hashed = df.withColumn("__hash", hash_of(keys, seed).cast("double"))  # below 2**52, so exact
+    last = cutoffs(hashed, label, "__hash", sizes)
+    cutoff = F.create_map(*[x for k in counts for x in (F.lit(k), F.lit(last.get(k, -1.0)))])
+    hashed = hashed.withColumn("__last", F.coalesce(cutoff[F.col(label)], F.lit(-1.0)))
+    below = {r[label]: r["n"] for r in hashed.groupBy(label).agg(F.count_if(F.col("__hash") < F.col("__last")).alias("n")).collect()}
+    rest = F.create_map(*[x for k in counts for x in (F.lit(k), F.lit(sizes.get(k, 0) - below.get(k, 0)))])
+    tied = hashed.where(F.col("__hash") == F.col("__last")).withColumn("__rank", F.row_number().over(Window.partitionBy(label).orderBy(*keys)))
+    tied = tied.withColumn("__more", (F.col("__rank") <= rest[F.col(label)]).cast("int")).drop("__rank")
+    others = hashed.where(F.col("__hash") != F.col("__last")).withColumn("__more", (F.col("__hash") < F.col("__last")).cast("int"))
     times = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(most // n if n else 0))])
-    rest = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(most % n if n else 0))])
-    rank = Window.partitionBy(label).orderBy(hash_of(keys, seed), *keys)
-    ranked = df.withColumn("__rank", F.row_number().over(rank))
-    copies = times[F.col(label)] + (F.col("__rank") <= rest[F.col(label)]).cast("int")
-    return ranked.withColumn("__copy", F.explode(F.sequence(F.lit(1), copies))).drop("__rank", "__copy")
+    copied = others.unionByName(tied).withColumn("__copy", F.explode(F.sequence(F.lit(1), times[F.col(label)] + F.col("__more"))))
+    return copied.select(*df.columns)
 
 
 def three_way_split(df: DataFrame, keys: Sequence[str], shares: Sequence[float] = (0.5, 1 / 3), seed: int = 42) -> DataFrame:

@@ -11,6 +11,7 @@ from millrace.ml import evaluate as V
 from millrace.ml import rules as X
 from millrace.operators import nested as N
 from millrace.operators.commission_etl import star
+from millrace.operators.ranks import quantiles, values_at_ranks
 from millrace.operators.relational import typed
 from millrace.operators.sheets import discontinue_date
 from millrace.plans.registry import query, sink, table
@@ -224,12 +225,26 @@ def least_date(spark, sf):
           unnest([count(o_custkey)::double, round(avg(o_custkey), 4), round(stddev(o_custkey), 4), min(o_custkey)::double, round(quantile_cont(o_custkey, 0.5), 4), max(o_custkey)::double]) as o_custkey from orders""")
 def describe_orders(spark, sf):
     columns = ["o_totalprice", "o_custkey"]
-    kinds = {"count": F.count, "mean": F.avg, "stddev": F.stddev, "min": F.min, "median": F.median, "max": F.max}
-    one = table(spark, sf, "orders").agg(*[f(c).cast("double").alias(f"{c}_{k}") for c in columns for k, f in kinds.items()])
-    rows = [F.struct(F.lit(k).alias("statistic"), *[F.round(f"{c}_{k}", 4).alias(c) for c in columns]) for k in kinds]
+    kinds = {"count": F.count, "mean": F.avg, "stddev": F.stddev, "min": F.min, "max": F.max}
+    orders = table(spark, sf, "orders")
+    medians = {c: q[0] for c, q in quantiles(orders, columns, [0.5]).items()}
+    one = orders.agg(*[f(c).cast("double").alias(f"{c}_{k}") for c in columns for k, f in kinds.items()], *[F.lit(medians[c]).cast("double").alias(f"{c}_median") for c in columns])
+    rows = [F.struct(F.lit(k).alias("statistic"), *[F.round(f"{c}_{k}", 4).alias(c) for c in columns]) for k in (*kinds, "median")]
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+@query("""select l_returnflag, share, round(case share when 0.25 then q[1] when 0.5 then q[2] else q[3] end, 6) as value
+   from (select l_returnflag, quantile_cont(l_extendedprice, [0.25, 0.5, 0.99]) as q from lineitem group by 1), (select unnest([0.25::double, 0.5, 0.99]) as share)""")
+def price_quantiles(spark, sf):
+    """Quantiles of each return flag's prices, by ranks."""
+    rows = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("group"), F.col("l_extendedprice").alias("value"))
+    sizes = {r["group"]: r["n"] for r in rows.groupBy("group").agg(F.count("value").alias("n")).collect()}  # a row for each flag
+    places = {(g, s): (n - 1) * s for g, n in sizes.items() for s in (0.25, 0.5, 0.99)}
+    found = values_at_ranks(rows, sorted({(g, k) for (g, _), p in places.items() for k in (int(p), min(int(p) + 1, sizes[g] - 1))}))
+    made = [(g, s, (low := found[g, int(p)]) + (found[g, min(int(p) + 1, sizes[g] - 1)] - low) * (p - int(p))) for (g, s), p in places.items()]
+    return spark.createDataFrame(made, "l_returnflag string, share double, value double").withColumn("value", F.round("value", 6))
+
+
 # --- features of rules
 
 
