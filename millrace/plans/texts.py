@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.functions import dates as D
+from millrace.functions import spelling as SP
 from millrace.functions import text as T
 from millrace.plans.registry import query, sink, table
 
@@ -107,11 +108,10 @@ def spoken_dates(spark, sf):
     return rows.select("id", D.spoken_date(F.col("text"), F.lit(2018)).alias("day"))
 
 
-# words that are one edit apart share a word with one letter less; the edit distance is asked for those pairs only
+# the vocabulary is small, so the SQL compares all words of about its lengths
 _VOCABULARY = """w as (select word, count(*) as freq from (select unnest(regexp_extract_all(lower(text), '[a-z]+')) as word from documents) group by 1),
   m as (select word from w), v as (select word, freq from w where freq >= 50),
-  k as (select word, unnest(list_distinct(list_append(list_transform(range(1, length(word) + 1), lambda i: word[:i - 1] || word[i + 1:]), word))) as key from w),
-  near as (select distinct k.word, v.word as candidate, freq from k join k o using (key) join v on v.word = o.word where damerau_levenshtein(k.word, v.word) <= 1) """
+  near as (select m.word, v.word as candidate, freq, damerau_levenshtein(m.word, v.word) as d from m join v on abs(length(m.word) - length(v.word)) <= 1 and damerau_levenshtein(m.word, v.word) <= 1) """
 
 
 def _spelling(spark, sf):
@@ -132,14 +132,22 @@ def tourcode_candidates(spark, sf):
     return _candidates(*_spelling(spark, sf))
 
 
-@query("""with w as (select word, count(*) as freq from (select unnest(regexp_extract_all(lower(text), '[a-z]+')) as word from benchmark) group by 1), v as (select word, freq from w where freq >= 3),
-   near as (select w.word, v.word as candidate, v.freq, damerau_levenshtein(w.word, v.word) as d from w join v on abs(length(w.word) - length(v.word)) <= 2 and damerau_levenshtein(w.word, v.word) <= 2),
-   b as (select word, candidate from near qualify row_number() over (partition by word order by d, freq desc, candidate) = 1)
-   select w.word, coalesce(candidate, w.word) as corrected from w left join b on w.word = b.word""")
+@query("""with w as (select word, count(*) as freq from (select unnest(regexp_extract_all(lower(text), '[a-z]+')) as word from documents) group by 1), v as (select word, freq from w where freq >= 50),
+   near as (select w.word, v.word as candidate, v.freq, damerau_levenshtein(w.word, v.word) as d from w join v on abs(length(w.word) - length(v.word)) <= 4),
+   b as (select word, arg_min(candidate, (d, -freq, candidate)) as corrected, min(d) as d from near where d <= 4 group by word)
+   select w.word, coalesce(corrected, w.word) as corrected, d as distance from w left join b using (word)""")
+def spell_correct_four(spark, sf):
+    """Corrections up to four edits away, over all words of the documents."""
+    return SP.correct(*_spelling(spark, sf), 4)
+
+
+@query("""with w as (select word, count(*) as freq from (select unnest(regexp_extract_all(lower(text), '[a-z]+')) as word from documents) group by 1), v as (select word, freq from w where freq >= 50),
+   near as (select w.word, v.word as candidate, v.freq, damerau_levenshtein(w.word, v.word) as d from w join v on abs(length(w.word) - length(v.word)) <= 2),
+   b as (select word, arg_min(candidate, (d, -freq, candidate)) as corrected from near where d <= 2 group by word)
+   select w.word, coalesce(corrected, w.word) as corrected from w left join b using (word)""")
 def spell_correct_two(spark, sf):
-    """Corrections up to two edits away, over the words of the benchmark."""
-    counts = table(spark, sf, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("word")).groupBy("word").agg(F.count("*").alias("freq"))
-    return T.correct(counts.select("word"), counts.where("freq >= 3"), 2)
+    """Corrections up to two edits away, over all words of the documents."""
+    return SP.correct(*_spelling(spark, sf), 2).select("word", "corrected")
 
 
 def _candidates(words, vocabulary):
