@@ -69,38 +69,6 @@ def nfkd(text: Column) -> Column:
     return of(text)
 
 
-def convert_phrases(text: str, phrases: Mapping[str, str]) -> str:
-    """Known phrases by their counterparts, with as few parts as the text can be cut into; the rest as it is.
-
-    Of cuts with equally many parts the one whose first part is longer counts.
-    """
-    longest = max(map(len, phrases), default=1)
-    n = len(text)
-    parts, lengths = [0] * (n + 1), [1] * n
-    for at in range(n - 1, -1, -1):
-        parts[at] = parts[at + 1] + 1
-        for length in range(2, min(longest, n - at) + 1):
-            if parts[at + length] + 1 <= parts[at] and text[at : at + length] in phrases:
-                parts[at], lengths[at] = parts[at + length] + 1, length
-    out, at = [], 0
-    while at < n:
-        piece = text[at : at + lengths[at]]
-        out.append(phrases.get(piece, piece))
-        at += lengths[at]
-    return "".join(out)
-
-
-def convert(text: Column, phrases: Mapping[str, str]) -> Column:
-    """Conversion by a dictionary of phrases, such as traditional to simplified Chinese."""
-    known = dict(phrases)
-
-    @F.pandas_udf("string")
-    def of(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else convert_phrases(t, known))
-
-    return of(text)
-
-
 def bigrams(text: Column) -> Column:
     """Overlapping pairs of CJK characters, for texts without blanks."""
     runs = F.regexp_extract_all(text, F.lit("[一-鿿]+"), F.lit(0))

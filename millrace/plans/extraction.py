@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.functions import dictionary as A
 from millrace.functions import extract as E
 from millrace.functions import fare_tables as FT
 from millrace.functions import html_tables as H
@@ -206,7 +207,7 @@ def tag_documents(spark, sf):
 
 @query("select * from (values (1, '汉语'), (2, '发展中国'), (3, null), (4, 'Qc汉'), (5, 'xYZ')) t(id, simplified)")
 def trad_to_simp(spark, sf):
-    from millrace.functions.language import convert
+    from millrace.functions.dictionary import convert
 
     rows = _values(spark, "(1,'漢語'),(2,'發展中國'),(3,null),(4,'abc漢'),(5,'abcd')", "id, text")
     return rows.select("id", convert(F.col("text"), {"漢語": "汉语", "發展": "发展", "漢": "汉", "國": "国", "ab": "Q", "a": "x", "bcd": "YZ"}).alias("simplified"))
@@ -277,3 +278,19 @@ def feature_keys(spark, sf):
     base = F.create_map(F.lit("lang"), F.col("lang"))
     more = F.when(F.col("lang") == "en", F.create_map(F.lit("long"), F.lit("x")))
     return table(spark, sf, "documents").select("doc_id", all_keys(base, more).alias("keys"))
+
+
+# --- dictionaries over whole texts
+
+
+@query("""with v as (select distinct unnest(regexp_extract_all(lower(text), '[a-z]{3,}')) as word from benchmark),
+   p as (select doc_id, lower(text) as t from documents where text is not null)
+   select doc_id, count(*) as words, max(length(word)) as longest, count(*) filter (regexp_matches(t, '\\b' || word || '\\b')) as whole_words from p join v on contains(t, word) group by doc_id""")
+def dictionary_words(spark, sf):
+    """How many of the benchmark's words are in each document, the longest of them, and how many stand there as words of their own."""
+    words = table(spark, sf, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), F.lit(0))).alias("word"))
+    docs = table(spark, sf, "documents").where("text is not null").select("doc_id", F.lower("text").alias("text"))
+    found = A.occurrences(docs, "doc_id", "text", words)
+    own = docs.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("[0-9a-z_]+"), F.lit(0)))).alias("word")).withColumn("whole", F.lit(1))
+    joined = found.join(own, ["doc_id", "word"], "left")
+    return joined.groupBy("doc_id").agg(F.count("*").alias("words"), F.max(F.length("word")).cast("long").alias("longest"), F.count("whole").alias("whole_words"))
