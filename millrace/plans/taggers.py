@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import cascade as C
 from millrace.functions import tagging as G
+from millrace.ml import segmentation as W
 from millrace.ml import tagger as L
 from millrace.operators.relational import hash_of
 from millrace.plans.registry import query, table
@@ -65,3 +66,49 @@ def chunk_rules(spark, sf):
     held = L.tag(tokens.where(_HELD_OUT), tables)
     before, after = held.agg(share).first()[0], L.apply_rules(held, rules).agg(share).first()[0]
     return spark.createDataFrame([(i, r.template, r.context, r.old, r.new, r.score, before, after) for i, r in enumerate(rules, 1)], "nth int, template string, context string, old string, new string, score long, before double, after double")
+
+
+# --- words of texts without blanks, base forms
+
+_FORMS_SQL = """w as (select word, count(*) as n from (select unnest(regexp_extract_all(lower(text), '[a-z]+')) as word from documents) group by 1),
+   pairs as (select f.word as form, b.word as base from (select word, unnest(range(greatest(3, length(word) - 4), length(word))) as cut_at from w) f join w b on b.word = left(f.word, cut_at::int) and b.n >= 50),
+   near as (select form, arg_max(base, length(base)) as base from pairs group by form),
+   rules as (select substr(form, length(base) + 1) as ending, count(*) as n from near group by 1 having count(*) >= 5)"""
+
+
+def _forms(spark, sf):
+    """All words with their counts, and (form, base): words that begin with a frequent word and have up to four letters more."""
+    words = table(spark, sf, "documents").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    words = cut(words)
+    cuts = F.when(F.length("word") > 3, F.sequence(F.greatest(F.lit(3), F.length("word") - 4), F.length("word") - 1)).otherwise(F.array().cast("array<int>"))
+    starts = words.select(F.col("word").alias("form"), F.explode(cuts).alias("at")).select("form", F.expr("left(form, at)").alias("base"))
+    met = starts.join(words.where("n >= 50").select(F.col("word").alias("base")), "base")
+    return words, met.groupBy("form").agg(F.max(F.struct(F.length("base").alias("l"), "base"))["base"].alias("base"))
+
+
+@query("with " + _FORMS_SQL + " select ending, '' as put, n from rules")
+def ending_rules(spark, sf):
+    """What endings become in base forms, learnt from the documents' words."""
+    return W.learn_endings(_forms(spark, sf)[1])
+
+
+@query("with " + _FORMS_SQL + """, cuts as (select word, unnest(range(3, length(word))) as cut_at from w), found as (select word, min(cut_at) as cut_at from cuts join rules on ending = substr(word, cut_at::int + 1) group by word)
+   select word, coalesce(left(word, cut_at::int), word) as base from w left join found using (word)""")
+def base_forms(spark, sf):
+    """Every word's base form by the learnt endings."""
+    words, pairs = _forms(spark, sf)
+    return W.base_forms(words, W.learn_endings(pairs))
+
+
+@query("""select word, count(*) as n from (select substr(run, start::int, size::int) as word from (select run, size, unnest(range(1, length(run) - size + 2)) as start from
+     (select run, unnest(range(1, least(3, length(run)) + 1)) as size from (select unnest(regexp_extract_all(regexp_replace(lower(text), '\\s+', '', 'g'), '\\p{L}+')) as run from documents)))) group by 1""")
+def piece_counts(spark, sf):
+    """How often each piece of up to three letters is in the texts without blanks."""
+    return W.piece_counts(W.runs(table(spark, sf, "documents"), "doc_id", "text"), 3)
+
+
+@query()
+def segmented(spark, sf):
+    """(doc_id, run, words) of all texts without their blanks, by words learnt from them."""
+    texts = cut(W.runs(table(spark, sf, "documents"), "doc_id", "text"))
+    return W.segment(texts, W.learn(texts, rounds=1))
