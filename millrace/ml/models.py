@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import tf_idf
 from millrace.ml.features import vectors
+from millrace.ml.silhouette import silhouettes
 from millrace.session import cut
 
 #: kind: how to make the classifier for a number of features
@@ -117,12 +118,63 @@ class AdaBoost:
         return scored.withColumn("prediction", (F.col("__score") > 0).cast("double")).drop("__score")
 
 
+def _kernel_map(shared, gamma: float):
+    """Kernel values of rows with the landmarks, times their axes."""
+
+    @F.pandas_udf("array<double>")
+    def of(rows: pd.Series) -> pd.Series:
+        points, axes = shared.value
+        x = np.stack(rows.to_list()).reshape(len(rows), points.shape[1]) if len(rows) else np.zeros((0, points.shape[1]))
+        square = np.maximum((x * x).sum(1)[:, None] + (points * points).sum(1)[None] - 2 * x @ points.T, 0)
+        return pd.Series(list(np.exp(-gamma * square) @ axes), index=rows.index)
+
+    return of
+
+
+def landmark_features(data: DataFrame, key: str, gamma: float = 0.5, landmarks: int = 96, rounds: int = 3) -> tuple[DataFrame, float]:
+    """``data`` with features whose products are about those of a radial kernel, and the mean error of the kernel's diagonal.
+
+    The kernel is exp(-gamma * squared distance).  Landmarks are rows of the data:
+    in each round the rows that the features so far tell least about (the largest
+    1 - |features|**2, which is each row's own error) join them, ties by the hash of
+    ``key``.  ``landmarks`` bounds what is sent to the tasks.  The error is exact: it
+    is the mean over all rows, and no product of two rows is off by more than the
+    square root of the product of their own errors.
+    """
+    spark = data.sparkSession
+    chosen = np.zeros((0, 0))
+    made, error = data, 1.0
+
+    def mapped(points: np.ndarray) -> np.ndarray:
+        square = ((points[:, None] - points[None]) ** 2).sum(-1)
+        values, axes = np.linalg.eigh(np.exp(-gamma * square))
+        good = values > 1e-10 * values.max()
+        return axes[:, good] / np.sqrt(values[good])
+
+    for number in range(rounds):
+        residual = F.lit(1.0) if not len(chosen) else 1.0 - F.aggregate(vector_to_array("__made"), F.lit(0.0), lambda s, x: s + x * x)
+        take = landmarks * (number + 1) // rounds - len(chosen)
+        top = made.withColumn("__residual", F.round(residual, 9)).orderBy(F.desc("__residual"), F.xxhash64(key), key).limit(take).select("features").collect()
+        fresh = np.array([r["features"].toArray() for r in top])
+        if not len(fresh):
+            break
+        chosen = np.unique(np.concatenate([chosen.reshape(-1, fresh.shape[1]), fresh]), axis=0)
+        shared = spark.sparkContext.broadcast((chosen, mapped(chosen)))
+
+        made = cut(data.withColumn("__made", array_to_vector(_kernel_map(shared, gamma)(vector_to_array("features")))))
+        norm = F.aggregate(vector_to_array("__made"), F.lit(0.0), lambda s, x: s + x * x)
+        error = made.agg(F.avg(1.0 - norm)).first()[0] or 0.0
+    if not len(chosen):
+        return data, 0.0
+    return made.drop("features").withColumnRenamed("__made", "features"), max(float(error), 0.0)  # below 0 is rounding
+
+
 def tfidf_vectors(docs: DataFrame, key: str, text: str, min_df: int, most: int = 500) -> tuple[DataFrame, list[str]]:
     """tf-idf vectors over the words of the highest document frequency, and those words."""
-    weights = tf_idf(docs, key, text, min_df)
+    weights = cut(tf_idf(docs, key, text, min_df))  # read twice
     names = weights.groupBy("word").agg(F.count("*").alias("df")).orderBy(F.desc("df"), "word").limit(most)
     vocabulary = sorted(r["word"] for r in names.collect())
-    return vectors(weights.select(key, F.col("word").alias("name"), F.col("weight").alias("value")), key, vocabulary), vocabulary
+    return cut(vectors(weights.select(key, F.col("word").alias("name"), F.col("weight").alias("value")), key, vocabulary)), vocabulary  # clustering reads it in each round
 
 
 def clusters(data: DataFrame, k: int, seed: int = 1) -> DataFrame:
@@ -130,31 +182,15 @@ def clusters(data: DataFrame, k: int, seed: int = 1) -> DataFrame:
     return KMeans(k=k, seed=seed).fit(data).transform(data)
 
 
-def silhouette(clustered: DataFrame, key: str, sample: int = 1000) -> float:
-    """The mean euclidean silhouette of a hash-chosen sample of bounded size, all pairs in blocks of numpy."""
-    rows = clustered.orderBy(F.xxhash64(key), key).limit(sample).select("features", "prediction").collect()
-    labels = np.array([r["prediction"] for r in rows])
-    if len(set(labels.tolist())) < 2:
-        return 0.0
-    x = np.array([r["features"].toArray() for r in rows])
-    square = (x * x).sum(1)
-    distances = np.sqrt(np.maximum(square[:, None] + square[None] - 2 * x @ x.T, 0))
-    kinds = sorted(set(labels.tolist()))
-    sums = np.stack([distances[:, labels == c].sum(1) for c in kinds], 1)
-    counts = np.array([(labels == c).sum() for c in kinds])
-    own = np.searchsorted(kinds, labels)
-    mine = counts[own] - 1
-    a = sums[np.arange(len(rows)), own] / np.maximum(mine, 1)
-    means = sums / counts
-    means[np.arange(len(rows)), own] = np.inf
-    b = means.min(1)
-    s = np.where(mine > 0, (b - a) / np.maximum(np.maximum(a, b), 1e-300), 0)
-    return float(s.mean())
-
-
-def silhouette_sweep(data: DataFrame, key: str, sizes: Sequence[int], sample: int = 1000) -> dict[int, float]:
+def silhouette(clustered: DataFrame, key: str) -> float:
+    """The mean of the exact euclidean silhouettes of all points; 0 without any."""
+    points = clustered.select(key, vector_to_array("features").alias("features"), F.col("prediction").cast("int").alias("cluster"))
+    return silhouettes(points, key).agg(F.avg("silhouette")).first()[0] or 0.0
+
+
+def silhouette_sweep(data: DataFrame, key: str, sizes: Sequence[int]) -> dict[int, float]:
     """The silhouette of each number of clusters."""
-    return {k: silhouette(clusters(data, k), key, sample) for k in sizes}
+    return {k: silhouette(clusters(data, k), key) for k in sizes}
 
 
 def vote(models: Sequence, data: DataFrame, key: str) -> DataFrame:

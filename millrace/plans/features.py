@@ -173,17 +173,26 @@ def model_svc_radial(spark, sf):
     return M.fit("svc", made, 200).transform(made).select("doc_id", "label", "prediction")
 
 
+@query()
+def model_svc_landmarks(spark, sf):
+    """A support vector machine with a radial kernel by landmarks, with the kernel's mean error."""
+    data, _ = _training(spark, sf)
+    made, error = M.landmark_features(data, "doc_id")
+    width = made.select("features").first()["features"].size
+    return M.fit("svc", made, width).transform(made).select("doc_id", "label", "prediction", F.lit(error).alias("kernel_error"))
+
+
 @query()
 def model_clusters(spark, sf):
-    docs = table(spark, sf, "documents").where("lang = 'en'")
+    docs = table(spark, sf, "documents")
     data, _ = M.tfidf_vectors(docs, "doc_id", "text", 5, 200)
     return M.clusters(data, 4).select("doc_id", "prediction")
 
 
 @query()
 def cluster_features(spark, sf):
-    """The cluster of each English document as a feature named by its source, such as ``US_3``."""
-    docs = table(spark, sf, "documents").where("lang = 'en'")
+    """The cluster of each document as a feature named by its source, such as ``US_3``."""
+    docs = table(spark, sf, "documents")
     data, _ = M.tfidf_vectors(docs, "doc_id", "text", 5, 200)
     named = M.clusters(data, 4).select("doc_id", "prediction").join(docs.select("doc_id", "source"), "doc_id")
     return named.select("doc_id", F.concat_ws("_", "source", "prediction").alias("feature"))
@@ -213,16 +222,16 @@ def holdout_runs(spark, sf):
 
 @query()
 def silhouettes(spark, sf):
-    """(k, silhouette) of several numbers of clusters of the English documents."""
-    data, _ = M.tfidf_vectors(table(spark, sf, "documents").where("lang = 'en'"), "doc_id", "text", 5, 200)
+    """(k, silhouette) of several numbers of clusters of the documents, exact over all of them."""
+    data, _ = M.tfidf_vectors(table(spark, sf, "documents"), "doc_id", "text", 5, 200)
     found = M.silhouette_sweep(data, "doc_id", (2, 3))
     return spark.createDataFrame(sorted(found.items()), "k int, silhouette double")
 
 
 @query()
 def two_levels(spark, sf):
-    """English documents in clusters, those of the first in parts."""
-    return two_level_clusters(table(spark, sf, "documents").where("lang = 'en'").select("doc_id", "text"), "doc_id", "text", 3, 2)
+    """Documents in clusters, those of the first in parts."""
+    return two_level_clusters(table(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text", 3, 2)
 
 
 @query()

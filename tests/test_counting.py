@@ -141,3 +141,25 @@ def test_silhouettes(spark, block):
         assert abs(got[i] - (b - a) / max(a, b)) < 1e-9
     one = silhouettes(df.where("cluster = 1"), "id")
     assert {r["silhouette"] for r in one.collect()} == {0.0} and silhouettes(df.where("false"), "id").count() == 0
+
+
+def test_landmarks_give_the_kernel_and_its_error(spark):
+    from pyspark.ml.functions import array_to_vector
+
+    from millrace.ml.models import landmark_features
+
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(size=(60, 2)), rng.normal(size=(20, 2)) + 6, [[6.0, 6.0]] * 5])
+    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(x)], "id long, f array<double>").select("id", array_to_vector("f").alias("features"))
+    kernel = np.exp(-0.5 * ((x[:, None] - x[None]) ** 2).sum(-1))
+    errors = []
+    for landmarks in (6, 30, 84):
+        made, error = landmark_features(df, "id", landmarks=landmarks)
+        rows = sorted((r["id"], r["features"].toArray()) for r in made.collect())
+        phi = np.array([f for _, f in rows])
+        left = np.maximum(1 - (phi * phi).sum(1), 0)
+        assert abs(error - (1 - (phi * phi).sum(1)).mean()) < 1e-12
+        assert (np.abs(kernel - phi @ phi.T) <= np.sqrt(np.outer(left, left)) + 1e-6).all()
+        errors.append(error)
+    assert errors[0] > errors[1] > errors[2] - 1e-9 and errors[2] < 1e-6
+    assert landmark_features(df.where("false"), "id")[1] == 0.0
