@@ -16,7 +16,7 @@ from millrace.plans.shaping import _TAG_SQL, document_tags
 
 
 @query("select o_orderkey, o_orderstatus from orders where o_orderstatus <> 'F' or o_orderstatus is null")
-def open_orders(spark, sf):
+def orders_not_finished(spark, sf):
     return R.drop_value(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), "o_orderstatus", "F")
 
 

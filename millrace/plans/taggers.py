@@ -13,8 +13,10 @@ from millrace.plans.registry import query, table
 from millrace.plans.shaping import _TAG_SQL, document_tags
 from millrace.session import cut
 
-_WORDS = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+|[.,]"), F.lit(0))
-_HELD_OUT = F.pmod(hash_of(["doc"], 7), F.lit(5)) == 0
+
+def _held_out():
+    return F.pmod(hash_of(["doc"], 7), F.lit(5)) == 0
+
 
 _TOKENS_SQL = f"""tokens as (select doc, place, w as word, {_TAG_SQL} as tag, ('0x' || md5(doc || '|7')[:13])::bigint % 5 = 0 as held_out
      from (select doc_id as doc, unnest(ws) as w, unnest(range(len(ws)))::int as place from (select doc_id, regexp_extract_all(lower(text), '[a-z]+|[.,]') as ws from documents))),
@@ -26,7 +28,7 @@ _TOKENS_SQL = f"""tokens as (select doc, place, w as word, {_TAG_SQL} as tag, ('
 
 def word_tokens(spark, sf):
     """(doc, place, word, tag) of each word, comma and full stop of the documents, tagged by lists and endings."""
-    docs = table(spark, sf, "documents").where("text is not null").select(F.col("doc_id").alias("doc"), _WORDS.alias("words"))
+    docs = table(spark, sf, "documents").where("text is not null").select(F.col("doc_id").alias("doc"), F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+|[.,]"), F.lit(0)).alias("words"))
     both = docs.select("doc", "words", G.word_tags("words").alias("tags")).select("doc", F.posexplode(F.arrays_zip("words", "tags")).alias("place", "t"))
     return both.select("doc", "place", F.col("t.words").alias("word"), F.when(F.col("t.words") == ".", "MARK").otherwise(F.col("t.tags")).alias("tag"))
 
@@ -34,7 +36,7 @@ def word_tokens(spark, sf):
 @query("with " + _TOKENS_SQL + """ select 'ending' as kind, ending as context, tag from t1 union all select 'word', word, tag from t2 union all select 'pair', before || ' ' || word, tag from t3""")
 def tag_contexts(spark, sf):
     """The context tables learnt from the documents that are not held out."""
-    made = L.learn_tables(word_tokens(spark, sf).where(~_HELD_OUT))
+    made = L.learn_tables(word_tokens(spark, sf).where(~_held_out()))
     pairs = made.pairs.select(F.lit("pair").alias("kind"), F.concat_ws(" ", "before", "word").alias("context"), "tag")
     return made.endings.select(F.lit("ending").alias("kind"), F.col("ending").alias("context"), "tag").unionByName(made.words.select(F.lit("word").alias("kind"), F.col("word").alias("context"), "tag")).unionByName(pairs)
 
@@ -45,7 +47,7 @@ def tag_contexts(spark, sf):
 def tagged_held_out(spark, sf):
     """How many tokens of each held-out document the learnt tables tag as the lists do."""
     tokens = word_tokens(spark, sf)
-    guessed = L.tag(tokens.where(_HELD_OUT), L.learn_tables(tokens.where(~_HELD_OUT)))
+    guessed = L.tag(tokens.where(_held_out()), L.learn_tables(tokens.where(~_held_out())))
     return guessed.groupBy("doc").agg(F.count("*").alias("tokens"), F.count_if(F.col("guess") == F.col("tag")).alias("right_ones"))
 
 
@@ -60,10 +62,10 @@ def chunk_tokens(spark, sf):
 def chunk_rules(spark, sf):
     """(nth, template, context, old, new, score, before, after): rules learnt on top of the context tables, with the held-out accuracy without and with them."""
     tokens = cut(chunk_tokens(spark, sf))
-    tables = L.learn_tables(tokens.where(~_HELD_OUT))
-    rules = L.learn_rules(L.tag(tokens.where(~_HELD_OUT), tables), 4)
+    tables = L.learn_tables(tokens.where(~_held_out()))
+    rules = L.learn_rules(L.tag(tokens.where(~_held_out()), tables), 4)
     share = F.count_if(F.col("guess") == F.col("tag")) / F.count("*")
-    held = L.tag(tokens.where(_HELD_OUT), tables)
+    held = L.tag(tokens.where(_held_out()), tables)
     before, after = held.agg(share).first()[0], L.apply_rules(held, rules).agg(share).first()[0]
     return spark.createDataFrame([(i, r.template, r.context, r.old, r.new, r.score, before, after) for i, r in enumerate(rules, 1)], "nth int, template string, context string, old string, new string, score long, before double, after double")
 
