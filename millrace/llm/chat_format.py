@@ -101,7 +101,8 @@ def format_chat(messages: DataFrame, schemas: dict | None = None) -> DataFrame:
     identifier in a conversation the earliest turn counts.  A null role is
     written as user and a null text as empty; text that is not such JSON is plain.
     Null conversations or turns stay null, and messages of a null conversation are
-    never linked.  Repeated rows stay; other columns are not read.
+    never linked.  Texts of any length are parsed whole.  Repeated rows stay; other
+    columns are not read; an empty table gives an empty result.
     """
     schemas = SCHEMAS if schemas is None else schemas
     rows = messages.select(

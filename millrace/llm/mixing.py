@@ -61,7 +61,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     up to whole epochs).  A null source is a source of its own, apart from the
     empty name; a null text has no words; rows that share an identifier
     have places of their own.  A table without words takes nothing, and an empty
-    table gives an empty result.  Other columns are not read.
+    table gives an empty result.  Texts of any length are counted whole.  Other
+    columns are not read.
     """
     digest = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f" {seed} "), F.coalesce(F.col(text_col), F.lit(""))).cast("binary"))
     order = F.conv(F.substring(digest, 1, KEY_BITS // 4), 16, 10).cast("long")

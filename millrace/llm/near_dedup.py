@@ -218,7 +218,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     null identifier are their own component, with a null ``component_id``, and are
     kept; a row repeated with one identifier is kept in each of its copies if its
     identifier is, and different texts whose smallest identifier is the same count
-    as one node.  Other columns are not read; an empty table gives an empty result.
+    as one node.  Texts of any length are shingled whole, in blocks.  Other columns
+    are not read; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     bound_batches(spark)
