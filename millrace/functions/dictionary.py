@@ -133,31 +133,35 @@ def fewest_parts(size: int, matches: Mapping[int, Sequence[int]]) -> list[int]:
     return out
 
 
+def convert_texts(texts: Sequence[str | None], automaton: Automaton, phrases: Mapping[str, str]) -> list[str | None]:
+    """Texts with the automaton's words by their counterparts, cut into as few parts as can be; the rest as it is."""
+    rows, starts, words = automaton.find(texts)
+    order = np.argsort(rows, kind="stable")
+    rows, starts, words = rows[order], starts[order], words[order]
+    out: list[str | None] = []
+    for i, t in enumerate(texts):
+        if t is None:
+            out.append(None)
+            continue
+        matches: dict[int, list[int]] = {}
+        for k in range(*np.searchsorted(rows, [i, i + 1])):
+            matches.setdefault(int(starts[k]), []).append(len(automaton.words[words[k]]))
+        made, at = [], 0
+        for length in fewest_parts(len(t), matches):
+            piece = t[at : at + length]
+            made.append(phrases.get(piece, piece))
+            at += length
+        out.append("".join(made))
+    return out
+
+
 def convert(text: Column, phrases: Mapping[str, str]) -> Column:
-    """Texts with known phrases by their counterparts, cut into as few parts as can be; the rest as it is."""
+    """:func:`convert_texts` as a column, by a dictionary of phrases, such as traditional to simplified Chinese."""
     automaton, known = Automaton.of(phrases), dict(phrases)
 
     @F.pandas_udf("string")
     def of(texts: pd.Series) -> pd.Series:
-        given = [None if t is None else t for t in texts]
-        rows, starts, words = automaton.find(given)
-        order = np.argsort(rows, kind="stable")
-        rows, starts, words = rows[order], starts[order], words[order]
-        out = []
-        for i, t in enumerate(given):
-            if t is None:
-                out.append(None)
-                continue
-            matches: dict[int, list[int]] = {}
-            for k in range(*np.searchsorted(rows, [i, i + 1])):
-                matches.setdefault(int(starts[k]), []).append(len(automaton.words[words[k]]))
-            made, at = [], 0
-            for length in fewest_parts(len(t), matches):
-                piece = t[at : at + length]
-                made.append(known.get(piece, piece))
-                at += length
-            out.append("".join(made))
-        return pd.Series(out, index=texts.index, dtype=object)
+        return pd.Series(convert_texts([t if isinstance(t, str) else None for t in texts], automaton, known), index=texts.index, dtype=object)
 
     return of(text)
 

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from millrace.functions.dictionary import Automaton, convert_texts
+
 # fixed values: frequent function words by language
 FUNCTION_WORDS = {
     "en": "the of and to in is that it was for on are as with be by this not or from",
@@ -69,6 +71,11 @@ def nfkd(text: Column) -> Column:
     return of(text)
 
 
+def convert_phrases(text: str, phrases: Mapping[str, str]) -> str:
+    """One text with known phrases by their counterparts, in as few parts as can be."""
+    return convert_texts([text], Automaton.of(phrases), phrases)[0] or ""
+
+
 def bigrams(text: Column) -> Column:
     """Overlapping pairs of CJK characters, for texts without blanks."""
     runs = F.regexp_extract_all(text, F.lit("[一-鿿]+"), F.lit(0))
