@@ -106,3 +106,24 @@ def test_a_long_list_is_taken_whole(spark):
     rows = rows.unionByName(spark.createDataFrame([(3, None), (4, [])], "id int, tags array<string>"))
     got = {r["id"]: r["s"] for r in rows.select("id", C.cascade(F.col("tags"), (("A", ("{<NN><NN>}",)),)).alias("s")).collect()}
     assert len(got[1]) == 50_000 and len(got[2]) == 1 and got[3] is None and got[4] == []
+
+
+def test_a_rule_over_a_whole_list_takes_each_tag_once():
+    import time
+
+    made = C.Cascade((("CLAUSE", ("{<.*>+}", "}<AND>{")), ("PAIR", ("{<CLAUSE><AND><CLAUSE>}",))))
+    began = time.perf_counter()
+    got = made.spans([["NN"] * 60_000 + ["AND"] + ["NN"] * 60_000, None, ["AND"]])
+    assert time.perf_counter() - began < 10
+    assert got == [[("CLAUSE", 0, 60_000, 0), ("CLAUSE", 60_001, 120_001, 0), ("PAIR", 0, 120_001, 1)], None, []]
+
+
+def test_batches_are_cut_and_stay_arrow():
+    import pyarrow as pa
+
+    lists = [["NN", "IN", "NN"], None, [], ["NN"] * 50, ["x", None], ["DT", "NN"]] * 3
+    whole, made = pa.array(lists, pa.list_(pa.string())), C.Cascade(C.PHRASES)
+    parts = list(C.slices(whole, 20))
+    assert max(len(p.flatten()) for p in parts if len(p) > 1) <= 20 and sum(map(len, parts)) == len(lists)
+    got = [x for p in parts for x in made.column(p).to_pylist()]
+    assert [None if g is None else [tuple(s.values()) for s in g] for g in got] == made.spans([None if x is None else [t or "" for t in x] for x in lists])
