@@ -43,3 +43,18 @@ def best_of(df: DataFrame, keys: list[str], order: list[Column], values: list[st
     """
     best = F.max(F.struct(*[o.alias(f"__{i}") for i, o in enumerate(order)], *values)).alias("__best")
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"__best.{v}").alias(v) for v in values])
+
+
+def best_in_periods(events: DataFrame, periods: DataFrame, keys: list[str], on: list[str], day: str, start: str, end: str, order: list[Column], values: list[str]) -> DataFrame:
+    """(keys, values) as by ``in_periods`` and then ``best_of``, for an order and values that are the period's own.
+
+    Of periods with the same keys, start and end only the best can win, and events with
+    the same keys and day have the same winner.  So periods and days are made distinct
+    first; the pairs that meet depend on the different days, not on the rows.
+    """
+    best = F.max(F.struct(*[o.alias(f"__{i}") for i, o in enumerate(order)], *values)).alias("__best")
+    ahead = periods.groupBy(*on, F.col(start).alias("__start"), F.col(end).alias("__end")).agg(best)
+    asked = events.select(*on, F.col(day).alias("__day")).distinct()
+    found = in_periods(asked, ahead, on, "__day", "__start", "__end").groupBy(*on, "__day").agg(F.max("__best").alias("__best"))
+    met = events.withColumn("__day", F.col(day)).join(found, [*on, "__day"])
+    return met.groupBy(*keys).agg(F.max("__best").alias("__best")).select(*keys, *[F.col(f"__best.{v}").alias(v) for v in values])

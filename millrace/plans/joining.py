@@ -80,8 +80,8 @@ _TICKET_SQL = """with t as (select l_orderkey, (l_suppkey % 10) as grp, l_shipda
 
 def _matches(spark, sf):
     tickets, periods = _tickets(spark, sf)
-    found = J.in_periods(tickets, periods, ["grp"], "day", "start", "end").withColumn("order", -F.col("o_orderkey"))
-    return J.best_of(found, ["l_orderkey"], [F.col("urgent"), F.col("start"), F.col("order")], ["o_orderkey", "start"]).withColumnRenamed("start", "period_start")
+    order = [F.col("urgent"), F.col("start"), -F.col("o_orderkey")]
+    return J.best_in_periods(tickets, periods, ["l_orderkey"], ["grp"], "day", "start", "end", order, ["o_orderkey", "start"]).withColumnRenamed("start", "period_start")
 
 
 @query(_TICKET_SQL + "select l_orderkey, o_orderkey, s as period_start from best")
@@ -94,7 +94,8 @@ def asof_period_match(spark, sf):
 def unmatched_report(spark, sf):
     tickets, periods = _tickets(spark, sf)
     groups = periods.select("grp").distinct().withColumn("has_sheet", F.lit(True))
-    matched = J.in_periods(tickets, periods, ["grp"], "day", "start", "end").select("l_orderkey").distinct().withColumn("matched", F.lit(True))
+    days = J.in_periods(tickets.select("grp", "day").distinct(), periods.select("grp", "start", "end").distinct(), ["grp"], "day", "start", "end").select("grp", "day").distinct()
+    matched = tickets.join(days, ["grp", "day"], "left_semi").select("l_orderkey").distinct().withColumn("matched", F.lit(True))
     joined = tickets.join(matched, "l_orderkey", "left").join(groups, "grp", "left")
     reason = F.when(F.col("matched"), "matched").when(F.col("has_sheet"), "no period").otherwise("no sheet")
     return joined.select("l_orderkey", reason.alias("reason"))
