@@ -49,3 +49,25 @@ def test_endings(spark):
     words = ["countries", "fares", "dies", "s", "", None, "run", "fares"]
     got = {r["word"]: r["base"] for r in S.base_forms(spark.createDataFrame([(w,) for w in words], "word string"), rules).collect()}
     assert got == {"countries": "country", "fares": "fare", "dies": "die", "s": "s", "": "", "run": "run"}
+
+
+def test_paths_of_many_runs_are_those_of_each(monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    letters = "abcdé至𝄞"
+    for dense in (True, False):
+        chances = {"".join(rng.choice(letters) for _ in range(rng.randrange(1, 6))): rng.choice([-1.0, -2.0, -3.5, -rng.random() * 9]) for _ in range(80)}
+        runs = ["".join(rng.choice(letters + "x") for _ in range(rng.randrange(0, 60))) for _ in range(300)] + [None, "", "ab" * 900]
+        made = S.Lattice(chances, 5, -9.0)
+        if not dense:
+            made.table = None
+        assert made.words(pa.array(runs, pa.string())).to_pylist() == [None if r is None else S.best_path(r, chances, 5, -9.0) for r in runs]
+    assert S.Lattice({}, 5, -9.0).words(pa.array(["xy"] * 20 + ["z"], pa.string())).to_pylist() == [["x", "y"]] * 20 + [["z"]]
+    assert S.Lattice({}, 5, -9.0).words(pa.array([], pa.string())).to_pylist() == []
+
+
+def test_pieces_of_runs_longer_than_a_part(spark):
+    run = "".join(random.Random(5).choice("abcdé") for _ in range(3 * S.PART + 1))
+    got = {r["word"]: r["n"] for r in S.piece_counts(spark.createDataFrame([(run,), (run[: S.PART],), ("a",), (None,), ("",)], "run string"), 4).collect()}
+    assert got == Counter(r[i : i + k] for r in (run, run[: S.PART], "a") for k in range(1, 5) for i in range(len(r) - k + 1))
