@@ -127,3 +127,12 @@ def test_batches_are_cut_and_stay_arrow():
     assert max(len(p.flatten()) for p in parts if len(p) > 1) <= 20 and sum(map(len, parts)) == len(lists)
     got = [x for p in parts for x in made.column(p).to_pylist()]
     assert [None if g is None else [tuple(s.values()) for s in g] for g in got] == made.spans([None if x is None else [t or "" for t in x] for x in lists])
+
+
+def test_marks_are_the_spans_of_one_label(spark):
+    from pyspark.sql import functions as F
+
+    lists = [["DT", "NN", "IN", "NNS", "NN", "."], None, [], ["IN"], ["NN", "DT", "NN"]]
+    rows = spark.createDataFrame(list(enumerate(lists)), "id int, tags array<string>")
+    got = {r["id"]: r["m"] for r in rows.select("id", C.marks(F.col("tags"), C.PHRASES, "NP").alias("m")).collect()}
+    assert got == {0: ["B-NP", "I-NP", "O", "B-NP", "I-NP", "O"], 1: None, 2: [], 3: ["O"], 4: ["B-NP", "B-NP", "I-NP"]}
