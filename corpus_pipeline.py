@@ -21,6 +21,7 @@ from millrace.llm.scratch import keep, release, remove, shared_dir, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOXIC_AT = 0.3
+BLOCK_CHARS = 400_000  # of texts that are held as pieces at once, less than the tokeniser's own for the same reason
 KEPT_BYTES = 32 << 20  # of pieces; less than the tokeniser's own, as earlier stages have left executors with a full heap
 
 
@@ -88,7 +89,7 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     release(spark)
     ranks = Path(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).read_bytes()
-    found = bpe.round_trip(docs, ranks, public_tokenizers.PATTERN, kept=KEPT_BYTES)
+    found = bpe.round_trip(docs, ranks, public_tokenizers.PATTERN, kept=KEPT_BYTES, block=BLOCK_CHARS)
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

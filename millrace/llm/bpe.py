@@ -119,6 +119,8 @@ class Codec:
             threes[raw[:-2] << 16 | raw[1:-1] << 8 | raw[2:]] = True
         self.threes = np.packbits(threes, bitorder="little")
         self.ready = True
+        del found, merges, threes
+        give_back()  # what was held to make the tables would stay with the worker
 
     def _segments(self, raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Which bytes begin a segment: a piece's first, and those that no token joins to the byte before.
@@ -286,11 +288,11 @@ def _blocks(texts: list[str], most: int = BLOCK_CHARS) -> Iterator[tuple[int, in
         yield start, len(texts)
 
 
-def _encoded(batches: Iterator[pa.RecordBatch], codec: Codec) -> Iterator[tuple[pa.Array, pa.ListArray]]:
+def _encoded(batches: Iterator[pa.RecordBatch], codec: Codec, block: int = BLOCK_CHARS) -> Iterator[tuple[pa.Array, pa.ListArray]]:
     """The identifiers and ids of blocks of texts."""
     for batch in batches:
         texts = [t or "" for t in batch.column("text").to_pylist()]
-        for start, end in _blocks(texts):
+        for start, end in _blocks(texts, block):
             ids = codec.encode(texts[start:end])
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
             yield batch.column("id").slice(start, end - start), pa.ListArray.from_arrays(offsets, np.concatenate([*ids, np.zeros(0, np.int32)]))
@@ -340,12 +342,12 @@ def decode(encoded: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "d
     return rows.mapInArrow(run, "id long, decoded binary").withColumnRenamed("id", id_col)
 
 
-def round_trip(docs: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text", kept: int = KEPT_BYTES) -> DataFrame:
-    """(id_col, ids, decoded): :func:`encode` and then :func:`decode` of the ids, in one pass."""
+def round_trip(docs: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text", kept: int = KEPT_BYTES, block: int = BLOCK_CHARS) -> DataFrame:
+    """(id_col, ids, decoded): :func:`encode` and then :func:`decode` of the ids, in one pass; ``block`` characters of texts are held as pieces at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with _codec(vocabulary, pattern, kept) as codec:
-            for id_, ids in _encoded(batches, codec):
+            for id_, ids in _encoded(batches, codec, block):
                 yield pa.record_batch({"id": id_, "ids": ids, "decoded": codec.decode(ids)})
 
     return _texts(docs, id_col, text_col).mapInArrow(run, "id long, ids array<int>, decoded binary").withColumnRenamed("id", id_col)
