@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PIECE = 1024  # characters of a text that are read between overlaps
+SLICE = 1 << 21  # characters that are read at once
 WORDS = 50_000  # words of one automaton; more take another pass over the texts
 _CHARACTERS = 1 << 21
 
@@ -67,7 +68,7 @@ class Automaton:
         state = state.copy()
         open_ = np.arange(len(state))
         while len(open_):
-            keys = state[open_] * _CHARACTERS + characters[open_]
+            keys = state[open_] * _CHARACTERS + characters[open_].astype(np.int64)
             at = np.minimum(np.searchsorted(self.edges, keys), len(self.edges) - 1)
             hit = self.edges[at] == keys
             state[open_[hit]] = self.targets[at[hit]]
@@ -82,7 +83,7 @@ class Automaton:
         sizes = np.array([len(t or "") for t in texts], np.int64)
         if not len(self.edges) or not sizes.sum():
             return nothing
-        flat = np.frombuffer("".join(t or "" for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        flat = np.frombuffer("".join(t or "" for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32)
         starts = np.cumsum(sizes) - sizes
         pieces = -(-sizes // PIECE)
         text = np.repeat(np.arange(len(texts)), pieces)
@@ -166,6 +167,18 @@ def convert(text: Column, phrases: Mapping[str, str]) -> Column:
     return of(text)
 
 
+def slices(batch: pd.DataFrame, text: str) -> Iterator[pd.DataFrame]:
+    """A batch in parts of up to ``SLICE`` characters, or of one longer text."""
+    sizes = [len(t) if isinstance(t, str) else 0 for t in batch[text]]
+    low = held = 0
+    for at, size in enumerate(sizes):
+        if at > low and held + size > SLICE:
+            yield batch.iloc[low:at]
+            low, held = at, 0
+        held += size
+    yield batch.iloc[low:]
+
+
 def occurrences(docs: DataFrame, key: str, text: str, words: DataFrame) -> DataFrame:
     """(key, word, n): how often each known word is in each text, as a piece of it, overlapping ones counted.
 
@@ -183,12 +196,13 @@ def occurrences(docs: DataFrame, key: str, text: str, words: DataFrame) -> DataF
         def count(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             automaton = shared.value
             for batch in batches:
-                rows, _, found = automaton.find([t if isinstance(t, str) else None for t in batch[text]])
-                pairs, n = np.unique(rows * len(automaton.words) + found, return_counts=True)
-                if not len(pairs):
-                    continue
-                lines = pairs // len(automaton.words)
-                yield pd.DataFrame({key: batch[key].iloc[lines].to_numpy(), "word": [automaton.words[w] for w in pairs % len(automaton.words)], "n": n})
+                for part in slices(batch, text):
+                    rows, _, found = automaton.find([t if isinstance(t, str) else None for t in part[text]])
+                    pairs, n = np.unique(rows * len(automaton.words) + found, return_counts=True)
+                    if not len(pairs):
+                        continue
+                    lines = pairs // len(automaton.words)
+                    yield pd.DataFrame({key: part[key].iloc[lines].to_numpy(), "word": [automaton.words[w] for w in pairs % len(automaton.words)], "n": n})
 
         result = result.unionByName(docs.select(key, text).where(F.col(key).isNotNull()).mapInPandas(count, schema))
     return result

@@ -64,3 +64,12 @@ def test_occurrences_in_several_passes(spark, monkeypatch):
     assert {(r["id"], r["word"]): r["n"] for r in got.collect()} == counts | {(5, "zz"): 1}
     assert A.occurrences(df, "id", "text", spark.createDataFrame([], "word string")).count() == 0
     assert np.prod(A.Automaton.of(["x"]).find([None])[0].shape) == 0
+
+
+def test_batches_are_read_in_slices(monkeypatch):
+    import pandas as pd
+
+    monkeypatch.setattr(A, "SLICE", 10)
+    batch = pd.DataFrame({"text": ["abcd", None, "abcd", "abcd", "x" * 30, "", "abcd"]})
+    parts = [list(p.index) for p in A.slices(batch, "text")]
+    assert parts == [[0, 1, 2], [3], [4], [5, 6]] and list(A.slices(batch.iloc[:0], "text"))[0].empty
