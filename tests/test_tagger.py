@@ -113,3 +113,16 @@ def test_held_out_accuracy(spark, sf_dir):
     assert right / total > 0.9
     rules = QUERIES["chunk_rules"](spark, sf_dir).collect()
     assert all(r["after"] >= r["before"] > 0.8 for r in rules)
+
+
+def test_tables_come_from_one_count_and_use_the_tag_before(spark):
+    from millrace.ml import tagger
+
+    rows = [("d", i, w, t) for i, (w, t) in enumerate([("a", "X"), ("b", "Y"), ("a", "X"), ("b", "Z"), ("b", "Y"), ("a", "X"), ("b", "Y")])]
+    tokens = spark.createDataFrame(rows, "doc string, place int, word string, tag string")
+    plain = tagger.learn_tables(tokens)
+    given = tagger.learn_tables(spark.createDataFrame([(*r, "<none>" if i == 0 else rows[i - 1][3]) for i, r in enumerate(rows)], "doc string, place int, word string, tag string, before string").drop("place"))
+    for made in (plain, given):
+        assert made.default == "X"
+        assert {tuple(r) for r in made.words.collect()} == {("a", "X"), ("b", "Y")}
+        assert {tuple(r) for r in made.pairs.collect()} == {("X", "b", "Y"), ("Y", "a", "X")}
