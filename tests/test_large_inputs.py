@@ -40,3 +40,12 @@ def test_holdout_runs_fits_on_kept_rows(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(P.M, "fit", fit)
     with pytest.raises(Seen):
         P.holdout_runs(spark, sf_dir)
+
+
+def test_tf_idf_counts_words_once(spark, sf_dir):
+    from millrace.functions.text import tf_idf
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    made = tf_idf(docs, "doc_id", "text", 2)
+    made.collect()
+    assert "ReusedExchange" in made._jdf.queryExecution().executedPlan().toString()
