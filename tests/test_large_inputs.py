@@ -49,3 +49,14 @@ def test_tf_idf_counts_words_once(spark, sf_dir):
     made = tf_idf(docs, "doc_id", "text", 2)
     made.collect()
     assert "ReusedExchange" in made._jdf.queryExecution().executedPlan().toString()
+
+
+def test_file_counts_do_not_shuffle_the_words_of_texts(spark):
+    from millrace.operators.tourcodes import file_counts
+
+    codes = spark.createDataFrame([("x1",), ("y2",), (None,)], "code string")
+    sheets = spark.createDataFrame([(1, ["x1"], "y2 z", "paper", None), (2, [], "Y2 x1 y2", "filed", None)], "sheet int, tourcodes array<string>, text string, faretype string, extension_date date")
+    made = file_counts(codes, sheets)
+    assert {(r["code"], r["faretype"], r["file_cnt"]) for r in made.collect()} == {("x1", "paper", 1), ("y2", "paper", 2)}
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") >= 1
