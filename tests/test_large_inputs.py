@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pytest
 
 
@@ -60,3 +61,14 @@ def test_file_counts_do_not_shuffle_the_words_of_texts(spark):
     assert {(r["code"], r["faretype"], r["file_cnt"]) for r in made.collect()} == {("x1", "paper", 1), ("y2", "paper", 2)}
     plan = made._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("strategy=broadcast") >= 1
+
+
+def test_squares_of_near_points_lose_no_digits():
+    from millrace.ml.silhouette import squares
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(40, 8)) + 1e6
+    y = np.concatenate([x[:20], x[20:30] + 1e-7, rng.normal(size=(10, 8)) * 1e6])
+    want = ((x[:, None] - y[None]) ** 2).sum(axis=2)
+    np.testing.assert_allclose(squares(x, y), want, rtol=1e-9, atol=0)
+    assert (squares(x, x).diagonal() == 0).all()
