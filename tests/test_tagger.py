@@ -126,3 +126,51 @@ def test_tables_come_from_one_count_and_use_the_tag_before(spark):
         assert made.default == "X"
         assert {tuple(r) for r in made.words.collect()} == {("a", "X"), ("b", "Y")}
         assert {tuple(r) for r in made.pairs.collect()} == {("X", "b", "Y"), ("Y", "a", "X")}
+
+
+def test_lists_are_tagged_and_mended_as_tokens(spark):
+    train, held = tagged_rows(range(40), 5), tagged_rows(range(50, 65), 6)
+    schema = "doc long, place int, word string, tag string"
+    tables = L.learn_tables(spark.createDataFrame(train, schema))
+    odd = [(90, 0, None, "N"), (90, 1, "run", None), (90, 2, "", "N"), (90, 3, "new", "J"), (90, 4, "<none>", "N"), (91, 0, "run", "N")]
+    tokens = spark.createDataFrame(held + odd, schema)
+    rules = [L.Rule("before", "N", "N", "Z", 1), L.Rule("word and before", "run Z", "V", "Q", 1), L.Rule("two after", L.NONE, "Z", "N", 1), L.Rule("word itself", "", "N", "E", 1)]
+    guessed = L.tag(tokens, tables)
+    want = {(r["doc"], r["place"]): (r["first"], r["guess"]) for r in L.apply_rules(guessed.withColumn("first", F.col("guess")), rules).collect()}
+    docs = [(d, [r[2] for r in line], [r[3] for r in line]) for d, line in sequences(held).items()]
+    docs += [(90, [r[2] for r in odd[:5]], [r[3] for r in odd[:5]]), (91, ["run"], ["N"]), (92, [], []), (93, None, None)]
+    lists = spark.createDataFrame(docs, "doc long, words array<string>, tags array<string>").coalesce(1)
+    lists = lists.withColumn("guesses", L.tag_lists(F.col("words"), tables))
+    got = lists.withColumn("mended", L.mended(F.col("words"), F.col("guesses"), rules)).collect()
+    assert {(r["doc"], i): x for r in got for i, x in enumerate(zip(r["guesses"] or [], r["mended"] or [], strict=True))} == want
+    assert [r["guesses"] for r in got if r["doc"] > 91] == [[], None]
+    assert L.learn_rules(lists, 2) == L.learn_rules(guessed, 2)
+
+
+def test_learning_rules_writes_tokens_once(spark, tmp_path):
+    """What chunk_rules leaves on disk is small beside its texts; before, each round wrote all tokens again."""
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from millrace.plans import QUERIES
+
+    words = ["of the blue ticket and a fare .", "sales valid from the agent to the route ,", "running quickly under discounts or classes"]
+    rows = [(i, " ".join(words[(i * j) % 3] for j in range(400))) for i in range(100)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    folder = Path(urlparse(spark.sparkContext.getCheckpointDir()).path)
+
+    def size():
+        return sum(f.stat().st_size for f in folder.rglob("*") if f.is_file())
+
+    before = size()
+    QUERIES["chunk_rules"](spark, str(tmp_path)).collect()
+    assert size() - before < sum(len(t) for _, t in rows) / 2
+    assert not list(folder.rglob("stored-*"))
+
+
+def test_chunk_rules_without_texts(spark, tmp_path):
+    from millrace.plans import QUERIES
+
+    for name, rows in (("none", []), ("null", [(1, None), (2, "")])):
+        spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / name / "documents.parquet"))
+        assert QUERIES["chunk_rules"](spark, str(tmp_path / name)).collect() == []
