@@ -143,6 +143,43 @@ def test_silhouettes(spark, block):
     assert {r["silhouette"] for r in one.collect()} == {0.0} and silhouettes(df.where("false"), "id").count() == 0
 
 
+def test_silhouettes_of_several_clusterings(spark):
+    from millrace.ml.silhouette import silhouettes_of
+
+    rng = np.random.default_rng(8)
+    x = np.round(rng.normal(size=(90, 4)), 1) + 4 * (np.arange(90) % 3)[:, None]
+    clusters = np.stack([np.arange(90) % 2, np.arange(90) % 3, np.arange(90) % 3 * 7 - 5, np.full(90, 2), np.arange(90) % 30, np.arange(90)], axis=1)
+    df = spark.createDataFrame([(f"k{i}", x[i].tolist(), *map(int, clusters[i])) for i in range(90)], "id string, features array<double>, a int, b int, c int, d int, e int, f int")
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    for block in (13, None):
+        got = {r["id"]: r for r in silhouettes_of(df, "id", list("abcdef"), block=block).collect()}
+        assert len(got) == 90
+        for m, name in enumerate("abcdef"):
+            c = clusters[:, m]
+            for i in range(90):
+                a = d[i, c == c[i]].sum() / max((c == c[i]).sum() - 1, 1)
+                b = min((d[i, c == k].mean() for k in set(c.tolist()) - {c[i]}), default=a)
+                want = (b - a) / max(a, b) if (c == c[i]).sum() > 1 else 0.0
+                assert got[f"k{i}"][name] == c[i] and abs(got[f"k{i}"][f"{name}_silhouette"] - want) < 1e-9
+
+
+def test_silhouettes_shuffle_each_point_once(spark):
+    """Points don't meet by a shuffle of all pairs of blocks: twice the blocks write no more."""
+    data = spark.createDataFrame([(i, [float(i % 7 + j * i % 11) for j in range(50)], i % 3) for i in range(600)], "id long, features array<double>, cluster int")
+
+    def written(block):
+        group = f"silhouettes-{block}"
+        spark.sparkContext.setJobGroup(group, group)
+        silhouettes(data, "id", block=block).count()
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        store = spark.sparkContext._jsc.sc().statusStore()
+        stages = {s for j in jobs for s in spark.sparkContext.statusTracker().getJobInfo(j).stageIds}
+        return sum(store.lastStageAttempt(s).shuffleWriteBytes() for s in stages)
+
+    assert written(20) < 1.5 * written(300)
+
+
 def test_landmarks_give_the_kernel_and_its_error(spark):
     from pyspark.ml.functions import array_to_vector
 
